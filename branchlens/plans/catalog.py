@@ -465,6 +465,18 @@ def run_summary(x: Inputs):
                          "payments": x.payments_live})
 
 
+def stream_upsert_payments(x: Inputs):
+    """The payments upsert run as a file stream: old slice landed as batch 0, new as
+    batch 1, consumed with availableNow in several micro-batches."""
+    from branchlens.schemas import PAYMENT
+    from branchlens.session import scratch_path
+    from branchlens.streaming.upsert_stream import stream_upsert
+    old, new = _payments_split(x)
+    res = stream_upsert(x.spark, [old.drop("ingest_seq"), new.drop("ingest_seq")], PAYMENT,
+                        PAYMENT_KEYS, [], scratch_path(x.spark, "stream-upsert"))
+    return doubles(res.select(*PAYMENT_COLS))
+
+
 QUERY_FUNCS = [
     lines_enriched, dwell_filtered, payments_live,
     daily_revenue_all, daily_revenue_branch, product_daily, product_totals, category_daily, category_totals,
@@ -479,6 +491,7 @@ QUERY_FUNCS = [
     bootstrap_raw,
     bookings_clean, booking_monthly, booking_metrics, booking_metrics_edges,
     quality_unique, quality_fk, quality_nulls, accepted_rejected, run_summary,
+    stream_upsert_payments,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f) for f in QUERY_FUNCS}

@@ -305,6 +305,7 @@ def dedupe_payments() -> str:
 
 
 upsert_payments = dedupe_payments
+stream_upsert_payments = dedupe_payments
 
 
 def upsert_lines() -> str:
