@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from branchlens.functions.semantics import numeric_id
 
 LOOKBACK_ROWS = 20
+MARKS_BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after checking its size: the (small, aggregated) frame is
+    cached and counted; above ``max_rows`` it is returned unhinted, so the join falls
+    back to a shuffle join planned from runtime sizes."""
+    df = df.cache()
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def _order(cols: Sequence) -> list[Column]:
@@ -79,9 +88,12 @@ def high_water_marks(df: DataFrame, id_col: str, branches: DataFrame | None = No
 
 def select_after_marks(feed: DataFrame, marks: DataFrame, id_col: str) -> DataFrame:
     """Feed rows whose integer id is above their branch's mark (branches without a mark
-    start at 0). The marks frame has one row per branch; AQE broadcasts it once its
-    measured size is under the broadcast threshold, else it is shuffled."""
-    j = feed.join(marks, "branch", "left")
+    start at 0).
+
+    The marks frame has one row per branch. Joining on the branch alone by shuffle would
+    send every row of a branch to one task (a branch may hold a third of the feed), so
+    the marks are broadcast after a size check (``bounded_broadcast``)."""
+    j = feed.join(bounded_broadcast(marks, MARKS_BROADCAST_MAX_ROWS), "branch", "left")
     return j.filter(numeric_id(id_col) > F.coalesce(F.col("last_id"), F.lit(0).cast("bigint")))
 
 

@@ -1,36 +1,46 @@
 """Sinks: versioned full-refresh tables, partitioned facts, marts, append-only pairs,
 ranking reports, accepted / rejected splits and run counts.
 
-A table that is read and rewritten by the same job (an upsert) is never overwritten in
-place: each publish writes a new version folder, then replaces a one-row pointer
-dataset. Readers resolve the pointer first, so they always see a complete version, and
-a job that dies mid-write leaves the previous version current. The written version is
-also the lineage cut for the next run.
+A table that is read and rewritten by the same job is never overwritten in place:
+small full-refresh tables are published as immutable versions (``VersionedTable``);
+large keyed tables are merged partition by partition (``upsert_partitions``): only
+the partitions a batch touches are read, merged into a staging folder (the lineage
+cut), and then swapped in with a dynamic partition overwrite. Both are idempotent, so
+a job (or a replayed micro-batch) that died half-way can simply run again.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 
 class VersionedTable:
-    """Parquet table under ``base``: ``base/v-<id>/`` folders + ``base/_current`` pointer."""
+    """Parquet table under ``base``: immutable ``base/v-<id>/`` folders plus an
+    append-only version log ``base/_versions`` (one small JSON file per publish).
+
+    A publish first writes the data folder, then appends its log record; appending
+    adds a file and never deletes one, so a crash at any point leaves the previous
+    version readable. The current version is the latest logged record.
+    """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
 
     @property
-    def pointer(self) -> str:
-        return f"{self.base}/_current"
+    def log(self) -> str:
+        return f"{self.base}/_versions"
 
     def current(self) -> dict | None:
         try:
-            rows = self.spark.read.json(self.pointer).limit(1).collect()  # one row
-        except Exception:  # noqa: BLE001  (no version published yet)
+            log = self.spark.read.schema("path string, published string, meta string").json(self.log)
+            rows = log.orderBy(F.col("published").desc(), F.col("path").desc()).limit(1).collect()
+        except AnalysisException:  # nothing published yet
             return None
         return rows[0].asDict() if rows else None
 
@@ -41,13 +51,15 @@ class VersionedTable:
         return self.spark.read.parquet(cur["path"])
 
     def publish(self, df: DataFrame, partition_by: list[str] | None = None, **meta) -> str:
-        path = f"{self.base}/v-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        now = dt.datetime.now(dt.timezone.utc)
+        path = f"{self.base}/v-{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        record = {"path": path, **{k: str(v) for k, v in meta.items()}}
-        self.spark.createDataFrame([record]).coalesce(1).write.mode("overwrite").json(self.pointer)
+        record = [(path, now.isoformat(), json.dumps(meta, default=str))]
+        self.spark.createDataFrame(record, "path string, published string, meta string") \
+            .coalesce(1).write.mode("append").json(self.log)
         return path
 
 
@@ -56,12 +68,19 @@ def write_raw(df: DataFrame, table: VersionedTable) -> str:
     return table.publish(df)
 
 
-def write_facts(df: DataFrame, path: str, partition_col: str = "month", dynamic: bool = True) -> None:
+def write_facts(df: DataFrame, path: str, partition_col: str = "month", dynamic: bool = True,
+                max_records_per_file: int = 5_000_000) -> None:
     """Processed facts partitioned by month (S14). With ``dynamic`` only the months
-    present in ``df`` are replaced, so a daily increment rewrites one or two months."""
+    present in ``df`` are replaced, so a daily increment rewrites one or two months.
+
+    No shuffle by month (a month can hold a large share of all rows and would land in
+    one task): each task writes the months it holds, sorted locally so it keeps one
+    open file at a time, and files are capped at ``max_records_per_file`` rows.
+    """
     mode = "dynamic" if dynamic else "static"
     df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
-    df.repartition(partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    df.sortWithinPartitions(partition_col).write.mode("overwrite") \
+        .option("maxRecordsPerFile", max_records_per_file).partitionBy(partition_col).parquet(path)
 
 
 def publish_mart(df: DataFrame, path: str) -> None:
@@ -96,3 +115,28 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter (S19) computed by the job that consumes ``df`` (no extra pass)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def upsert_partitions(spark: SparkSession, batch: DataFrame, target: str, keys: list[str], order: list,
+                      part_col: str, staging: str) -> None:
+    """Keyed keep-last merge of ``batch`` into the parquet table ``target`` partitioned
+    by ``part_col`` (which must not change for a key, e.g. the creation month).
+
+    1. the distinct partition values of the batch are read to the driver (a handful of
+       months: bounded by the calendar, not by the data);
+    2. only those partitions of the target are scanned (partition pruning), unioned with
+       the batch and reduced to the last row per key;
+    3. the result is written to ``staging`` (cutting lineage to the target), then
+       copied over the target with dynamic partition overwrite, so untouched partitions
+       are not rewritten. Re-running after a failure yields the same table.
+    """
+    from branchlens.operators.incremental import keep_last
+    parts = [r[0] for r in batch.select(part_col).distinct().collect()]
+    try:
+        existing = spark.read.parquet(target).filter(F.col(part_col).isin(parts))
+        merged = existing.unionByName(batch, allowMissingColumns=True)
+    except AnalysisException:  # first load
+        merged = batch
+    keep_last(merged, keys, order).write.mode("overwrite").partitionBy(part_col).parquet(staging)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.read.parquet(staging).write.mode("overwrite").partitionBy(part_col).parquet(target)

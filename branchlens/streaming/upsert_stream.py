@@ -1,23 +1,24 @@
 """Continuous keyed upsert of landed files with Structured Streaming.
 
-Landed files (``<landing>/batch=<n>/...``) are read as a file stream; every micro-batch
-is merged into a ``VersionedTable`` with keep-last by (batch, key order). The landing
-batch number, not the micro-batch id, decides which version of a key wins, so the
-result does not depend on how files are grouped into micro-batches, and replaying a
-micro-batch after a failure (foreachBatch is at-least-once) gives the same table.
-The checkpoint records which files were consumed; it replaces the id high-water mark.
+Landed files (``<landing>/batch=<n>/...``) are read as a file stream; each micro-batch
+is merged into the target table with ``sinks.upsert_partitions``: only the partitions
+(months) the micro-batch touches are read and rewritten. The landing batch number, not
+the micro-batch id, decides which version of a key wins, so the result does not depend
+on how files are grouped into micro-batches, and replaying a micro-batch after a
+failure (foreachBatch is at-least-once) gives the same table. The streaming checkpoint
+records which files were consumed; it replaces the id high-water mark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from branchlens.operators.incremental import keep_last
-from branchlens.sources.sinks import VersionedTable
+from branchlens.functions.semantics import month_of
+from branchlens.sources.sinks import upsert_partitions
 
 
 def land_batch(df: DataFrame, landing: str, batch: int) -> None:
@@ -25,25 +26,26 @@ def land_batch(df: DataFrame, landing: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{landing.rstrip('/')}/batch={batch}")
 
 
-def merge_batch(target: VersionedTable, schema: T.StructType, keys: Sequence[str], order: Sequence[str]):
-    """The foreachBatch function: target (current version) + micro-batch -> new version."""
+def merge_batch(spark: SparkSession, target: str, staging_root: str, schema: T.StructType,
+                keys: Sequence[str], order: Sequence[str], part_col: str, part_expr: Column):
+    """The foreachBatch function: merge one micro-batch into the target table."""
     def merge(batch_df: DataFrame, batch_id: int) -> None:
-        base = target.read()
-        incoming = batch_df.select(*[f.name for f in schema.fields], "batch")
-        merged = incoming if base is None else base.unionByName(incoming)
-        out = keep_last(merged, keys, ["batch", *order])
-        target.publish(out, micro_batch=batch_id)
+        incoming = batch_df.select(*[f.name for f in schema.fields], "batch").withColumn(part_col, part_expr)
+        upsert_partitions(spark, incoming, target, list(keys), ["batch", *order], part_col,
+                          f"{staging_root}/micro_batch={batch_id}")
     return merge
 
 
-def run_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, target: VersionedTable,
-                      keys: Sequence[str], order: Sequence[str], checkpoint: str,
-                      files_per_trigger: int = 1):
+def run_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, target: str, keys: Sequence[str],
+                      order: Sequence[str], workdir: str, part_col: str = "month",
+                      part_expr: Column | None = None, files_per_trigger: int = 1):
     """Consume everything landed so far (``availableNow``) and stop."""
+    part_expr = month_of("created_at") if part_expr is None else part_expr
     full = T.StructType(schema.fields + [T.StructField("batch", T.IntegerType())])
     stream = spark.readStream.schema(full).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
-    q = (stream.writeStream.foreachBatch(merge_batch(target, schema, keys, order))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = (stream.writeStream
+         .foreachBatch(merge_batch(spark, target, f"{workdir}/staging", schema, keys, order, part_col, part_expr))
+         .option("checkpointLocation", f"{workdir}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
@@ -51,9 +53,8 @@ def run_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, t
 def stream_upsert(spark: SparkSession, batches: list[DataFrame], schema: T.StructType, keys: Sequence[str],
                   order: Sequence[str], workdir: str, files_per_trigger: int = 1) -> DataFrame:
     """Land ``batches`` in order, run the stream to completion, return the merged table."""
-    landing, table, ckpt = f"{workdir}/landing", f"{workdir}/table", f"{workdir}/checkpoint"
+    landing, target = f"{workdir}/landing", f"{workdir}/table"
     for i, b in enumerate(batches):
         land_batch(b.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), landing, i)
-    target = VersionedTable(spark, table)
-    run_upsert_stream(spark, landing, schema, target, keys, order, ckpt, files_per_trigger)
-    return target.read(T.StructType(schema.fields + [T.StructField("batch", T.IntegerType())]))
+    run_upsert_stream(spark, landing, schema, target, keys, order, workdir, files_per_trigger=files_per_trigger)
+    return spark.read.parquet(target)
