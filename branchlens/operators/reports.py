@@ -75,8 +75,10 @@ def daily_reconciliation(lines: DataFrame, payments: DataFrame, sales: DataFrame
     s = sales.withColumn("day", F.to_date("created_at"))
     u = _tagged_union([(lines, "price", "line_revenue"), (payments, "amount", "payment_amount"),
                        (s, "total", "sale_total")], measures)
+    # The result has one row per branch and day (bounded by the calendar), so the final
+    # day ordering of the published sheet is a small range-partitioned sort.
     return drop_null_keys(u, ["branch", "day"]).groupBy("branch", "day").agg(
-        *[to_double(sum_or_zero(m, "decimal(38,4)")).alias(m) for m in measures])
+        *[to_double(sum_or_zero(m, "decimal(38,4)")).alias(m) for m in measures]).orderBy("branch", "day")
 
 
 def weekly_reconciliation(lines: DataFrame, sales: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -90,4 +92,5 @@ def weekly_reconciliation(lines: DataFrame, sales: DataFrame, start: dt.date, en
         *[sum_or_zero(m, "decimal(38,4)").alias(m) for m in measures])
     w = Window.partitionBy("branch")  # at most 7 daily rows per branch
     return daily.select("branch", "day", *[to_double(m).alias(m) for m in measures],
-                        *[to_double(F.sum(m).over(w)).alias(f"week_{m}") for m in measures])
+                        *[to_double(F.sum(m).over(w)).alias(f"week_{m}") for m in measures]) \
+        .orderBy("branch", "day")

@@ -24,6 +24,7 @@ SESSION_DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -52,7 +53,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_defaults(spark: SparkSession) -> None:
     """Apply the runtime-settable defaults to an existing session (e.g. the driver's)."""
     for k, v in SESSION_DEFAULTS.items():
-        if k == "spark.ui.enabled":
+        if k.startswith("spark.ui."):
             continue
         try:
             spark.conf.set(k, v)

@@ -78,8 +78,7 @@ def write_facts(df: DataFrame, path: str, partition_col: str = "month", dynamic:
     open file at a time, and files are capped at ``max_records_per_file`` rows.
     """
     mode = "dynamic" if dynamic else "static"
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
-    df.sortWithinPartitions(partition_col).write.mode("overwrite") \
+    df.sortWithinPartitions(partition_col).write.mode("overwrite").option("partitionOverwriteMode", mode) \
         .option("maxRecordsPerFile", max_records_per_file).partitionBy(partition_col).parquet(path)
 
 
@@ -138,5 +137,5 @@ def upsert_partitions(spark: SparkSession, batch: DataFrame, target: str, keys:
     except AnalysisException:  # first load
         merged = batch
     keep_last(merged, keys, order).write.mode("overwrite").partitionBy(part_col).parquet(staging)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    spark.read.parquet(staging).write.mode("overwrite").partitionBy(part_col).parquet(target)
+    spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(part_col).parquet(target)
