@@ -97,9 +97,33 @@ class Inputs:
         return fx.table(self.spark, self.sf_dir, "region").select(F.col("r_name").alias("branch"))
 
 
+# Text formats of published days and timestamps.
+DAY_TEXT = "yyyy-MM-dd"
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def publishable(df: DataFrame) -> DataFrame:
+    """The publish format of query results: days as ``yyyy-MM-dd`` text and timestamps as
+    ``yyyy-MM-dd HH:mm:ss.ffffff`` text (the published sheets carry text days), flags
+    as ``true`` / ``false`` text. Measures stay DOUBLE / BIGINT. The operators themselves
+    return typed columns; this projection is applied only to the catalogue outputs, so
+    every engine renders the same values the same way."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, DAY_TEXT)
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, TS_TEXT)
+        elif isinstance(f.dataType, T.BooleanType):
+            c = c.cast("string")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
 def _q(fn: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Inputs(spark, sf_dir))
+        return publishable(fn(Inputs(spark, sf_dir)))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
     return run
@@ -225,7 +249,7 @@ def scalar_suite(x: Inputs):
     iso = S.iso_date_text(S.parse_day_first_date(date_text))
     return ob.select(
         k.alias("o_orderkey"),
-        S.numeric_id(id_text).alias("id_num"),
+        S.numeric_id(id_text).cast("string").alias("id_num"),
         iso.alias("date_iso"),
         F.substring(iso, 1, 7).alias("month"),
         S.parse_currency(total_text).alias("total_num"),

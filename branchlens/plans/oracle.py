@@ -612,8 +612,43 @@ UNION ALL SELECT 'dwell', count(*) FROM fx_sales WHERE sale_type = '{fx.DINE_IN_
 UNION ALL SELECT 'payments', count(*) FROM payments_live""")
 
 
+# Columns rendered as text in the publish format (see ``catalog.publishable``).
+_SALE_TS = {"ts": ["created_at", "closed_at"]}
+_PAY = {"ts": ["created_at"], "bool": ["canceled"]}
+_LINE = {"bool": ["canceled"]}
+PUBLISH: dict[str, dict[str, list[str]]] = {
+    "lines_enriched": {"date": ["day"]},
+    "dwell_filtered": {"date": ["created_day", "closed_day"]},
+    "payments_live": {"date": ["day"], "ts": ["created_at"]},
+    "daily_revenue_all": {"date": ["day"]},
+    "daily_revenue_branch": {"date": ["day"]},
+    "product_daily": {"date": ["day"]},
+    "category_daily": {"date": ["day"]},
+    "branch_kpis_edges": {"date": ["as_of"]},
+    "daily_reconciliation": {"date": ["day"]},
+    "weekly_reconciliation": {"date": ["day"]},
+    "timestamps_normalised": {"date": ["day"], "ts": ["local_ts"]},
+    "scalar_suite": {"date": ["day"], "text": ["id_num"]},
+    "booking_metrics_edges": {"date": ["as_of"]},
+    "dedupe_sales": _SALE_TS, "upsert_sales": _SALE_TS, "json_sales_flat": _SALE_TS,
+    "closed_sales_trimmed": _SALE_TS,
+    "dedupe_lines": _LINE, "upsert_lines": _LINE, "json_items_flat": _LINE,
+    "dedupe_payments": _PAY, "upsert_payments": _PAY, "json_payments_flat": _PAY, "stream_upsert_payments": _PAY,
+}
+
+
+def publish(name: str, query: str) -> str:
+    spec = PUBLISH.get(name)
+    if not spec:
+        return query
+    repl = [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in spec.get("date", [])]
+    repl += [f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}" for c in spec.get("ts", [])]
+    repl += [f"CAST({c} AS VARCHAR) AS {c}" for c in spec.get("bool", []) + spec.get("text", [])]
+    return f"SELECT * REPLACE ({', '.join(repl)}) FROM (\n{query}\n) AS published"
+
+
 ORACLE: dict[str, str] = {}
 for _name in Q.QUERIES:
     _fn = globals().get(_name)
     if callable(_fn):
-        ORACLE[_name] = _fn()
+        ORACLE[_name] = publish(_name, _fn())

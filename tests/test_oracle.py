@@ -38,3 +38,18 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["branch", "month_to_date", "avg_per_month", "today", "avg_per_day_30", "previous_month"]
+
+
+TEXT_SAFE = {"object", "float64", "int64", "int32"}
+
+
+@pytest.mark.parametrize("name", ["daily_revenue_branch", "json_items_flat", "payments_live", "scalar_suite",
+                                  "dedupe_sales", "branch_kpis_edges"])
+def test_published_types_are_engine_neutral(spark, sf_dir, con, name):
+    """Published results use only types both engines hand to pandas identically."""
+    from pyspark.sql import types as T
+    df = QUERIES[name](spark, sf_dir)
+    assert not any(isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType))
+                   for f in df.schema.fields)
+    odf = con.sql(ORACLE[name]).df()
+    assert {str(t) for t in odf.dtypes} <= TEXT_SAFE
