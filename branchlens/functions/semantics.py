@@ -137,8 +137,9 @@ def coerce_int(c) -> Column:
 
 
 def numeric_id(c) -> Column:
-    """Id text -> bigint, null when not an integer."""
-    return col_(c).try_cast("bigint")
+    """Id text -> bigint: integer text exactly, other numeric text truncated
+    ('12.5' -> 12, '1e3' -> 1000), anything else null."""
+    return F.coalesce(col_(c).try_cast("bigint"), col_(c).try_cast("double").try_cast("bigint"))
 
 
 def strip_zone(c) -> Column:

@@ -210,6 +210,16 @@ def top_products(x: Inputs):
     return R.top_products(x.lines_enriched, AS_OF)
 
 
+def top_products_edges(x: Inputs):
+    """The rankings at the edge dates (a 1st of the month: 'yesterday' falls in the
+    previous month; a 31st; the end of January)."""
+    out = None
+    for d in fx.AS_OF_EDGES:
+        part = R.top_products(x.lines_enriched, d).withColumn("as_of", F.lit(d))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def top_products_day(x: Inputs):
     return R.top_products_day(x.lines_enriched, RANK_BRANCH, RANK_DAY)
 
@@ -504,7 +514,8 @@ def stream_upsert_payments(x: Inputs):
 QUERY_FUNCS = [
     lines_enriched, dwell_filtered, payments_live,
     daily_revenue_all, daily_revenue_branch, product_daily, product_totals, category_daily, category_totals,
-    branch_kpis, branch_kpis_edges, mom_growth, monthly_revenue, top_products, top_products_day,
+    branch_kpis, branch_kpis_edges, mom_growth, monthly_revenue, top_products, top_products_edges,
+    top_products_day,
     daily_reconciliation, weekly_reconciliation, monthly_line_revenue,
     product_category_pairs, new_product_categories, timestamps_normalised, scalar_suite,
     catalog_inner, catalog_left, catalog_refresh,

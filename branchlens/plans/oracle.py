@@ -180,23 +180,34 @@ def mom_growth() -> str:
 
 # ------------------------------------------------------------------ reports
 
-def top_products() -> str:
-    a = Q.AS_OF
+def _top_products(a: dt.date, n: str = "") -> tuple[str, str]:
     ms, y = a.replace(day=1), a - dt.timedelta(days=1)
-    ctes = f"""t AS (SELECT branch, product_name AS product, quantity, price, day FROM lines_enriched
+    ctes = f"""t{n} AS (SELECT branch, product_name AS product, quantity, price, day FROM lines_enriched
           WHERE day >= {_d(min(ms, y))} AND day <= {_d(a)} AND product_name IS NOT NULL),
-tagged AS (
-  SELECT 'month' AS report, * FROM t WHERE day >= {_d(ms)}
-  UNION ALL SELECT 'today' AS report, * FROM t WHERE day = {_d(a)}
-  UNION ALL SELECT 'yesterday' AS report, * FROM t WHERE day = {_d(y)}),
-agg AS (
-  SELECT report, branch AS scope, product, sum(quantity) AS q, sum(price) AS r FROM tagged
+tagged{n} AS (
+  SELECT 'month' AS report, * FROM t{n} WHERE day >= {_d(ms)}
+  UNION ALL SELECT 'today' AS report, * FROM t{n} WHERE day = {_d(a)}
+  UNION ALL SELECT 'yesterday' AS report, * FROM t{n} WHERE day = {_d(y)}),
+agg{n} AS (
+  SELECT report, branch AS scope, product, sum(quantity) AS q, sum(price) AS r FROM tagged{n}
   WHERE branch IS NOT NULL GROUP BY report, branch, product
   UNION ALL
-  SELECT report, 'ALL' AS scope, product, sum(quantity) AS q, sum(price) AS r FROM tagged GROUP BY report, product)"""
-    body = """SELECT report, scope, product, CAST(q AS DOUBLE) AS qty, CAST(r AS DOUBLE) AS revenue,
+  SELECT report, 'ALL' AS scope, product, sum(quantity) AS q, sum(price) AS r FROM tagged{n} GROUP BY report, product)"""
+    body = f"""SELECT report, scope, product, CAST(q AS DOUBLE) AS qty, CAST(r AS DOUBLE) AS revenue,
   CAST(row_number() OVER (PARTITION BY report, scope ORDER BY CAST(q AS DOUBLE) DESC, product ASC) AS INTEGER) AS rank
-FROM agg"""
+FROM agg{n}"""
+    return ctes, body
+
+
+def top_products() -> str:
+    ctes, body = _top_products(Q.AS_OF)
+    return sql(body, ctes)
+
+
+def top_products_edges() -> str:
+    parts = [_top_products(d, str(i)) for i, d in enumerate(fx.AS_OF_EDGES)]
+    ctes = ",\n".join(c for c, _ in parts)
+    body = "\nUNION ALL\n".join(f"SELECT *, {_d(d)} AS as_of FROM ({b})" for d, (_, b) in zip(fx.AS_OF_EDGES, parts))
     return sql(body, ctes)
 
 
@@ -630,6 +641,7 @@ PUBLISH: dict[str, dict[str, list[str]]] = {
     "timestamps_normalised": {"date": ["day"], "ts": ["local_ts"]},
     "scalar_suite": {"date": ["day"], "text": ["id_num"]},
     "booking_metrics_edges": {"date": ["as_of"]},
+    "top_products_edges": {"date": ["as_of"]},
     "dedupe_sales": _SALE_TS, "upsert_sales": _SALE_TS, "json_sales_flat": _SALE_TS,
     "closed_sales_trimmed": _SALE_TS,
     "dedupe_lines": _LINE, "upsert_lines": _LINE, "json_items_flat": _LINE,

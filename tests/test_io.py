@@ -4,7 +4,6 @@ import os
 import tempfile
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from branchlens.operators import incremental as I
 from branchlens.schemas import PAYMENT, SALE

@@ -83,4 +83,5 @@ def test_month_shifts(spark):
 
 
 def test_numeric_id(spark):
-    assert col(spark, ["12", "x1", None, "007"], "string", S.numeric_id) == [12, None, None, 7]
+    got = col(spark, ["12", "x1", None, "007", "12.5", "1e3", "9007199254740993"], "string", S.numeric_id)
+    assert got == [12, None, None, 7, 12, 1000, 9007199254740993]
