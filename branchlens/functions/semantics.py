@@ -11,6 +11,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from branchlens.fixed_values import (CURRENCY_PREFIX, DAY_FIRST_DATE_PATTERN, DECIMAL_SEPARATOR,
+                                     NAME_ELLIPSIS, NAME_MAX_CHARS, THOUSANDS_SEPARATOR)
+
 MONEY = "decimal(18,2)"
 
 
@@ -89,10 +92,10 @@ def shifted_month(as_of, days: int) -> Column:
     return F.date_format(F.date_add(col_(as_of), days), "yyyy-MM")
 
 
-def truncate_name(c, n: int = 20) -> Column:
+def truncate_name(c, n: int = NAME_MAX_CHARS) -> Column:
     """Names longer than ``n`` characters become their first ``n`` characters + '...'."""
     c = col_(c)
-    return F.when(F.length(c) > n, F.concat(F.substring(c, 1, n), F.lit("..."))).otherwise(c)
+    return F.when(F.length(c) > n, F.concat(F.substring(c, 1, n), F.lit(NAME_ELLIPSIS))).otherwise(c)
 
 
 def title_case(c) -> Column:
@@ -106,12 +109,6 @@ def title_case(c) -> Column:
     return F.when(col_(c).isNull(), F.lit(None)).otherwise(F.array_join(caps, ""))
 
 
-# Fixed values of the currency text format (must stay as they are).
-CURRENCY_PREFIX = "AR$"
-THOUSANDS_SEPARATOR = "."
-DECIMAL_SEPARATOR = ","
-
-
 def parse_currency(c) -> Column:
     """'AR$ 1.234,50' -> 1234.5; unparsable text -> 0.0; null -> null."""
     c = col_(c)
@@ -124,7 +121,7 @@ def parse_currency(c) -> Column:
 
 def parse_day_first_date(c) -> Column:
     """Day-first date text (``3/1/2025`` or ``03/01/2025``) -> date; invalid -> null."""
-    return F.try_to_date(col_(c), "d/M/yyyy")
+    return F.try_to_date(col_(c), DAY_FIRST_DATE_PATTERN)
 
 
 def iso_date_text(c) -> Column:

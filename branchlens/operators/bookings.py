@@ -8,12 +8,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from branchlens.fixed_values import BOOKING_MONTH_SHIFT_DAYS, WON_STATUS
 from branchlens.functions.semantics import (coerce_int, drop_null_keys, iso_date_text,
                                             month_of, parse_currency, parse_day_first_date,
                                             shifted_month, sum_or_zero, title_case, to_double)
 
-WON = "Ganado"
-MONTH_SHIFT_DAYS = 30
+WON = WON_STATUS
+MONTH_SHIFT_DAYS = BOOKING_MONTH_SHIFT_DAYS
 
 
 def clean_bookings(raw: DataFrame, won: str = WON) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from branchlens.fixed_values import DINE_IN_SALE_TYPE, DWELL_MAX, DWELL_MIN
 from branchlens.functions.semantics import (day_of, month_of, not_cancelled, to_double,
                                             truncate_name)
 
@@ -54,7 +55,7 @@ def enrich_lines(lines: DataFrame, sales: DataFrame, catalog: DataFrame) -> Data
     )
 
 
-def dwell(sales: DataFrame, sale_type: str, low: str = "50 minutes", high: str = "4 hours") -> DataFrame:
+def dwell(sales: DataFrame, sale_type: str = DINE_IN_SALE_TYPE, low: str = DWELL_MIN, high: str = DWELL_MAX) -> DataFrame:
     """Sales of one type whose stay (closed - created) lies in [low, high); open sales
     (null close) have a null stay and drop out."""
     stay = F.col("closed_at") - F.col("created_at")

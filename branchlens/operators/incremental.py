@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from branchlens.fixed_values import LOOKBACK_ROWS
 from branchlens.functions.semantics import numeric_id
 
-LOOKBACK_ROWS = 20
 MARKS_BROADCAST_MAX_ROWS = 100_000
 
 

@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 from branchlens.functions.semantics import (growth_pct, month_of, previous_calendar_month,
                                             safe_ratio, sum_or_zero, to_double)
+from branchlens.fixed_values import TRAILING_DAYS
 from branchlens.operators.marts import ALL_BRANCHES
 
-TRAILING_DAYS = 30
-
 
 def cut_at(df: DataFrame, as_of: dt.date, day: str = "day") -> DataFrame:
     """Input as it stood at the end of ``as_of`` (rows without a day are kept)."""

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from branchlens.fixed_values import CURRENCY_PREFIX, DAY_FIRST_DATE_PATTERN
 from branchlens.functions import semantics as S
 from branchlens.operators import bookings as B
 from branchlens.operators import conform as C
@@ -250,10 +251,10 @@ def timestamps_normalised(x: Inputs):
 def scalar_suite(x: Inputs):
     ob = fx.orders_branch(x.spark, x.sf_dir)
     k = F.col("o_orderkey")
-    date_text = F.when(k % 97 == 0, F.lit("n/a")).otherwise(F.date_format("o_orderdate", "d/M/yyyy"))
+    date_text = F.when(k % 97 == 0, F.lit("n/a")).otherwise(F.date_format("o_orderdate", DAY_FIRST_DATE_PATTERN))
     id_text = F.when(k % 11 == 0, F.concat(k.cast("string"), F.lit("a"))).otherwise(k.cast("string"))
     total_text = F.when(k % 89 == 0, F.lit("-")).otherwise(
-        F.concat(F.lit("AR$ "), F.replace(F.format_number(F.col("o_totalprice"), 2), F.lit(","), F.lit("|")))
+        F.concat(F.lit(CURRENCY_PREFIX + " "), F.replace(F.format_number(F.col("o_totalprice"), 2), F.lit(","), F.lit("|")))
     )
     total_text = F.replace(F.replace(total_text, F.lit("."), F.lit(",")), F.lit("|"), F.lit("."))
     iso = S.iso_date_text(S.parse_day_first_date(date_text))

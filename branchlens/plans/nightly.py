@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from branchlens.fixed_values import DINE_IN_SALE_TYPE, DWELL_MAX, DWELL_MIN
 from branchlens.operators import bookings as B
 from branchlens.operators import conform as C
 from branchlens.operators import kpis as K
@@ -25,8 +26,8 @@ from branchlens.sources import sinks
 
 
 def run_sales_job(spark: SparkSession, sales: DataFrame, lines: DataFrame, payments: DataFrame,
-                  catalog: DataFrame, out: str, as_of: dt.date, dine_in: str = "EAT-IN",
-                  dwell_bounds: tuple[str, str] = ("50 minutes", "4 hours")) -> dict:
+                  catalog: DataFrame, out: str, as_of: dt.date, dine_in: str = DINE_IN_SALE_TYPE,
+                  dwell_bounds: tuple[str, str] = (DWELL_MIN, DWELL_MAX)) -> dict:
     out = out.rstrip("/")
     enriched = C.enrich_lines(lines, sales, catalog).persist(StorageLevel.MEMORY_AND_DISK)
     pay = C.live_payments(payments).persist(StorageLevel.MEMORY_AND_DISK)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from branchlens.fixed_values import RAW_COLUMN_NAMES, SHEET_COLUMN_NAMES  # noqa: F401  (re-exported)
+
 MONEY = T.DecimalType(18, 2)
 
 SALE = T.StructType([
@@ -36,24 +38,3 @@ BOOKING_RAW = T.StructType([T.StructField(c, T.StringType()) for c in (
 KNOWN_PAIR = T.StructType([T.StructField("product", T.StringType()), T.StructField("category", T.StringType())])
 
 ENTITIES = {"sales": SALE, "lines": LINE, "payments": PAYMENT, "products": PRODUCT}
-
-# Column names of the raw files and of the exported bookings sheet, as
-# written by the point-of-sale export (left) and their entity names (right).
-RAW_COLUMN_NAMES = {
-    "saleType": "sale_type",
-    "createdAt": "created_at",
-    "closedAt": "closed_at",
-    "paymentMethod": "method",
-    "Sucursal": "branch",
-}
-SHEET_COLUMN_NAMES = {
-    "Fecha Evento": "event_date",
-    "Cliente ": "client",
-    "Sucursal": "branch",
-    "Tipo de menu": "menu",
-    "PAX": "guests",
-    "Horario": "slot",
-    "valor persona (IVA NO INCLUIDO)": "price_per_guest",
-    "Total": "total",
-    "Estado": "status",
-}

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from branchlens.fixed_values import API_PAGE_SIZE
 from branchlens.functions.semantics import MONEY, numeric_id, strip_zone
 
-PAGE_IDS = 500  # ids per landed page (the source API's page size)
+PAGE_IDS = API_PAGE_SIZE  # ids per landed page
 
 _ID = T.StructType([T.StructField("id", T.StringType())])
 _REF = T.StructType([T.StructField("data", _ID)])

@@ -13,11 +13,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from branchlens.fixed_values import CURRENCY_PREFIX, DAY_FIRST_DATE_PATTERN, WON_STATUS
 from branchlens.functions.semantics import MONEY, truncate_name
 
 # Fixed values of the fixture definition (FIXTURES.md part B).
 DINE_IN_TYPE = "1-URGENT"
-WON_STATUS = "Ganado"
 LOST_STATUS = "Perdido"
 CANCELLED_FLAG = "R"          # l_returnflag meaning canceled = true
 NOT_CANCELLED_FLAG = "A"      # l_returnflag meaning canceled = false (N -> null)
@@ -156,7 +156,7 @@ def fx_known_pairs(spark, sf_dir) -> DataFrame:
 
 
 def _comma_money(c: Column) -> Column:
-    return F.concat(F.lit("AR$ "), F.replace(c.cast(MONEY).cast("string"), F.lit("."), F.lit(",")))
+    return F.concat(F.lit(CURRENCY_PREFIX + " "), F.replace(c.cast(MONEY).cast("string"), F.lit("."), F.lit(",")))
 
 
 def fx_bookings(spark, sf_dir) -> DataFrame:
@@ -164,7 +164,7 @@ def fx_bookings(spark, sf_dir) -> DataFrame:
     ob = orders_branch(spark, sf_dir)
     k = F.col("o_orderkey")
     return ob.select(
-        F.when(k % 97 == 0, F.lit("n/a")).otherwise(F.date_format("o_orderdate", "d/M/yyyy")).alias("event_date"),
+        F.when(k % 97 == 0, F.lit("n/a")).otherwise(F.date_format("o_orderdate", DAY_FIRST_DATE_PATTERN)).alias("event_date"),
         F.upper("c_name").alias("client"),
         F.col("branch"),
         F.col("o_orderpriority").alias("menu"),
