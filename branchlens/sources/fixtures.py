@@ -1,9 +1,10 @@
 """Bindings of the read-only test tables to the sales entities (FIXTURES.md part B).
 
 Each function returns a lazily defined DataFrame; nothing is collected. The branch of a
-sale is the region of its customer's nation. The dimension joins (nation, region) are
-left to Catalyst's size-based planning: their parquet files are a few KB, so the static
-planner broadcasts them, while orders/customer/lineitem are joined by shuffle when large.
+sale is the region of its customer's nation: the nation -> region dimension is turned into
+one small map (a scalar subquery), customers look their branch up in it, and the
+orders / customer / lineitem joins are planned from their scan sizes (broadcast while
+small, shuffled when large).
 """
 
 from __future__ import annotations
@@ -46,11 +47,18 @@ def nation_branch(spark, sf_dir) -> DataFrame:
         .select("n_nationkey", "branch")
 
 
+def branch_of_nation(spark, sf_dir) -> Column:
+    """nation key -> branch map as a scalar subquery (one map of the nation dimension,
+    25 entries in this schema), so resolving a customer's branch is a projection, not
+    a join, and the customer scan keeps its own size for join planning."""
+    nb = nation_branch(spark, sf_dir)
+    return nb.agg(F.map_from_entries(F.collect_list(F.struct("n_nationkey", "branch")))).scalar()
+
+
 def customer_branch(spark, sf_dir) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name", "c_acctbal")
-    nb = nation_branch(spark, sf_dir)
-    return cust.join(nb, cust.c_nationkey == nb.n_nationkey, "left") \
-        .select("c_custkey", "c_name", "c_acctbal", "branch")
+    return cust.select("c_custkey", "c_name", "c_acctbal",
+                       F.try_element_at(branch_of_nation(spark, sf_dir), F.col("c_nationkey")).alias("branch"))
 
 
 def orders_branch(spark, sf_dir) -> DataFrame:
