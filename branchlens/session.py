@@ -72,7 +72,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="branchlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001  (a core conf some sessions refuse at run time)
+            pass
     spark.sparkContext.setCheckpointDir(d)
     return d
 
