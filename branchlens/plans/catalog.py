@@ -399,11 +399,13 @@ def _sales_pages(x):
 
 
 def json_sales_flat(x: Inputs):
-    return doubles(D.flatten_sales(_sales_pages(x)).select(*SALE_COLS))
+    pages = D.parse_pages(D.build_sale_docs(x.sales), D.SALES_PAGE)
+    return doubles(D.flatten_sales(pages).select(*SALE_COLS))
 
 
 def json_items_flat(x: Inputs):
-    return doubles(D.flatten_items(_sales_pages(x)).select(*LINE_COLS))
+    pages = D.parse_pages(D.build_item_docs(x.lines), D.SALES_PAGE)
+    return doubles(D.flatten_items(pages).select(*LINE_COLS))
 
 
 def json_payments_flat(x: Inputs):

@@ -160,16 +160,8 @@ def _to_docs(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.select("branch", F.to_json(F.struct(*fields)).alias("doc"))
 
 
-def build_sales_pages(sales: DataFrame, lines: DataFrame, page_ids: int = PAGE_IDS,
-                      items_per_page: int = PAGE_IDS) -> DataFrame:
-    """(branch, doc): sales pages (``data``, by sale-id range) and line-item pages
-    (``included``; each item names its sale).
-
-    Item pages are split further so that none holds more than about ``items_per_page``
-    items even when one sale has a huge number of lines: the items of a sale-id range
-    are counted (a partial aggregate), and each item is spread over
-    ceil(count / items_per_page) sub-pages by a hash of its row id.
-    """
+def build_sale_docs(sales: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:
+    """(branch, doc): sales pages (``data``), one per sale-id range of ``page_ids`` ids."""
     s = sales.select("branch", _page_of("sale_id", page_ids).alias("page_no"), F.struct(
         F.col("sale_id").alias("id"),
         F.struct(F.col("total").cast("double").alias("total"), F.lit(None).cast("int").alias("people"),
@@ -178,6 +170,20 @@ def build_sales_pages(sales: DataFrame, lines: DataFrame, page_ids: int = PAGE_I
         F.struct(F.struct(F.when(F.col("customer_id").isNotNull(),
                                  F.struct(F.col("customer_id").alias("id"))).alias("data")).alias("customer"))
         .alias("relationships")).alias("rec"))
+    empty_items = F.array().cast(SALES_PAGE["included"].dataType)
+    sp = s.groupBy("branch", "page_no").agg(F.collect_list("rec").alias("data")) \
+        .select("branch", "data", empty_items.alias("included"))
+    return _to_docs(sp, ["data", "included"])
+
+
+def build_item_docs(lines: DataFrame, page_ids: int = PAGE_IDS, items_per_page: int = PAGE_IDS) -> DataFrame:
+    """(branch, doc): line-item pages (``included``; each item names its sale).
+
+    Items are grouped by the sale-id range of their sale and split further so that no
+    page holds more than about ``items_per_page`` items even when one sale has a huge
+    number of lines: the items of a range are counted (a partial aggregate), and each
+    item is spread over ceil(count / items_per_page) sub-pages by a hash of its row id.
+    """
     i = lines.select("branch", _page_of("sale_id", page_ids).alias("page_no"),
                      F.xxhash64(F.monotonically_increasing_id()).alias("h"), F.struct(
         F.struct(F.col("price").cast("double").alias("price"), F.col("quantity").cast("double").alias("quantity"),
@@ -188,13 +194,16 @@ def build_sales_pages(sales: DataFrame, lines: DataFrame, page_ids: int = PAGE_I
     per_page = i.groupBy("branch", "page_no").agg(F.count(F.lit(1)).alias("n"))
     i = i.join(per_page, ["branch", "page_no"])
     sub = F.pmod(F.col("h"), F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(items_per_page))))
-    empty_items = F.array().cast(SALES_PAGE["included"].dataType)
     empty_sales = F.array().cast(SALES_PAGE["data"].dataType)
-    sp = s.groupBy("branch", "page_no").agg(F.collect_list("rec").alias("data")) \
-        .select("branch", "data", empty_items.alias("included"))
     ip = i.groupBy("branch", "page_no", sub.alias("sub")).agg(F.collect_list("rec").alias("included")) \
         .select("branch", empty_sales.alias("data"), "included")
-    return _to_docs(sp.unionByName(ip), ["data", "included"])
+    return _to_docs(ip, ["data", "included"])
+
+
+def build_sales_pages(sales: DataFrame, lines: DataFrame, page_ids: int = PAGE_IDS,
+                      items_per_page: int = PAGE_IDS) -> DataFrame:
+    """The landed sales feed: sale pages and their line-item pages."""
+    return build_sale_docs(sales, page_ids).unionByName(build_item_docs(lines, page_ids, items_per_page))
 
 
 def build_payment_pages(payments: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:

@@ -131,8 +131,11 @@ def upsert_partitions(spark: SparkSession, batch: DataFrame, target: str, keys:
     """
     from branchlens.operators.incremental import keep_last
     parts = [r[0] for r in batch.select(part_col).distinct().collect()]
+    touched = F.col(part_col).isin([p for p in parts if p is not None])
+    if any(p is None for p in parts):  # the null partition is replaced too: read it
+        touched = touched | F.col(part_col).isNull()
     try:
-        existing = spark.read.parquet(target).filter(F.col(part_col).isin(parts))
+        existing = spark.read.parquet(target).filter(touched)
         merged = existing.unionByName(batch, allowMissingColumns=True)
     except AnalysisException:  # first load
         merged = batch
