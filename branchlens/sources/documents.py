@@ -3,8 +3,9 @@
 Production reads landed page files with ``spark.read.schema(...).json(path)`` (one page
 per line, branch taken from the folder) and flattens them with ``explode``; the same
 flatten functions accept a (branch, doc) frame of JSON text parsed with ``from_json``.
-Every page holds a bounded number of records (ids are grouped into fixed-width ranges),
-so building or parsing a page never gathers an unbounded group in one task.
+Every page holds a bounded number of records: ids are grouped into fixed-width ranges,
+and a range with more records than a page (e.g. many copies of one id) is split into
+sub-pages, so building or parsing a page never gathers an unbounded group in one task.
 """
 
 from __future__ import annotations
@@ -160,6 +161,21 @@ def _to_docs(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.select("branch", F.to_json(F.struct(*fields)).alias("doc"))
 
 
+def _bounded_pages(recs: DataFrame, keys: list[str], out: str, per_page: int) -> DataFrame:
+    """Group (keys..., rec) rows into arrays of at most about ``per_page`` records.
+
+    The rows of each key group are counted first (a partial aggregate); a group larger
+    than ``per_page`` (e.g. many re-delivered copies of one id) is spread over
+    ceil(count / per_page) sub-pages by a hash of the row id, so no array, and no task
+    building one, grows with the data.
+    """
+    r = recs.withColumn("_h", F.xxhash64(F.monotonically_increasing_id()))
+    sizes = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    r = r.join(sizes, keys)
+    sub = F.pmod(F.col("_h"), F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(per_page))))
+    return r.groupBy(*keys, sub.alias("_sub")).agg(F.collect_list("rec").alias(out))
+
+
 def build_sale_docs(sales: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:
     """(branch, doc): sales pages (``data``), one per sale-id range of ``page_ids`` ids."""
     s = sales.select("branch", _page_of("sale_id", page_ids).alias("page_no"), F.struct(
@@ -171,31 +187,22 @@ def build_sale_docs(sales: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:
                                  F.struct(F.col("customer_id").alias("id"))).alias("data")).alias("customer"))
         .alias("relationships")).alias("rec"))
     empty_items = F.array().cast(SALES_PAGE["included"].dataType)
-    sp = s.groupBy("branch", "page_no").agg(F.collect_list("rec").alias("data")) \
+    sp = _bounded_pages(s, ["branch", "page_no"], "data", page_ids) \
         .select("branch", "data", empty_items.alias("included"))
     return _to_docs(sp, ["data", "included"])
 
 
 def build_item_docs(lines: DataFrame, page_ids: int = PAGE_IDS, items_per_page: int = PAGE_IDS) -> DataFrame:
-    """(branch, doc): line-item pages (``included``; each item names its sale).
-
-    Items are grouped by the sale-id range of their sale and split further so that no
-    page holds more than about ``items_per_page`` items even when one sale has a huge
-    number of lines: the items of a range are counted (a partial aggregate), and each
-    item is spread over ceil(count / items_per_page) sub-pages by a hash of its row id.
-    """
-    i = lines.select("branch", _page_of("sale_id", page_ids).alias("page_no"),
-                     F.xxhash64(F.monotonically_increasing_id()).alias("h"), F.struct(
+    """(branch, doc): line-item pages (``included``; each item names its sale), grouped by
+    the sale-id range of their sale and split so no page exceeds ~``items_per_page``."""
+    i = lines.select("branch", _page_of("sale_id", page_ids).alias("page_no"), F.struct(
         F.struct(F.col("price").cast("double").alias("price"), F.col("quantity").cast("double").alias("quantity"),
                  F.col("canceled").alias("canceled")).alias("attributes"),
         F.struct(F.struct(F.struct(F.col("sale_id").alias("id")).alias("data")).alias("sale"),
                  F.struct(F.struct(F.col("product_id").alias("id")).alias("data")).alias("product"))
         .alias("relationships")).alias("rec"))
-    per_page = i.groupBy("branch", "page_no").agg(F.count(F.lit(1)).alias("n"))
-    i = i.join(per_page, ["branch", "page_no"])
-    sub = F.pmod(F.col("h"), F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(items_per_page))))
     empty_sales = F.array().cast(SALES_PAGE["data"].dataType)
-    ip = i.groupBy("branch", "page_no", sub.alias("sub")).agg(F.collect_list("rec").alias("included")) \
+    ip = _bounded_pages(i, ["branch", "page_no"], "included", items_per_page) \
         .select("branch", empty_sales.alias("data"), "included")
     return _to_docs(ip, ["data", "included"])
 
@@ -213,16 +220,16 @@ def build_payment_pages(payments: DataFrame, page_ids: int = PAGE_IDS) -> DataFr
                  F.col("canceled").alias("canceled")).alias("attributes"),
         F.struct(F.struct(F.struct(F.col("method").alias("id")).alias("data")).alias("paymentMethod"))
         .alias("relationships")).alias("rec"))
-    return _to_docs(p.groupBy("branch", "page_no").agg(F.collect_list("rec").alias("data")), ["data"])
+    return _to_docs(_bounded_pages(p, ["branch", "page_no"], "data", page_ids), ["data"])
 
 
 def build_category_pages(catalog: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:
-    """One category entry per (branch, category, id range): a category with many products
-    is split over several entries, each listing at most ``page_ids`` product ids."""
+    """One category entry per (branch, category, id range, sub-page): a category with many
+    products is split over several entries, each listing at most ~``page_ids`` ids."""
     c = catalog.filter(F.col("product_category").isNotNull()).select(
         "branch", "product_category", _page_of("product_id", page_ids).alias("page_no"),
-        F.struct(F.col("product_id").alias("id")).alias("ref"))
-    entries = c.groupBy("branch", "product_category", "page_no").agg(F.collect_list("ref").alias("refs"))
+        F.struct(F.col("product_id").alias("id")).alias("rec"))
+    entries = _bounded_pages(c, ["branch", "product_category", "page_no"], "refs", page_ids)
     rec = F.struct(F.col("product_category").alias("id"),
                    F.struct(F.col("product_category").alias("name")).alias("attributes"),
                    F.struct(F.struct(F.col("refs").alias("data")).alias("products")).alias("relationships"))
@@ -232,4 +239,4 @@ def build_category_pages(catalog: DataFrame, page_ids: int = PAGE_IDS) -> DataFr
 def build_product_pages(catalog: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:
     p = catalog.select("branch", _page_of("product_id", page_ids).alias("page_no"), F.struct(
         F.col("product_id").alias("id"), F.struct(F.col("product_name").alias("name")).alias("attributes")).alias("rec"))
-    return _to_docs(p.groupBy("branch", "page_no").agg(F.collect_list("rec").alias("data")), ["data"])
+    return _to_docs(_bounded_pages(p, ["branch", "page_no"], "data", page_ids), ["data"])

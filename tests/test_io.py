@@ -5,6 +5,8 @@ import tempfile
 from decimal import Decimal
 
 
+from pyspark.sql import functions as F
+
 from branchlens.operators import incremental as I
 from branchlens.schemas import PAYMENT, SALE
 from branchlens.sources import documents as D
@@ -114,3 +116,16 @@ def test_stream_upsert_equals_batch(spark, sf_dir):
     cols = [f.name for f in PAYMENT.fields]
     assert streamed.select(*cols).exceptAll(batch.select(*cols)).count() == 0
     assert streamed.count() == batch.count()
+
+
+def test_pages_stay_bounded_with_hot_id(spark):
+    import datetime as dt
+    # one payment id re-delivered 3000 times next to 1000 ordinary ids
+    rows = [("7", Decimal("1.00"), dt.datetime(2024, 1, 1), "m", False, "A")] * 3000 + \
+           [(str(i), Decimal("1.00"), dt.datetime(2024, 1, 1), "m", False, "A") for i in range(1000, 2000)]
+    pays = spark.createDataFrame(rows, PAYMENT)
+    pages = D.parse_pages(D.build_payment_pages(pays, page_ids=500), D.PAYMENTS_PAGE)
+    sizes = [r[0] for r in pages.select(F.size("page.data")).collect()]
+    assert sum(sizes) == 4000
+    assert max(sizes) <= 2 * 500 and len(sizes) >= 8
+    assert D.flatten_payments(pages).count() == 4000
