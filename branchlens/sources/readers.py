@@ -3,6 +3,8 @@ marts and processed facts. All scans declare their schema (no inference pass).""
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,8 @@ from pyspark.errors import AnalysisException
 from branchlens.functions.semantics import strip_zone
 from branchlens.schemas import BOOKING_RAW, RAW_COLUMN_NAMES, SHEET_COLUMN_NAMES
 
+log = logging.getLogger("branchlens")
+
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
@@ -70,11 +74,14 @@ def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     return conform(raw, BOOKING_RAW, SHEET_COLUMN_NAMES)
 
 
-def read_mart(spark: SparkSession, location: str) -> DataFrame:
-    """A published mart (S11): a catalog table name or a parquet folder."""
-    if "/" in location or ":" in location:
-        return spark.read.parquet(location)
-    return spark.read.table(location)
+def read_mart(spark: SparkSession, location: str, warn_if_empty: bool = False) -> DataFrame:
+    """A published mart (S11): a catalog table name or a parquet folder. With
+    ``warn_if_empty`` an empty mart is logged (``isEmpty`` reads at most one row).
+    Transient read failures are retried by Spark's task retries."""
+    df = spark.read.parquet(location) if ("/" in location or ":" in location) else spark.read.table(location)
+    if warn_if_empty and df.isEmpty():
+        log.warning("mart %s is empty", location)
+    return df
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:

@@ -129,3 +129,11 @@ def test_pages_stay_bounded_with_hot_id(spark):
     assert sum(sizes) == 4000
     assert max(sizes) <= 2 * 500 and len(sizes) >= 8
     assert D.flatten_payments(pages).count() == 4000
+
+
+def test_read_mart_warns_when_empty(spark, caplog):
+    d = tmp() + "/mart"
+    spark.createDataFrame([], "branch string, revenue double").write.parquet(d)
+    with caplog.at_level("WARNING", logger="branchlens"):
+        assert readers.read_mart(spark, d, warn_if_empty=True).count() == 0
+    assert "is empty" in caplog.text
