@@ -53,3 +53,20 @@ def test_published_types_are_engine_neutral(spark, sf_dir, con, name):
                    for f in df.schema.fields)
     odf = con.sql(ORACLE[name]).df()
     assert {str(t) for t in odf.dtypes} <= TEXT_SAFE
+
+
+@pytest.mark.parametrize("name", ["lines_enriched", "daily_reconciliation", "incremental_selection",
+                                  "catalog_left", "new_product_categories", "upsert_lines"])
+def test_shuffle_join_plans_give_the_same_rows(spark, sf_dir, con, name):
+    """With every size-based broadcast disabled, joins run as the sort-merge joins of a
+    large cluster (null-safe keys included); the rows must not change."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        sdf = QUERIES[name](spark, sf_dir).toPandas()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert compare(sdf, con.sql(ORACLE[name]).df()) is None
