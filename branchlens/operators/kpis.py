@@ -45,11 +45,21 @@ def kpi_sums(payments: DataFrame, as_of: dt.date) -> DataFrame:
         .drop("g")
 
 
-def branch_kpis(payments: DataFrame, as_of: dt.date) -> DataFrame:
+def branch_kpis(payments: DataFrame, as_of: dt.date, branches: DataFrame | None = None) -> DataFrame:
     """branch ('ALL' for everything, null branches included), month_to_date,
     avg_per_month (total / distinct months), today, avg_per_day_30 (the window from
-    as_of - 30 inclusive spans 31 days but divides by 30), previous_month."""
+    as_of - 30 inclusive spans 31 days but divides by 30), previous_month.
+
+    ``branches`` (one ``branch`` column) lists branches that get a row even without any
+    payment (sums 0, average per month null); it is joined to the KPI rows, which hold
+    one row per branch."""
     s = kpi_sums(payments, as_of)
+    if branches is not None:
+        zero = F.lit(0).cast("decimal(38,4)")
+        listed = branches.select("branch").distinct().filter(F.col("branch").isNotNull())
+        s = s.join(listed, "branch", "full_outer").select(
+            "branch", *[F.coalesce(c, zero).alias(c) for c in ("mtd", "prev", "today", "last30", "total")],
+            F.coalesce("months", F.lit(0).cast("bigint")).alias("months"))
     return s.select(
         "branch",
         to_double("mtd").alias("month_to_date"),

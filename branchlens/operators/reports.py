@@ -15,13 +15,13 @@ REPORTS = ("month", "today", "yesterday")
 
 def top_products(lines: DataFrame, as_of: dt.date) -> DataFrame:
     """report (month / today / yesterday), scope (branch or 'ALL'), product, qty, revenue,
-    rank (by qty desc, product asc).
+    in ranking order (report, scope, qty desc, product asc).
 
     One pass for all reports and scopes: each line is tagged with the periods it belongs
     to (a line of ``as_of`` is in 'month' and 'today'), then a grouping-sets aggregate
-    yields the per-branch and all-branches rows together. The ranking window runs over
-    the aggregate, partitioned by (report, scope): its groups are bounded by the
-    number of distinct products, not by the number of lines.
+    yields the per-branch and all-branches rows together. The ranking is a global sort
+    (range-partitioned, so every task holds a contiguous slice), not a window: a scope
+    can list as many products as the catalogue holds, and no task has to hold them all.
     """
     a = F.lit(as_of)
     first = F.least(F.trunc(a, "MM"), F.date_sub(a, 1))
@@ -38,18 +38,15 @@ def top_products(lines: DataFrame, as_of: dt.date) -> DataFrame:
     agg = agg.filter((F.col("g") == 1) | F.col("branch").isNotNull()).select(
         "report", F.when(F.col("g") == 1, F.lit(ALL_BRANCHES)).otherwise(F.col("branch")).alias("scope"),
         "product", to_double("qty").alias("qty"), to_double("revenue").alias("revenue"))
-    w = Window.partitionBy("report", "scope").orderBy(F.col("qty").desc(), F.col("product").asc())
-    return agg.withColumn("rank", F.row_number().over(w))
+    return agg.orderBy("report", "scope", F.col("qty").desc(), F.col("product").asc())
 
 
 def top_products_day(lines: DataFrame, branch: str, day: dt.date) -> DataFrame:
-    """product, qty, rank: quantity ranking of one branch on one day."""
+    """product, qty: quantity ranking of one branch on one day (qty desc, product asc)."""
     l = lines.filter((F.col("branch") == branch) & (F.col("day") == F.lit(day))
                      & F.col("product_name").isNotNull())
     agg = l.groupBy(F.col("product_name").alias("product")).agg(to_double(F.sum("quantity")).alias("qty"))
-    w = Window.orderBy(F.col("qty").desc(), F.col("product").asc())
-    # One branch-day has at most one row per product: the global window is bounded.
-    return agg.withColumn("rank", F.row_number().over(w))
+    return agg.orderBy(F.col("qty").desc(), F.col("product").asc())
 
 
 def _tagged_union(parts: list[tuple[DataFrame, str, str]], measures: list[str]) -> DataFrame:

@@ -193,8 +193,7 @@ agg{n} AS (
   WHERE branch IS NOT NULL GROUP BY report, branch, product
   UNION ALL
   SELECT report, 'ALL' AS scope, product, sum(quantity) AS q, sum(price) AS r FROM tagged{n} GROUP BY report, product)"""
-    body = f"""SELECT report, scope, product, CAST(q AS DOUBLE) AS qty, CAST(r AS DOUBLE) AS revenue,
-  CAST(row_number() OVER (PARTITION BY report, scope ORDER BY CAST(q AS DOUBLE) DESC, product ASC) AS INTEGER) AS rank
+    body = f"""SELECT report, scope, product, CAST(q AS DOUBLE) AS qty, CAST(r AS DOUBLE) AS revenue
 FROM agg{n}"""
     return ctes, body
 
@@ -212,10 +211,9 @@ def top_products_edges() -> str:
 
 
 def top_products_day() -> str:
-    body = f"""SELECT product, qty, CAST(row_number() OVER (ORDER BY qty DESC, product ASC) AS INTEGER) AS rank FROM (
-  SELECT product_name AS product, CAST(sum(quantity) AS DOUBLE) AS qty FROM lines_enriched
-  WHERE branch = '{Q.RANK_BRANCH}' AND day = {_d(Q.RANK_DAY)} AND product_name IS NOT NULL
-  GROUP BY product_name)"""
+    body = f"""SELECT product_name AS product, CAST(sum(quantity) AS DOUBLE) AS qty FROM lines_enriched
+WHERE branch = '{Q.RANK_BRANCH}' AND day = {_d(Q.RANK_DAY)} AND product_name IS NOT NULL
+GROUP BY product_name ORDER BY qty DESC, product ASC"""
     return sql(body)
 
 

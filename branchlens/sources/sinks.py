@@ -100,8 +100,11 @@ def append_new_pairs(spark: SparkSession, pairs: DataFrame, path: str) -> DataFr
 
 
 def publish_reports(reports: DataFrame, path: str) -> None:
-    """Ranking sheets (S17): one folder per (report, scope), rows in rank order."""
-    reports.repartition("report", "scope").sortWithinPartitions("report", "scope", "rank") \
+    """Ranking sheets (S17): one folder per (report, scope), rows in ranking order.
+
+    The rows are globally sorted (range partitioning), so each task writes a contiguous
+    slice of the ranking and part files of a folder follow each other in rank order."""
+    reports.orderBy("report", "scope", F.col("qty").desc(), F.col("product").asc()) \
         .write.mode("overwrite").partitionBy("report", "scope").parquet(path)
 
 

@@ -134,10 +134,21 @@ def test_top_products_periods(spark):
         [("A", as_of, "p", D("2.00"), D("4.00")), ("A", as_of - dt.timedelta(days=1), "q", D("5.00"), D("1.00")),
          (None, as_of, "p", D("1.00"), D("1.00"))],
         "branch string, day date, product_name string, quantity decimal(18,2), price decimal(18,2)")
-    got = {(r.report, r.scope, r.product): (r.qty, r.rank) for r in R.top_products(lines, as_of).collect()}
-    assert got == {("month", "A", "p"): (2.0, 1), ("today", "A", "p"): (2.0, 1), ("yesterday", "A", "q"): (5.0, 1),
-                   ("month", "ALL", "p"): (3.0, 1), ("today", "ALL", "p"): (3.0, 1),
-                   ("yesterday", "ALL", "q"): (5.0, 1)}
+    rows = R.top_products(lines, as_of).collect()
+    got = {(r.report, r.scope, r.product): r.qty for r in rows}
+    assert got == {("month", "A", "p"): 2.0, ("today", "A", "p"): 2.0, ("yesterday", "A", "q"): 5.0,
+                   ("month", "ALL", "p"): 3.0, ("today", "ALL", "p"): 3.0, ("yesterday", "ALL", "q"): 5.0}
+    assert [(r.report, r.scope) for r in rows] == sorted((r.report, r.scope) for r in rows)
+
+
+def test_ranking_order(spark):
+    as_of = dt.date(2025, 3, 1)
+    lines = spark.createDataFrame(
+        [("A", as_of, p, D(q), D("1.00")) for p, q in (("b", "2.00"), ("a", "2.00"), ("c", "9.00"), ("d", "1.00"))],
+        "branch string, day date, product_name string, quantity decimal(18,2), price decimal(18,2)")
+    rows = R.top_products(lines, as_of).filter("report = 'today' AND scope = 'A'").collect()
+    assert [r.product for r in rows] == ["c", "a", "b", "d"]
+    assert [r.product for r in R.top_products_day(lines, "A", as_of).collect()] == ["c", "a", "b", "d"]
 
 
 def test_booking_metrics_attach_branch_months(spark):
@@ -150,3 +161,10 @@ def test_booking_metrics_attach_branch_months(spark):
     assert (a.events_prev, a.events_cur, a.events_next, a.income_cur) == (1, 2, 0, 200.0)
     b = [r for r in out if r.branch == "B"][0]
     assert (b.events_prev, b.events_cur) == (0, 3)
+
+
+def test_listed_branch_without_payments_gets_zero_row(spark):
+    p = payments(spark, [("10.00", T0, "A")])
+    listed = spark.createDataFrame([("A",), ("B",)], "branch string")
+    got = {r.branch: (r.today, r.avg_per_month) for r in K.branch_kpis(p, T0.date(), listed).collect()}
+    assert got == {"A": (10.0, 10.0), "B": (0.0, None), "ALL": (10.0, 10.0)}
