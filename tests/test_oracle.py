@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
 import __spark_entry__ as E  # noqa: E402
-from oracle_check import TABLES, compare  # noqa: E402
+from oracle_check import TABLES, compare, strict_equal  # noqa: E402
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -31,6 +31,7 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
     sdf = QUERIES[name](spark, sf_dir).toPandas()
     odf = con.sql(ORACLE[name]).df()
     assert compare(sdf, odf) is None
+    assert strict_equal(sdf, odf)  # same pandas dtypes and str() of every value, no normalisation
 
 
 def test_entry_smoke(spark):
