@@ -137,3 +137,24 @@ def test_read_mart_warns_when_empty(spark, caplog):
     with caplog.at_level("WARNING", logger="branchlens"):
         assert readers.read_mart(spark, d, warn_if_empty=True).count() == 0
     assert "is empty" in caplog.text
+
+
+def test_raw_lines_and_payments_csv(spark):
+    from branchlens.schemas import LINE
+    d = tmp()
+    os.makedirs(f"{d}/items"); os.makedirs(f"{d}/pagos")
+    with open(f"{d}/items/items.csv", "w") as f:
+        f.write("sale_id,product_id,price,quantity,canceled,Sucursal\n")
+        f.write("10,7,1500.5,2.0,False,A\n10,8,99,1,True,A\n11,7,10,1,,B\n")
+    with open(f"{d}/pagos/pagos.csv", "w") as f:
+        f.write("payment_id,amount,createdAt,paymentMethod,canceled\n")
+        f.write("5,100.25,2025-01-03T23:30:00.000-03:00,12,False\n6,x,2025-01-04T00:10:00-03:00,3,True\n")
+    lines = readers.read_raw_csv(spark, f"{d}/items", LINE)
+    assert lines.schema == LINE
+    got = sorted((r.sale_id, r.product_id, str(r.price), r.canceled, r.branch) for r in lines.collect())
+    assert got == [("10", "7", "1500.50", False, "A"), ("10", "8", "99.00", True, "A"), ("11", "7", "10.00", None, "B")]
+    pays = readers.read_raw_csv(spark, f"{d}/pagos", PAYMENT).orderBy("payment_id").collect()
+    assert pays[0].amount == Decimal("100.25") and pays[0].method == "12" and pays[0].branch is None
+    assert pays[0].created_at == dt.datetime(2025, 1, 3, 23, 30) and pays[1].amount is None
+    from branchlens.operators.conform import live_payments
+    assert [r.payment_id for r in live_payments(readers.read_raw_csv(spark, f"{d}/pagos", PAYMENT)).collect()] == ["5"]
