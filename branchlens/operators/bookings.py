@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from branchlens.fixed_values import BOOKING_MONTH_SHIFT_DAYS, WON_STATUS
 from branchlens.functions.semantics import (coerce_int, drop_null_keys, iso_date_text,
@@ -17,6 +18,13 @@ WON = WON_STATUS
 MONTH_SHIFT_DAYS = BOOKING_MONTH_SHIFT_DAYS
 
 
+def _money(df: DataFrame, name: str):
+    """Currency text is parsed; a column that already arrives numeric passes unchanged."""
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        return F.col(name).cast("double")
+    return parse_currency(name)
+
+
 def clean_bookings(raw: DataFrame, won: str = WON) -> DataFrame:
     """event_date (yyyy-MM-dd text, null if unparsable), client (title case), branch, menu,
     guests (int, 0 if unparsable), slot, price_per_guest, total (double), month (yyyy-MM)."""
@@ -28,8 +36,8 @@ def clean_bookings(raw: DataFrame, won: str = WON) -> DataFrame:
         "branch", "menu",
         coerce_int("guests").alias("guests"),
         "slot",
-        parse_currency("price_per_guest").alias("price_per_guest"),
-        parse_currency("total").alias("total"),
+        _money(won_rows, "price_per_guest").alias("price_per_guest"),
+        _money(won_rows, "total").alias("total"),
         F.substring(iso, 1, 7).alias("month"),
     )
 

@@ -168,3 +168,11 @@ def test_listed_branch_without_payments_gets_zero_row(spark):
     listed = spark.createDataFrame([("A",), ("B",)], "branch string")
     got = {r.branch: (r.today, r.avg_per_month) for r in K.branch_kpis(p, T0.date(), listed).collect()}
     assert got == {"A": (10.0, 10.0), "B": (0.0, None), "ALL": (10.0, 10.0)}
+
+
+def test_numeric_money_columns_pass_unchanged(spark):
+    raw = spark.createDataFrame([("3/1/2025", "ana", "A", "m", "2", "s", 1234.5, 99.0, "Ganado")],
+                                "event_date string, client string, branch string, menu string, guests string, "
+                                "slot string, price_per_guest double, total double, status string")
+    r = B.clean_bookings(raw).first()
+    assert (r.price_per_guest, r.total, r.client) == (1234.5, 99.0, "Ana")
