@@ -120,8 +120,11 @@ def parse_currency(c) -> Column:
 
 
 def parse_day_first_date(c) -> Column:
-    """Day-first date text (``3/1/2025`` or ``03/01/2025``) -> date; invalid -> null."""
-    return F.try_to_date(col_(c), DAY_FIRST_DATE_PATTERN)
+    """Day-first date text (``3/1/2025``, ``03/01/2025``, or a space-padded day
+    ``' 3/1/2025'``) -> date; anything else (two-digit years, other separators, impossible
+    dates, trailing blanks) -> null."""
+    unpadded = F.regexp_replace(col_(c), r"^ ([1-9]/)", "$1")
+    return F.try_to_date(unpadded, DAY_FIRST_DATE_PATTERN)
 
 
 def iso_date_text(c) -> Column:

@@ -45,6 +45,9 @@ def test_currency(spark):
 def test_day_first_dates(spark):
     got = col(spark, ["3/1/2025", "03/01/2025", "31/02/2025", "x", None], "string", S.parse_day_first_date)
     assert got == [dt.date(2025, 1, 3), dt.date(2025, 1, 3), None, None, None]
+    edge = [" 3/1/2025", "3/1/2025 ", "  3/1/2025", "3/1/25", "3-1-2025", "29/2/2024", "29/2/2023", "3/ 1/2025"]
+    got = col(spark, edge, "string", S.parse_day_first_date)
+    assert got == [dt.date(2025, 1, 3), None, None, None, None, dt.date(2024, 2, 29), None, None]
 
 
 def test_guests(spark):
