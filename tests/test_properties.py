@@ -71,3 +71,20 @@ def test_coerce_int_truncates_or_zero(spark, values):
         except ValueError:
             return 0
     assert run(spark, values, "string", S.coerce_int) == [model(v) for v in values]
+
+
+KEYS = st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(KEYS, KEYS, st.integers(-5, 5)), min_size=1, max_size=120))
+def test_keep_last_matches_pandas_drop_duplicates(spark, rows):
+    import pandas as pd
+    from branchlens.operators.incremental import keep_last
+    data = [(k1, k2, v, i) for i, (k1, k2, v) in enumerate(rows)]  # i = file position
+    df = spark.createDataFrame(data, "k1 string, k2 string, v int, pos int")
+    order = lambda t: tuple((x is None, "" if x is None else str(x)) for x in t)
+    got = sorted((tuple(r) for r in keep_last(df, ["k1", "k2"], ["pos"]).collect()), key=order)
+    pdf = pd.DataFrame(data, columns=["k1", "k2", "v", "pos"]).drop_duplicates(subset=["k1", "k2"], keep="last")
+    want = sorted((tuple(None if pd.isna(x) else x for x in r) for r in pdf.itertuples(index=False)), key=order)
+    assert got == want
