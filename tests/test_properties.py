@@ -88,3 +88,19 @@ def test_keep_last_matches_pandas_drop_duplicates(spark, rows):
     pdf = pd.DataFrame(data, columns=["k1", "k2", "v", "pos"]).drop_duplicates(subset=["k1", "k2"], keep="last")
     want = sorted((tuple(None if pd.isna(x) else x for x in r) for r in pdf.itertuples(index=False)), key=order)
     assert got == want
+
+
+@SETTINGS
+@given(st.integers(min_value=0, max_value=60), st.randoms(use_true_random=False))
+def test_drop_tail_matches_pandas_tail_trim(spark, n, rnd):
+    import pandas as pd
+    from branchlens.operators.incremental import drop_tail
+    ids = list(range(1, n + 1))
+    rnd.shuffle(ids)  # storage order differs from file order; file order is the id
+    rows = [(str(i), "A" if i % 2 else None) for i in ids]
+    df = spark.createDataFrame(rows, "sale_id string, branch string")
+    got = sorted(int(r.sale_id) for r in drop_tail(df, [F.col("sale_id").cast("int")], ["sale_id", "branch"]).collect())
+    pdf = pd.DataFrame(sorted(rows, key=lambda r: int(r[0])), columns=["sale_id", "branch"])
+    if len(pdf) > 20:
+        pdf = pdf.iloc[:-20]
+    assert got == sorted(int(x) for x in pdf["sale_id"])
