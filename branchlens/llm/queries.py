@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality_fm
+from . import mixing, quality_fm
 from .tables import table
 
 
@@ -18,8 +18,16 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that the mix takes, by Pareto order sampling."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.apply_mix(docs, mixing.plan_mix(docs))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
+    "op9_mix": op9_mix,
 }
 
 #: SQL exists where DuckDB can express the operator and its limits.

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from branchlens.session import scratch_path
+
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "labels": "doc_id bigint, quality int, toxic int",
@@ -13,3 +15,10 @@ SCHEMAS = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a table into the shared scratch folder and read it back (cuts the lineage)."""
+    path = f"{scratch_path(df.sparkSession, name)}/data"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
