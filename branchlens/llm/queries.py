@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, quality_fm
+from . import mixing, packing, quality_fm
 from .tables import table
 
 
@@ -18,6 +18,17 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def tokeniser_path() -> str:
+    """The public vocabulary file, found on each machine that has the package."""
+    import public_tokenizers
+    return public_tokenizers.path(packing.TOKENISER)
+
+
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(packing.tokenise(table(spark, sf_dir, "documents"), tokeniser_path()))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes, by Pareto order sampling."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -27,6 +38,7 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op3_pack": op3_pack,
     "op9_mix": op9_mix,
 }
 
