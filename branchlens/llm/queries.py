@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, quality_fm
+from . import mixing, packing, quality_fm, topk_pivots
 from .tables import table
 
 
@@ -36,10 +36,16 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest integer inner products of every query row, by a pivot-distance index."""
+    return topk_pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_pack": op3_pack,
     "op9_mix": op9_mix,
+    "op10_topk": op10_topk,
 }
 
 #: SQL exists where DuckDB can express the operator and its limits.
