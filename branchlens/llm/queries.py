@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, quality_fm, topk_pivots
+from . import mixing, packing, quality_fm, rp_forest, topk_pivots
 from .tables import table
 
 
@@ -29,6 +29,11 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenise(table(spark, sf_dir, "documents"), tokeniser_path()))
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings with cosine >= 0.95, by a random-projection forest."""
+    return rp_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes, by Pareto order sampling."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -44,6 +49,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_pack": op3_pack,
+    "op6_vectors": op6_vectors,
     "op9_mix": op9_mix,
     "op10_topk": op10_topk,
 }
