@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, quality_fm, rp_forest, topk_pivots
+from . import line_winnow, mixing, packing, quality_fm, rp_forest, topk_pivots
 from .tables import table
 
 
@@ -34,6 +34,12 @@ def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines deleted from every document as later repeats of a run, by winnowing."""
+    kept = line_winnow.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes, by Pareto order sampling."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -50,9 +56,56 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op3_pack": op3_pack,
     "op6_vectors": op6_vectors,
+    "op7_lines": op7_lines,
     "op9_mix": op9_mix,
     "op10_topk": op10_topk,
 }
 
 #: SQL exists where DuckDB can express the operator and its limits.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_lines": """
+        WITH raw AS (
+            SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
+        trimmed AS (SELECT doc_id, pos, line, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t FROM raw),
+        numbered AS (
+            SELECT doc_id, pos, t, row_number() OVER w AS n, lead(t) OVER w AS t2, lead(pos) OVER w AS pos2
+            FROM trimmed WHERE t <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+        placed AS (
+            SELECT *, first_value(doc_id) OVER w AS first_doc, first_value(n) OVER w AS first_n
+            FROM numbered WHERE t2 IS NOT NULL WINDOW w AS (PARTITION BY t, t2 ORDER BY doc_id, n)),
+        repeated AS (SELECT * FROM placed WHERE first_doc < doc_id OR first_n + 2 <= n),
+        gone AS (SELECT doc_id, pos FROM repeated UNION SELECT doc_id, pos2 FROM repeated),
+        kept AS (
+            SELECT r.doc_id, count(*) FILTER (r.t <> '') AS n_lines, count(g.pos) AS n_removed,
+                   coalesce(string_agg(r.line, chr(10) ORDER BY r.pos) FILTER (g.pos IS NULL), '') AS text
+            FROM trimmed r LEFT JOIN gone g ON g.doc_id = r.doc_id AND g.pos = r.pos GROUP BY r.doc_id)
+        SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed,
+               sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM documents d LEFT JOIN kept k USING (doc_id)""",
+    "op10_topk": """
+        WITH scaled AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM scaled q JOIN scaled c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op6_vectors": """
+        WITH RECURSIVE good AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+        reach(vec_id, least) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION SELECT l.b, r.least FROM reach r JOIN links l ON l.a = r.vec_id),
+        parts AS (SELECT vec_id, min(least) AS component_id FROM reach GROUP BY vec_id),
+        degrees AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+        SELECT p.vec_id, coalesce(d.n_links, 0) AS n_links, p.component_id, p.vec_id = p.component_id AS kept
+        FROM parts p LEFT JOIN degrees d USING (vec_id)""",
+}
