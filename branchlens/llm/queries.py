@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import line_winnow, mixing, packing, quality_fm, rp_forest, topk_pivots
+from . import line_winnow, mixing, packing, pii_feistel, quality_fm, rp_forest, topk_pivots
 from .tables import table
 
 
@@ -18,15 +18,25 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def tokeniser_path() -> str:
-    """The public vocabulary file, found on each machine that has the package."""
+def tokeniser_paths() -> tuple[str, str]:
+    """The public vocabulary files, found on each machine that has the package."""
     import public_tokenizers
-    return public_tokenizers.path(packing.TOKENISER)
+    return public_tokenizers.path(packing.TOKENISER), public_tokenizers.path(packing.RANKS)
 
 
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
-    return packing.pack(packing.tokenise(table(spark, sf_dir, "documents"), tokeniser_path()))
+    return packing.pack(packing.tokenise(table(spark, sf_dir, "documents"), *tokeniser_paths()))
+
+
+#: Example key of the registered query; a production job passes its own secret.
+EXAMPLE_KEY = b"branchlens example key"
+
+
+def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with format-preserving pseudonyms in place of personal data."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii_feistel.pseudonymise(docs, EXAMPLE_KEY)
 
 
 def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +65,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_pack": op3_pack,
+    "op5_pseudonyms": op5_pseudonyms,
     "op6_vectors": op6_vectors,
     "op7_lines": op7_lines,
     "op9_mix": op9_mix,
