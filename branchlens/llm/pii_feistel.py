@@ -9,7 +9,7 @@ pseudonyms in every document, different values different ones, and ``reverse`` w
 key gives the text back. Lengths, separators, letter case and domains stay.
 
 Kinds: card (Luhn; the first digit stays, the check digit is made anew), phone (North
-American by rule, others with their country code kept), ssn, ipv4 (public addresses),
+American by rule or with +1, others with their country code kept), ssn, ipv4 (public addresses),
 iban (check digits made anew), date (1900-2099), email (local part), access_key, secret
 (values assigned to password, token and the like).
 
@@ -102,14 +102,15 @@ def _phone_us(v: str, p: Permutation, reverse: bool) -> str | None:
     d = _digits(v)
     ten = d[-10:]
 
-    def ok(x: int) -> bool:
+    def assignable(x: int) -> bool:
         s = f"{x:010d}"
         return s[0] >= "2" and s[3] >= "2"
 
     x = int("".join(map(str, ten)))
-    if not ok(x):
+    real = assignable(x)
+    if not real and not v.startswith("+"):  # only the country code tells that it is a phone number
         return None
-    x = p.walk(x, 10 ** 10, "phone1", ok, reverse)
+    x = p.walk(x, 10 ** 10, "phone1", lambda y: assignable(y) == real, reverse)
     return _refill(v, "1" * (len(d) - 10) + f"{x:010d}")
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from branchlens.llm import packing as K
-from branchlens.llm.queries import op3_pack, tokeniser_path
+from branchlens.llm.queries import op3_pack, tokeniser_paths
 from branchlens.llm.tables import table
 
 
@@ -23,19 +23,22 @@ def check(rows, capacity):
 
 def test_encoder_equals_tokeniser_on_whole_texts():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(tokeniser_path())
+    t = Tokenizer.from_file(tokeniser_paths()[0])
     texts = ["", None, " ", "\n\n", "a b", "a  b \n\n c\n", "tab\there x", "nb sp", "it's we'll 12 34x !!! a",
              "end <|endoftext|> in text", "été  ñandú\n \n", "x" * 3000, "a\r\nb", "a \x1c b", "​ zero", "日本 語 "]
-    got = K.Encoder(tokeniser_path()).batch(texts)
-    for text, blob in zip(texts, got):
+    encoder = K.Encoder(*tokeniser_paths())
+    for text in texts:
+        blob = encoder.encode(text)
         assert np.frombuffer(blob, "<u4").tolist() == t.encode(text or "", add_special_tokens=False).ids, repr(text)
 
 
 def test_encoder_cache_is_bounded(monkeypatch):
-    monkeypatch.setattr(K, "CACHE_WORDS", 5)
-    e = K.Encoder(tokeniser_path())
-    a = e.batch(["one two three four five six seven eight", "nine ten"])
-    assert a == K.Encoder(tokeniser_path()).batch(["one two three four five six seven eight", "nine ten"])
+    monkeypatch.setattr(K, "CACHE_UNITS", 5)
+    small, texts = K.Encoder(*tokeniser_paths()), ["one two three four five six seven", "nine ten", "a b c", "d e f"]
+    got = [small.encode(t) for t in texts]
+    assert len(small.cache) <= 5
+    monkeypatch.setattr(K, "CACHE_UNITS", 10 ** 6)
+    assert got == [K.Encoder(*tokeniser_paths()).encode(t) for t in texts]
 
 
 def optimum(lengths, capacity):
@@ -73,7 +76,7 @@ def test_bound_never_exceeds_optimum_and_bfd_is_valid():
 def test_op3_on_the_table(spark, sf_dir):
     from tokenizers import Tokenizer
     import zlib
-    t = Tokenizer.from_file(tokeniser_path())
+    t = Tokenizer.from_file(tokeniser_paths()[0])
     rows = op3_pack(spark, sf_dir).collect()
     n = check(rows, 2048)
     docs = {r.doc_id: r.text for r in table(spark, sf_dir, "documents").collect()}
@@ -106,7 +109,7 @@ def test_exchange_between_groups_saves_sequences(spark):
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, 1), (1, None, 1), (None, "", 2), (3, "a b c", 3)],
                                  "doc_id long, text string, length int")
-    out = K.pack(K.tokenise(docs, tokeniser_path())).collect()
+    out = K.pack(K.tokenise(docs, *tokeniser_paths())).collect()
     assert sorted((r.doc_id or 0, r.length) for r in out) == [(0, 1), (1, 1), (1, 1), (3, 4)]
     check(out, 2048)
-    assert K.pack(K.tokenise(docs.limit(0), tokeniser_path())).collect() == []
+    assert K.pack(K.tokenise(docs.limit(0), *tokeniser_paths())).collect() == []
