@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import line_winnow, mixing, packing, pii_feistel, quality_fm, rp_forest, topk_pivots
+from . import line_winnow, mixing, packing, pii_feistel, quality_fm, rp_forest, substring_anchors, topk_pivots
 from .tables import table
 
 
@@ -18,6 +18,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents without windows of 50 words that a smaller doc_id also has."""
+    kept = substring_anchors.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def tokeniser_paths() -> tuple[str, str]:
     """The public vocabulary files, found on each machine that has the package."""
     import public_tokenizers
@@ -64,6 +70,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_substrings": op2_substrings,
     "op3_pack": op3_pack,
     "op5_pseudonyms": op5_pseudonyms,
     "op6_vectors": op6_vectors,
@@ -74,6 +81,23 @@ QUERIES = {
 
 #: SQL exists where DuckDB can express the operator and its limits.
 ORACLE: dict[str, str] = {
+    "op2_substrings": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        windows AS (
+            SELECT doc_id, pos, array_to_string(list_slice(w, pos, pos + 49), ' ') AS run
+            FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS pos FROM split WHERE len(w) >= 50)),
+        judged AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY run) < doc_id AS repeated FROM windows),
+        covered AS (
+            SELECT DISTINCT doc_id, unnest(generate_series(pos, pos + 49)) AS at_word FROM judged WHERE repeated),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS at_word FROM split),
+        kept AS (
+            SELECT x.doc_id, count(*) AS n_words, count(c.at_word) AS n_removed,
+                   string_agg(x.word, ' ' ORDER BY x.at_word) FILTER (c.at_word IS NULL) AS text
+            FROM words x LEFT JOIN covered c ON c.doc_id = x.doc_id AND c.at_word = x.at_word GROUP BY x.doc_id)
+        SELECT d.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+               sha256(coalesce(k.text, '')) AS kept_sha256
+        FROM documents d LEFT JOIN kept k USING (doc_id)""",
     "op7_lines": """
         WITH raw AS (
             SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,

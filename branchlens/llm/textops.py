@@ -108,8 +108,15 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets)  # n_docs + 1 word offsets
         self.counts = np.diff(self.first)
         table = _FOLDED if fold_case else _EXACT
-        h = _BYTE_POWERS.span_hashes(table[data], self.starts, self.ends)
-        self.hashes = mix(h + (self.ends - self.starts).astype(np.uint64) * _U(_MULT))
+        self.hashes = np.empty(len(self.starts), dtype=np.uint64)
+        i = 0
+        while i < len(self.starts):  # by runs of words of about SLICE_BYTES, for bounded temporary arrays
+            low = self.starts[i]
+            j = max(i + 1, int(np.searchsorted(self.starts, low + SLICE_BYTES)))
+            s, e = self.starts[i:j], self.ends[i:j]
+            h = _BYTE_POWERS.span_hashes(table[data[low: e[-1]]], s - low, e - low)
+            self.hashes[i:j] = mix(h + (e - s).astype(np.uint64) * _U(_MULT))
+            i = j
 
     def docs(self) -> np.ndarray:
         """Document index of every word."""
@@ -148,3 +155,24 @@ def unpack(blob: bytes) -> np.ndarray:
     out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
     out[:, : planes.shape[0]] = planes.T
     return np.cumsum(out.reshape(-1).view("<u8"), dtype=np.uint64)
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Integers as byte planes of their distance to the smallest (exact round trip)."""
+    if not len(values):
+        return b""
+    least = int(values.min())
+    rest = (values.astype(np.int64).view(np.uint64) - np.int64(least).view(np.uint64))
+    width = max(1, (int(rest.max()).bit_length() + 7) // 8)
+    body = rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + np.int64(least).astype("<i8").tobytes() + body.tobytes()
+
+
+def unplanes(blob: bytes) -> np.ndarray:
+    if not blob:
+        return np.zeros(0, dtype=np.int64)
+    body = np.frombuffer(blob, dtype=np.uint8, offset=9).reshape(blob[0], -1)
+    out = np.zeros((body.shape[1], 8), dtype=np.uint8)
+    out[:, : body.shape[0]] = body.T
+    least = np.frombuffer(blob, dtype="<i8", count=1, offset=1).view(np.uint64)
+    return (out.reshape(-1).view("<u8") + least).view(np.int64)
