@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import line_winnow, mixing, packing, pii_feistel, quality_fm, rp_forest, substring_anchors, topk_pivots
+from . import line_winnow, lm_automaton, mixing, packing, pii_feistel, quality_fm, rp_forest, substring_anchors, topk_pivots
 from .tables import table
 
 
@@ -35,6 +35,11 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.tokenise(table(spark, sf_dir, "documents"), *tokeniser_paths()))
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under the n-gram automaton of the training documents."""
+    return lm_automaton.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: Example key of the registered query; a production job passes its own secret.
 EXAMPLE_KEY = b"branchlens example key"
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_substrings": op2_substrings,
     "op3_pack": op3_pack,
+    "op4_lm": op4_lm,
     "op5_pseudonyms": op5_pseudonyms,
     "op6_vectors": op6_vectors,
     "op7_lines": op7_lines,
