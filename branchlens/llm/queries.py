@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import line_winnow, lm_automaton, mixing, packing, pii_feistel, quality_fm, rp_forest, substring_anchors, topk_pivots
+from . import line_winnow, lm_automaton, mixing, packing, pii_feistel, prefix_tree_join, quality_fm, rp_forest, substring_anchors, topk_pivots
 from .tables import table
 
 
@@ -61,6 +61,11 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    return prefix_tree_join.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that the mix takes, by Pareto order sampling."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -81,6 +86,7 @@ QUERIES = {
     "op5_pseudonyms": op5_pseudonyms,
     "op6_vectors": op6_vectors,
     "op7_lines": op7_lines,
+    "op8_jaccard": op8_jaccard,
     "op9_mix": op9_mix,
     "op10_topk": op10_topk,
 }
@@ -124,6 +130,27 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed,
                sha256(coalesce(k.text, '')) AS kept_sha256
         FROM documents d LEFT JOIN kept k USING (doc_id)""",
+    "op8_jaccard": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(list_slice(w, pos, pos + 3), ' ') AS s
+            FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS pos
+                  FROM split WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
+        reach(doc_id, least) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT l.b, r.least FROM reach r JOIN links l ON l.a = r.doc_id),
+        parts AS (SELECT doc_id, min(least) AS component_id FROM reach GROUP BY doc_id)
+        SELECT p.doc_id, coalesce(s.n, 0) AS n_shingles, p.component_id
+        FROM parts p LEFT JOIN sizes s USING (doc_id)""",
     "op10_topk": """
         WITH scaled AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
