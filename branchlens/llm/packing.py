@@ -87,13 +87,15 @@ class Encoder:
         if _SPECIAL in text or _ODD.search(text):
             return self._whole(text)
         units, cache = _UNIT.findall(text), self.cache
-        for unit in units:
-            if unit not in cache:
-                if len(cache) >= CACHE_UNITS:
-                    cache.clear()
-                    return self.encode(text) if len(units) < CACHE_UNITS else b"".join(map(self._unit, units))
-                cache[unit] = self._unit(unit)
-        return b"".join([cache[unit] for unit in units])
+        missing = set(units).difference(cache)
+        if len(cache) + len(missing) > CACHE_UNITS:
+            cache.clear()
+            missing = set(units)
+            if len(missing) > CACHE_UNITS:
+                return b"".join(map(self._unit, units))
+        for unit in missing:
+            cache[unit] = self._unit(unit)
+        return b"".join(map(cache.__getitem__, units))
 
 
 @functools.cache
