@@ -8,9 +8,10 @@ again, so a lost executor costs a re-read of one stage's input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from branchlens.llm import quality_fm
+from branchlens.llm import line_winnow, mixing, packing, prefix_tree_join, quality_fm
+from branchlens.llm.queries import tokeniser_paths
 from branchlens.llm.tables import table
 from branchlens.session import scratch_path
 
@@ -18,17 +19,60 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier scores below 0.5 go."""
+    """Documents that the quality classifier scores below 0.5 go.
+
+    The classifier learns from the given tables ``documents`` and ``labels`` (without the
+    held-out fold), whatever the stage's own input holds.
+    """
     labels = table(spark, sf_dir, "labels").where(~quality_fm.is_held_out())
     model = quality_fm.train(table(spark, sf_dir, "documents"), labels)
     return quality_fm.score(docs.select(*COLUMNS), model).where("score >= 0.5").select(*COLUMNS)
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeats of runs of lines are deleted; a document that loses all its lines goes.
+
+    ``n_chars`` follows the text. Documents without any line (null, empty, blank) stay.
+    """
+    cut = line_winnow.drop_repeated_lines(docs.select(*COLUMNS)).where("n_lines = 0 OR n_removed < n_lines")
+    n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every component of similar documents the one with the smallest id stays.
+
+    Rows that repeat id and text are one document; rows with a null id, which cannot name a
+    group, stay.
+    """
+    groups = prefix_tree_join.similar_documents(docs.select("doc_id", "text"))
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.select(*COLUMNS).where("doc_id is not null").join(first.hint("merge"), "doc_id", "left_semi")
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.select(*COLUMNS).where("doc_id is null"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it (0, 1 or 2)."""
+    docs = docs.select(*COLUMNS)
+    mixed = mixing.apply_mix(docs, mixing.plan_mix(docs)).where("taken > 0")
+    copies = F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))
+    return mixed.select(*COLUMNS, F.explode(copies).alias("_copy")).select(*COLUMNS)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their place in a sequence of at most 2048 tokens."""
+    return packing.pack(packing.tokenise(docs, *tokeniser_paths()))
+
+
 STAGES = [
     ("quality", quality_stage),
+    ("lines", line_stage),
+    ("near duplicates", near_duplicate_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
 ]
 
-#: Not expressible in SQL (trained classifier, packing); compared with a brute-force version in tests.
+#: Not expressible in SQL (trained classifier, tokeniser); the tests compare with brute force.
 ORACLE_SQL = None
 
 
@@ -36,8 +80,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage over the whole table ``documents``."""
     docs = table(spark, sf_dir, "documents")
     scratch = scratch_path(spark, "pipeline")
-    for number, (name, stage) in enumerate(STAGES):
-        path = f"{scratch}/{number}_{name}"
+    for number, (_, stage) in enumerate(STAGES):
+        path = f"{scratch}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
