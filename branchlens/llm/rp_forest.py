@@ -41,9 +41,9 @@ MAX_ROUNDS = 8
 OVERLAP = 0.05      # share of a node on each side of its median that goes both ways
 
 
-def _directions(tree: int, turn: int, dims: int) -> np.ndarray:
+def _directions(tree: int, turn: int, dims: int, levels: int) -> np.ndarray:
     rng = np.random.default_rng([17, tree, turn])
-    d = rng.normal(size=(dims, LEVELS))
+    d = rng.normal(size=(dims, levels))
     return d / np.linalg.norm(d, axis=0)
 
 
@@ -58,10 +58,11 @@ def _unit(column, dims: int) -> np.ndarray:
 
 def _fit(projected: np.ndarray, rows: float, leaf: int) -> np.ndarray:
     """Spill bands (lo, hi) of the nodes of one subtree in heap order; nan where a node is a leaf."""
-    bands = np.full((2 ** LEVELS - 1, 2), np.nan)
+    levels = projected.shape[1]
+    bands = np.full((2 ** levels - 1, 2), np.nan)
     nodes = {0: np.arange(len(projected))}
     scale = rows / max(len(projected), 1)
-    for level in range(LEVELS):
+    for level in range(levels):
         below = {}
         for node, at in nodes.items():
             if len(at) * scale <= leaf or len(at) < MIN_NODE:
@@ -79,9 +80,9 @@ def _fit(projected: np.ndarray, rows: float, leaf: int) -> np.ndarray:
 def _route(projected: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, node) of every leaf a row reaches."""
     row, node = np.arange(len(projected)), np.zeros(len(projected), dtype=np.int64)
-    done_row, done_node = [], []
-    for level in range(LEVELS + 1):
-        band = bands[node] if level < LEVELS else np.full((len(node), 2), np.nan)
+    done_row, done_node, levels = [], [], projected.shape[1]
+    for level in range(levels + 1):
+        band = bands[node] if level < levels else np.full((len(node), 2), np.nan)
         stop = np.isnan(band[:, 0])
         done_row.append(row[stop])
         done_node.append(node[stop])
@@ -94,7 +95,7 @@ def _route(projected: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(done_row), np.concatenate(done_node)
 
 
-def _split(rows: DataFrame, turn: int, dims: int, leaf: int, sample: int) -> DataFrame:
+def _split(rows: DataFrame, turn: int, dims: int, leaf: int, sample: int, levels: int) -> DataFrame:
     """One round: split every (tree, leaf) of ``rows`` (id, v, tree, leaf) into smaller leaves."""
     sizes = rows.groupBy("tree", "leaf").agg(F.count("*").alias("n"))
     share = F.pmod(F.xxhash64(F.lit(turn), "id", "tree"), F.lit(1 << 30)) / float(1 << 30)
@@ -102,7 +103,7 @@ def _split(rows: DataFrame, turn: int, dims: int, leaf: int, sample: int) -> Dat
 
     def fit(group):
         tree, at, n = (group[c][0].as_py() for c in ("tree", "leaf", "n"))
-        bands = _fit(_unit(group["v"], dims) @ _directions(tree, turn, dims), n, leaf)
+        bands = _fit(_unit(group["v"], dims) @ _directions(tree, turn, dims, levels), n, leaf)
         return pa.table({"tree": pa.array([tree], pa.int32()), "leaf": [at],
                          "bands": pa.array([bands.astype("<f8").tobytes()], pa.binary())})
 
@@ -120,10 +121,10 @@ def _split(rows: DataFrame, turn: int, dims: int, leaf: int, sample: int) -> Dat
                 own = np.flatnonzero((trees == key[0]) & (leaves == key[1]))
                 blob = b.column("bands")[int(own[0])].as_py()
                 bands = (np.frombuffer(blob, "<f8").reshape(-1, 2) if blob
-                         else np.full((2 ** LEVELS - 1, 2), np.nan))
-                r, node = _route(x[own] @ _directions(int(key[0]), turn, dims), bands)
+                         else np.full((2 ** levels - 1, 2), np.nan))
+                r, node = _route(x[own] @ _directions(int(key[0]), turn, dims, levels), bands)
                 row.append(own[r])
-                at.append(key[1] * (2 ** (LEVELS + 1)) + node)
+                at.append(key[1] * (2 ** (levels + 1)) + node)
             row = np.concatenate(row)
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
@@ -185,7 +186,8 @@ def _leaf_links(dims: int, threshold: float):
 
 
 def near_duplicates(vectors: DataFrame, vec: str = "embedding", key: str = "vec_id", threshold: float = THRESHOLD,
-                    trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE) -> DataFrame:
+                    trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE,
+                    levels: int = LEVELS) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     ok = usable(vec) & F.exists(F.col(vec), lambda x: x != 0)
     rows = vectors.select(F.col(key).alias("row_id"), F.when(ok, F.col(vec)).alias("v"))
@@ -203,7 +205,7 @@ def near_duplicates(vectors: DataFrame, vec: str = "embedding", key: str = "vec_
                             F.lit(0).cast("long").alias("leaf"))
     settled = None
     for turn in range(MAX_ROUNDS):
-        routed = materialise(_split(routed, turn, dims, leaf, sample), f"forest-{turn}")
+        routed = materialise(_split(routed, turn, dims, leaf, sample, levels), f"forest-{turn}")
         large = (routed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > 2 * leaf)
                  .select("tree", "leaf"))
         large = materialise(large, "forest-large")

@@ -63,9 +63,9 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a @ b.T
 
 
-def fit_pivots(sample: np.ndarray, n: int, seed: int = 5) -> tuple[np.ndarray, float]:
+def fit_pivots(sample: np.ndarray, n: int, most: int = PIVOTS, rings: int = RINGS, seed: int = 5) -> tuple[np.ndarray, float]:
     """Pivots (a few rounds of k-means over the sample) and the width of a ring."""
-    k = int(min(PIVOTS, max(1, round(np.sqrt(n) / 10)), len(sample)))
+    k = int(min(most, max(1, round(np.sqrt(n) / 10)), len(sample)))
     rng = np.random.default_rng(seed)
     pivots = sample[rng.choice(len(sample), k, replace=False)].astype(np.float64)
     for _ in range(6):
@@ -74,7 +74,7 @@ def fit_pivots(sample: np.ndarray, n: int, seed: int = 5) -> tuple[np.ndarray, f
             if (near == j).any():
                 pivots[j] = sample[near == j].mean(0)
     spread = _distances(sample, pivots).min(1)
-    return pivots, max(float(np.quantile(spread, 0.98)) / (RINGS - 1), 1e-9)
+    return pivots, max(float(np.quantile(spread, 0.98)) / max(rings - 1, 1), 1e-9)
 
 
 def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -83,11 +83,11 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0))
 
 
-def _key(x: np.ndarray, pivots: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray]:
+def _key(x: np.ndarray, pivots: np.ndarray, width: float, rings: int) -> tuple[np.ndarray, np.ndarray]:
     """Annulus number and exact distance to the nearest pivot."""
     near = _distances(x, pivots).argmin(1)
     dist = np.sqrt(((x - pivots[near]) ** 2).sum(1))
-    return near * RINGS + np.minimum(dist // width, RINGS - 1).astype(np.int64), dist
+    return near * rings + np.minimum(dist // width, rings - 1).astype(np.int64), dist
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -102,27 +102,29 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key: str = "vec_id") -> DataFrame:
+def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key: str = "vec_id",
+          sample_rows: int = SAMPLE, most_pivots: int = PIVOTS, rings: int = RINGS, block: int = BLOCK,
+          query_slice: int = QUERIES, first_rows: int = FIRST) -> DataFrame:
     """query_id, rank, vec_id, score for the rows where the Column ``is_query`` holds."""
     spark = vectors.sparkSession
     rows = (vectors.where(usable(vec) & F.col(key).isNotNull())
             .select(F.col(key).cast("long").alias("id"), F.col(vec).alias("v"), is_query.alias("ask"))
             .groupBy("id").agg(F.min("v").alias("v"), F.max("ask").alias("ask")))
     rows = materialise(rows, "topk-vectors")
-    n, dims = rows.agg(F.count("*"), F.max(F.size("v"))).first()
+    n, dims, n_asking = rows.agg(F.count("*"), F.max(F.size("v")), F.count_if("ask")).first()
     dims = max(int(dims or 0), 1)
     result = "query_id long, rank int, vec_id long, score long"
     if not n:
         return spark.createDataFrame([], result)
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()
-    pivots, width = fit_pivots(_ints(sample["v"], dims), n)
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toArrow()
+    pivots, width = fit_pivots(_ints(sample["v"], dims), n, most_pivots, rings)
 
     def keyed(batches):
         for b in batches:
             if not len(b):
                 continue
             x = _ints(b.column("v"), dims)
-            cell, dist = _key(x, pivots, width)
+            cell, dist = _key(x, pivots, width, rings)
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), b.column("ask"), pa.array(cell), pa.array(dist),
                  pa.array((x.astype(np.float64) ** 2).sum(1)), _blobs(x)],
@@ -136,12 +138,12 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key:
     cells = np.array([r.cell for r in annuli], dtype=np.int64)
     count, lo, hi, norm2 = (np.array([getattr(r, c) for r in annuli], dtype=np.float64)
                             for c in ("n", "lo", "hi", "norm2"))
-    centre = pivots[cells // RINGS]
-    blocks = dict(zip(cells.tolist(), np.ceil(count / BLOCK).astype(int).tolist()))
+    centre = pivots[cells // rings]
+    blocks = dict(zip(cells.tolist(), np.ceil(count / block).astype(int).tolist()))
 
     def bounds(x: np.ndarray) -> np.ndarray:
         size = (x.astype(np.float64) ** 2).sum(1)[:, None]
-        away = np.sqrt(((x[:, None, :] - pivots[None]) ** 2).sum(2))[:, cells // RINGS]
+        away = np.sqrt(((x[:, None, :] - pivots[None]) ** 2).sum(2))[:, cells // rings]
         gap = np.maximum(0, np.maximum(away - hi, lo - away))
         top = np.minimum((size + norm2 - gap ** 2) / 2, x @ centre.T + np.sqrt(size) * hi)
         return np.minimum(top, np.sqrt(size * norm2)) * (1 + 1e-9) + 1e-3
@@ -156,10 +158,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key:
                     q, c = np.nonzero(pick(bounds(x), part))
                     times = np.array([blocks[int(v)] for v in cells[c]], dtype=np.int64)
                     q, c = np.repeat(q, times), np.repeat(c, times)
-                    block = np.arange(len(q)) - np.repeat(np.cumsum(times) - times, times)
+                    part_of = np.arange(len(q)) - np.repeat(np.cumsum(times) - times, times)
                     take = pa.array(q)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cells[c]), pa.array(block, pa.int64()), part.column("id").take(take),
+                        [pa.array(cells[c]), pa.array(part_of, pa.int64()), part.column("id").take(take),
                          part.column("x").take(take)], names=["cell", "block", "id", "x"])
         return run
 
@@ -168,7 +170,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key:
         order = np.argsort(-bound, axis=1, kind="stable")
         before = np.cumsum(count[order], axis=1) - count[order]
         chosen = np.zeros(bound.shape, dtype=bool)
-        np.put_along_axis(chosen, order, before < FIRST, axis=1)
+        np.put_along_axis(chosen, order, before < first_rows, axis=1)
         return chosen
 
     def compare(_, stored, asking):
@@ -190,7 +192,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key:
 
     empty = pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
     request = "cell long, block long, id long, x binary"
-    slice_of = lambda: F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // (QUERIES * 50)))))
+    slice_of = lambda: F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n_asking // query_slice))))
     stored = index.select("cell", F.pmod(F.xxhash64("id"), F.element_at(
         F.create_map(*[F.lit(v) for kv in blocks.items() for v in kv]), F.col("cell"))).alias("block"), "id", "x")
 
