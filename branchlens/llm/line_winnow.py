@@ -80,7 +80,8 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id"
     """All rows of ``docs``, texts without repeated runs, and n_lines (non-blank lines of the
     input) and n_removed (lines deleted)."""
     docs = docs.drop("n_lines", "n_removed")
-    gone = materialise(repeated_lines(docs, text, key, run), "line-repeats").toDF("_id", "_version", "_lines")
+    # A merge join at any size: how the texts move must not depend on how many lines repeat.
+    gone = materialise(repeated_lines(docs, text, key, run), "line-repeats").toDF("_id", "_version", "_lines").hint("merge")
     joined = (docs.join(gone, docs[key].eqNullSafe(gone["_id"]) & (F.xxhash64(docs[text]) == gone["_version"]), "left")
               .drop("_id", "_version"))
     at, width = docs.columns.index(text), len(docs.columns)
