@@ -15,6 +15,7 @@ from branchlens.fixed_values import (CURRENCY_PREFIX, DAY_FIRST_DATE_PATTERN, DE
                                      NAME_ELLIPSIS, NAME_MAX_CHARS, THOUSANDS_SEPARATOR)
 
 MONEY = "decimal(18,2)"
+NUMBER_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
 def col_(c) -> Column:
@@ -109,6 +110,13 @@ def title_case(c) -> Column:
     return F.when(col_(c).isNull(), F.lit(None)).otherwise(F.array_join(caps, ""))
 
 
+def number(c) -> Column:
+    """Text -> double, null unless the whole text is a number. Spark's own cast also takes
+    Java's type suffixes ('12d', '12f'), which are not numbers in the landed text."""
+    c = col_(c)
+    return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
+
+
 def parse_currency(c) -> Column:
     """'AR$ 1.234,50' -> 1234.5; unparsable text -> 0.0; null -> null."""
     c = col_(c)
@@ -116,7 +124,7 @@ def parse_currency(c) -> Column:
                                          F.lit(THOUSANDS_SEPARATOR), F.lit("")),
                                F.lit(DECIMAL_SEPARATOR), F.lit(".")))
     return F.when(c.isNull(), F.lit(None).cast("double")) \
-        .otherwise(F.coalesce(cleaned.try_cast("double"), F.lit(0.0)))
+        .otherwise(F.coalesce(number(cleaned), F.lit(0.0)))
 
 
 def parse_day_first_date(c) -> Column:
@@ -133,13 +141,13 @@ def iso_date_text(c) -> Column:
 
 def coerce_int(c) -> Column:
     """Text -> int: numeric text is truncated (7.9 -> 7), anything else -> 0."""
-    return F.coalesce(col_(c).try_cast("double").try_cast("int"), F.lit(0))
+    return F.coalesce(number(c).try_cast("int"), F.lit(0))
 
 
 def numeric_id(c) -> Column:
     """Id text -> bigint: integer text exactly, other numeric text truncated
     ('12.5' -> 12, '1e3' -> 1000), anything else null."""
-    return F.coalesce(col_(c).try_cast("bigint"), col_(c).try_cast("double").try_cast("bigint"))
+    return F.coalesce(col_(c).try_cast("bigint"), number(c).try_cast("bigint"))
 
 
 def strip_zone(c) -> Column:
@@ -148,5 +156,8 @@ def strip_zone(c) -> Column:
     return no_zone.try_cast("timestamp_ntz")
 
 
-def money(c) -> Column:
-    return col_(c).cast(MONEY)
+def stay_seconds(created, closed) -> Column:
+    """Seconds between two ISO timestamp texts as instants (their offsets may differ);
+    null if either is missing or unparsable."""
+    a, b = (F.try_to_timestamp(col_(c)) for c in (created, closed))
+    return F.timestamp_diff("SECOND", a, b)

@@ -46,12 +46,21 @@ def booking_monthly(clean: DataFrame) -> DataFrame:
     """branch, month, events, guests, income. Rows with a bad date (null month) drop.
 
     Income is summed as decimal(20,2) (currency has cents) so the total does not depend
-    on the order in which partitions are combined.
+    on the order in which partitions are combined. Amounts beyond that type (a mistyped
+    cell such as ``1e30``) are added as doubles instead of failing the job;
+    ``oversized_amounts`` lists them.
     """
+    exact = F.col("total").try_cast("decimal(20,2)")
+    beyond = F.sum(F.when(exact.isNull(), F.col("total")))
     return drop_null_keys(clean, ["branch", "month"]).groupBy("branch", "month").agg(
         F.count("event_date").alias("events"),
         F.sum("guests").cast("bigint").alias("guests"),
-        to_double(sum_or_zero(F.col("total").cast("decimal(20,2)"), "decimal(20,2)")).alias("income"))
+        (to_double(sum_or_zero(exact, "decimal(20,2)")) + F.coalesce(beyond, F.lit(0.0))).alias("income"))
+
+
+def oversized_amounts(clean: DataFrame) -> DataFrame:
+    """Cleaned rows whose total does not fit decimal(20,2): to be looked at by hand."""
+    return clean.filter(F.col("total").isNotNull() & F.col("total").try_cast("decimal(20,2)").isNull())
 
 
 def booking_metrics(monthly: DataFrame, as_of: dt.date) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from branchlens.fixed_values import DINE_IN_SALE_TYPE, DWELL_MAX, DWELL_MIN
 from branchlens.functions.semantics import (day_of, month_of, not_cancelled, to_double,
                                             truncate_name)
+from branchlens.operators.incremental import keep_last
 
 
 def live(df: DataFrame, flag: str = "canceled") -> DataFrame:
@@ -26,10 +27,15 @@ def live_payments(payments: DataFrame) -> DataFrame:
 
 
 def catalog_for_join(catalog: DataFrame, name_len: int = 20) -> DataFrame:
-    """Catalogue with display names (long names truncated, so prefixes merge later)."""
-    return catalog.select("product_id", "branch",
-                          truncate_name("product_name", name_len).alias("product_name"),
-                          "product_category")
+    """Catalogue with display names (long names truncated, so prefixes merge later), one
+    row per product and branch: a product listed in several categories or delivered twice
+    must not multiply its lines. The last row wins (``ingest_seq``, landing order, then
+    category and name, so that the choice never depends on the partitioning)."""
+    order = [c for c in ("ingest_seq", "landed_at") if c in catalog.columns]
+    one = keep_last(catalog, ["product_id", "branch"], [*order, "product_category", "product_name"])
+    return one.select("product_id", "branch",
+                      truncate_name("product_name", name_len).alias("product_name"),
+                      "product_category")
 
 
 def enrich_lines(lines: DataFrame, sales: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -57,12 +63,14 @@ def enrich_lines(lines: DataFrame, sales: DataFrame, catalog: DataFrame) -> Data
 
 def dwell(sales: DataFrame, sale_type: str = DINE_IN_SALE_TYPE, low: str = DWELL_MIN, high: str = DWELL_MAX) -> DataFrame:
     """Sales of one type whose stay (closed - created) lies in [low, high); open sales
-    (null close) have a null stay and drop out."""
-    stay = F.col("closed_at") - F.col("created_at")
-    return sales.filter((F.col("sale_type") == sale_type)
-                        & (stay >= F.expr(f"INTERVAL {low}"))
-                        & (stay < F.expr(f"INTERVAL {high}"))).select(
+    (null close) have a null stay and drop out. ``stay_seconds`` (the difference of the
+    landed instants) is used where a frame carries it; else the wall clocks differ."""
+    stay = F.timestamp_diff("SECOND", F.col("created_at"), F.col("closed_at"))
+    if "stay_seconds" in sales.columns:
+        stay = F.coalesce("stay_seconds", stay)
+    seconds = [F.unix_seconds(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {b}")) for b in (low, high)]
+    return sales.filter((F.col("sale_type") == sale_type) & (stay >= seconds[0]) & (stay < seconds[1])).select(
         "sale_id", "branch", to_double("total").alias("total"),
         day_of("created_at").alias("created_day"), day_of("closed_at").alias("closed_day"),
-        F.timestamp_diff("SECOND", F.col("created_at"), F.col("closed_at")).alias("dwell_seconds"),
+        stay.alias("dwell_seconds"),
     )

@@ -10,15 +10,7 @@ from pyspark.sql import functions as F
 from branchlens.fixed_values import LOOKBACK_ROWS
 from branchlens.functions.semantics import numeric_id
 
-MARKS_BROADCAST_MAX_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking its size: the (small, aggregated) frame is
-    cached and counted; above ``max_rows`` it is returned unhinted, so the join falls
-    back to a shuffle join planned from runtime sizes."""
-    df = df.cache()
-    return F.broadcast(df) if df.count() <= max_rows else df
+MARK_SALTS = 64  # parts of a branch's feed in the join with the marks
 
 
 def _order(cols: Sequence) -> list[Column]:
@@ -90,17 +82,21 @@ def select_after_marks(feed: DataFrame, marks: DataFrame, id_col: str) -> DataFr
     """Feed rows whose integer id is above their branch's mark (branches without a mark
     start at 0).
 
-    The marks frame has one row per branch. Joining on the branch alone by shuffle would
-    send every row of a branch to one task (a branch may hold a third of the feed), so
-    the marks are broadcast after a size check (``bounded_broadcast``)."""
-    j = feed.join(bounded_broadcast(marks, MARKS_BROADCAST_MAX_ROWS), "branch", "left")
+    The marks frame has one row per branch, and a branch may hold a third of the feed, so
+    the join key is the branch and one of ``MARK_SALTS`` parts of its ids; the marks are
+    repeated for every part. Nothing is cached or counted while the plan is built."""
+    salted = feed.withColumn("_part", F.pmod(F.xxhash64(id_col), F.lit(MARK_SALTS)).cast("int"))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(MARK_SALTS - 1)))
+    j = salted.join(marks.withColumn("_part", parts), ["branch", "_part"], "left").drop("_part")
     return j.filter(numeric_id(id_col) > F.coalesce(F.col("last_id"), F.lit(0).cast("bigint")))
 
 
 def incremental_marks(sales: DataFrame, payments: DataFrame, branches: DataFrame | None = None):
     """Sales marks after dropping open sales and the 20-row lookback tail; payment marks
-    over all payments (no lookback)."""
-    clean = drop_tail(closed_only(sales), [numeric_id("sale_id"), "sale_id"], ["sale_id", "branch"])
+    over all payments (no lookback). The tail are the last rows in the order of arrival
+    (``ingest_seq``, then the landing position) where the frame carries it, then by id."""
+    arrival = [c for c in ("ingest_seq", "landed_at") if c in sales.columns]
+    clean = drop_tail(closed_only(sales), [*arrival, numeric_id("sale_id"), "sale_id"], ["sale_id", "branch"])
     return (high_water_marks(clean, "sale_id", branches),
             high_water_marks(payments, "payment_id", branches))
 

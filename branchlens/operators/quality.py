@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,21 @@ def duplicate_keys(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     ).select(F.lit(name).alias("mart"), F.lit(",".join(keys)).alias("key"), "rows", "duplicate_keys", "duplicate_rows")
 
 
+def key_of(mart: str, key: str, *values: Column) -> Column:
+    """One key of a table as (mart, key columns, values as text)."""
+    return F.struct(F.lit(mart).alias("mart"), F.lit(key).alias("key"),
+                    F.array(*[v.cast("string") for v in values]).alias("value"))
+
+
+def key_repeats(rows: DataFrame) -> DataFrame:
+    """``duplicate_keys`` of many tables at once, from their keys ``k`` (null: no key)."""
+    per_key = rows.filter("k IS NOT NULL").select("k.*").groupBy("mart", "key", "value").agg(F.count("*").alias("n"))
+    repeated = F.when(F.col("n") > 1, F.col("n"))
+    return per_key.groupBy("mart", "key").agg(
+        F.sum("n").alias("rows"), F.count(repeated).alias("duplicate_keys"),
+        F.coalesce(F.sum(repeated), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+
+
 def orphans(child: DataFrame, parent: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     """check, orphan_keys: distinct non-null child keys absent from the parent."""
     ck = child.select(*keys).dropna().distinct()
@@ -41,13 +56,23 @@ def accepted_rejected(pairs: DataFrame, key: str = "product", other: str = "cate
     per key the first pair by ``other`` is accepted, later ones are rejected as
     duplicate_key, null keys are rejected as null_key. The window per key holds the
     categories of one product only."""
-    w = Window.partitionBy(key).orderBy(F.col(other).asc_nulls_last())
-    ranked = pairs.withColumn("_rn", F.row_number().over(w))
-    status = F.when(F.col(key).isNull(), F.lit("rejected")) \
-        .when(F.col("_rn") == 1, F.lit("accepted")).otherwise(F.lit("rejected"))
-    reason = F.when(F.col(key).isNull(), F.lit("null_key")) \
-        .when(F.col("_rn") == 1, F.lit(None).cast("string")).otherwise(F.lit("duplicate_key"))
-    return ranked.select(key, other, status.alias("status"), reason.alias("reason"))
+    return split_by_key(pairs.select(key, other), [key], [other])
+
+
+def split_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with status (accepted / rejected) and reason by a table's key: rows with a null
+    key are rejected as null_key, of several rows with one key all but the first by ``order``
+    as duplicate_key. Null keys never reach the window, so they are not one task's group."""
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    first = F.col("_rn") == 1
+    ranked = df.filter(whole).withColumn("_rn", F.row_number().over(w)).select(
+        *df.columns, F.when(first, F.lit("accepted")).otherwise(F.lit("rejected")).alias("status"),
+        F.when(first, F.lit(None).cast("string")).otherwise(F.lit("duplicate_key")).alias("reason"))
+    return ranked.unionByName(df.filter(~whole).select(
+        *df.columns, F.lit("rejected").alias("status"), F.lit("null_key").alias("reason")))
 
 
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:

@@ -67,7 +67,7 @@ class Inputs:
 
     @cached_property
     def lines_enriched(self):
-        return C.enrich_lines(self.lines, self.sales, self.catalog)
+        return C.enrich_lines(self.lines, self.sales, fx.fx_catalog_with_gaps(self.spark, self.sf_dir))
 
     @cached_property
     def payments_live(self):
@@ -395,7 +395,7 @@ def incremental_selection(x: Inputs):
 # ---------------------------------------------------------------- landed documents
 
 def _sales_pages(x):
-    return D.parse_pages(D.build_sales_pages(x.sales, x.lines), D.SALES_PAGE)
+    return D.build_sales_pages(x.sales, x.lines)
 
 
 def json_sales_flat(x: Inputs):
@@ -413,6 +413,17 @@ def json_payments_flat(x: Inputs):
     return doubles(D.flatten_payments(D.parse_pages(docs, D.PAYMENTS_PAGE)).select(*PAYMENT_COLS))
 
 
+def json_sale_single(x: Inputs):
+    """Items of single-sale documents: each belongs to the sale that encloses it."""
+    docs = D.parse_pages(D.build_sale_single_docs(x.sales, x.lines), D.SALE_DOC)
+    return doubles(D.flatten_sale_doc_items(docs).select(*LINE_COLS))
+
+
+def json_payment_single(x: Inputs):
+    docs = D.parse_pages(D.build_payment_single_docs(x.payments_ev), D.PAYMENT_DOC)
+    return doubles(D.flatten_payment_docs(docs).select(*PAYMENT_COLS))
+
+
 def json_categories_flat(x: Inputs):
     return D.flatten_categories(D.parse_pages(D.build_category_pages(x.catalog), D.CATEGORIES_PAGE))
 
@@ -422,14 +433,32 @@ def json_products_flat(x: Inputs):
 
 
 def bootstrap_raw(x: Inputs):
-    sales_pages = _sales_pages(x)
-    products = D.flatten_products(D.parse_pages(D.build_product_pages(x.catalog), D.PRODUCTS_PAGE))
-    categories = D.flatten_categories(D.parse_pages(D.build_category_pages(x.catalog), D.CATEGORIES_PAGE))
-    catalog = products.join(categories, ["product_id", "branch"], "inner")
-    payments = D.flatten_payments(D.parse_pages(D.build_payment_pages(x.payments_ev), D.PAYMENTS_PAGE))
-    counts = Q.row_counts({"sales": D.flatten_sales(sales_pages), "items": D.flatten_items(sales_pages),
-                           "payments": payments, "products_categories": catalog})
-    return counts.select(F.col("fact").alias("raw_table"), "rows")
+    """Every row of the four raw tables that ``ingest.bootstrap`` builds from landed pages:
+    raw_table, id, product, branch, amount, partition. The landing and the raw tables are
+    written under the shared scratch folder when the query is built."""
+    from branchlens.plans import ingest
+    from branchlens.session import scratch_path
+    from branchlens.sources.readers import read_table
+    root = scratch_path(x.spark, "bootstrap")
+    D.write_pages(_sales_pages(x), f"{root}/landing/sales")
+    D.write_pages(D.build_payment_pages(x.payments_ev), f"{root}/landing/payments")
+    D.write_pages(D.build_product_pages(x.catalog), f"{root}/landing/products")
+    D.write_pages(D.build_category_pages(x.catalog), f"{root}/landing/categories")
+    ingest.bootstrap(x.spark, f"{root}/landing", f"{root}/raw")
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    columns = {
+        "sales": ("sale_id", text, F.col("total").cast("double"), "month"),
+        "lines": ("sale_id", F.col("product_id"), F.col("price").cast("double"), "month"),
+        "payments": ("payment_id", F.col("method"), F.col("amount").cast("double"), "month"),
+        "products": ("product_id", F.col("product_category"), none, "branch"),
+    }
+    out = None
+    for name, (key, second, amount, part) in columns.items():
+        rows = read_table(x.spark, f"{root}/raw/{name}", ingest.RAW_TABLES[name]).select(
+            F.lit(name).alias("raw_table"), F.col(key).alias("id"), second.alias("detail"), "branch",
+            amount.alias("amount"), F.col(part).alias("part"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 # ---------------------------------------------------------------- bookings
@@ -457,27 +486,49 @@ def booking_metrics_edges(x: Inputs):
 # ---------------------------------------------------------------- quality
 
 def quality_unique(x: Inputs):
-    checks = [
-        Q.duplicate_keys(M.product_totals(x.product_daily), "product_totals", ["branch", "product"]),
-        Q.duplicate_keys(M.category_totals(x.category_daily), "category_totals", ["branch", "category"]),
-        Q.duplicate_keys(M.daily_revenue_branch(x.payments_live), "daily_revenue_branch", ["branch", "day"]),
-        Q.duplicate_keys(M.monthly_revenue(x.payments_live), "monthly_revenue", ["branch", "month"]),
-        Q.duplicate_keys(x.pairs, "product_category", ["product"]),
-        Q.duplicate_keys(x.booking_monthly, "booking_monthly", ["branch", "month"]),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out
+    """Repeats of the published tables' keys: one row per day and product, day and category,
+    product, day, month and branch. With several branches most of them repeat. The lines
+    and the payments are each read once, by grouping sets of all their keys."""
+    kept = F.col("qty") > 0
+    by = x.lines_enriched.groupingSets(
+        [["branch", "day", "product_name"], ["branch", "day", "product_category"], ["product_name", "product_category"]],
+        "branch", "day", "product_name", "product_category").agg(
+        F.sum("quantity").alias("qty"), F.grouping("product_name").alias("no_product"),
+        F.grouping("product_category").alias("no_category"))
+    product, category = F.col("product_name"), F.col("product_category")
+    dated = F.col("branch").isNotNull() & F.col("day").isNotNull() & kept
+    day = F.col("day").cast("string")
+    lines = by.select(F.when((F.col("no_category") == 1) & dated & product.isNotNull(),
+                             Q.key_of("product_daily", "day,product", day, product))
+                      .when((F.col("no_product") == 1) & dated & category.isNotNull(),
+                            Q.key_of("category_daily", "day,category", day, category))
+                      .when((F.col("no_product") == 0) & (F.col("no_category") == 0) & product.isNotNull()
+                            & category.isNotNull(), Q.key_of("product_category", "product", product)).alias("k"))
+    paid = x.payments_live.filter("branch IS NOT NULL").groupingSets(
+        [["branch", "day"], ["branch", "month"], ["branch"]], "branch", "day", "month").agg(
+        F.sum("amount").alias("amount"), F.grouping("day").alias("no_day"), F.grouping("month").alias("no_month"))
+    payments = paid.select(F.when((F.col("no_day") == 0) & F.col("day").isNotNull() & (F.col("amount") > 0),
+                                  Q.key_of("daily_revenue_branch", "day", day))
+                           .when((F.col("no_month") == 0) & F.col("month").isNotNull(),
+                                 Q.key_of("monthly_revenue", "month", F.col("month")))
+                           .when((F.col("no_day") == 1) & (F.col("no_month") == 1),
+                                 Q.key_of("branch_kpis", "branch", F.col("branch"))).alias("k"))
+    booked = x.booking_monthly.select(Q.key_of("booking_monthly", "branch,month", F.col("branch"),
+                                               F.col("month")).alias("k"))
+    return Q.key_repeats(lines.unionByName(payments).unionByName(booked))
 
 
 def quality_fk(x: Inputs):
-    pd_ = x.product_daily.select("product")
+    keys = fx.table(x.spark, x.sf_dir, "lineitem").select(F.col("l_orderkey").alias("sale_id"))
+    sales = fx.table(x.spark, x.sf_dir, "orders").select(F.col("o_orderkey").alias("sale_id"))
     checks = [
-        Q.orphans(pd_, x.pairs.select("product"), "product_daily.product->product_category", ["product"]),
+        Q.orphans(x.product_daily.select("product"), x.pairs.select("product"),
+                  "product_daily.product->product_category", ["product"]),
+        Q.orphans(x.category_daily.select("category"), x.catalog.select(F.col("product_category").alias("category")),
+                  "category_daily.category->categories", ["category"]),
         Q.orphans(M.daily_revenue_branch(x.payments_live).select("branch"), x.branches,
                   "daily_revenue_branch.branch->branches", ["branch"]),
-        Q.orphans(x.lines.select("sale_id"), x.sales.select("sale_id"), "lines.sale_id->sales", ["sale_id"]),
+        Q.orphans(keys, sales, "lines.sale_id->sales", ["sale_id"]),
         Q.orphans(x.booking_monthly.select("branch"), x.branches, "booking_monthly.branch->branches", ["branch"]),
     ]
     out = checks[0]
@@ -525,7 +576,8 @@ QUERY_FUNCS = [
     dedupe_sales, dedupe_lines, dedupe_payments, dedupe_catalog,
     upsert_sales, upsert_lines, upsert_payments,
     highwater_marks, closed_sales_trimmed, incremental_selection,
-    json_sales_flat, json_items_flat, json_payments_flat, json_categories_flat, json_products_flat,
+    json_sales_flat, json_items_flat, json_payments_flat, json_sale_single, json_payment_single,
+    json_categories_flat, json_products_flat,
     bootstrap_raw,
     bookings_clean, booking_monthly, booking_metrics, booking_metrics_edges,
     quality_unique, quality_fk, quality_nulls, accepted_rejected, run_summary,

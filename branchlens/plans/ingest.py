@@ -1,16 +1,22 @@
 """Landing -> raw tables: the full bootstrap and the incremental update.
 
-Raw tables live under ``<raw>/<name>/`` as parquet. Sales, lines and payments are
-partitioned by month (lines carry their sale's month), so an incremental run rewrites
-only the months it touches (``sinks.upsert_partitions``); the catalogue is partitioned by
-branch. Every raw row carries ``ingest_seq`` (0 for the bootstrap, the run's sequence
-number afterwards): on equal keys the later run wins, as in a keep-last append.
+Raw tables live under ``<raw>/<name>/`` as parquet with declared schemas
+(``schemas.RAW_TABLES``). Sales, lines and payments are partitioned by month (lines carry
+their sale's month), so an incremental run rewrites only the months it touches
+(``sinks.upsert_partitions``); the catalogue is partitioned by branch. Every raw row
+carries ``ingest_seq`` (0 for the bootstrap, the run's sequence number afterwards) and
+``landed_at`` (file, block, line, place in the page): on equal keys the row that landed
+last wins, as in a keep-last append. File names must sort in the order of delivery.
 
 * ``bootstrap``: flatten every landed page (sales with their items, payments, products,
   categories); the catalogue keeps only categorised products (inner join).
 * ``incremental``: marks from the raw tables (closed sales minus the 20-row lookback;
   all payments), landed records above their branch's mark, upserted by key; the
-  catalogue is refreshed (left join, keep-last) only when new lines arrived.
+  catalogue is refreshed (left join, keep-last) only when new lines arrived. The selected
+  records are written to the shared scratch folder before any table changes, so every
+  step of a run works on the same selection; a run without new records changes nothing.
+
+Pages that cannot be read are kept under ``<raw>/rejects/<run>/<feed>`` and counted.
 """
 
 from __future__ import annotations
@@ -20,9 +26,11 @@ from pyspark.sql import functions as F
 
 from branchlens.functions.semantics import month_of
 from branchlens.operators import incremental as I
+from branchlens.schemas import RAW_TABLES
 from branchlens.session import scratch_path
 from branchlens.sources import documents as D
 from branchlens.sources import sinks
+from branchlens.sources.readers import read_table
 
 KEYS = {
     "sales": ["sale_id", "branch"],
@@ -31,68 +39,113 @@ KEYS = {
     "products": ["product_id", "branch"],
 }
 PARTITION = {"sales": "month", "lines": "month", "payments": "month", "products": "branch"}
-# Tiebreak among equal keys of one run (the landed pages carry no file order).
-ORDER = {"sales": ["ingest_seq"], "lines": ["ingest_seq", "price", "quantity"],
-         "payments": ["ingest_seq"], "products": ["ingest_seq", "product_name"]}
+ORDER = ["ingest_seq", "landed_at"]
+FEEDS = {"sales": D.SALES_PAGE, "payments": D.PAYMENTS_PAGE, "products": D.PRODUCTS_PAGE,
+         "categories": D.CATEGORIES_PAGE}
 
 
 def landed(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
     """Flattened landed pages under ``landing/{sales,payments,products,categories}``."""
-    sales_pages = D.read_pages(spark, f"{landing}/sales", D.SALES_PAGE)
+    pages = {feed: D.read_pages(spark, f"{landing}/{feed}", schema) for feed, schema in FEEDS.items()}
     return {
-        "sales": D.flatten_sales(sales_pages),
-        "lines": D.flatten_items(sales_pages),
-        "payments": D.flatten_payments(D.read_pages(spark, f"{landing}/payments", D.PAYMENTS_PAGE)),
-        "products": D.flatten_products(D.read_pages(spark, f"{landing}/products", D.PRODUCTS_PAGE)),
-        "categories": D.flatten_categories(D.read_pages(spark, f"{landing}/categories", D.CATEGORIES_PAGE)),
+        "sales": D.flatten_sales(pages["sales"]),
+        "lines": D.flatten_items(pages["sales"]),
+        "payments": D.flatten_payments(pages["payments"]),
+        "products": D.flatten_products(pages["products"]),
+        "categories": D.flatten_categories(pages["categories"]),
     }
 
 
-def _months(sales: DataFrame, lines: DataFrame, payments: DataFrame):
+def set_rejects_aside(spark: SparkSession, landing: str, raw: str, seq: int) -> int:
+    """Keep the unreadable pages of all feeds; returns their number."""
+    total = 0
+    for feed, schema in FEEDS.items():
+        rejects, seen = sinks.observe_counts(D.read_rejects(spark, f"{landing}/{feed}", schema), f"rejects {feed}")
+        rejects.write.mode("overwrite").parquet(f"{raw}/rejects/run={seq}/{feed}")
+        total += seen.get.get("rows", 0)
+    return total
+
+
+def same_key(a: DataFrame, b: DataFrame, keys: list[str]):
+    """Equality of keys in which null equals null."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & a[k].eqNullSafe(b[k])
+    return cond
+
+
+def with_months(sales: DataFrame, lines: DataFrame, payments: DataFrame):
+    """The month of each row; lines take it from their sale, of which the last delivery
+    counts (a sale that came twice must not double its lines)."""
     s = sales.withColumn("month", month_of("created_at"))
-    line_month = s.select("sale_id", "branch", "month")
-    # lines take the month of their sale (an equi-join on the sale key)
-    l_ = lines.join(line_month, ["sale_id", "branch"], "left")
-    return s, l_, payments.withColumn("month", month_of("created_at"))
+    one = I.keep_last(s, KEYS["sales"], ["landed_at"]).select(
+        F.col("sale_id").alias("_sale"), F.col("branch").alias("_branch"), "month")
+    match = lines["sale_id"].eqNullSafe(one["_sale"]) & lines["branch"].eqNullSafe(one["_branch"])
+    return s, lines.join(one, match, "left").drop("_sale", "_branch"), \
+        payments.withColumn("month", month_of("created_at"))
+
+
+def catalogue(products: DataFrame, categories: DataFrame, how: str) -> DataFrame:
+    """Products with their categories on (product, branch), null branches included."""
+    c = categories.select(F.col("product_id").alias("_product"), F.col("branch").alias("_branch"),
+                          "product_category")
+    match = (products["product_id"] == c["_product"]) & products["branch"].eqNullSafe(c["_branch"])
+    return products.join(c, match, how).drop("_product", "_branch")
+
+
+def _as_table(df: DataFrame, name: str, seq: int) -> DataFrame:
+    """The columns of a raw table, in its order and types."""
+    df = df.withColumn("ingest_seq", F.lit(seq).cast("bigint"))
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_TABLES[name].fields])
 
 
 def bootstrap(spark: SparkSession, landing: str, raw: str) -> dict[str, int]:
     """Full rebuild of the raw tables from every landed page."""
     src = landed(spark, landing)
-    sales, lines, payments = _months(src["sales"], src["lines"], src["payments"])
-    catalog = src["products"].join(src["categories"], ["product_id", "branch"], "inner")
+    sales, lines, payments = with_months(src["sales"], src["lines"], src["payments"])
+    catalog = catalogue(src["products"], src["categories"], "inner")
     counts = {}
     for name, df in (("sales", sales), ("lines", lines), ("payments", payments), ("products", catalog)):
-        df, obs = sinks.observe_counts(df.withColumn("ingest_seq", F.lit(0).cast("bigint")), name)
-        df.write.mode("overwrite").partitionBy(PARTITION[name]).parquet(f"{raw}/{name}")
+        df, obs = sinks.observe_counts(_as_table(df, name, 0), name)
+        df.hint("rebalance", PARTITION[name]).write.mode("overwrite").partitionBy(PARTITION[name]) \
+            .parquet(f"{raw}/{name}")
         counts[name] = obs.get["rows"]
+    counts["rejected_pages"] = set_rejects_aside(spark, landing, raw, 0)
     return counts
 
 
 def incremental(spark: SparkSession, landing: str, raw: str, seq: int) -> dict[str, int]:
     """One incremental run (``seq`` > every earlier run's): select landed records above the
     per-branch marks and upsert them; refresh the catalogue when new lines arrived."""
-    base_sales = spark.read.parquet(f"{raw}/sales")
-    base_payments = spark.read.parquet(f"{raw}/payments")
-    sale_marks, pay_marks = I.incremental_marks(base_sales, base_payments)
+    for name in ("sales", "lines", "payments", "products"):
+        sinks.finish_swaps(spark, f"{raw}/{name}", RAW_TABLES[name], PARTITION[name])
+    scratch = scratch_path(spark, f"ingest-{seq}")
+    sale_marks, pay_marks = I.incremental_marks(read_table(spark, f"{raw}/sales", RAW_TABLES["sales"]),
+                                                read_table(spark, f"{raw}/payments", RAW_TABLES["payments"]))
     src = landed(spark, landing)
     new_sales = I.select_after_marks(src["sales"], sale_marks, "sale_id").drop("last_id")
-    # the incremental path takes a sale's items together with the sale
-    new_lines = src["lines"].join(new_sales.select("sale_id", "branch"), ["sale_id", "branch"], "left_semi")
+    # The incremental path takes a sale's items together with the sale.
+    new_lines = src["lines"].join(new_sales.select("sale_id", "branch"),
+                                  same_key(src["lines"], new_sales, ["sale_id", "branch"]), "left_semi")
     new_payments = I.select_after_marks(src["payments"], pay_marks, "payment_id").drop("last_id")
-    sales, lines, payments = _months(new_sales, new_lines, new_payments)
+    batch = dict(zip(("sales", "lines", "payments"), with_months(new_sales, new_lines, new_payments)))
     counts = {}
-    for name, df in (("sales", sales), ("lines", lines), ("payments", payments)):
-        df, obs = sinks.observe_counts(df.withColumn("ingest_seq", F.lit(seq).cast("bigint")), name)
-        sinks.upsert_partitions(spark, df, f"{raw}/{name}", KEYS[name], ORDER[name], PARTITION[name],
-                                scratch_path(spark, f"staging-{name}"))
+    for name, df in batch.items():  # the whole selection is on disk before a table changes
+        df, obs = sinks.observe_counts(_as_table(df, name, seq), name)
+        df.write.parquet(f"{scratch}/{name}")
         counts[name] = obs.get.get("rows", 0)
+    counts["rejected_pages"] = set_rejects_aside(spark, landing, raw, seq)
     counts["products"] = 0
     if counts["lines"] > 0:
-        fetched = src["products"].join(src["categories"], ["product_id", "branch"], "left") \
-            .withColumn("ingest_seq", F.lit(seq).cast("bigint"))
-        fetched, obs = sinks.observe_counts(fetched, "products")
-        sinks.upsert_partitions(spark, fetched, f"{raw}/products", KEYS["products"], ORDER["products"],
-                                PARTITION["products"], scratch_path(spark, "staging-products"))
+        fetched, obs = sinks.observe_counts(
+            _as_table(catalogue(src["products"], src["categories"], "left"), "products", seq), "products")
+        fetched.write.parquet(f"{scratch}/products")
         counts["products"] = obs.get.get("rows", 0)
+    # Sales last: their ids are the marks that select lines and the catalogue, so a run that
+    # dies earlier selects the same records again.
+    for name in ("products", "lines", "payments", "sales"):
+        if counts[name]:
+            staged = spark.read.schema(RAW_TABLES[name]).parquet(f"{scratch}/{name}")
+            sinks.upsert_partitions(spark, staged, f"{raw}/{name}", KEYS[name], ORDER, PARTITION[name],
+                                    f"{scratch}/staging-{name}", RAW_TABLES[name])
     return counts

@@ -9,6 +9,8 @@ of parquet instead of recomputing the joins, and each large fact is scanned and
 shuffled once for all marts.
 
 usage: python -m branchlens.plans.nightly --sf-dir /root/testdata/sf0.01 --out /shared/out
+       python -m branchlens.plans.nightly --landing /in/pages --raw /shared/raw --sheet /in/sheet.csv \\
+           --seq 3 --out /shared/out
 """
 
 from __future__ import annotations
@@ -26,17 +28,43 @@ from branchlens.operators import kpis as K
 from branchlens.operators import marts as M
 from branchlens.operators import quality as Q
 from branchlens.operators import reports as R
-from branchlens.sources import sinks
+from branchlens.operators.incremental import keep_last
+from branchlens.plans import ingest
+from branchlens.schemas import RAW_TABLES
+from branchlens.sources import readers, sinks
+
+
+# Key of every published mart (null-free and unique): rows that break it are set aside.
+MART_KEYS = {
+    "daily_revenue_all": ["day"],
+    "daily_revenue_branch": ["branch", "day"],
+    "product_totals": ["branch", "product"],
+    "category_totals": ["branch", "category"],
+    "branch_kpis": ["branch"],
+    "monthly_revenue": ["branch", "month"],
+    "daily_reconciliation": ["branch", "day"],
+}
+
+
+def publish_accepted(df: DataFrame, name: str, keys: list[str], out: str) -> DataFrame:
+    """Split by the mart's key, keep both sides under ``quality``, publish the accepted one."""
+    split = Q.split_by_key(df, keys, [c for c in df.columns if c not in keys])
+    path = f"{out}/quality/{name}"
+    sinks.write_accepted_rejected(split, path)
+    accepted = sinks.read_published(df.sparkSession, path).filter("status = 'accepted'").select(*df.columns)
+    sinks.publish_mart(accepted, f"{out}/marts/{name}")
+    return accepted
 
 
 def run_sales_job(spark: SparkSession, sales: DataFrame, lines: DataFrame, payments: DataFrame,
                   catalog: DataFrame, out: str, as_of: dt.date, dine_in: str = DINE_IN_SALE_TYPE,
                   dwell_bounds: tuple[str, str] = (DWELL_MIN, DWELL_MAX)) -> dict:
     out = out.rstrip("/")
+    # Full replaces: a month that has left the input must leave the facts as well.
     enriched, n_items = sinks.observe_counts(C.enrich_lines(lines, sales, catalog), "items")
-    sinks.write_facts(enriched, f"{out}/facts/items")
-    sinks.write_facts(C.with_day_month(sales), f"{out}/facts/sales")
-    sinks.write_facts(C.live_payments(payments), f"{out}/facts/payments")
+    sinks.write_facts(enriched, f"{out}/facts/items", dynamic=False)
+    sinks.write_facts(C.with_day_month(sales), f"{out}/facts/sales", dynamic=False)
+    sinks.write_facts(C.live_payments(payments), f"{out}/facts/payments", dynamic=False)
     dwell, n_dwell = sinks.observe_counts(C.dwell(sales, dine_in, *dwell_bounds), "dwell")
     sinks.publish_mart(dwell, f"{out}/facts/dwell")
 
@@ -44,17 +72,19 @@ def run_sales_job(spark: SparkSession, sales: DataFrame, lines: DataFrame, payme
     # payments to (branch, day). Every mart below needs no finer grain, sums of exact
     # decimals re-aggregate exactly, and null keys stay groups of their own. Both
     # summaries are written (the lineage cut) and read back.
-    items = spark.read.parquet(f"{out}/facts/items")
-    sinks.publish_mart(items.groupBy("branch", "day", "month", "product_name", "product_category")
+    facts = {name: readers.read_facts(spark, f"{out}/facts/{name}", schema) for name, schema in (
+        ("items", enriched.schema), ("payments", C.live_payments(payments).schema),
+        ("sales", C.with_day_month(sales).schema))}
+    sinks.publish_mart(facts["items"].groupBy("branch", "day", "month", "product_name", "product_category")
                        .agg(F.sum("quantity").alias("quantity"), F.sum("price").alias("price")),
                        f"{out}/marts/items_daily")
-    sinks.publish_mart(spark.read.parquet(f"{out}/facts/payments").groupBy("branch", "day", "month")
+    sinks.publish_mart(facts["payments"].groupBy("branch", "day", "month")
                        .agg(F.sum("amount").alias("amount")), f"{out}/marts/payments_daily")
-    items = spark.read.parquet(f"{out}/marts/items_daily")
-    pay = spark.read.parquet(f"{out}/marts/payments_daily")
-    facts_sales = spark.read.parquet(f"{out}/facts/sales")
+    items = sinks.read_published(spark, f"{out}/marts/items_daily")
+    pay = sinks.read_published(spark, f"{out}/marts/payments_daily")
     pd_ = M.product_daily(items)
     cd = M.category_daily(items)
+    reconciliation = R.daily_reconciliation(items, pay, facts["sales"])
     marts = {
         "daily_revenue_all": M.daily_revenue_all(pay),
         "daily_revenue_branch": M.daily_revenue_branch(pay),
@@ -62,21 +92,45 @@ def run_sales_job(spark: SparkSession, sales: DataFrame, lines: DataFrame, payme
         "category_totals": M.category_totals(cd),
         "branch_kpis": K.branch_kpis(pay, as_of),
         "monthly_revenue": M.monthly_revenue(pay),
-        "daily_reconciliation": R.daily_reconciliation(items, pay, facts_sales),
+        "daily_reconciliation": reconciliation,
     }
-    for name, df in marts.items():
-        sinks.publish_mart(df, f"{out}/marts/{name}")
+    published = {name: publish_accepted(df, name, MART_KEYS[name], out) for name, df in marts.items()}
     sinks.publish_reports(R.top_products(items, as_of), f"{out}/reports/top_products")
-    pairs = M.product_category_pairs(items)
-    sinks.append_new_pairs(spark, pairs, f"{out}/marts/product_category")
-    sinks.write_accepted_rejected(Q.accepted_rejected(pairs), f"{out}/quality/product_category")
+    sinks.publish_reconciliation(published["daily_reconciliation"], f"{out}/reports/reconciliation")
+    # The pairs mart only grows, and its key is the product: accepted pairs of new products.
+    split = Q.accepted_rejected(M.product_category_pairs(items))
+    sinks.write_accepted_rejected(split, f"{out}/quality/product_category")
+    accepted = sinks.read_published(spark, f"{out}/quality/product_category").filter("status = 'accepted'")
+    sinks.append_new_pairs(spark, accepted.select("product", "category"), f"{out}/marts/product_category")
     return {"items_rows": n_items.get.get("rows", 0), "dwell_rows": n_dwell.get.get("rows", 0)}
 
 
+def run_from_raw(spark: SparkSession, raw: str, out: str, as_of: dt.date) -> dict:
+    """The sales job on the raw tables that ``ingest`` keeps: the last row of every key."""
+    tables = {}
+    for name in ("sales", "lines", "payments", "products"):
+        df = readers.read_table(spark, f"{raw}/{name}", RAW_TABLES[name])
+        df = keep_last(df, ingest.KEYS[name], ingest.ORDER)
+        tables[name] = df if name == "products" else df.drop("month")
+    return run_sales_job(spark, tables["sales"], tables["lines"], tables["payments"], tables["products"], out, as_of)
+
+
+def run_all(spark: SparkSession, landing: str, raw: str, out: str, as_of: dt.date, sheet: str | None = None,
+            seq: int = 0) -> dict:
+    """Landing to marts in one run: the bootstrap (``seq`` 0) or an incremental update, the
+    sales job on the raw tables, and the bookings job if a sheet is given."""
+    counts = ingest.bootstrap(spark, landing, raw) if seq == 0 else ingest.incremental(spark, landing, raw, seq)
+    counts |= run_from_raw(spark, raw, out, as_of)
+    if sheet:
+        run_bookings_job(readers.read_sheet(spark, sheet), out, as_of)
+    return counts
+
+
 def run_bookings_job(sheet: DataFrame, out: str, as_of: dt.date) -> None:
     out = out.rstrip("/")
     clean = B.clean_bookings(sheet)
     sinks.publish_mart(clean, f"{out}/marts/bookings")
+    sinks.publish_mart(B.oversized_amounts(clean), f"{out}/quality/bookings_oversized")
     sinks.publish_mart(B.booking_metrics(B.booking_monthly(clean), as_of), f"{out}/marts/booking_metrics")
 
 
@@ -84,16 +138,23 @@ def main(argv=None) -> None:
     from branchlens.session import build_session
     from branchlens.sources import fixtures as fx
     ap = argparse.ArgumentParser()
-    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--sf-dir", help="test tables in place of landed data")
+    ap.add_argument("--landing", help="folder of landed pages")
+    ap.add_argument("--raw", help="folder of the raw tables (with --landing)")
+    ap.add_argument("--sheet", help="exported bookings sheet (with --landing)")
+    ap.add_argument("--seq", type=int, default=0, help="0: full bootstrap; above: this incremental run's number")
     ap.add_argument("--out", required=True)
     ap.add_argument("--as-of", default=fx.AS_OF.isoformat())
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     spark = build_session(a.master)
     as_of = dt.date.fromisoformat(a.as_of)
+    if a.landing:
+        print(run_all(spark, a.landing, a.raw, a.out, as_of, a.sheet, a.seq))
+        return
     lo, hi = fx.DWELL_DAYS
     summary = run_sales_job(spark, fx.fx_sales(spark, a.sf_dir), fx.fx_lines(spark, a.sf_dir),
-                            fx.fx_payments(spark, a.sf_dir), fx.fx_catalog(spark, a.sf_dir), a.out, as_of,
+                            fx.fx_payments(spark, a.sf_dir), fx.fx_catalog_with_gaps(spark, a.sf_dir), a.out, as_of,
                             dine_in=fx.DINE_IN_TYPE, dwell_bounds=(f"{lo} days", f"{hi} days"))
     run_bookings_job(fx.fx_bookings(spark, a.sf_dir), a.out, as_of)
     print(summary)

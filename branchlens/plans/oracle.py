@@ -85,7 +85,7 @@ fx_payments_ev AS (
 fx_catalog AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id, concat_ws(' ', p_name, p_brand, p_type) AS product_name,
          CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE p_type END AS product_category, r.r_name AS branch
-  FROM part, region r WHERE p_partkey % 50 <> 0),
+  FROM part, region r),
 fx_known_pairs AS (
   SELECT DISTINCT {trunc_name("concat_ws(' ', p_name, p_brand, p_type)")} AS product, p_type AS category
   FROM part WHERE p_partkey % 2 = 0 AND p_partkey % 40 <> 0),
@@ -106,7 +106,7 @@ lines_enriched AS (
   FROM (SELECT * FROM fx_lines WHERE {LIVE}) l
   LEFT JOIN fx_sales s ON l.sale_id = s.sale_id AND l.branch IS NOT DISTINCT FROM s.branch
   LEFT JOIN (SELECT product_id, branch, {trunc_name("product_name")} AS product_name, product_category
-             FROM fx_catalog) c
+             FROM fx_catalog WHERE CAST(product_id AS BIGINT) % 50 <> 0) c
     ON l.product_id = c.product_id AND l.branch IS NOT DISTINCT FROM c.branch),
 payments_live AS (
   SELECT *, CAST(created_at AS DATE) AS day, strftime(created_at, '%Y-%m') AS month
@@ -417,6 +417,14 @@ def json_sales_flat() -> str:
     return sql(f"SELECT {_money_out(Q.SALE_COLS)} FROM fx_sales")
 
 
+def json_sale_single() -> str:
+    return json_items_flat()
+
+
+def json_payment_single() -> str:
+    return json_payments_flat()
+
+
 def json_items_flat() -> str:
     return sql(f"SELECT {_money_out(Q.LINE_COLS)} FROM fx_lines")
 
@@ -434,10 +442,14 @@ def json_products_flat() -> str:
 
 
 def bootstrap_raw() -> str:
-    return sql("""SELECT 'sales' AS raw_table, count(*) AS rows FROM fx_sales
-UNION ALL SELECT 'items', count(*) FROM fx_lines
-UNION ALL SELECT 'payments', count(*) FROM fx_payments_ev
-UNION ALL SELECT 'products_categories', count(*) FROM fx_catalog WHERE product_category IS NOT NULL""")
+    return sql("""SELECT 'sales' AS raw_table, sale_id AS id, CAST(NULL AS VARCHAR) AS detail, branch,
+  CAST(total AS DOUBLE) AS amount, strftime(created_at, '%Y-%m') AS part FROM fx_sales
+UNION ALL SELECT 'lines', l.sale_id, l.product_id, l.branch, CAST(l.price AS DOUBLE), strftime(s.created_at, '%Y-%m')
+  FROM fx_lines l LEFT JOIN fx_sales s ON l.sale_id = s.sale_id AND l.branch IS NOT DISTINCT FROM s.branch
+UNION ALL SELECT 'payments', payment_id, method, branch, CAST(amount AS DOUBLE), strftime(created_at, '%Y-%m')
+  FROM fx_payments_ev
+UNION ALL SELECT 'products', product_id, product_category, branch, CAST(NULL AS DOUBLE), branch
+  FROM fx_catalog WHERE product_category IS NOT NULL""")
 
 
 # ------------------------------------------------------------------ marts
@@ -560,18 +572,17 @@ FROM (SELECT {k}, count(*) AS n FROM {src} GROUP BY {k})"""
 
 
 def quality_unique() -> str:
-    ctes = f"""pt AS (SELECT branch, product FROM product_daily GROUP BY branch, product),
-ct AS (SELECT branch, category FROM category_daily GROUP BY branch, category),
-drb AS (SELECT branch, day FROM payments_live WHERE branch IS NOT NULL AND day IS NOT NULL
+    ctes = """drb AS (SELECT branch, day FROM payments_live WHERE branch IS NOT NULL AND day IS NOT NULL
         GROUP BY branch, day HAVING sum(amount) > 0),
-mr AS (SELECT branch, month FROM payments_live WHERE branch IS NOT NULL AND month IS NOT NULL GROUP BY branch, month
-       UNION ALL SELECT DISTINCT 'ALL', month FROM payments_live WHERE branch IS NOT NULL AND month IS NOT NULL)"""
+mr AS (SELECT DISTINCT branch, month FROM payments_live WHERE branch IS NOT NULL AND month IS NOT NULL),
+kb AS (SELECT DISTINCT branch FROM payments_live WHERE branch IS NOT NULL)"""
     body = "\nUNION ALL\n".join([
-        _dup("pt", "product_totals", ["branch", "product"]),
-        _dup("ct", "category_totals", ["branch", "category"]),
-        _dup("drb", "daily_revenue_branch", ["branch", "day"]),
-        _dup("mr", "monthly_revenue", ["branch", "month"]),
+        _dup("product_daily", "product_daily", ["day", "product"]),
+        _dup("category_daily", "category_daily", ["day", "category"]),
         _dup("pairs", "product_category", ["product"]),
+        _dup("drb", "daily_revenue_branch", ["day"]),
+        _dup("mr", "monthly_revenue", ["month"]),
+        _dup("kb", "branch_kpis", ["branch"]),
         _dup("booking_monthly", "booking_monthly", ["branch", "month"]),
     ])
     return sql(body, ctes)
@@ -582,6 +593,10 @@ def quality_fk() -> str:
   SELECT DISTINCT product FROM product_daily WHERE product IS NOT NULL
   EXCEPT SELECT DISTINCT product FROM pairs)
 UNION ALL
+SELECT 'category_daily.category->categories', count(*) FROM (
+  SELECT DISTINCT category FROM category_daily
+  EXCEPT SELECT DISTINCT product_category FROM fx_catalog)
+UNION ALL
 SELECT 'daily_revenue_branch.branch->branches', count(*) FROM (
   SELECT DISTINCT branch FROM payments_live WHERE branch IS NOT NULL AND day IS NOT NULL
   EXCEPT SELECT r_name FROM region)
@@ -642,8 +657,9 @@ PUBLISH: dict[str, dict[str, list[str]]] = {
     "top_products_edges": {"date": ["as_of"]},
     "dedupe_sales": _SALE_TS, "upsert_sales": _SALE_TS, "json_sales_flat": _SALE_TS,
     "closed_sales_trimmed": _SALE_TS,
-    "dedupe_lines": _LINE, "upsert_lines": _LINE, "json_items_flat": _LINE,
-    "dedupe_payments": _PAY, "upsert_payments": _PAY, "json_payments_flat": _PAY, "stream_upsert_payments": _PAY,
+    "dedupe_lines": _LINE, "upsert_lines": _LINE, "json_items_flat": _LINE, "json_sale_single": _LINE,
+    "dedupe_payments": _PAY, "upsert_payments": _PAY, "json_payments_flat": _PAY, "json_payment_single": _PAY,
+    "stream_upsert_payments": _PAY,
 }
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,13 +64,17 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job scratch tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a fresh temporary folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Where it is unset a job on one
+    machine (master ``local``) gets a fresh temporary folder; on several machines there is
+    no folder that all of them share, and the job does not start.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="branchlens-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
@@ -81,11 +85,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    local = base[len("file:"):] if base.startswith("file:") else base
-    os.makedirs(local, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
+    """Path of a fresh sub-folder of the shared checkpoint folder; Spark's writers create it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -3,9 +3,9 @@
 Production reads landed page files with ``spark.read.schema(...).json(path)`` (one page
 per line, branch taken from the folder) and flattens them with ``explode``; the same
 flatten functions accept a (branch, doc) frame of JSON text parsed with ``from_json``.
-Every page holds a bounded number of records: ids are grouped into fixed-width ranges,
-and a range with more records than a page (e.g. many copies of one id) is split into
-sub-pages, so building or parsing a page never gathers an unbounded group in one task.
+Every page holds a bounded number of records, whatever ids they carry, so building or
+parsing a page never gathers an unbounded group in one task. Pages that cannot be read are
+set aside and counted (``read_rejects``), never dropped silently.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchlens.fixed_values import API_PAGE_SIZE
-from branchlens.functions.semantics import MONEY, numeric_id, strip_zone
+from branchlens.functions.semantics import MONEY, stay_seconds, strip_zone
 
 PAGE_IDS = API_PAGE_SIZE  # ids per landed page
 
@@ -66,18 +66,42 @@ PRODUCTS_PAGE = T.StructType([
     ]))),
 ])
 
+# One record per document: ``data`` is an object, and a sale's items name no sale.
+SALE_DOC = T.StructType([T.StructField("data", SALES_PAGE["data"].dataType.elementType),
+                         T.StructField("included", SALES_PAGE["included"].dataType)])
+PAYMENT_DOC = T.StructType([T.StructField("data", PAYMENTS_PAGE["data"].dataType.elementType)])
+
 # Fixed value: the offset written on landed timestamps (local wall clock is kept).
 LANDED_OFFSET = "-03:00"
 
 
 # --------------------------------------------------------------------------- reading
 
+_CORRUPT = "_corrupt_record"
+
+
+def read_landing(spark, path: str, schema: T.StructType) -> DataFrame:
+    """Landed page files (JSON lines) under ``path/branch=<name>/`` -> (branch, doc, page,
+    corrupt, landed_at). The branch is the folder's name as text; ``landed_at`` orders the
+    pages as they landed (file, block, line); ``corrupt`` marks text that is not JSON of
+    the page's form, such as a page that was cut off."""
+    lines = spark.read.schema("value string, branch string").text(path)
+    full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                  F.monotonically_increasing_id().alias("line"))
+    return lines.select("branch", F.col("value").alias("doc"), at.alias("landed_at"),
+                        F.from_json("value", full, {"columnNameOfCorruptRecord": _CORRUPT}).alias("page")) \
+        .withColumn("corrupt", F.col("page").isNull() | F.col(f"page.{_CORRUPT}").isNotNull())
+
+
 def read_pages(spark, path: str, schema: T.StructType) -> DataFrame:
-    """Landed page files (JSON lines) under ``path/branch=<name>/`` -> (branch, page).
-    The branch comes from partition discovery on the folder names."""
-    full = T.StructType(schema.fields + [T.StructField("branch", T.StringType())])
-    df = spark.read.schema(full).json(path)
-    return df.select("branch", F.struct(*[F.col(f.name) for f in schema.fields]).alias("page"))
+    """The readable pages of a landing folder: (branch, page, landed_at)."""
+    return read_landing(spark, path, schema).filter(~F.col("corrupt")).select("branch", "page", "landed_at")
+
+
+def read_rejects(spark, path: str, schema: T.StructType) -> DataFrame:
+    """The pages that could not be read: (branch, doc), to be kept and counted."""
+    return read_landing(spark, path, schema).filter("corrupt").select("branch", "doc")
 
 
 def write_pages(docs: DataFrame, path: str) -> None:
@@ -93,58 +117,99 @@ def parse_pages(docs: DataFrame, schema: T.StructType) -> DataFrame:
 
 # --------------------------------------------------------------------------- flattening
 
+def _records(pages: DataFrame, path: str) -> tuple[DataFrame, list[str]]:
+    """(branch, r) per record of an array, with its place in the landing order if known."""
+    if "landed_at" not in pages.columns:
+        return pages.select("branch", F.explode(path).alias("r")), []
+    p = pages.select("branch", "landed_at", F.posexplode(path).alias("_pos", "r"))
+    place = F.struct(F.col("landed_at.file").alias("file"), F.col("landed_at.block").alias("block"),
+                     F.col("landed_at.line").alias("line"), F.col("_pos").alias("pos"))
+    return p.select("branch", "r", place.alias("landed_at")), ["landed_at"]
+
+
+def _sale_columns(r: str) -> list:
+    return [F.col(f"{r}.id").alias("sale_id"),
+            F.col(f"{r}.attributes.total").cast(MONEY).alias("total"),
+            F.col(f"{r}.attributes.people").alias("people"),
+            F.col(f"{r}.attributes.saleType").alias("sale_type"),
+            strip_zone(f"{r}.attributes.createdAt").alias("created_at"),
+            strip_zone(f"{r}.attributes.closedAt").alias("closed_at"),
+            F.col(f"{r}.relationships.customer.data.id").alias("customer_id"),
+            stay_seconds(f"{r}.attributes.createdAt", f"{r}.attributes.closedAt").alias("stay_seconds"), "branch"]
+
+
+def _item_columns(r: str, sale_id) -> list:
+    return [sale_id.alias("sale_id"),
+            F.col(f"{r}.relationships.product.data.id").alias("product_id"),
+            F.col(f"{r}.attributes.price").cast(MONEY).alias("price"),
+            F.col(f"{r}.attributes.quantity").cast(MONEY).alias("quantity"),
+            F.col(f"{r}.attributes.canceled").alias("canceled"), "branch"]
+
+
+def _payment_columns(r: str) -> list:
+    return [F.col(f"{r}.id").alias("payment_id"),
+            F.col(f"{r}.attributes.amount").cast(MONEY).alias("amount"),
+            strip_zone(f"{r}.attributes.createdAt").alias("created_at"),
+            F.col(f"{r}.relationships.paymentMethod.data.id").alias("method"),
+            F.col(f"{r}.attributes.canceled").alias("canceled"), "branch"]
+
+
 def flatten_sales(pages: DataFrame) -> DataFrame:
-    """sale_id, total, people, sale_type, created_at, closed_at, customer_id, branch.
-    A missing customer link gives a null customer_id (struct paths propagate null)."""
-    s = pages.select("branch", F.explode("page.data").alias("s"))
-    return s.select(
-        F.col("s.id").alias("sale_id"),
-        F.col("s.attributes.total").cast(MONEY).alias("total"),
-        F.col("s.attributes.people").alias("people"),
-        F.col("s.attributes.saleType").alias("sale_type"),
-        strip_zone("s.attributes.createdAt").alias("created_at"),
-        strip_zone("s.attributes.closedAt").alias("closed_at"),
-        F.col("s.relationships.customer.data.id").alias("customer_id"),
-        "branch")
+    """sale_id, total, people, sale_type, created_at, closed_at, customer_id, stay_seconds,
+    branch. A missing customer link gives a null customer_id (struct paths propagate null)."""
+    s, place = _records(pages, "page.data")
+    return s.select(*_sale_columns("r"), *place)
 
 
 def flatten_items(pages: DataFrame) -> DataFrame:
     """sale_id (from the item's own sale link), product_id, price, quantity, canceled, branch.
     ``explode`` (not ``explode_outer``): pages without items emit nothing."""
-    i = pages.select("branch", F.explode("page.included").alias("i"))
-    return i.select(
-        F.col("i.relationships.sale.data.id").alias("sale_id"),
-        F.col("i.relationships.product.data.id").alias("product_id"),
-        F.col("i.attributes.price").cast(MONEY).alias("price"),
-        F.col("i.attributes.quantity").cast(MONEY).alias("quantity"),
-        F.col("i.attributes.canceled").alias("canceled"),
-        "branch")
+    i, place = _records(pages, "page.included")
+    return i.select(*_item_columns("r", F.col("r.relationships.sale.data.id")), *place)
 
 
 def flatten_payments(pages: DataFrame) -> DataFrame:
     """payment_id, amount, created_at, method, canceled, branch."""
-    p = pages.select("branch", F.explode("page.data").alias("p"))
-    return p.select(
-        F.col("p.id").alias("payment_id"),
-        F.col("p.attributes.amount").cast(MONEY).alias("amount"),
-        strip_zone("p.attributes.createdAt").alias("created_at"),
-        F.col("p.relationships.paymentMethod.data.id").alias("method"),
-        F.col("p.attributes.canceled").alias("canceled"),
-        "branch")
+    p, place = _records(pages, "page.data")
+    return p.select(*_payment_columns("r"), *place)
+
+
+def flatten_sale_docs(docs: DataFrame) -> DataFrame:
+    """``flatten_sales`` for documents of one sale each (``SALE_DOC``)."""
+    place = ["landed_at"] if "landed_at" in docs.columns else []
+    return docs.filter(F.col("page.data").isNotNull()).select(*_sale_columns("page.data"), *place)
+
+
+def flatten_sale_doc_items(docs: DataFrame) -> DataFrame:
+    """``flatten_items`` for documents of one sale each: the items belong to the enclosing
+    sale, whatever link they carry."""
+    sales = docs.withColumn("_sale", F.col("page.data.id"))
+    place = ["landed_at"] if "landed_at" in docs.columns else []
+    i = sales.select("branch", "_sale", *place, F.posexplode("page.included").alias("_pos", "r"))
+    at = [F.struct(*[F.col(f"landed_at.{c}").alias(c) for c in ("file", "block", "line")],
+                   F.col("_pos").alias("pos")).alias("landed_at")] if place else []
+    return i.select(*_item_columns("r", F.col("_sale")), *at)
+
+
+def flatten_payment_docs(docs: DataFrame) -> DataFrame:
+    """``flatten_payments`` for documents of one payment each (``PAYMENT_DOC``)."""
+    place = ["landed_at"] if "landed_at" in docs.columns else []
+    return docs.filter(F.col("page.data").isNotNull()).select(*_payment_columns("page.data"), *place)
 
 
 def flatten_categories(pages: DataFrame) -> DataFrame:
     """product_category, product_id, branch: one row per (category, linked product)."""
-    c = pages.select("branch", F.explode("page.data").alias("c"))
-    return c.select("branch", F.col("c.attributes.name").alias("product_category"),
-                    F.explode("c.relationships.products.data").alias("p")) \
-        .select("product_category", F.col("p.id").alias("product_id"), "branch")
+    c, place = _records(pages, "page.data")
+    return c.select("branch", F.col("r.attributes.name").alias("product_category"), *place,
+                    F.explode("r.relationships.products.data").alias("p")) \
+        .select("product_category", F.col("p.id").alias("product_id"), "branch", *place)
 
 
 def flatten_products(pages: DataFrame) -> DataFrame:
     """product_id, product_name, branch."""
-    p = pages.select("branch", F.explode("page.data").alias("p"))
-    return p.select(F.col("p.id").alias("product_id"), F.col("p.attributes.name").alias("product_name"), "branch")
+    p, place = _records(pages, "page.data")
+    return p.select(F.col("r.id").alias("product_id"), F.col("r.attributes.name").alias("product_name"), "branch",
+                    *place)
 
 
 # --------------------------------------------------------------------------- page builders
@@ -153,32 +218,24 @@ def _landed_ts(c: str):
     return F.date_format(F.col(c), f"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'{LANDED_OFFSET}'")
 
 
-def _page_of(id_col: str, page_ids: int):
-    return F.floor(numeric_id(id_col) / F.lit(page_ids))
+def _page(per_page: int):
+    """Page number of a row: consecutive rows of a scan partition fill a page, so every page
+    has at most ``per_page`` records, whatever ids they carry, and nothing is counted first."""
+    return F.floor(F.monotonically_increasing_id() / F.lit(per_page)).alias("page_no")
 
 
 def _to_docs(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.select("branch", F.to_json(F.struct(*fields)).alias("doc"))
 
 
-def _bounded_pages(recs: DataFrame, keys: list[str], out: str, per_page: int) -> DataFrame:
-    """Group (keys..., rec) rows into arrays of at most about ``per_page`` records.
-
-    The rows of each key group are counted first (a partial aggregate); a group larger
-    than ``per_page`` (e.g. many re-delivered copies of one id) is spread over
-    ceil(count / per_page) sub-pages by a hash of the row id, so no array, and no task
-    building one, grows with the data.
-    """
-    r = recs.withColumn("_h", F.xxhash64(F.monotonically_increasing_id()))
-    sizes = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    r = r.join(sizes, keys)
-    sub = F.pmod(F.col("_h"), F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(per_page))))
-    return r.groupBy(*keys, sub.alias("_sub")).agg(F.collect_list("rec").alias(out))
+def _bounded_pages(recs: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """(keys..., rec) rows -> arrays of records per page. Null keys are groups as well."""
+    return recs.groupBy(*keys).agg(F.collect_list("rec").alias(out))
 
 
 def build_sale_docs(sales: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:
-    """(branch, doc): sales pages (``data``), one per sale-id range of ``page_ids`` ids."""
-    s = sales.select("branch", _page_of("sale_id", page_ids).alias("page_no"), F.struct(
+    """(branch, doc): sales pages (``data``) of at most ``page_ids`` sales."""
+    s = sales.select("branch", _page(page_ids), F.struct(
         F.col("sale_id").alias("id"),
         F.struct(F.col("total").cast("double").alias("total"), F.lit(None).cast("int").alias("people"),
                  F.col("sale_type").alias("saleType"), _landed_ts("created_at").alias("createdAt"),
@@ -187,22 +244,21 @@ def build_sale_docs(sales: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:
                                  F.struct(F.col("customer_id").alias("id"))).alias("data")).alias("customer"))
         .alias("relationships")).alias("rec"))
     empty_items = F.array().cast(SALES_PAGE["included"].dataType)
-    sp = _bounded_pages(s, ["branch", "page_no"], "data", page_ids) \
+    sp = _bounded_pages(s, ["branch", "page_no"], "data") \
         .select("branch", "data", empty_items.alias("included"))
     return _to_docs(sp, ["data", "included"])
 
 
-def build_item_docs(lines: DataFrame, page_ids: int = PAGE_IDS, items_per_page: int = PAGE_IDS) -> DataFrame:
-    """(branch, doc): line-item pages (``included``; each item names its sale), grouped by
-    the sale-id range of their sale and split so no page exceeds ~``items_per_page``."""
-    i = lines.select("branch", _page_of("sale_id", page_ids).alias("page_no"), F.struct(
+def build_item_docs(lines: DataFrame, items_per_page: int = PAGE_IDS) -> DataFrame:
+    """(branch, doc): line-item pages (``included``; each item names its sale)."""
+    i = lines.select("branch", _page(items_per_page), F.struct(
         F.struct(F.col("price").cast("double").alias("price"), F.col("quantity").cast("double").alias("quantity"),
                  F.col("canceled").alias("canceled")).alias("attributes"),
         F.struct(F.struct(F.struct(F.col("sale_id").alias("id")).alias("data")).alias("sale"),
                  F.struct(F.struct(F.col("product_id").alias("id")).alias("data")).alias("product"))
         .alias("relationships")).alias("rec"))
     empty_sales = F.array().cast(SALES_PAGE["data"].dataType)
-    ip = _bounded_pages(i, ["branch", "page_no"], "included", items_per_page) \
+    ip = _bounded_pages(i, ["branch", "page_no"], "included") \
         .select("branch", empty_sales.alias("data"), "included")
     return _to_docs(ip, ["data", "included"])
 
@@ -210,26 +266,26 @@ def build_item_docs(lines: DataFrame, page_ids: int = PAGE_IDS, items_per_page:
 def build_sales_pages(sales: DataFrame, lines: DataFrame, page_ids: int = PAGE_IDS,
                       items_per_page: int = PAGE_IDS) -> DataFrame:
     """The landed sales feed: sale pages and their line-item pages."""
-    return build_sale_docs(sales, page_ids).unionByName(build_item_docs(lines, page_ids, items_per_page))
+    return build_sale_docs(sales, page_ids).unionByName(build_item_docs(lines, items_per_page))
 
 
 def build_payment_pages(payments: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:
-    p = payments.select("branch", _page_of("payment_id", page_ids).alias("page_no"), F.struct(
+    p = payments.select("branch", _page(page_ids), F.struct(
         F.col("payment_id").alias("id"),
         F.struct(F.col("amount").cast("double").alias("amount"), _landed_ts("created_at").alias("createdAt"),
                  F.col("canceled").alias("canceled")).alias("attributes"),
         F.struct(F.struct(F.struct(F.col("method").alias("id")).alias("data")).alias("paymentMethod"))
         .alias("relationships")).alias("rec"))
-    return _to_docs(_bounded_pages(p, ["branch", "page_no"], "data", page_ids), ["data"])
+    return _to_docs(_bounded_pages(p, ["branch", "page_no"], "data"), ["data"])
 
 
 def build_category_pages(catalog: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:
-    """One category entry per (branch, category, id range, sub-page): a category with many
-    products is split over several entries, each listing at most ~``page_ids`` ids."""
+    """A category with many products is split over several entries, each listing at most
+    ``page_ids`` products."""
     c = catalog.filter(F.col("product_category").isNotNull()).select(
-        "branch", "product_category", _page_of("product_id", page_ids).alias("page_no"),
+        "branch", "product_category", _page(page_ids),
         F.struct(F.col("product_id").alias("id")).alias("rec"))
-    entries = _bounded_pages(c, ["branch", "product_category", "page_no"], "refs", page_ids)
+    entries = _bounded_pages(c, ["branch", "product_category", "page_no"], "refs")
     rec = F.struct(F.col("product_category").alias("id"),
                    F.struct(F.col("product_category").alias("name")).alias("attributes"),
                    F.struct(F.struct(F.col("refs").alias("data")).alias("products")).alias("relationships"))
@@ -237,6 +293,36 @@ def build_category_pages(catalog: DataFrame, page_ids: int = PAGE_IDS) -> DataFr
 
 
 def build_product_pages(catalog: DataFrame, page_ids: int = PAGE_IDS) -> DataFrame:
-    p = catalog.select("branch", _page_of("product_id", page_ids).alias("page_no"), F.struct(
+    p = catalog.select("branch", _page(page_ids), F.struct(
         F.col("product_id").alias("id"), F.struct(F.col("product_name").alias("name")).alias("attributes")).alias("rec"))
-    return _to_docs(_bounded_pages(p, ["branch", "page_no"], "data", page_ids), ["data"])
+    return _to_docs(_bounded_pages(p, ["branch", "page_no"], "data"), ["data"])
+
+
+def build_sale_single_docs(sales: DataFrame, lines: DataFrame) -> DataFrame:
+    """(branch, doc): one document per sale with its items, which name no sale; lines
+    without a sale are not delivered this way."""
+    sale = sales.select("branch", "sale_id", F.struct(
+        F.col("sale_id").alias("id"),
+        F.struct(F.col("total").cast("double").alias("total"), F.lit(None).cast("int").alias("people"),
+                 F.col("sale_type").alias("saleType"), _landed_ts("created_at").alias("createdAt"),
+                 _landed_ts("closed_at").alias("closedAt")).alias("attributes"),
+        F.struct(F.struct(F.when(F.col("customer_id").isNotNull(),
+                                 F.struct(F.col("customer_id").alias("id"))).alias("data")).alias("customer"))
+        .alias("relationships")).alias("data"))
+    items = lines.groupBy(F.col("sale_id").alias("_sale"), F.col("branch").alias("_branch")).agg(F.collect_list(F.struct(
+        F.struct(F.col("price").cast("double").alias("price"), F.col("quantity").cast("double").alias("quantity"),
+                 F.col("canceled").alias("canceled")).alias("attributes"),
+        F.struct(F.struct(F.struct(F.col("product_id").alias("id")).alias("data")).alias("product"))
+        .alias("relationships"))).alias("included"))
+    both = sale.join(items, (F.col("sale_id") == F.col("_sale")) & F.col("branch").eqNullSafe(F.col("_branch")), "left")
+    return _to_docs(both, ["data", "included"])
+
+
+def build_payment_single_docs(payments: DataFrame) -> DataFrame:
+    """(branch, doc): one document per payment."""
+    return _to_docs(payments.select("branch", F.struct(
+        F.col("payment_id").alias("id"),
+        F.struct(F.col("amount").cast("double").alias("amount"), _landed_ts("created_at").alias("createdAt"),
+                 F.col("canceled").alias("canceled")).alias("attributes"),
+        F.struct(F.struct(F.struct(F.col("method").alias("id")).alias("data")).alias("paymentMethod"))
+        .alias("relationships")).alias("data")), ["data"])

@@ -151,14 +151,11 @@ def catalog_name(p: str = "") -> Column:
 
 
 def fx_catalog(spark, sf_dir) -> DataFrame:
-    """product_id, product_name, product_category, branch: every part in every branch.
-
-    The branch names come from the region dimension as one array (a scalar subquery over
-    its 5 rows) that each part row explodes: the expansion is linear in the parts, with
-    no join and no cartesian product in the plan.
-    """
+    """product_id, product_name, product_category, branch: every part in every branch (the
+    product of the part table with the rows of the region dimension, written as an array
+    of the branch names that each part explodes)."""
     branches = table(spark, sf_dir, "region").agg(F.collect_list("r_name")).scalar()
-    part = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 50 != 0)
+    part = table(spark, sf_dir, "part")
     return part.select(
         F.col("p_partkey").cast("string").alias("product_id"),
         catalog_name().alias("product_name"),
@@ -168,6 +165,12 @@ def fx_catalog(spark, sf_dir) -> DataFrame:
     )
 
 
+def fx_catalog_with_gaps(spark, sf_dir) -> DataFrame:
+    """The catalogue that lines are joined with: one part in fifty is not in it, so that the
+    left join has lines without a match."""
+    return fx_catalog(spark, sf_dir).filter(F.col("product_id").cast("bigint") % 50 != 0)
+
+
 def fx_known_pairs(spark, sf_dir) -> DataFrame:
     """The existing product -> category mart: (product, category) of even part keys."""
     part = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 2 == 0)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from branchlens.functions.semantics import strip_zone
+from branchlens.functions.semantics import stay_seconds, strip_zone
 from branchlens.schemas import BOOKING_RAW, RAW_COLUMN_NAMES, SHEET_COLUMN_NAMES
 
 log = logging.getLogger("branchlens")
@@ -43,13 +43,24 @@ def conform(df: DataFrame, schema: T.StructType, renames: dict[str, str] | None
     return df.select(*cols)
 
 
+def _csv(spark: SparkSession, path: str) -> DataFrame:
+    """Headered CSV as text: a cell with commas, quotes or line ends is quoted, and quotes
+    inside it are doubled. Cells with line ends keep a file from being split, so large
+    exports are read once and kept as parquet."""
+    return spark.read.option("header", True).option("inferSchema", False).option("quote", '"') \
+        .option("escape", '"').option("multiLine", True).csv(path)
+
+
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A headered raw CSV table in the export format -> entity schema (S1, S3).
 
     Read as text (every column a string, no inference job), then conformed: a file
     without a branch column gets a null branch, ids become strings whatever their origin.
+    Sales get the length of their stay from the landed instants, before zones are dropped.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = _csv(spark, path)
+    if "stay_seconds" in schema.fieldNames() and {"createdAt", "closedAt"} <= set(raw.columns):
+        raw = raw.withColumn("stay_seconds", stay_seconds("createdAt", "closedAt"))
     return conform(raw, schema, RAW_COLUMN_NAMES)
 
 
@@ -70,8 +81,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     """Exported bookings sheet (S10): header row + rows, all text; no row cap."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return conform(raw, BOOKING_RAW, SHEET_COLUMN_NAMES)
+    return conform(_csv(spark, path), BOOKING_RAW, SHEET_COLUMN_NAMES)
 
 
 def read_mart(spark: SparkSession, location: str, warn_if_empty: bool = False) -> DataFrame:
@@ -84,6 +94,19 @@ def read_mart(spark: SparkSession, location: str, warn_if_empty: bool = False) -
     return df
 
 
-def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    """Processed facts written by ``sinks.write_facts`` (S12); month partitions prune."""
-    return spark.read.parquet(path)
+def read_facts(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Processed facts written by ``sinks.write_facts`` (S12); month partitions prune. With
+    ``schema`` an empty or missing table is an empty frame and partition values keep their
+    declared type (a branch ``01`` stays text)."""
+    return spark.read.parquet(path) if schema is None else read_table(spark, path, schema)
+
+
+def read_table(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """A table with its declared schema; a missing folder is an empty table."""
+    return spark.read.schema(schema).format(fmt).load(path) if path_exists(spark, path) else empty(spark, schema)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, by the file system that Spark itself uses."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -1,12 +1,12 @@
 """Sinks: versioned full-refresh tables, partitioned facts, marts, append-only pairs,
 ranking reports, accepted / rejected splits and run counts.
 
-A table that is read and rewritten by the same job is never overwritten in place:
-small full-refresh tables are published as immutable versions (``VersionedTable``);
-large keyed tables are merged partition by partition (``upsert_partitions``): only
-the partitions a batch touches are read, merged into a staging folder (the lineage
-cut), and then swapped in with a dynamic partition overwrite. Both are idempotent, so
-a job (or a replayed micro-batch) that died half-way can simply run again.
+Full-refresh tables (marts, reports) are published as immutable versions
+(``VersionedTable``), so a crash leaves the version before. Large keyed tables are merged
+partition by partition (``upsert_partitions``): only the partitions a batch touches are
+read, merged into a staging folder (the lineage cut), recorded as ready, and swapped in
+with a dynamic partition overwrite; a run that finds a ready but unfinished swap repeats it
+before anything else. A job (or a replayed micro-batch) that died can simply run again.
 """
 
 from __future__ import annotations
@@ -17,8 +17,11 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from branchlens.sources.readers import read_table
+
 
 class VersionedTable:
     """Parquet table under ``base``: immutable ``base/v-<id>/`` folders plus an
@@ -48,7 +51,9 @@ class VersionedTable:
         cur = self.current()
         if cur is None:
             return None if schema is None else self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(cur["path"])
+        # The schema is part of the version: folder names must not change a column's type.
+        schema = schema or T.StructType.fromJson(json.loads(cur["meta"])["schema"])
+        return self.spark.read.schema(schema).parquet(cur["path"])
 
     def publish(self, df: DataFrame, partition_by: list[str] | None = None, **meta) -> str:
         now = dt.datetime.now(dt.timezone.utc)
@@ -57,34 +62,35 @@ class VersionedTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        record = [(path, now.isoformat(), json.dumps(meta, default=str))]
+        record = [(path, now.isoformat(), json.dumps({**meta, "schema": json.loads(df.schema.json())}, default=str))]
         self.spark.createDataFrame(record, "path string, published string, meta string") \
             .coalesce(1).write.mode("append").json(self.log)
         return path
 
 
-def write_raw(df: DataFrame, table: VersionedTable) -> str:
-    """Raw table full refresh (S13) as a new version."""
-    return table.publish(df)
-
-
 def write_facts(df: DataFrame, path: str, partition_col: str = "month", dynamic: bool = True,
                 max_records_per_file: int = 5_000_000) -> None:
     """Processed facts partitioned by month (S14). With ``dynamic`` only the months
-    present in ``df`` are replaced, so a daily increment rewrites one or two months.
+    present in ``df`` are replaced, so a daily increment rewrites one or two months;
+    without it the table is replaced and months that left the input are gone.
 
-    No shuffle by month (a month can hold a large share of all rows and would land in
-    one task): each task writes the months it holds, sorted locally so it keeps one
-    open file at a time, and files are capped at ``max_records_per_file`` rows.
+    The rows are rebalanced by month: adaptive execution gives a small month one task and
+    one file, and splits a month that holds a large share of all rows over several.
     """
     mode = "dynamic" if dynamic else "static"
-    df.sortWithinPartitions(partition_col).write.mode("overwrite").option("partitionOverwriteMode", mode) \
+    df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", mode) \
         .option("maxRecordsPerFile", max_records_per_file).partitionBy(partition_col).parquet(path)
 
 
-def publish_mart(df: DataFrame, path: str) -> None:
-    """Full-refresh mart (S15): a true replace (rows with a 0 measure do not survive)."""
-    df.write.mode("overwrite").parquet(path)
+def publish_mart(df: DataFrame, path: str) -> str:
+    """Full-refresh mart (S15): a true replace (rows with a 0 measure do not survive),
+    published as a new version. Returns the version's folder."""
+    return VersionedTable(df.sparkSession, path).publish(df)
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current version of a mart; None before the first one."""
+    return VersionedTable(spark, path).read()
 
 
 def append_new_pairs(spark: SparkSession, pairs: DataFrame, path: str) -> DataFrame:
@@ -94,7 +100,9 @@ def append_new_pairs(spark: SparkSession, pairs: DataFrame, path: str) -> DataFr
     from branchlens.schemas import KNOWN_PAIR
     from branchlens.sources.readers import read_or_empty
     existing = read_or_empty(spark, path, KNOWN_PAIR, fmt="parquet")
-    new = new_pairs(pairs, existing)
+    # The mart's key is the product: a product that is there keeps its category.
+    new = new_pairs(pairs, existing).join(existing.select("product").distinct(), "product", "left_anti") \
+        .select("product", "category")
     new.write.mode("append").parquet(path)
     return new
 
@@ -104,13 +112,24 @@ def publish_reports(reports: DataFrame, path: str) -> None:
 
     The rows are globally sorted (range partitioning), so each task writes a contiguous
     slice of the ranking and part files of a folder follow each other in rank order."""
-    reports.orderBy("report", "scope", F.col("qty").desc(), F.col("product").asc()) \
-        .write.mode("overwrite").partitionBy("report", "scope").parquet(path)
+    VersionedTable(reports.sparkSession, path).publish(
+        reports.orderBy("report", "scope", F.col("qty").desc(), F.col("product").asc()), ["report", "scope"])
+
+
+def publish_reconciliation(daily: DataFrame, path: str) -> None:
+    """Reconciliation sheets (S17): per branch one sheet with all days and one with the days
+    on which the three sources differ, newest day first."""
+    amounts = [c for c in daily.columns if c not in ("branch", "day")]
+    differs = F.size(F.array_distinct(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in amounts]))) > 1
+    sheets = daily.withColumn("sheet", F.explode(F.when(differs, F.array(F.lit("all_days"), F.lit("differences")))
+                                                 .otherwise(F.array(F.lit("all_days")))))
+    VersionedTable(daily.sparkSession, path).publish(
+        sheets.orderBy("sheet", "branch", F.col("day").desc()), ["sheet", "branch"])
 
 
 def write_accepted_rejected(split: DataFrame, path: str) -> None:
     """Both sides of the constraint split (S18), partitioned by status."""
-    split.write.mode("overwrite").partitionBy("status").parquet(path)
+    VersionedTable(split.sparkSession, path).publish(split, ["status"])
 
 
 def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -119,29 +138,65 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def upsert_partitions(spark: SparkSession, batch: DataFrame, target: str, keys: list[str], order: list,
-                      part_col: str, staging: str) -> None:
-    """Keyed keep-last merge of ``batch`` into the parquet table ``target`` partitioned
-    by ``part_col`` (which must not change for a key, e.g. the creation month).
+def _journal(spark: SparkSession, target: str) -> tuple[str, DataFrame]:
+    path = f"{target.rstrip('/')}__journal"
+    return path, read_table(spark, path, "staging string, state string", fmt="json")
 
-    1. the distinct partition values of the batch are read to the driver (a handful of
-       months: bounded by the calendar, not by the data);
-    2. only those partitions of the target are scanned (partition pruning), unioned with
+
+def _record(spark: SparkSession, journal: str, staging: str, state: str) -> None:
+    spark.createDataFrame([(staging, state)], "staging string, state string").coalesce(1) \
+        .write.mode("append").json(journal)
+
+
+def _swap(spark: SparkSession, staging: str, target: str, schema: T.StructType, part_col: str) -> None:
+    """Replace the partitions of ``target`` that ``staging`` holds."""
+    spark.read.schema(schema).parquet(staging).hint("rebalance", part_col) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target)
+
+
+def finish_swaps(spark: SparkSession, target: str, schema: T.StructType, part_col: str) -> int:
+    """Repeat every swap that was ready but not finished when a job died: its staging folder
+    is complete, so the table gets whole partitions whatever the swap had already removed."""
+    path, log = _journal(spark, target)
+    state = log.groupBy("staging").agg(F.collect_set("state").alias("states"))
+    open_ = [r.staging for r in state.filter(~F.array_contains("states", "done")).orderBy("staging").collect()]
+    for staging in open_:  # at most one: a table has one writer
+        _swap(spark, staging, target, schema, part_col)
+        _record(spark, path, staging, "done")
+    return len(open_)
+
+
+def upsert_partitions(spark: SparkSession, batch: DataFrame, target: str, keys: list[str], order: list,
+                      part_col: str, staging: str, schema: T.StructType) -> bool:
+    """Keyed keep-last merge of ``batch`` into the parquet table ``target`` (of ``schema``)
+    partitioned by ``part_col`` (which must not change for a key, e.g. the creation month).
+
+    1. a swap that an earlier job left unfinished is finished first;
+    2. the distinct partition values of the batch are read to the driver (months, bounded by
+       the calendar; branches for the catalogue); an empty batch ends here (False);
+    3. only those partitions of the target are scanned (partition pruning), unioned with
        the batch and reduced to the last row per key;
-    3. the result is written to ``staging`` (cutting lineage to the target), then
-       copied over the target with dynamic partition overwrite, so untouched partitions
-       are not rewritten. Re-running after a failure yields the same table.
+    4. the result is written to ``staging`` (cutting lineage to the target) and recorded as
+       ready in the table's journal, then copied over the target with dynamic partition
+       overwrite, and recorded as done. A job that dies before "ready" has changed nothing;
+       after it, the next run copies the complete staging folder again.
     """
     from branchlens.operators.incremental import keep_last
+    finish_swaps(spark, target, schema, part_col)
     parts = [r[0] for r in batch.select(part_col).distinct().collect()]
+    if not parts:
+        return False
     touched = F.col(part_col).isin([p for p in parts if p is not None])
     if any(p is None for p in parts):  # the null partition is replaced too: read it
         touched = touched | F.col(part_col).isNull()
-    try:
-        existing = spark.read.parquet(target).filter(touched)
-        merged = existing.unionByName(batch, allowMissingColumns=True)
-    except AnalysisException:  # first load
-        merged = batch
-    keep_last(merged, keys, order).write.mode("overwrite").partitionBy(part_col).parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(part_col).parquet(target)
+    names = schema.fieldNames()
+    given = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in batch.columns
+             else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    existing = read_table(spark, target, schema).filter(touched).select(*names)
+    merged = keep_last(existing.unionByName(batch.select(*given)), keys, order)
+    merged.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col).parquet(staging)
+    journal = f"{target.rstrip('/')}__journal"
+    _record(spark, journal, staging, "ready")
+    _swap(spark, staging, target, schema, part_col)
+    _record(spark, journal, staging, "done")
+    return True

@@ -32,17 +32,29 @@ def merge_batch(spark: SparkSession, target: str, staging_root: str, schema: T.S
     def merge(batch_df: DataFrame, batch_id: int) -> None:
         incoming = batch_df.select(*[f.name for f in schema.fields], "batch").withColumn(part_col, part_expr)
         upsert_partitions(spark, incoming, target, list(keys), ["batch", *order], part_col,
-                          f"{staging_root}/micro_batch={batch_id}")
+                          f"{staging_root}/micro_batch={batch_id}", table_schema(schema, part_col))
     return merge
 
 
+def table_schema(schema: T.StructType, part_col: str) -> T.StructType:
+    """The target: the landed columns, the landing batch and the partition column last."""
+    fields = [f for f in schema.fields if f.name != part_col]
+    return T.StructType([*fields, T.StructField("batch", T.IntegerType()), T.StructField(part_col, T.StringType())])
+
+
 def run_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, target: str, keys: Sequence[str],
                       order: Sequence[str], workdir: str, part_col: str = "month",
-                      part_expr: Column | None = None, files_per_trigger: int = 1):
-    """Consume everything landed so far (``availableNow``) and stop."""
+                      part_expr: Column | None = None, files_per_trigger: int | None = None,
+                      bytes_per_trigger: str = "8g"):
+    """Consume everything landed so far (``availableNow``) and stop.
+
+    A micro-batch takes about ``bytes_per_trigger`` of landed files (or a number of files),
+    so a month is rewritten once per that much input, not once per file."""
     part_expr = month_of("created_at") if part_expr is None else part_expr
     full = T.StructType(schema.fields + [T.StructField("batch", T.IntegerType())])
-    stream = spark.readStream.schema(full).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
+    limit = ("maxBytesPerTrigger", bytes_per_trigger) if files_per_trigger is None \
+        else ("maxFilesPerTrigger", files_per_trigger)
+    stream = spark.readStream.schema(full).option(*limit).parquet(landing)
     q = (stream.writeStream
          .foreachBatch(merge_batch(spark, target, f"{workdir}/staging", schema, keys, order, part_col, part_expr))
          .option("checkpointLocation", f"{workdir}/checkpoint").trigger(availableNow=True).start())
@@ -51,10 +63,10 @@ def run_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, t
 
 
 def stream_upsert(spark: SparkSession, batches: list[DataFrame], schema: T.StructType, keys: Sequence[str],
-                  order: Sequence[str], workdir: str, files_per_trigger: int = 1) -> DataFrame:
+                  order: Sequence[str], workdir: str, files_per_trigger: int | None = None) -> DataFrame:
     """Land ``batches`` in order, run the stream to completion, return the merged table."""
     landing, target = f"{workdir}/landing", f"{workdir}/table"
     for i, b in enumerate(batches):
         land_batch(b.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), landing, i)
     run_upsert_stream(spark, landing, schema, target, keys, order, workdir, files_per_trigger=files_per_trigger)
-    return spark.read.parquet(target)
+    return spark.read.schema(table_schema(schema, "month")).parquet(target)

@@ -30,10 +30,13 @@ def test_bootstrap_then_incremental(spark, sf_dir):
 
     counts = ingest.bootstrap(spark, f"{root}/landing0", f"{root}/raw")
     assert counts == {"sales": old_sales.count(), "lines": old_lines.count(), "payments": old_pays.count(),
-                      "products": cat.filter("product_category IS NOT NULL").count()}
+                      "products": cat.filter("product_category IS NOT NULL").count(), "rejected_pages": 0}
 
+    # the lookback tail are the sales that landed last, so the marks follow the landing order
+    table = lambda n: ingest.read_table(spark, f"{root}/raw/{n}", ingest.RAW_TABLES[n])
+    s_marks, p_marks = (spark.createDataFrame(m.collect(), m.schema)
+                        for m in I.incremental_marks(table("sales"), table("payments")))
     got = ingest.incremental(spark, f"{root}/landing1", f"{root}/raw", seq=1)
-    s_marks, p_marks = I.incremental_marks(old_sales, old_pays)
     sel_sales = I.select_after_marks(sales, s_marks, "sale_id")
     sel_pays = I.select_after_marks(pays, p_marks, "payment_id")
     assert got["sales"] == sel_sales.count() > 0 and got["payments"] == sel_pays.count() > 0
@@ -54,3 +57,129 @@ def test_bootstrap_then_incremental(spark, sf_dir):
     assert raw_products.count() == cat.count()  # refreshed: uncategorised products now present
     assert raw_products.filter(F.col("product_name") != F.upper("product_name")).count() == 0
     assert raw_sales.agg(F.max(numeric_id("sale_id"))).first()[0] == sales.agg(F.max(numeric_id("sale_id"))).first()[0]
+
+
+# ---------------------------------------------------------------- small landings by hand
+
+def page(**doc):
+    import json
+    return json.dumps(doc)
+
+
+def sale(i, total=10.0, branch_closed="2024-01-01T13:00:00.000000-03:00", created="2024-01-01T12:00:00.000000-03:00"):
+    return {"id": str(i), "attributes": {"total": total, "people": 2, "saleType": "EAT-IN", "createdAt": created,
+                                         "closedAt": branch_closed}, "relationships": {}}
+
+
+def item(s, p, price=5.0):
+    return {"attributes": {"price": price, "quantity": 1.0, "canceled": False},
+            "relationships": {"sale": {"data": {"id": str(s)}}, "product": {"data": {"id": str(p)}}}}
+
+
+def payment(i, amount=1.0):
+    return {"id": str(i), "attributes": {"amount": amount, "createdAt": "2024-01-01T12:00:00.000000-03:00",
+                                         "canceled": False}, "relationships": {"paymentMethod": {"data": {"id": "m"}}}}
+
+
+def write(folder, feed, pages, branch="01"):
+    import os
+    d = f"{folder}/{feed}/branch={branch}"
+    os.makedirs(d, exist_ok=True)
+    with open(f"{d}/page-{len(os.listdir(d)):05d}.json", "w") as f:
+        f.write("\n".join(pages) + "\n")
+
+
+def landing(folder, n, branch="01", extra=()):
+    write(folder, "sales", [page(data=[sale(i) for i in range(1, n + 1)],
+                                 included=[item(i, 7) for i in range(1, n + 1)]), *extra], branch)
+    write(folder, "payments", [page(data=[payment(i) for i in range(1, n + 1)])], branch)
+    write(folder, "products", [page(data=[{"id": "7", "attributes": {"name": "Flan"}}])], branch)
+    write(folder, "categories", [page(data=[{"id": "c", "attributes": {"name": "Dulces"}, "relationships": {
+        "products": {"data": [{"id": "7"}]}}}])], branch)
+
+
+def counts(spark, raw):
+    return {n: ingest.read_table(spark, f"{raw}/{n}", ingest.RAW_TABLES[n]).count()
+            for n in ("sales", "lines", "payments", "products")}
+
+
+def test_incremental_keeps_all_lines_and_can_run_again(spark):
+    root = tempfile.mkdtemp(prefix="branchlens-ingest-")
+    landing(f"{root}/l0", 100)
+    landing(f"{root}/l1", 300)
+    ingest.bootstrap(spark, f"{root}/l0", f"{root}/raw")
+    assert counts(spark, f"{root}/raw") == {"sales": 100, "lines": 100, "payments": 100, "products": 1}
+    first = ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1)
+    assert first["sales"] == first["lines"] == 220 and first["payments"] == 200  # 20 rows of lookback
+    want = {"sales": 300, "lines": 300, "payments": 300, "products": 1}
+    assert counts(spark, f"{root}/raw") == want
+    again = ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 2)
+    assert again["payments"] == 0 and counts(spark, f"{root}/raw") == want
+    assert {r.branch for r in ingest.read_table(spark, f"{root}/raw/products",
+                                                ingest.RAW_TABLES["products"]).collect()} == {"01"}
+
+
+def test_bootstrap_with_repeated_sale_null_branch_and_corrupt_page(spark):
+    root = tempfile.mkdtemp(prefix="branchlens-ingest-")
+    twice = page(data=[sale(1, 99.0), sale(2)], included=[])
+    landing(f"{root}/l", 10, extra=[twice, '{"data": [{"id": "11", "attr'])
+    landing(f"{root}/l", 5, branch="__HIVE_DEFAULT_PARTITION__")
+    got = ingest.bootstrap(spark, f"{root}/l", f"{root}/raw")
+    assert got == {"sales": 17, "lines": 15, "payments": 15, "products": 2, "rejected_pages": 1}
+    lines = ingest.read_table(spark, f"{root}/raw/lines", ingest.RAW_TABLES["lines"])
+    assert lines.filter("month = '2024-01'").count() == 15 and lines.filter("branch IS NULL").count() == 5
+
+
+def test_last_delivery_wins(spark):
+    root = tempfile.mkdtemp(prefix="branchlens-ingest-")
+    landing(f"{root}/l0", 1)
+    ingest.bootstrap(spark, f"{root}/l0", f"{root}/raw")
+    write(f"{root}/l1", "sales", [page(data=[sale(50), sale(50, 7.0)], included=[item(50, 7, 50.0), item(50, 7, 20.0)])])
+    landing(f"{root}/l1", 1)
+    ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1)
+    line = ingest.read_table(spark, f"{root}/raw/lines", ingest.RAW_TABLES["lines"]).filter("sale_id = '50'").collect()
+    assert [float(r.price) for r in line] == [20.0]
+    one = ingest.read_table(spark, f"{root}/raw/sales", ingest.RAW_TABLES["sales"]).filter("sale_id = '50'").collect()
+    assert [float(r.total) for r in one] == [7.0]
+
+
+def test_swap_that_died_half_way_is_finished(spark, monkeypatch):
+    import shutil
+    from branchlens.sources import sinks
+    root = tempfile.mkdtemp(prefix="branchlens-ingest-")
+    landing(f"{root}/l0", 30)
+    landing(f"{root}/l1", 60)
+    ingest.bootstrap(spark, f"{root}/l0", f"{root}/raw")
+    swap = sinks._swap
+
+    def dies(spark_, staging, target, schema, part_col):
+        if target.endswith("/sales"):
+            shutil.rmtree(f"{target}/month=2024-01")  # as if killed between removing and moving in
+            raise KeyboardInterrupt
+        swap(spark_, staging, target, schema, part_col)
+
+    monkeypatch.setattr(sinks, "_swap", dies)
+    try:
+        ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1)
+        raise AssertionError("it should have died")
+    except KeyboardInterrupt:
+        pass
+    assert counts(spark, f"{root}/raw")["sales"] == 0
+    monkeypatch.setattr(sinks, "_swap", swap)
+    ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 2)
+    assert counts(spark, f"{root}/raw") == {"sales": 60, "lines": 60, "payments": 60, "products": 1}
+
+
+def test_single_record_documents(spark):
+    import json
+    one = sale(9, 30.0)
+    it = [{**item(0, 7), "relationships": {"product": {"data": {"id": "7"}}}}]
+    docs = spark.createDataFrame([("A", json.dumps({"data": one, "included": it})), ("A", json.dumps({"data": sale(10)}))],
+                                 "branch string, doc string")
+    parsed = D.parse_pages(docs, D.SALE_DOC)
+    assert [(r.sale_id, float(r.total), r.stay_seconds) for r in D.flatten_sale_docs(parsed).collect()] == \
+        [("9", 30.0, 3600), ("10", 10.0, 3600)]
+    assert [(r.sale_id, r.product_id) for r in D.flatten_sale_doc_items(parsed).collect()] == [("9", "7")]
+    pays = D.parse_pages(spark.createDataFrame([("A", json.dumps({"data": payment(4)}))], "branch string, doc string"),
+                         D.PAYMENT_DOC)
+    assert [(r.payment_id, r.method) for r in D.flatten_payment_docs(pays).collect()] == [("4", "m")]

@@ -83,11 +83,11 @@ def test_reports_and_split(spark):
     rep = spark.createDataFrame([("today", "A", "p", 2.0, 1.0), ("today", "A", "q", 1.0, 1.0)],
                                 "report string, scope string, product string, qty double, revenue double")
     sinks.publish_reports(rep, d + "/reports")
-    back = spark.read.parquet(d + "/reports").filter("report = 'today' AND scope = 'A'")
+    back = sinks.read_published(spark, d + "/reports").filter("report = 'today' AND scope = 'A'")
     assert back.count() == 2
     split = spark.createDataFrame([("p", "c", "accepted", None)], "product string, category string, status string, reason string")
     sinks.write_accepted_rejected(split, d + "/split")
-    assert spark.read.parquet(d + "/split").count() == 1
+    assert sinks.read_published(spark, d + "/split").count() == 1
 
 
 def test_observed_counts(spark):
@@ -101,7 +101,7 @@ def test_landed_pages_round_trip(spark, sf_dir):
     d = tmp() + "/pages"
     D.write_pages(D.build_sales_pages(sales, lines), d)
     pages = D.read_pages(spark, d, D.SALES_PAGE)
-    flat = D.flatten_sales(pages).drop("people")
+    flat = D.flatten_sales(pages).drop("people", "stay_seconds", "landed_at")
     assert flat.exceptAll(sales).count() == 0 and sales.exceptAll(flat).count() == 0
     items = D.flatten_items(pages)
     assert items.count() == lines.count()
@@ -158,3 +158,49 @@ def test_raw_lines_and_payments_csv(spark):
     assert pays[0].created_at == dt.datetime(2025, 1, 3, 23, 30) and pays[1].amount is None
     from branchlens.operators.conform import live_payments
     assert [r.payment_id for r in live_payments(readers.read_raw_csv(spark, f"{d}/pagos", PAYMENT)).collect()] == ["5"]
+
+
+def test_csv_as_written_by_a_data_frame_library(spark):
+    """Quotes, separators and line ends inside cells survive."""
+    import os
+    import pandas as pd
+    d = tmp()
+    pd.DataFrame({"id": [1, 2], "name": ['Combo "XL", grande', "two\nlines, here"], "category": ["a", 'b "c"'],
+                  "Sucursal": ["01", "02"]}).rename(columns={"id": "product_id", "name": "product_name",
+                  "category": "product_category"}).to_csv(os.path.join(d, "p.csv"), index=False)
+    from branchlens.schemas import PRODUCT
+    rows = sorted(tuple(r) for r in readers.read_raw_csv(spark, d, PRODUCT).collect())
+    assert rows == [("1", 'Combo "XL", grande', "a", "01"), ("2", "two\nlines, here", 'b "c"', "02")]
+
+
+def test_report_scopes_keep_their_text(spark):
+    d = tmp()
+    rep = spark.createDataFrame([("today", "01", "p", 2.0, 1.0)],
+                                "report string, scope string, product string, qty double, revenue double")
+    sinks.publish_reports(rep, d + "/reports")
+    assert sinks.read_published(spark, d + "/reports").first().scope == "01"
+
+
+def test_stay_uses_instants(spark):
+    import os
+    from branchlens.operators.conform import dwell
+    from branchlens.schemas import LANDED_SALE
+    d = tmp()
+    with open(os.path.join(d, "s.csv"), "w") as f:
+        f.write("sale_id,total,saleType,createdAt,closedAt,Sucursal\n"
+                "1,5,EAT-IN,2024-01-01T12:00:00-03:00,2024-01-01T16:00:00Z,A\n"
+                "2,5,EAT-IN,2024-01-01T12:00:00-03:00,2024-01-01T12:10:00-03:00,A\n")
+    out = dwell(readers.read_raw_csv(spark, d, LANDED_SALE)).collect()
+    assert [(r.sale_id, r.dwell_seconds) for r in out] == [("1", 3600)]
+
+
+def test_numbers_with_type_suffixes_and_oversized_amounts(spark):
+    from branchlens.functions import semantics as S
+    from branchlens.operators.bookings import booking_monthly, oversized_amounts
+    row = spark.createDataFrame([("12d", "12f", "7.9", "1e30")], "a string, b string, c string, e string").select(
+        S.parse_currency("a"), S.coerce_int("b"), S.numeric_id("a"), S.coerce_int("c"), S.numeric_id("c")).first()
+    assert tuple(row) == (0.0, 0, None, 7, 7)
+    clean = spark.createDataFrame([("A", "2024-01", "d", 1, 1e30), ("A", "2024-01", "d", 2, 2.5)],
+                                  "branch string, month string, event_date string, guests int, total double")
+    got = booking_monthly(clean).first()
+    assert got.income == 1e30 + 2.5 and oversized_amounts(clean).count() == 1
