@@ -193,8 +193,10 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key:
     empty = pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
     request = "cell long, block long, id long, x binary"
     slice_of = lambda: F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n_asking // query_slice))))
-    stored = index.select("cell", F.pmod(F.xxhash64("id"), F.element_at(
-        F.create_map(*[F.lit(v) for kv in blocks.items() for v in kv]), F.col("cell"))).alias("block"), "id", "x")
+    # At most PIVOTS * RINGS rows: a proven bound for the broadcast.
+    sizes = spark.createDataFrame(list(blocks.items()), "cell long, n_blocks int")
+    stored = index.join(F.broadcast(sizes), "cell").select(
+        "cell", F.pmod(F.xxhash64("id"), F.col("n_blocks")).alias("block"), "id", "x")
 
     def answers(requests: DataFrame, name: str) -> DataFrame:
         requests = materialise(requests.withColumn("part", slice_of()), name)
