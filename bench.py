@@ -39,6 +39,7 @@ def main() -> None:
     for n in names:
         samples = []
         for _ in range(repeats):
+            spark.catalog.clearCache()  # no repeat may profit from what an earlier one left
             t0 = time.perf_counter()
             run(QUERIES[n](spark, sf_dir))
             samples.append(time.perf_counter() - t0)
