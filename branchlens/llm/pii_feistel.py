@@ -9,7 +9,8 @@ pseudonyms in every document, different values different ones, and ``reverse`` w
 key gives the text back. Lengths, separators, letter case and domains stay.
 
 Kinds: card (Luhn; the first digit stays, the check digit is made anew), phone (North
-American by rule or with +1, others with their country code kept), ssn, ipv4 (public addresses),
+American by rule or with +1, others with their country code kept), ssn, ipv4 (public stays public,
+private stays private; loopback and broadcast are nobody's),
 iban (check digits made anew), date (1900-2099), email (local part), access_key, secret
 (values assigned to password, token and the like).
 
@@ -135,22 +136,27 @@ def _ssn(v: str, p: Permutation, reverse: bool) -> str | None:
     return _refill(v, f"{p.walk(x, 10 ** 9, 'ssn', ok, reverse):09d}")
 
 
-def _public(x: int) -> bool:
+def _network(x: int) -> str | None:
+    """Whether an address is one of a public or a private network; None for neither."""
     a, b = x >> 24, x >> 16 & 255
-    return not (a in (0, 10, 127) or a >= 224 or (a, b) in ((192, 168), (169, 254)) or (a == 172 and 16 <= b < 32))
+    if a in (0, 127) or a >= 224:
+        return None
+    private = a == 10 or (a, b) in ((192, 168), (169, 254)) or (a == 172 and 16 <= b < 32)
+    return "private" if private else "public"
 
 
 def _ipv4(v: str, p: Permutation, reverse: bool) -> str | None:
     parts = [int(x) for x in v.split(".")]
     x = int.from_bytes(bytes(parts), "big") if max(parts) < 256 else 0
-    if not _public(x) or any(len(s) > 1 and s[0] == "0" for s in v.split(".")):
+    kind = _network(x)
+    if kind is None or any(len(s) > 1 and s[0] == "0" for s in v.split(".")):
         return None
 
     # The written length is part of the format, so places in the text do not move.
     widths = [len(s) for s in v.split(".")]
 
     def ok(y: int) -> bool:
-        return _public(y) and [len(str(o)) for o in y.to_bytes(4, "big")] == widths
+        return _network(y) == kind and [len(str(o)) for o in y.to_bytes(4, "big")] == widths
 
     lows = [(0, 10, 100)[w - 1] for w in widths]
     spans = [(10, 90, 156)[w - 1] for w in widths]
