@@ -45,7 +45,7 @@ def table_schema(schema: T.StructType, part_col: str) -> T.StructType:
 def run_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, target: str, keys: Sequence[str],
                       order: Sequence[str], workdir: str, part_col: str = "month",
                       part_expr: Column | None = None, files_per_trigger: int | None = None,
-                      bytes_per_trigger: str = "8g"):
+                      bytes_per_trigger: int = 8 << 30):
     """Consume everything landed so far (``availableNow``) and stop.
 
     A micro-batch takes about ``bytes_per_trigger`` of landed files (or a number of files),
