@@ -52,8 +52,9 @@ class VersionedTable:
         if cur is None:
             return None if schema is None else self.spark.createDataFrame([], schema)
         # The schema is part of the version: folder names must not change a column's type.
-        schema = schema or T.StructType.fromJson(json.loads(cur["meta"])["schema"])
-        return self.spark.read.schema(schema).parquet(cur["path"])
+        stored = json.loads(cur["meta"] or "{}").get("schema")
+        schema = schema or (T.StructType.fromJson(stored) if stored else None)
+        return (self.spark.read.schema(schema) if schema else self.spark.read).parquet(cur["path"])
 
     def publish(self, df: DataFrame, partition_by: list[str] | None = None, **meta) -> str:
         now = dt.datetime.now(dt.timezone.utc)
