@@ -20,6 +20,8 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from .tables import bound_batches
+
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 12 << 20
 VALUE_BITS = 40  # of a bucket key; the bits above are the bucket
@@ -31,6 +33,7 @@ def chunked(docs: DataFrame, text: str, *columns, chunk_bytes: int = CHUNK_BYTES
 
     One pass over the texts' lengths sizes both.
     """
+    bound_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     n_chunks = max(1, math.ceil(total / chunk_bytes))
     base = docs.select(F.col(text).alias("t"), *columns)

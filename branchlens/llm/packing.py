@@ -37,7 +37,7 @@ CAPACITY = 2048
 GROUP_PIECES = 40_000
 EXCHANGE_GROUPS = 2   # groups that exchange documents with each other
 ROUNDS = 2
-CACHE_UNITS = 600_000
+CACHE_UNITS = 400_000
 TOKENISER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"  # the same vocabulary for the faster library
 
@@ -64,14 +64,19 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
-        self.tokeniser = Tokenizer.from_file(tokeniser_path)
+        self.tokeniser_path = tokeniser_path
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f)}
         self.fast = tiktoken.Encoding("fast", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={})
         self.cache: dict[str, bytes] = {}
 
+    @functools.cached_property
+    def tokeniser(self):
+        """Loaded when the first text needs it: most workers never do."""
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.tokeniser_path)
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokeniser.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 

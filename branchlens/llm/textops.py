@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _U = np.uint64
 _MULT = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
