@@ -58,7 +58,9 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", run
                 F.least(p + run, F.size("s")) - F.greatest(F.lit(0), p - (run - 1))).alias("near")))
     prints = materialise(base.select("id", "version", F.inline(around)).distinct(), "line-prints")
 
-    shared = prints.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # Counts are written before they are joined back: two plain shuffles meet in that join,
+    # and adaptive execution can split the rows of a very common line over several tasks.
+    shared = materialise(prints.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "line-shared")
     candidates = prints.join(shared, "h", "left_semi")
     windows = candidates.select("id", "version", F.inline(F.transform(
         F.sequence(F.lit(0), F.size("near") - run), lambda i: F.struct(
@@ -69,6 +71,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", run
     windows = materialise(windows.dropDuplicates(["id", "version", "start"]), "line-windows")
     first = windows.groupBy("w1", "w2").agg(F.min(F.struct("id", "version", "start")).alias("first"),
                                             F.count("*").alias("n")).where("n > 1").select("w1", "w2", "first")
+    first = materialise(first, "line-first")
     same_text = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("version") == F.col("first.version"))
     repeated = windows.join(first, ["w1", "w2"]).where(
         ~same_text | (F.col("first.start") + run <= F.col("start")))
