@@ -1,8 +1,8 @@
 """Connected components of a link table by alternating large and small stars.
 
 Each round halves path lengths with two shuffles of the links; a node's many links are
-reduced to their minimum before the shuffle and joined back on the node, where adaptive
-execution can split a hot node. Rounds are written to the shared scratch folder, which
+reduced to their minimum before the shuffle and joined back on the node; the minima are
+written first, so that adaptive execution can split the links of a hot node. Rounds are written to the shared scratch folder, which
 cuts the lineage; the loop ends when a round changes nothing.
 """
 
@@ -28,7 +28,8 @@ def components(links: DataFrame) -> DataFrame:
     while before[0]:
         # Large star: every larger neighbour of a node is linked to the node's smallest neighbour.
         both = edges.union(edges.select("b", "a")).toDF("a", "b")
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")),
+                            "star-heads")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # Small star: a node and its smaller neighbours are linked to the smallest of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))

@@ -403,6 +403,8 @@ def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     parts = components(links).toDF("name", "part")
     labelled = profiles.join(parts, "name", "left").select(
         "id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("part", "name")).alias("part"))
-    least = labelled.where("part is not null").groupBy("part").agg(F.min("id").alias("least"))
+    # Written before the join, so that a component of very many documents can be split there.
+    least = materialise(labelled.where("part is not null").groupBy("part").agg(F.min("id").alias("least")),
+                        "trie-names")
     out = labelled.join(least, "part", "left")
     return out.select(F.col("id").alias(key), "n_shingles", F.coalesce("least", "id").alias("component_id"))
