@@ -17,6 +17,10 @@ from branchlens.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: Near copies share this percentage of their shingles of so many words (op8's own are 85 and 4).
+NEAR_PERCENT = 80
+NEAR_SHINGLE = 5
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores below 0.5 go.
@@ -45,7 +49,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows that repeat id and text are one document; rows with a null id, which cannot name a
     group, stay.
     """
-    groups = prefix_tree_join.similar_documents(docs.select("doc_id", "text"))
+    groups = prefix_tree_join.similar_documents(docs.select("doc_id", "text"), percent=NEAR_PERCENT,
+                                               shingle=NEAR_SHINGLE)
     first = groups.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.select(*COLUMNS).where("doc_id is not null").join(first.hint("merge"), "doc_id", "left_semi")
     return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.select(*COLUMNS).where("doc_id is null"))

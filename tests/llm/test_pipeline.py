@@ -228,3 +228,31 @@ def test_stages_take_odd_rows(spark, sf_dir):
         for _, stage in P.STAGES:
             docs = stage(spark, docs, sf_dir).cache()
             docs.count()
+
+
+def near_copy_survivors(rows, words, percent):
+    """Smallest ids of the components that brute force finds at ``words`` and ``percent``."""
+    sets = {}
+    for i, t in rows:
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[i] = {tuple(w[k: k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
+    ids = sorted(sets)
+    part = {i: i for i in ids}
+    for a, i in enumerate(ids):
+        for j in ids[a + 1:]:
+            x, y = sets[i], sets[j]
+            if x and y and 100 * len(x & y) >= percent * len(x | y) and part[i] != part[j]:
+                lo, hi = sorted((part[i], part[j]))
+                part = {k: lo if p == hi else p for k, p in part.items()}
+    return sorted(i for i in ids if part[i] == i)
+
+
+def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark, sf_dir):
+    # One word of 50 differs: 41 of 51 shingles of five words are common (0.804), 43 of 51 of four words (0.843).
+    words = [f"w{k}" for k in range(50)]
+    rows = [(900, " ".join(words)), (901, " ".join([*words[:25], "other", *words[26:]])), *variants(6)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(r.doc_id for r in P.near_duplicate_stage(spark, docs, sf_dir).collect())
+    assert 900 in got and 901 not in got
+    assert got == near_copy_survivors(rows, 5, 80)
