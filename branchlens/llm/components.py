@@ -14,7 +14,8 @@ from .tables import materialise
 
 
 def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first()
+    """Names a table of distinct links; exclusive or, unlike a sum, has no number of links at which it overflows."""
+    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64(F.lit(1), "a", "b"))).first()
     return tuple(row)
 
 
