@@ -18,6 +18,9 @@ the first occurrence stays.
 Only fingerprints (two integers and 2 * RUN - 1 line hashes each) are shuffled by hash. A
 very common line is reduced to one count per task; its rows are joined to that one row.
 
+With ``min_words`` only lines of at least that many words take part; run=1 and 50 words
+delete long passages that are one line each, between whatever other lines.
+
 Edge cases: null text stays null, empty text stays empty; documents with fewer lines than
 RUN have no run; a null id counts as smaller than all others; rows that repeat id and text
 are the same place and keep all their lines; an empty table gives an empty result; columns
@@ -35,18 +38,25 @@ RUN = 2
 _ENDS = " \t\x0b\x0c\r"
 
 
-def _lines(text: str):
-    """Non-blank lines: (hash, raw line number)."""
+def _lines(text: str, min_words: int):
+    """Non-blank lines of at least ``min_words`` words: (hash, raw line number)."""
     trimmed = F.transform(F.split(F.col(text), "\n"), lambda x, i: F.struct(
         F.btrim(x, F.lit(_ENDS)).alias("line"), i.alias("raw")))
-    return F.transform(F.filter(trimmed, lambda s: s["line"] != ""),
+
+    def taken(s):
+        filled = s["line"] != ""
+        return filled if min_words <= 1 else filled & (
+            F.regexp_count(s["line"], F.lit(r"[\x20\x09-\x0D]+")) >= min_words - 1)
+
+    return F.transform(F.filter(trimmed, taken),
                        lambda s: F.struct(F.xxhash64(s["line"]).alias("h"), s["raw"].alias("raw")))
 
 
-def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN) -> DataFrame:
+def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN,
+                   min_words: int = 1) -> DataFrame:
     """(id, version, lines): raw numbers of the lines to delete, for documents that have any."""
     base = (docs.where(F.col(text).isNotNull())
-            .select(F.col(key).alias("id"), F.xxhash64(text).alias("version"), _lines(text).alias("s"))
+            .select(F.col(key).alias("id"), F.xxhash64(text).alias("version"), _lines(text, min_words).alias("s"))
             .where(F.size("s") >= run))
     starts = F.sequence(F.lit(0), F.size("s") - run)
     picks = F.array_distinct(F.transform(starts, lambda i: -F.array_min(F.transform(
@@ -79,12 +89,13 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", run
             .groupBy("id", "version").agg(F.collect_set("raw").alias("lines")))
 
 
-def drop_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", run: int = RUN,
+                        min_words: int = 1) -> DataFrame:
     """All rows of ``docs``, texts without repeated runs, and n_lines (non-blank lines of the
     input) and n_removed (lines deleted)."""
     docs = docs.drop("n_lines", "n_removed")
     # A merge join at any size: how the texts move must not depend on how many lines repeat.
-    gone = materialise(repeated_lines(docs, text, key, run), "line-repeats").toDF("_id", "_version", "_lines").hint("merge")
+    gone = materialise(repeated_lines(docs, text, key, run, min_words), "line-repeats").toDF("_id", "_version", "_lines").hint("merge")
     joined = (docs.join(gone, docs[key].eqNullSafe(gone["_id"]) & (F.xxhash64(docs[text]) == gone["_version"]), "left")
               .drop("_id", "_version"))
     at, width = docs.columns.index(text), len(docs.columns)

@@ -1,4 +1,4 @@
-"""Corpus pipeline: quality filter, line dedup, near-duplicate removal, mixing, packing.
+"""Corpus pipeline: quality filter, line dedup, near-duplicate removal, long lines, mixing, packing.
 
 ``STAGES`` lists (name, function); every function takes (spark, docs, sf_dir), works on
 all rows its predecessor kept and returns a DataFrame. ``run`` applies them to the table
@@ -21,6 +21,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR_PERCENT = 80
 NEAR_SHINGLE = 5
 
+#: A line of so many words is a passage of its own (the window of op2).
+LONG_LINE_WORDS = 50
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores below 0.5 go.
@@ -38,7 +41,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` follows the text. Documents without any line (null, empty, blank) stay.
     """
-    cut = line_winnow.drop_repeated_lines(docs.select(*COLUMNS)).where("n_lines = 0 OR n_removed < n_lines")
+    return _without_lines(line_winnow.drop_repeated_lines(docs.select(*COLUMNS)))
+
+
+def _without_lines(cut: DataFrame) -> DataFrame:
+    cut = cut.where("n_lines = 0 OR n_removed < n_lines")
     n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(*COLUMNS)
 
@@ -56,6 +63,15 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.select(*COLUMNS).where("doc_id is null"))
 
 
+def long_line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeats of single lines of at least ``LONG_LINE_WORDS`` words are deleted too.
+
+    A passage that is one line between other lines is no run of lines, and its documents need
+    not be similar. A document that loses all its lines goes; ``n_chars`` follows the text.
+    """
+    return _without_lines(line_winnow.drop_repeated_lines(docs.select(*COLUMNS), run=1, min_words=LONG_LINE_WORDS))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it (0, 1 or 2)."""
     docs = docs.select(*COLUMNS)
@@ -73,6 +89,7 @@ STAGES = [
     ("quality", quality_stage),
     ("lines", line_stage),
     ("near duplicates", near_duplicate_stage),
+    ("long lines", long_line_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]

@@ -256,3 +256,20 @@ def test_near_duplicate_stage_takes_five_words_and_four_fifths(spark, sf_dir):
     got = sorted(r.doc_id for r in P.near_duplicate_stage(spark, docs, sf_dir).collect())
     assert 900 in got and 901 not in got
     assert got == near_copy_survivors(rows, 5, 80)
+
+
+def test_long_single_lines_go_between_other_lines(spark, sf_dir):
+    def passage(name, n):
+        return " ".join(f"{name}{k}" for k in range(n))
+
+    texts = [(1, f"one\n{passage('p', 50)}\nend"), (2, f"two\n\t{passage('p', 50)} \nlast"), (3, passage("p", 50)),
+             (4, f"four\n{passage('q', 49)}"), (5, f"five\n{passage('q', 49)}"), (6, None), (7, ""),
+             (8, f"{passage('r', 200)}\nmid\n{passage('r', 200)}"), (9, passage("s", 60).replace(" ", " \t ", 20))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 7) for i, t in texts],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in P.long_line_stage(spark, docs, sf_dir).collect()}
+    want = {i: (t, 7) for i, t in texts if i != 3}
+    want[2] = ("two\nlast", 8)
+    want[8] = (f"{passage('r', 200)}\nmid", len(passage("r", 200)) + 4)
+    assert got == want
+    assert ("long lines", P.long_line_stage) in P.STAGES
