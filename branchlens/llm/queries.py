@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import line_winnow, lm_automaton, mixing, packing, pii_feistel, prefix_tree_join, quality_fm, rp_forest, substring_anchors, topk_pivots
+from branchlens.session import scratch_path
+
+from . import (conversation_repair, filter_audit, line_winnow, lm_automaton, mixing, packing, pii_feistel, prefix_tree_join,
+               quality_fm, rp_forest, substring_anchors, topk_pivots, warc)
 from .tables import table
 
 
@@ -78,6 +81,24 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_pivots.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives (chunks, segments, revisits) and read back from them."""
+    path = f"{scratch_path(spark, 'warc')}/archives"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_pages(spark, path, payloads=False).drop("payload")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation, by big-integer path weights."""
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(conversations, conversation_repair.damage(conversations))
+
+
+def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every order of the five filters removes at every step, by Lehmer-rank differences."""
+    return filter_audit.audit(filter_audit.masks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_substrings": op2_substrings,
@@ -89,6 +110,9 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_mix": op9_mix,
     "op10_topk": op10_topk,
+    "op11_warc": op11_warc,
+    "op12_conversations": op12_conversations,
+    "op13_audit": op13_audit,
 }
 
 #: SQL exists where DuckDB can express the operator and its limits.
@@ -176,4 +200,112 @@ ORACLE: dict[str, str] = {
         degrees AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
         SELECT p.vec_id, coalesce(d.n_links, 0) AS n_links, p.component_id, p.vec_id = p.component_id AS kept
         FROM parts p LEFT JOIN degrees d USING (vec_id)""",
+    "op11_warc": """
+        WITH sized AS (
+            SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+        placed AS (
+            SELECT page_id, n, sha256(html) AS digest, first_value(page_id) OVER w AS first_id,
+                   n >= 100 AND row_number() OVER w > 1 AS again
+            FROM sized WINDOW w AS (PARTITION BY html ORDER BY page_id NULLS LAST))
+        SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first_id END AS refers_to, NULL::VARCHAR AS fault FROM placed""",
+    "op12_conversations": r"""
+        WITH RECURSIVE keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+        coded AS (
+            SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(k, ''),
+                   lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                   lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END),
+                   4294967295::BIGINT) % 20 AS kind FROM keyed),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM coded, generate_series(1, CASE WHEN kind = 3 THEN 2 ELSE 1 END) WHERE kind <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+                   left(role, 1) AS r, right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last_char FROM damaged),
+        faulty AS (
+            SELECT *, last_char = '' AS blank,
+                   last_char <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS duplicate,
+                   lag(r) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM placed),
+        judged AS (SELECT *, NOT blank AND NOT duplicate AND last_char NOT IN ('.', '!', '?') AS truncated FROM faulty),
+        counted AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+                   count(*) FILTER (truncated) AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM judged GROUP BY conv_id),
+        inserts(q, here, head, paid, lines) AS (VALUES
+            ('-', '-', '', 0, ''), ('-', 'u', 'I', 3, 'user:' || chr(10)),
+            ('-', 'a', 'II', 6, 'user:' || chr(10) || 'assistant:' || chr(10)),
+            ('s', 's', '', 0, ''), ('s', 'u', 'I', 3, 'user:' || chr(10)),
+            ('s', 'a', 'II', 6, 'user:' || chr(10) || 'assistant:' || chr(10)),
+            ('u', 'u', '', 0, ''), ('u', 'a', 'I', 3, 'assistant:' || chr(10)),
+            ('a', 'a', '', 0, ''), ('a', 'u', 'I', 3, 'user:' || chr(10))),
+        legal(here, r, to_q) AS (VALUES ('-', 's', 's'), ('-', 'u', 'u'), ('s', 'u', 'u'), ('a', 'u', 'u'), ('u', 'a', 'a')),
+        edits AS (
+            SELECT j.conv_id, j.n, i.q, x.to_q, i.paid + x.cost AS cost, i.head || x.letter AS letters, i.lines || x.line AS lines
+            FROM judged j, inserts i, LATERAL (
+                SELECT i.here AS to_q, 4 AS cost, 'D' AS letter, '' AS line
+                UNION ALL SELECT l.to_q, CASE WHEN l.r = j.r THEN 0 ELSE 3 END + CASE WHEN j.truncated THEN 3 ELSE 0 END,
+                       CASE WHEN l.r = j.r THEN 'K' ELSE 'R' END,
+                       CASE WHEN l.r = j.r THEN j.role WHEN l.r = 'u' THEN 'user' ELSE 'assistant' END || ':' || j.text || chr(10)
+                FROM legal l WHERE l.here = i.here AND (l.r = j.r OR l.r <> 's') AND NOT j.blank AND NOT j.duplicate) x),
+        paths(conv_id, n, q, best) AS (
+            SELECT conv_id, 0::BIGINT, '-', {'cost': 0, 'audit': '', 'lines': ''} FROM counted
+            UNION ALL
+            SELECT p.conv_id, e.n, e.to_q, min({'cost': p.best.cost + e.cost, 'audit': p.best.audit || e.letters,
+                                               'lines': p.best.lines || e.lines})
+            FROM paths p JOIN edits e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND e.n = p.n + 1 AND e.q = p.q
+            GROUP BY p.conv_id, e.n, e.to_q),
+        ends AS (
+            SELECT p.conv_id, min({'cost': p.best.cost + i.paid, 'audit': p.best.audit || i.head,
+                                   'lines': p.best.lines || i.lines}) AS best
+            FROM paths p JOIN counted c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.n
+            JOIN inserts i ON i.q = p.q AND i.here IN ('-', 'a') GROUP BY p.conv_id)
+        SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+               coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal,
+               coalesce(e.best.cost, 0)::BIGINT AS cost, coalesce(e.best.audit, '') AS audit,
+               sha256(coalesce(regexp_replace(e.best.lines, '\n$', ''), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id""",
+    "op13_audit": r"""
+        WITH letters(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        orders AS (
+            SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM letters a, letters b, letters c, letters d, letters e
+            WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+        texts AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        failed AS (
+            SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask FROM texts),
+        marked AS (
+            SELECT part, mask, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+                   doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic FROM failed),
+        counts AS (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM marked GROUP BY ALL),
+        runs AS (
+            SELECT c.*, o.filter_order, s.step, o.bits[s.step] AS bit,
+                   coalesce(list_bool_or(list_transform(o.bits[1:s.step - 1], lambda b: b & c.mask <> 0)), false) AS gone
+            FROM counts c, orders o, generate_series(1, 5) s(step)),
+        steps AS (
+            SELECT part, filter_order, step, bit,
+                   coalesce(sum(n) FILTER (NOT gone AND mask & bit = 0), 0)::BIGINT AS kept,
+                   coalesce(sum(n) FILTER (NOT gone AND mask & bit <> 0), 0)::BIGINT AS removed,
+                   coalesce(sum(n) FILTER (gone AND mask & bit <> 0), 0)::BIGINT AS redundant,
+                   coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+                   coalesce(sum(good) FILTER (NOT gone AND mask & bit <> 0), 0)::BIGINT AS good_lost,
+                   coalesce(sum(toxic) FILTER (NOT gone AND mask & bit <> 0), 0)::BIGINT AS toxic_lost
+            FROM runs GROUP BY part, filter_order, step, bit)
+        SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM steps""",
 }

@@ -10,6 +10,8 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "labels": "doc_id bigint, quality int, toxic int",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 
