@@ -8,7 +8,7 @@ probabilities pi_i = min(1, c * sqrt(size_i)), c such that sum pi_i * size_i is
 longer documents get higher odds, so the sample's end falls on a short document and the
 total lands close to the target. Documents are ranked by
 
-    q_i = (u_i / (1 - u_i)) / (pi_i / (1 - pi_i)),      u_i uniform from a hash of the id
+    q_i = (u_i / (1 - u_i)) / (pi_i / (1 - pi_i)),   u_i uniform from a hash of the id
 
 and taken from the smallest q on until the rest is reached; the last one is taken if that
 comes closer to the target.
@@ -19,9 +19,12 @@ by row. The result is one row of numbers per source, applied to the documents as
 projection: texts are not shuffled.
 
 Edge cases: a null text has size 0 and takes 0; a null source is a source of its own,
-last in order; empty sources get target 0; repeated rows are documents of their own (they
-share their id's random number); an empty table gives an empty result; the result has
-exactly the given columns and those named in ``apply``, which replace equal names.
+last in order; empty sources get target 0; repeated rows are documents of their own: rows of a
+source that share an id take text and a number into their hash, so each has a random number
+of its own, however many they are (they are numbered per task and moved up by the counts of
+the tasks before; which of two equal rows has which number does not change the result as a
+bag); an empty table gives an empty result; the result has exactly
+the given columns and those named in ``apply``, which replace equal names.
 """
 
 from __future__ import annotations
@@ -64,8 +67,44 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
                     F.least(F.col("_level") * F.col("_w"), cap * F.col("source_size")).alias("target")))
 
 
-def _odds_rank(id_col: Column, size: Column, scale: Column, seed: int) -> Column:
-    u = (F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+def _numbered(rows: DataFrame, shared: list[str], same: list[str], name: str) -> DataFrame:
+    """``rows`` with ``_j``: null for a row that is alone in the columns ``shared``, else its
+    number, 0 up, among the rows that agree in the columns ``same`` as well.
+
+    Rows that are not alone are found by a count. They are written with an id that tells
+    their task, numbered within their task, and moved up by the counts of the tasks before:
+    no window holds more of them than one task wrote."""
+    none, same = F.lit(None).cast("long"), [*shared, *same]
+    again = materialise(rows.groupBy(*shared).agg(F.count("*").alias("_n")).where("_n > 1").select(
+        *[F.col(c).alias(f"_again{i}") for i, c in enumerate(shared)], F.lit(True).alias("_repeated")), f"{name}-repeats")
+    if not again.limit(1).count():
+        return rows.withColumn("_j", none)
+    match = F.lit(True)
+    for i, c in enumerate(shared):
+        match = match & F.col(c).eqNullSafe(F.col(f"_again{i}"))
+    told = rows.join(again, match, "left").drop(*[f"_again{i}" for i in range(len(shared))])
+    single = told.where("_repeated IS NULL").drop("_repeated").withColumn("_j", none)
+    several = materialise(told.where("_repeated").drop("_repeated").withColumn("_row", F.monotonically_increasing_id()),
+                          f"{name}-several")
+    light = several.select(*same, "_row", F.shiftright("_row", 33).alias("_task"))
+    counts = materialise(light.groupBy(*same, "_task").agg(F.count("*").alias("_n")), f"{name}-counts")
+    before = F.sum("_n").over(W.partitionBy(*same).orderBy("_task").rowsBetween(W.unboundedPreceding, -1))
+    starts = materialise(counts.withColumn("_start", F.coalesce(before, F.lit(0))).drop("_n"), f"{name}-starts")
+    starts = starts.select(*[F.col(c).alias(f"_at{i}") for i, c in enumerate(same)], F.col("_task").alias("_of"), "_start")
+    inside = light.withColumn("_within", F.row_number().over(W.partitionBy(*same, "_task").orderBy("_row")) - 1)
+    match = F.col("_task") == F.col("_of")
+    for i, c in enumerate(same):
+        match = match & F.col(c).eqNullSafe(F.col(f"_at{i}"))
+    numbers = inside.join(starts, match).select(F.col("_row").alias("_number_of"), (F.col("_start") + F.col("_within")).alias("_j"))
+    numbered = several.join(numbers, F.col("_row") == F.col("_number_of")).drop("_row", "_number_of")
+    return single.unionByName(numbered)
+
+
+def _odds_rank(row: str, scale: Column, seed: int) -> Column:
+    """q of a row; ``row`` prefixes its columns id, h (of the text), _j and size."""
+    key, text, number, size = (F.col(row + c) for c in ("id", "h", "_j", "size"))
+    own = F.when(number.isNull(), F.xxhash64(F.lit(seed), key)).otherwise(F.xxhash64(F.lit(seed), key, text, number))
+    u = (F.pmod(own, F.lit(1 << 52)) + 0.5) / float(1 << 52)
     pi = F.least(F.lit(1.0), scale * F.sqrt(size))
     return F.when(pi >= 1, 0.0).when(pi <= 0, 1e300).otherwise((u / (1 - u)) / (pi / (1 - pi)))
 
@@ -98,9 +137,10 @@ def _with(docs: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
 
 def plan_mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source",
              weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = SEED) -> DataFrame:
-    """One row per source: source, source_size, target, copies, scale, q_cut, id_cut."""
-    sized = materialise(docs.select(F.col(source).alias("source"), F.col(key).alias("id"),
-                                    word_count(text).alias("size")), "mix-sizes")
+    """One row per source: source, source_size, target, copies, scale, cut."""
+    sized = docs.select(F.col(source).alias("source"), F.col(key).alias("id"), word_count(text).alias("size"),
+                        F.xxhash64(text).alias("h"))
+    sized = materialise(_numbered(materialise(sized, "mix-lengths"), ["source", "id"], ["h"], "mix"), "mix-sizes")
     by_size = materialise(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-by-size")
     want = targets(by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")),
                    weights, share, cap)
@@ -120,7 +160,7 @@ def plan_mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: s
               .groupBy("source").agg(F.greatest(F.lit(0.0), F.max("_scale")).alias("scale")))
     plan = materialise(_with(want, scales, n_sources), "mix-scales")
 
-    q = _odds_rank(F.col("id"), F.col("size"), F.col("scale"), seed)
+    q = _odds_rank("", F.col("scale"), seed)
     ranked = (_with(sized.where("size > 0"), plan.select("source", "rest", "scale").where("rest > 0"), n_sources)
               .where("rest > 0").withColumn("q", q).withColumn("b1", _bin(F.col("q"))))
     bins = ranked.groupBy("source", "rest", "b1").agg(F.sum("size").alias("_words"))
@@ -133,13 +173,13 @@ def plan_mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: s
               .select("source", F.col("_b.at").alias("at2"), (F.col("rest1") - F.col("_b.before")).alias("rest2")))
     second = materialise(second, "mix-sub-bins")
     last = _with(inside, second, n_sources).where("b2 = at2")
-    order = W.partitionBy("source").orderBy("q", "id")
+    order = W.partitionBy("source").orderBy("q", "id", "h", "_j")
     before = F.coalesce(F.sum("size").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     ranks = last.withColumn("_before", before).withColumn("_taken", F.col("_before") + F.col("size") / 2 <= F.col("rest2"))
     # The first document not taken ends the sample.
     cut = (ranks.where("not _taken").groupBy("source")
-           .agg(F.min(F.struct("q", "id")).alias("_c")).select("source", "_c.q", "_c.id"))
-    plan = _with(plan, cut.withColumnsRenamed({"q": "q_cut", "id": "id_cut"}), n_sources)
+           .agg(F.min(F.struct("q", "id", "h", "_j")).alias("cut")))
+    plan = _with(plan, cut, n_sources)
     plan = _with(plan, second.select("source", "at2"), n_sources)
     plan = _with(plan, first.select("source", "at1"), n_sources)
     return materialise(plan, "mix-plan")
@@ -150,16 +190,19 @@ def apply_mix(docs: DataFrame, plan: DataFrame, text: str = "text", key: str = "
     """``docs`` with size, source_size, target and taken (words taken, repeats counted)."""
     added = ["size", "source_size", "target", "taken"]
     docs = docs.drop(*[c for c in added if c not in (text, key, source)])
-    rows = docs.select(*docs.columns, F.struct(word_count(text).alias("size"), F.col(key).alias("id")).alias("_d"),
-                       F.col(source).alias("_s"))
+    rows = docs.select(*docs.columns, F.col(source).alias("_s"), F.col(key).alias("_id"), F.xxhash64(text).alias("_h"),
+                       word_count(text).alias("_size"))
+    rows = _numbered(rows, ["_s", "_id"], ["_h"], "mix-rows")
+    rows = rows.select(*docs.columns, "_s", F.struct(F.col("_size").alias("size"), F.col("_id").alias("id"),
+                                                     F.col("_h").alias("h"), "_j").alias("_d"))
     side = plan.select(F.struct(*plan.columns).alias("_p"))
     side = F.broadcast(side) if plan.count() <= BROADCAST_SOURCES else side
     rows = rows.join(side, F.col("_s").eqNullSafe(F.col("_p.source")), "left")
-    q = _odds_rank(F.col("_d.id"), F.col("_d.size"), F.col("_p.scale"), seed)
+    q = _odds_rank("_d.", F.col("_p.scale"), seed)
     b1, b2 = _bin(q), _sub_bin(q)
     at1, at2 = F.col("_p.at1"), F.col("_p.at2")
-    q_cut, id_cut = F.col("_p.q_cut"), F.col("_p.id_cut")
-    before_cut = q_cut.isNull() | (q < q_cut) | ((q == q_cut) & (F.col("_d.id") < id_cut))
+    place = F.struct(q.alias("q"), F.col("_d.id").alias("id"), F.col("_d.h").alias("h"), F.col("_d._j").alias("_j"))
+    before_cut = F.col("_p.cut").isNull() | (place < F.col("_p.cut"))
     # No boundary bin: the running sum never passes the rest, all documents are in the sample.
     sampled = (F.col("_p.rest") > 0) & (
         at1.isNull() | (b1 < at1) | ((b1 == at1) & (at2.isNull() | (b2 < at2) | ((b2 == at2) & before_cut))))

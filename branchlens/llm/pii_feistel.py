@@ -9,10 +9,13 @@ pseudonyms in every document, different values different ones, and ``reverse`` w
 key gives the text back. Lengths, separators, letter case and domains stay.
 
 Kinds: card (Luhn; the first digit stays, the check digit is made anew), phone (North
-American by rule or with +1, others with their country code kept), ssn, ipv4 (public stays public,
-private stays private; loopback and broadcast are nobody's),
-iban (check digits made anew), date (1900-2099), email (local part), access_key, secret
-(values assigned to password, token and the like).
+American by rule, with +1 or behind a word such as "tel", others with their country code
+kept), ssn, ipv4 and ipv6 (public stays public, private stays private; loopback and broadcast
+are nobody's), iban (check digits made anew), date (1900-2099, in figures or with an English
+month), email (local part), login (name and password in an address), access_key, token (with
+a known prefix or behind "bearer"), private_key (the body), secret (values assigned to
+password, token and the like). Values of any length are replaced whole, in pieces of at most
+``PIECE`` characters.
 
 Work per text is local to its row: one scan, no shuffle. Edge cases: null stays null, a
 text without values is returned byte for byte; invalid look-alikes (a 16-digit number
@@ -25,7 +28,9 @@ characters; places are the same in the old and the new text.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
+import ipaddress
 import math
 import re
 from collections.abc import Callable
@@ -34,6 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 ROUNDS = 10
+PIECE = 48
 _EPOCH = dt.date(1900, 1, 1)
 _DAYS = (dt.date(2099, 12, 31) - _EPOCH).days + 1
 
@@ -145,69 +151,94 @@ def _network(x: int) -> str | None:
     return "private" if private else "public"
 
 
-def _ipv4(v: str, p: Permutation, reverse: bool) -> str | None:
-    parts = [int(x) for x in v.split(".")]
-    x = int.from_bytes(bytes(parts), "big") if max(parts) < 256 else 0
-    kind = _network(x)
-    if kind is None or any(len(s) > 1 and s[0] == "0" for s in v.split(".")):
-        return None
+_SPANS = {1: (0, 10), 2: (10, 90), 3: (100, 156)}  # first octet and number of octets of a written width
 
-    # The written length is part of the format, so places in the text do not move.
-    widths = [len(s) for s in v.split(".")]
 
-    def ok(y: int) -> bool:
-        return _network(y) == kind and [len(str(o)) for o in y.to_bytes(4, "big")] == widths
+@functools.lru_cache(maxsize=None)
+def _heads(kind: str, first: int, second: int) -> tuple[list[tuple[int, int]], dict[tuple[int, int], int]]:
+    """The first two octets of all addresses of a network kind and written widths, numbered.
+    The kind depends on them alone; at most 156 * 156 pairs, kept for the life of the worker."""
+    (a0, an), (b0, bn) = _SPANS[first], _SPANS[second]
+    pairs = [(a, b) for a in range(a0, a0 + an) for b in range(b0, b0 + bn) if _network(a << 24 | b << 16) == kind]
+    return pairs, {pair: i for i, pair in enumerate(pairs)}
 
-    lows = [(0, 10, 100)[w - 1] for w in widths]
-    spans = [(10, 90, 156)[w - 1] for w in widths]
 
-    def pack(octets) -> int:
-        z = 0
-        for o, low, span in zip(octets, lows, spans):
-            z = z * span + o - low
-        return z
+def _ipv4(v: str, p: Permutation, reverse: bool) -> str | None:
+    """The valid addresses of the value's network kind and written widths (so that places in
+    the text do not move) are numbered without gaps, so one step of the permutation does."""
+    written = v.split(".")
+    parts = [int(x) for x in written]
+    if max(parts) > 255 or any(len(s) > 1 and s[0] == "0" for s in written):
+        return None
+    kind = _network(int.from_bytes(bytes(parts), "big"))
+    if kind is None:
+        return None
+    widths = [len(s) for s in written]
+    pairs, number = _heads(kind, widths[0], widths[1])
+    (c0, cn), (d0, dn) = _SPANS[widths[2]], _SPANS[widths[3]]
+    n = len(pairs) * cn * dn
+    x = (number[parts[0], parts[1]] * cn + parts[2] - c0) * dn + parts[3] - d0
+    if n > 1:
+        x = p.step(x, n, f"ipv4{kind}" + "".join(map(str, widths)), reverse)
+    x, d = divmod(x, dn)
+    head, c = divmod(x, cn)
+    return ".".join(map(str, (*pairs[head], c + c0, d + d0)))
+
+
+@functools.lru_cache(maxsize=4096)
+def _alphabet(c: str, hexadecimal: bool = False) -> str | None:
+    """The characters among which a variable character is permuted: digits, letters of one
+    case, or letters of one case in a block of 64 code points (of equal length in UTF-8)."""
+    if "0" <= c <= "9":
+        return "0123456789"
+    if "a" <= c <= "z" or "A" <= c <= "Z":
+        first, n = ("a" if c >= "a" else "A"), 6 if hexadecimal else 26
+        return "".join(chr(ord(first) + i) for i in range(n))
+    if ord(c) > 127 and c.isalpha():
+        block = ord(c) & ~63
+        return "".join(x for x in map(chr, range(block, block + 64))
+                       if x.isalpha() and (x.islower(), x.isupper()) == (c.islower(), c.isupper()))
+    return None
 
-    def unpack(z: int) -> list[int]:
-        octets = []
-        for low, span in zip(reversed(lows), reversed(spans)):
-            z, r = divmod(z, span)
-            octets.append(r + low)
-        return octets[::-1]
 
-    z = p.walk(pack(parts), math.prod(spans), "ipv4" + "".join(map(str, widths)),
-               lambda z: ok(int.from_bytes(bytes(unpack(z)), "big")), reverse)
-    return ".".join(map(str, unpack(z)))
+_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
 
-def _radix(c: str, hexadecimal: bool = False) -> tuple[str, int] | None:
-    """First character and number of the class that a variable character belongs to."""
-    if "0" <= c <= "9":
-        return "0", 10
-    if "a" <= c <= "z":
-        return "a", 6 if hexadecimal else 26
-    if "A" <= c <= "Z":
-        return "A", 6 if hexadecimal else 26
-    return None
+def _characters(v: str, p: Permutation, reverse: bool, kind: str, hexes: bool = False,
+                base16: bool = False, valid: Callable[[str], bool] = lambda _: True) -> str | None:
+    """Every digit and letter permuted within its class, the rest kept. Longer values are
+    permuted piece by piece; with ``hexes`` a hexadecimal piece stays one and no other piece
+    becomes one; with ``base16`` letters stay among a to f. ``valid`` holds for values of one piece."""
+    out, changed = [], False
+    for at in range(0, len(v), PIECE):
+        piece = v[at: at + PIECE]
+        hexadecimal = base16 or (hexes and _HEX.fullmatch(piece) is not None)
+        alphabets = [_alphabet(c, hexadecimal) for c in piece]
+        n = math.prod(len(r) for r in alphabets if r)
+        if n < 2:
+            out.append(piece)
+            continue
+        x = 0
+        for c, r in zip(piece, alphabets):
+            if r:
+                x = x * len(r) + r.index(c)
+        shape = "".join(r[0] if r else c for c, r in zip(piece, alphabets))
 
+        def write(x: int) -> str:
+            chars = list(piece)
+            for i in range(len(piece) - 1, -1, -1):
+                if alphabets[i]:
+                    x, d = divmod(x, len(alphabets[i]))
+                    chars[i] = alphabets[i][d]
+            return "".join(chars)
 
-def _characters(v: str, p: Permutation, reverse: bool, kind: str, hexadecimal: bool = False) -> str | None:
-    """Every digit and letter permuted within its class, the rest kept."""
-    classes = [_radix(c, hexadecimal) for c in v]
-    n = math.prod(r[1] for r in classes if r)
-    if n < 2:
-        return None
-    x = 0
-    for c, r in zip(v, classes):
-        if r:
-            x = x * r[1] + ord(c) - ord(r[0])
-    shape = "".join(r[0] if r else c for c, r in zip(v, classes))
-    x = p.walk(x, n, f"{kind}{shape}{hexadecimal}", lambda _: True, reverse)
-    out = list(v)
-    for i in range(len(v) - 1, -1, -1):
-        if classes[i]:
-            x, d = divmod(x, classes[i][1])
-            out[i] = chr(ord(classes[i][0]) + d)
-    return "".join(out)
+        def ok(x: int) -> bool:
+            new = write(x)
+            return (not hexes or (_HEX.fullmatch(new) is not None) == hexadecimal) and valid(new)
+
+        out.append(write(p.walk(x, n, f"{kind}{at or ''}{shape}{hexadecimal}", ok, reverse)))
+        changed = True
+    return "".join(out) if changed else None
 
 
 def _iban_rest(s: str) -> int:
@@ -255,18 +286,89 @@ def _date(v: str, p: Permutation, reverse: bool) -> str | None:
                         ok, reverse))
 
 
+# The names of the months.
+_MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+           "November", "December")
+
+
+def _named_date(v: str, p: Permutation, reverse: bool) -> str | None:
+    """A date with the month's English name, or its first three letters."""
+    gaps, words = re.split(r"[A-Za-z0-9]+", v), re.findall(r"[A-Za-z0-9]+", v)
+    at = next(i for i, w in enumerate(words) if w.isalpha())
+    month, day, year = words[at], words[1 - at], words[2]
+    short = len(month) == 3 and month.lower() != "may"
+    names = [m[:3] if short else m for m in _MONTHS]
+    case = str.upper if month.isupper() else str.lower if month.islower() else str
+    if not day.isdigit() or month not in map(case, names):
+        return None
+    try:
+        x = (dt.date(int(year), [*map(case, names)].index(month) + 1, int(day)) - _EPOCH).days
+    except ValueError:
+        return None
+    if not 0 <= x < _DAYS:
+        return None
+
+    def write(x: int) -> str:
+        d = _EPOCH + dt.timedelta(x)
+        new = [f"{d.day:0{len(day)}d}"] * 2
+        new[at] = case(names[d.month - 1])
+        return "".join(g + w for g, w in zip(gaps, [*new, f"{d.year:04d}"])) + gaps[-1]
+
+    # Every part keeps its length. May is its own abbreviation, so it stays May.
+    def ok(x: int) -> bool:
+        d = _EPOCH + dt.timedelta(x)
+        return len(names[d.month - 1]) == len(month) and len(str(d.day)) <= len(day) and (d.month == 5) == (month.lower() == "may")
+
+    return write(p.walk(x, _DAYS, f"named{short}{len(day)}{len(month)}{month.lower() == 'may'}", ok, reverse))
+
+
+def _ipv6(v: str, p: Permutation, reverse: bool) -> str | None:
+    def kind(text: str) -> tuple | None:
+        try:
+            a = ipaddress.IPv6Address(text)
+        except ValueError:
+            return None
+        return None if a.is_loopback or a.is_unspecified or a.is_multicast else (a.is_private, a.is_link_local)
+
+    own = kind(v)
+    if own is None:
+        return None
+    # A group keeps its classes of hexadecimal digits; IPv6 is short enough for one piece.
+    return _characters(v, p, reverse, "ipv6", base16=True, valid=lambda new: kind(new) == own)
+
+
 def _email(v: str, p: Permutation, reverse: bool) -> str | None:
     local, _, domain = v.rpartition("@")
     out = _characters(local, p, reverse, f"email{domain.lower()}")
     return None if out is None else f"{out}@{domain}"
 
 
+def _login(v: str, p: Permutation, reverse: bool) -> str | None:
+    name, _, password = v.partition(":")
+    new = _characters(name, p, reverse, "login"), _characters(password, p, reverse, "secret", True)
+    return None if new == (None, None) else f"{new[0] or name}:{new[1] or password}"
+
+
 def _access_key(v: str, p: Permutation, reverse: bool) -> str | None:
     return v[:4] + _characters(v[4:], p, reverse, "key" + v[:4])
 
 
+def _token(v: str, p: Permutation, reverse: bool) -> str | None:
+    prefix = re.match(r"(?:gh[opsur]_|github_pat_|glpat-|xox[abprs]-|sk[-_]|npm_|pypi-)?", v)[0]
+    out = _characters(v[len(prefix):], p, reverse, f"token{prefix}")
+    return None if out is None else prefix + out
+
+
+def _key_body(v: str, p: Permutation, reverse: bool) -> str | None:
+    return _characters(v, p, reverse, "private key")
+
+
 def _secret(v: str, p: Permutation, reverse: bool) -> str | None:
-    return _characters(v, p, reverse, "secret", re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", v) is not None)
+    return _characters(v, p, reverse, "secret", True)
+
+
+def _told_phone(v: str, p: Permutation, reverse: bool) -> str | None:
+    return _phone_us(v, p, reverse) if len(v) == 10 or v[0] == "1" else None
 
 
 #: kind, pattern (group 1 is the value), what a text must contain, function
@@ -278,19 +380,31 @@ KINDS = [
     ("phone", re.compile(r"(?<![\w+])(\+(?!1[ (.-])\d{1,3}(?:[ .-]?\(?\d{1,5}\)?){2,6})(?![\w-])"), "0", _phone),
     ("ssn", re.compile(r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])"), "0", _ssn),
     ("ipv4", re.compile(r"(?<![\w.])(\d{1,3}(?:\.\d{1,3}){3})(?!\w|\.\d)"), "0", _ipv4),
+    ("phone", re.compile(r"(?i)(?<!\w)(?:tel|telephone|phone|mobile|cell|call|fax|whatsapp)[.:#]?\s{1,2}(\d{10,11})(?!\w)"),
+     "0", _told_phone),
+    ("ipv6", re.compile(r"(?<![\w:.])((?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4})(?![\w:]|\.\d)"), ":", _ipv6),
     ("date", re.compile(r"(?<![\w/.-])(\d{4}-\d{1,2}-\d{1,2}|\d{1,2}([/.-])\d{1,2}\2\d{4})(?![\w/-]|\.\d)"), "0", _date),
-    ("email", re.compile(r"(?<![\w.%+-])([A-Za-z0-9_.%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"), "@", _email),
+    ("date", re.compile(r"(?i)(?<![\w/.-])(\d{1,2} (?:" + "|".join(f"{m}|{m[:3]}" for m in _MONTHS) + r")\.?,? \d{4}|(?:"
+                        + "|".join(f"{m}|{m[:3]}" for m in _MONTHS) + r")\.? \d{1,2},? \d{4})(?!\w)"), "0", _named_date),
+    ("login", re.compile(r"(?<=://)([^\s:/@]+:[^\s/@]+)(?=@)"), "/", _login),
+    ("email", re.compile(r"(?<![\w.%+-])([\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"), "@", _email),
     ("access_key", re.compile(r"(?<!\w)((?:AKIA|ASIA)[A-Z0-9]{16})(?!\w)"), "A", _access_key),
+    ("private_key", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----([^-]+)-----END"), "K", _key_body),
+    ("token", re.compile(r"(?<!\w)((?:gh[opsur]_|github_pat_|glpat-|xox[abprs]-|sk[-_]|npm_|pypi-)[\w-]{16,})(?!\w)"), "t", _token),
+    ("token", re.compile(r"(?i)(?<!\w)bearer\s{1,3}([\w.~+/-]{16,})"), "t", _token),
     ("secret", re.compile(r"(?i)(?<!\w)(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
-                          r"([^\s\"']{6,256})"), "s", _secret),
+                          r"([^\s\"']{6,})"), "s", _secret),
 ]
 _ANY_DIGIT = re.compile(r"\d\W?\d", re.ASCII)
+_TOKEN_SIGN = re.compile(r"gh[opsur]_|github_pat_|glpat-|xox[abprs]-|sk[-_]|npm_|pypi-|[Bb][Ee][Aa][Rr][Ee][Rr]\s")
 _ASSIGNED = re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]")
 
 
 def replace_values(text: str, p: Permutation, reverse: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms and (kind, start, length) of each."""
     has = {"0": _ANY_DIGIT.search(text) is not None, "@": "@" in text, "A": "AKIA" in text or "ASIA" in text,
+           ":": text.count(":") > 1, "/": "://" in text and "@" in text, "K": "PRIVATE KEY" in text,
+           "t": _TOKEN_SIGN.search(text) is not None,
            "s": ("=" in text or ":" in text) and _ASSIGNED.search(text) is not None}
     found: list[tuple[int, int, str, str]] = []
     taken: set[int] = set()

@@ -6,12 +6,15 @@ tree projects on one random direction; a node's 45 % and 55 % quantiles bound th
 band, and vectors inside the band go both ways, so close pairs rarely part. Quantiles come
 from a bounded sample of each node's vectors (about ``SAMPLE``); every vector is routed.
 Nodes that are still larger than ``LEAF`` rows after one round of levels are split further
-in another round, by the same code, so leaves stay bounded at any input size.
+in another round, by the same code. Splitting a node in which most vectors link with many
+others would part linked pairs at every level, whatever the direction: a node whose sampled
+pairs reach the threshold in at least ``DENSE`` of the cases is a leaf of whatever size.
 
-Inside a leaf all pairs are compared by cosine in double precision, block by block. A pair
-that meets in several leaves is counted in one of them: the first in the order of (tree,
+Inside a leaf all pairs are compared by cosine in double precision. A leaf of more than
+``PAIR_BLOCK`` rows is dealt to blocks, and every pair of its blocks is one task: in a dense
+leaf at least one comparison in 1 / DENSE finds a link. A pair that meets in several leaves is counted in one of them: the first in the order of (tree,
 leaf) that both share, which the task knows from the leaf codes that travel with a vector.
-So degrees are sums, no pair leaves a task, and a leaf only sends one star link per vector
+So degrees are sums, no pair leaves a task, and a task only sends one star link per vector
 for the union. Nothing below the threshold is linked; the forest's recall of pairs at the
 threshold is measured in the tests and stated in the README.
 
@@ -39,6 +42,9 @@ LEVELS = 7          # levels split in one round
 MIN_NODE = 32       # sampled vectors below which a node is not split further
 MAX_ROUNDS = 8
 OVERLAP = 0.05      # share of a node on each side of its median that goes both ways
+DENSE = 0.05        # share of linked pairs from which a node is not split
+PAIR_BLOCK = 4096   # rows of a leaf on each side of one comparison
+_PROBE = 400        # sampled vectors whose pairs tell the share
 
 
 def _directions(tree: int, turn: int, dims: int, levels: int) -> np.ndarray:
@@ -56,8 +62,15 @@ def _unit(column, dims: int) -> np.ndarray:
     return x / np.sqrt((x ** 2).sum(axis=1, keepdims=True))
 
 
-def _fit(projected: np.ndarray, rows: float, leaf: int) -> np.ndarray:
-    """Spill bands (lo, hi) of the nodes of one subtree in heap order; nan where a node is a leaf."""
+def _is_dense(x: np.ndarray, threshold: float) -> bool:
+    x = x[:_PROBE]
+    links = np.count_nonzero(x @ x.T >= threshold) - len(x)
+    return links >= DENSE * len(x) * (len(x) - 1)
+
+
+def _fit(x: np.ndarray, projected: np.ndarray, rows: float, leaf: int, threshold: float) -> np.ndarray:
+    """Spill bands (lo, hi) of the nodes of one subtree in heap order; lo is nan where a node is
+    a leaf, and hi is infinite where it is one because it is dense."""
     levels = projected.shape[1]
     bands = np.full((2 ** levels - 1, 2), np.nan)
     nodes = {0: np.arange(len(projected))}
@@ -67,6 +80,9 @@ def _fit(projected: np.ndarray, rows: float, leaf: int) -> np.ndarray:
         for node, at in nodes.items():
             if len(at) * scale <= leaf or len(at) < MIN_NODE:
                 continue
+            if _is_dense(x[at], threshold):
+                bands[node] = np.nan, np.inf
+                continue
             p = projected[at, level]
             lo, hi = np.quantile(p, [0.5 - OVERLAP, 0.5 + OVERLAP])
             if (p <= hi).all() or (p >= lo).all():
@@ -95,15 +111,17 @@ def _route(projected: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(done_row), np.concatenate(done_node)
 
 
-def _split(rows: DataFrame, turn: int, dims: int, leaf: int, sample: int, levels: int) -> DataFrame:
-    """One round: split every (tree, leaf) of ``rows`` (id, v, tree, leaf) into smaller leaves."""
+def _split(rows: DataFrame, turn: int, dims: int, leaf: int, sample: int, levels: int, threshold: float) -> DataFrame:
+    """One round: split every (tree, leaf) of ``rows`` (id, v, tree, leaf) into smaller leaves;
+    ``dense`` marks rows of a leaf that must not be split."""
     sizes = rows.groupBy("tree", "leaf").agg(F.count("*").alias("n"))
     share = F.pmod(F.xxhash64(F.lit(turn), "id", "tree"), F.lit(1 << 30)) / float(1 << 30)
     picked = rows.join(sizes, ["tree", "leaf"]).where(share < float(sample) / F.col("n"))
 
     def fit(group):
         tree, at, n = (group[c][0].as_py() for c in ("tree", "leaf", "n"))
-        bands = _fit(_unit(group["v"], dims) @ _directions(tree, turn, dims, levels), n, leaf)
+        x = _unit(group["v"], dims)
+        bands = _fit(x, x @ _directions(tree, turn, dims, levels), n, leaf, threshold)
         return pa.table({"tree": pa.array([tree], pa.int32()), "leaf": [at],
                          "bands": pa.array([bands.astype("<f8").tobytes()], pa.binary())})
 
@@ -116,7 +134,7 @@ def _split(rows: DataFrame, turn: int, dims: int, leaf: int, sample: int, levels
                 continue
             x = _unit(b.column("v"), dims)
             trees, leaves = b.column("tree").to_numpy(), b.column("leaf").to_numpy()
-            row, at = [], []
+            row, at, dense = [], [], []
             for key in np.unique(np.stack([trees, leaves]), axis=1).T:
                 own = np.flatnonzero((trees == key[0]) & (leaves == key[1]))
                 blob = b.column("bands")[int(own[0])].as_py()
@@ -125,69 +143,82 @@ def _split(rows: DataFrame, turn: int, dims: int, leaf: int, sample: int, levels
                 r, node = _route(x[own] @ _directions(int(key[0]), turn, dims, levels), bands)
                 row.append(own[r])
                 at.append(key[1] * (2 ** (levels + 1)) + node)
+                dense.append(np.isinf(np.append(bands[:, 1], np.full(2 ** levels, np.nan)))[node])
             row = np.concatenate(row)
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [b.column("id").take(take), b.column("w").take(take), b.column("v").take(take),
-                 b.column("tree").take(take), pa.array(np.concatenate(at))], names=["id", "w", "v", "tree", "leaf"])
+                 b.column("tree").take(take), pa.array(np.concatenate(at)), pa.array(np.concatenate(dense))],
+                names=["id", "w", "v", "tree", "leaf", "dense"])
 
     few = models.count() <= 64  # at most 64 models of 2 kB; more are joined by key
     joined = rows.join(F.broadcast(models) if few else models, ["tree", "leaf"], "left")
-    return joined.mapInArrow(route, rows.select("id", "w", "v", "tree", "leaf").schema)
+    return joined.mapInArrow(route, rows.select("id", "w", "v", "tree", "leaf", F.lit(False).alias("dense")).schema)
+
+
+def _roots(linked: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id that each row (ids a) and column (ids b) reaches over the links of a block."""
+    root_a, root_b = a.copy(), b.copy()
+    open_a = linked.any(1)
+    across = np.ascontiguousarray(linked.T)
+    for start in np.flatnonzero(open_a):
+        if not open_a[start]:
+            continue
+        rows, cols = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
+        edge = np.array([start])
+        rows[start] = True
+        while len(edge):
+            seen = linked[edge].any(0) & ~cols
+            cols |= seen
+            reached = across[seen].any(0) & ~rows
+            rows |= reached
+            edge = np.flatnonzero(reached)
+        open_a &= ~rows
+        low = min(a[rows].min(), b[cols].min())
+        root_a[rows], root_b[cols] = low, low
+    return root_a, root_b
 
 
 def _leaf_links(dims: int, threshold: float):
-    """Per leaf: (id, degree counted here, smallest id linked inside the leaf)."""
+    """Per leaf and pair of its blocks: (id, degree counted here, smallest id linked here)."""
 
     def run(group):
         group = group.combine_chunks().sort_by("id")
-        ids, weight = group["id"].to_numpy(), group["w"].to_numpy()
-        own = group["code"][0].as_py()
-        x = _unit(group["v"], dims)
-        n = len(ids)
+        own, first, second = (group[c][0].as_py() for c in ("code", "low", "high"))
+        block = group["block"].to_numpy()
+        at_a, at_b = np.flatnonzero(block == first), np.flatnonzero(block == second)
+        ids, weight, x = group["id"].to_numpy(), group["w"].to_numpy(), _unit(group["v"], dims)
+        linked = np.empty((len(at_a), len(at_b)), dtype=bool)
+        for at in range(0, len(at_a), 1024):
+            linked[at: at + 1024] = x[at_a[at: at + 1024]] @ x[at_b].T >= threshold
+        if first == second:
+            np.fill_diagonal(linked, False)
+        root_a, root_b = _roots(linked, ids[at_a], ids[at_b])
         # Members of this leaf that share an earlier leaf: their pairs are counted there.
         codes = [np.frombuffer(c, "<i8") for c in group["codes"].to_pylist()]
         flat = np.concatenate(codes)
-        member = np.repeat(np.arange(n), [len(c) for c in codes])
+        member = np.repeat(np.arange(len(ids)), [len(c) for c in codes])
         flat, member = flat[flat < own], member[flat < own]
         order = np.argsort(flat, kind="stable")
         cuts = np.flatnonzero(np.diff(flat[order])) + 1
-        earlier = [m for m in np.split(member[order], cuts) if len(m) > 1] if len(order) else []
-        degree = np.zeros(n, dtype=np.int64)
-        label = np.arange(n)
-        pairs = []
-        step = 1024
-        for at in range(0, n, step):
-            linked = x[at: at + step] @ x.T >= threshold
-            linked[np.arange(len(linked)), np.arange(at, at + len(linked))] = False
-            first = np.where(linked.any(1), linked.argmax(1), n)  # smallest linked member
-            label[at: at + len(linked)] = np.minimum(label[at: at + len(linked)], first)
-            far, near = np.nonzero(linked[:, : at + step])
-            keep = far + at > near
-            pairs.append((far[keep] + at, near[keep]))
-            for m in earlier:
-                inside = m[(m >= at) & (m < at + step)] - at
-                if len(inside):
-                    linked[np.ix_(inside, m)] = False
-            degree[at: at + step] = linked @ weight
-        while True:  # smallest member over links until nothing changes
-            old = label.copy()
-            for a, b in pairs:
-                low = np.minimum(label[a], label[b])
-                np.minimum.at(label, a, low)
-                np.minimum.at(label, b, low)
-            label = label[label]
-            if (label == old).all():
-                break
-        used = (degree > 0) | (label != np.arange(n))
-        return pa.table({"id": ids[used], "degree": degree[used], "root": ids[label[used]]})
+        for m in (np.split(member[order], cuts) if len(order) else []):
+            linked[np.ix_(np.flatnonzero(np.isin(at_a, m)), np.flatnonzero(np.isin(at_b, m)))] = False
+        degree = linked @ weight[at_b]
+        out_id, out_degree, out_root = [ids[at_a]], [degree], [root_a]
+        if first != second:
+            out_id.append(ids[at_b])
+            out_degree.append(linked.T @ weight[at_a])
+            out_root.append(root_b)
+        out_id, out_degree, out_root = map(np.concatenate, (out_id, out_degree, out_root))
+        used = (out_degree > 0) | (out_root != out_id)
+        return pa.table({"id": out_id[used], "degree": out_degree[used], "root": out_root[used]})
 
     return run
 
 
 def near_duplicates(vectors: DataFrame, vec: str = "embedding", key: str = "vec_id", threshold: float = THRESHOLD,
                     trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE,
-                    levels: int = LEVELS) -> DataFrame:
+                    levels: int = LEVELS, pair_block: int = PAIR_BLOCK) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     ok = usable(vec) & F.exists(F.col(vec), lambda x: x != 0)
     rows = vectors.select(F.col(key).alias("row_id"), F.when(ok, F.col(vec)).alias("v"))
@@ -205,9 +236,9 @@ def near_duplicates(vectors: DataFrame, vec: str = "embedding", key: str = "vec_
                             F.lit(0).cast("long").alias("leaf"))
     settled = None
     for turn in range(MAX_ROUNDS):
-        routed = materialise(_split(routed, turn, dims, leaf, sample, levels), f"forest-{turn}")
-        large = (routed.groupBy("tree", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > 2 * leaf)
-                 .select("tree", "leaf"))
+        routed = materialise(_split(routed, turn, dims, leaf, sample, levels, threshold), f"forest-{turn}")
+        large = (routed.where("not dense").groupBy("tree", "leaf").agg(F.count("*").alias("n"))
+                 .where(F.col("n") > 2 * leaf).select("tree", "leaf"))
         large = materialise(large, "forest-large")
         if not large.limit(1).count():
             break
@@ -227,7 +258,14 @@ def near_duplicates(vectors: DataFrame, vec: str = "embedding", key: str = "vec_
                                           pa.binary())], names=["id", "codes"])
 
     codes = codes.mapInArrow(packed, "id long, codes binary")
-    found = (leaves.join(codes, "id").select("code", "id", "w", "v", "codes").groupBy("code")
+    n_blocks = materialise(leaves.groupBy("code").agg(F.ceil(F.count("*") / pair_block).cast("int").alias("n_blocks")),
+                           "forest-blocks")
+    dealt = (leaves.join(codes, "id").join(n_blocks, "code")
+             .withColumn("block", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("n_blocks")).cast("int"))
+             .select("code", "id", "w", "v", "codes", "block",
+                     F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")))
+    found = (dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+             .groupBy("code", "low", "high")
              .applyInArrow(_leaf_links(dims, threshold), "id long, degree long, root long"))
     found = materialise(found, "forest-links")
     degrees = found.groupBy("id").agg(F.sum("degree").alias("degree"))

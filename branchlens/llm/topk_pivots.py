@@ -21,9 +21,11 @@ the queries that ask for it (about ``QUERIES``): hot annuli, such as many copies
 vector, are several blocks, and only (annulus, slice) pairs that occur meet.
 
 Edge cases: vectors that are null or hold null or non-finite components, and rows with a
-null id, take no part; shorter vectors are padded with zeros; an empty vector is zero;
-rows that share an id are one vector (the smallest); ties go to the smaller id; with fewer
-than k candidates all are returned; an empty table gives an empty result.
+null id, take no part; shorter vectors are padded with zeros; an empty vector is zero; rows
+that share an id are candidates of their own, none of them for a query of that id, and as
+queries they share one list (a candidate is in it once for each of them); equal rows are
+indexed once, with their number; ties go to the smaller id; with fewer than k candidates all
+are returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -109,7 +111,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key:
     spark = vectors.sparkSession
     rows = (vectors.where(usable(vec) & F.col(key).isNotNull())
             .select(F.col(key).cast("long").alias("id"), F.col(vec).alias("v"), is_query.alias("ask"))
-            .groupBy("id").agg(F.min("v").alias("v"), F.max("ask").alias("ask")))
+            .groupBy("id", "v").agg(F.max("ask").alias("ask"), F.count("*").alias("w")))
     rows = materialise(rows, "topk-vectors")
     n, dims, n_asking = rows.agg(F.count("*"), F.max(F.size("v")), F.count_if("ask")).first()
     dims = max(int(dims or 0), 1)
@@ -126,12 +128,12 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key:
             x = _ints(b.column("v"), dims)
             cell, dist = _key(x, pivots, width, rings)
             yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("ask"), pa.array(cell), pa.array(dist),
+                [b.column("id"), b.column("w"), b.column("ask"), pa.array(cell), pa.array(dist),
                  pa.array((x.astype(np.float64) ** 2).sum(1)), _blobs(x)],
-                names=["id", "ask", "cell", "dist", "norm2", "x"])
+                names=["id", "w", "ask", "cell", "dist", "norm2", "x"])
 
-    index = materialise(rows.mapInArrow(keyed, "id long, ask boolean, cell long, dist double, norm2 double, x binary"),
-                        "topk-index")
+    index = materialise(rows.mapInArrow(
+        keyed, "id long, w long, ask boolean, cell long, dist double, norm2 double, x binary"), "topk-index")
     annuli = sorted(index.groupBy("cell").agg(F.count("*").alias("n"), F.min("dist").alias("lo"),
                                               F.max("dist").alias("hi"), F.max("norm2").alias("norm2"))
                     .collect(), key=lambda r: r.cell)  # at most PIVOTS * RINGS rows
@@ -162,7 +164,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key:
                     take = pa.array(q)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(cells[c]), pa.array(part_of, pa.int64()), part.column("id").take(take),
-                         part.column("x").take(take)], names=["cell", "block", "id", "x"])
+                         part.column("w").take(take), part.column("x").take(take)],
+                        names=["cell", "block", "id", "w", "x"])
         return run
 
     def in_first(bound: np.ndarray) -> np.ndarray:
@@ -177,48 +180,50 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, vec: str = "embedding", key:
         stored = stored.combine_chunks().sort_by("id")
         if not len(stored) or not len(asking):
             return empty
-        ids, x = stored["id"].to_numpy(), _from_blobs(stored["x"], dims)
-        who, y = asking["id"].to_numpy(), _from_blobs(asking["x"], dims)
+        ids, x, times = stored["id"].to_numpy(), _from_blobs(stored["x"], dims), stored["w"].to_numpy()
+        who, y, asks = asking["id"].to_numpy(), _from_blobs(asking["x"], dims), asking["w"].to_numpy()
         out = []
         for at in range(0, len(who), 512):
             scores = _products(y[at: at + 512], x)
-            scores[who[at: at + 512, None] == ids[None]] = np.iinfo(np.int64).min  # the query's own row
+            scores[who[at: at + 512, None] == ids[None]] = np.iinfo(np.int64).min  # rows of the query's own id
             best = _best(scores, ids, k)
             got = np.take_along_axis(scores, best, axis=1)
             asker = np.broadcast_to(who[at: at + 512, None], best.shape)
             real = got != np.iinfo(np.int64).min
-            out.append(pa.table({"query_id": asker[real], "vec_id": ids[best][real], "score": got[real]}))
+            n = np.minimum(times[best] * asks[at: at + 512, None], k)
+            out.append(pa.table({"query_id": asker[real], "vec_id": ids[best][real], "score": got[real], "n": n[real]}))
         return pa.concat_tables(out)
 
-    empty = pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
-    request = "cell long, block long, id long, x binary"
-    slice_of = lambda: F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n_asking // query_slice))))
+    empty = pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score", "n")})
+    request = "cell long, block long, id long, w long, x binary"
+    slice_of = lambda: F.pmod(F.xxhash64("id", "x"), F.lit(max(1, -(-n_asking // query_slice))))
     # At most PIVOTS * RINGS rows: a proven bound for the broadcast.
     sizes = spark.createDataFrame(list(blocks.items()), "cell long, n_blocks int")
     stored = index.join(F.broadcast(sizes), "cell").select(
-        "cell", F.pmod(F.xxhash64("id"), F.col("n_blocks")).alias("block"), "id", "x")
+        "cell", F.pmod(F.xxhash64("id", "x"), F.col("n_blocks")).alias("block"), "id", "w", "x")
 
     def answers(requests: DataFrame, name: str) -> DataFrame:
         requests = materialise(requests.withColumn("part", slice_of()), name)
         wanted = requests.select("cell", "block", "part").distinct()
         left = stored.join(wanted, ["cell", "block"]).groupBy("cell", "block", "part")
-        right = requests.toDF("ask_cell", "ask_block", "id", "x", "ask_part").groupBy("ask_cell", "ask_block", "ask_part")
-        return left.cogroup(right).applyInArrow(compare, "query_id long, vec_id long, score long")
+        right = requests.toDF("ask_cell", "ask_block", "id", "w", "x", "ask_part").groupBy("ask_cell", "ask_block", "ask_part")
+        return left.cogroup(right).applyInArrow(compare, "query_id long, vec_id long, score long, n long")
 
     def best(found: DataFrame) -> DataFrame:
+        each = found.select("query_id", "vec_id", "score", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("col")
         rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-        return found.withColumn("rank", rank).where(F.col("rank") <= k)
+        return each.withColumn("rank", rank).where(F.col("rank") <= k)
 
-    queries = index.where("ask").select("id", "x")
+    queries = index.where("ask").select("id", "w", "x")
     first = materialise(best(answers(queries.mapInArrow(asked(lambda bound, _: in_first(bound)), request),
                                      "topk-ask-1")).drop("rank"), "topk-first")
     reached = first.groupBy("query_id").agg(F.count("*").alias("_n"), F.min("score").alias("_s"))
     open_queries = queries.join(reached, F.col("id") == F.col("query_id"), "left").select(
-        "id", "x", F.when(F.col("_n") >= k, F.col("_s").cast("double")).otherwise(float("-inf")).alias("score"))
+        "id", "w", "x", F.when(F.col("_n") >= k, F.col("_s").cast("double")).otherwise(float("-inf")).alias("score"))
 
     def remaining(bound, part):
         return ~in_first(bound) & (bound >= part.column("score").to_numpy()[:, None])
 
     second = answers(open_queries.mapInArrow(asked(remaining), request), "topk-ask-2")
-    merged = best(first.select("query_id", "vec_id", "score").unionByName(second))
+    merged = best(first.select("query_id", "vec_id", "score", F.lit(1).cast("long").alias("n")).unionByName(second))
     return merged.select("query_id", "rank", "vec_id", "score")

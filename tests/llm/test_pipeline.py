@@ -190,6 +190,22 @@ def test_mix_edges(spark):
     assert mixing.apply_mix(df.limit(0), mixing.plan_mix(df.limit(0))).collect() == []
 
 
+def test_mix_of_rows_that_share_an_id(spark):
+    """Each row of an id has its own random number, so targets are met, and reruns agree."""
+    docs = [(7, "w " * (25 if i % 2 else 30), "a") for i in range(100)] + [(7, "v " * 20, "a")] * 100
+    docs += [(i, "w " * 40, "b") for i in range(100, 160)] + [(None, "x " * 15, "c")] * 90
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(7)
+    got = [mixing.apply_mix(d, mixing.plan_mix(d)).collect() for d in (df, df.repartition(3, F.rand(5)))]
+    assert len(got[0]) == len(docs)
+    for s in "abc":
+        rows = [r for r in got[0] if r.source == s]
+        total, target, taken = sum(r.size for r in rows), rows[0].target, sum(r.taken for r in rows)
+        assert rows[0].source_size == total and abs(taken - target) <= 30
+        assert all(r.taken <= 2 * r.size for r in rows)
+    bag = [sorted((str(r.doc_id), r.text, r.taken) for r in g) for g in got]
+    assert bag[0] == bag[1]
+
+
 def test_stages_and_run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     scored = {r.doc_id: r.score for r in op1_quality(spark, sf_dir).collect()}

@@ -68,6 +68,37 @@ def test_forest_recall_and_precision(spark):
     assert sum(n for _, n, _ in got) >= 0.97 * sum(true.values())
 
 
+def dense(n, dims=32, seed=11):
+    """One cluster in which nearly all pairs reach the threshold, and some vectors beside it."""
+    rng = np.random.default_rng(seed)
+    centre = rng.normal(size=dims)
+    x = centre + rng.normal(size=(n, dims)) * np.linalg.norm(centre) * 0.03
+    return np.concatenate([x, rng.normal(size=(n // 10, dims))]).astype(np.float32)
+
+
+def test_recall_in_a_cluster_larger_than_a_leaf(spark):
+    """A cluster of five leaves, compared in blocks, loses no link."""
+    x = dense(1000)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = brute_links(rows)
+    assert sum(n for _, n, _ in want) > 0.9 * 1000 * 999
+    assert found(rp_forest.near_duplicates(df, leaf=200, sample=600, pair_block=130)) == want
+
+
+def test_recall_of_clusters_inside_many_rows(spark):
+    """Clusters from 2 to some leaves, among rows that link with nothing."""
+    rng = np.random.default_rng(5)
+    parts = [dense(n, 16, n)[:n] for n in (2, 3, 10, 60, 150, 300)] + [rng.normal(size=(900, 16)).astype(np.float32)]
+    x = np.concatenate(parts)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    true = {i: n for i, n, _ in brute_links(rows)}
+    got = found(rp_forest.near_duplicates(df, leaf=100, sample=400, levels=3, pair_block=64))
+    assert all(n <= true[i] for i, n, _ in got)
+    assert sum(n for _, n, _ in got) >= 0.9 * sum(true.values())
+
+
 def test_vector_edges(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [2.0, 0.0]), (4, [0.0, 0.0]), (5, None), (6, []),
             (7, [float("nan"), 1.0]), (8, [None, 1.0]), (9, [float("inf"), 1.0]), (None, [1.0, 0.0]), (10, [1.0]),
@@ -79,16 +110,13 @@ def test_vector_edges(spark):
 
 
 def brute_top(rows, k=5, every=50):
-    best = {}
-    for i, v in rows:
-        if i is not None and usable(v) and (i not in best or v < best[i]):
-            best[i] = v
-    ids = sorted(best)
-    x = np.floor(256 * padded([best[i] for i in ids])).astype(np.int64).tolist()
-    for i, q in zip(ids, x):
-        if i % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q, y)), j) for j, y in zip(ids, x) if j != i)
-            yield from ((i, r, j, -s) for r, (s, j) in enumerate(scores[:k], 1))
+    """Every row with an id is a candidate; the rows of a query's id share one list."""
+    good = [(i, v) for i, v in rows if i is not None and usable(v)]
+    x = np.floor(256 * padded([v for _, v in good])).astype(np.int64).tolist()
+    for q in sorted({i for i, _ in good if i % every == 0}):
+        scores = sorted((-sum(a * b for a, b in zip(y, z)), j) for (i, _), y in zip(good, x) if i == q
+                        for (j, _), z in zip(good, x) if j != q)
+        yield from ((q, r, j, -s) for r, (s, j) in enumerate(scores[:k], 1))
 
 
 def test_op10_on_the_table(spark, sf_dir):
@@ -117,6 +145,19 @@ def test_top_edges(spark):
     assert topk_pivots.top_k(df, F.lit(False)).collect() == []
 
 
+def test_rows_that_share_an_id_are_all_candidates(spark):
+    one, low, high = [1.0, 0.0], [1.0, 0.0], [3.0, 0.0]
+    df = lambda rows: spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    rows = [(1, one), (2, low), (2, high), (3, [0.5, 1.0])]
+    got = topk_pivots.top_k(df(rows), F.col("vec_id") == 1).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 2, 196608), (1, 2, 2, 65536), (1, 3, 3, 32768)]
+    rng = np.random.default_rng(8)
+    rows = [(int(rng.integers(0, 40)), rng.integers(-2, 3, 3).astype(float).tolist()) for _ in range(300)]
+    got = topk_pivots.top_k(df(rows), F.col("vec_id") % 10 == 0, sample_rows=50, most_pivots=5, rings=4, block=15,
+                            query_slice=2, first_rows=5).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_top(rows, every=10))
+
+
 def test_components(spark):
     rng = np.random.default_rng(4)
     links = [(i, i + 1) for i in range(100, 160)] + [(7, 7), (3, None), (None, 2)]
