@@ -438,13 +438,20 @@ def bootstrap_raw(x: Inputs):
     written under the shared scratch folder when the query is built."""
     from branchlens.plans import ingest
     from branchlens.session import scratch_path
-    from branchlens.sources.readers import read_table
     root = scratch_path(x.spark, "bootstrap")
-    D.write_pages(_sales_pages(x), f"{root}/landing/sales")
-    D.write_pages(D.build_payment_pages(x.payments_ev), f"{root}/landing/payments")
-    D.write_pages(D.build_product_pages(x.catalog), f"{root}/landing/products")
-    D.write_pages(D.build_category_pages(x.catalog), f"{root}/landing/categories")
+    _land(x.spark, f"{root}/landing", sales=_sales_pages(x), payments=D.build_payment_pages(x.payments_ev),
+          products=D.build_product_pages(x.catalog), categories=D.build_category_pages(x.catalog))
     ingest.bootstrap(x.spark, f"{root}/landing", f"{root}/raw")
+    return _raw_rows(ingest.raw_store(x.spark, f"{root}/raw").read)
+
+
+def _land(spark, folder: str, **feeds: DataFrame) -> None:
+    from branchlens.session import run_together
+    run_together(spark, [lambda f=feed, d=docs: D.write_pages(d, f"{folder}/{f}") for feed, docs in feeds.items()])
+
+
+def _raw_rows(read: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows of the four raw tables in one form."""
     none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
     columns = {
         "sales": ("sale_id", text, F.col("total").cast("double"), "month"),
@@ -454,7 +461,7 @@ def bootstrap_raw(x: Inputs):
     }
     out = None
     for name, (key, second, amount, part) in columns.items():
-        rows = read_table(x.spark, f"{root}/raw/{name}", ingest.RAW_TABLES[name]).select(
+        rows = read(name).select(
             F.lit(name).alias("raw_table"), F.col(key).alias("id"), second.alias("detail"), "branch",
             amount.alias("amount"), F.col(part).alias("part"))
         out = rows if out is None else out.unionByName(rows)

@@ -1,36 +1,41 @@
 """Landing -> raw tables: the full bootstrap and the incremental update.
 
-Raw tables live under ``<raw>/<name>/`` as parquet with declared schemas
-(``schemas.RAW_TABLES``). Sales, lines and payments are partitioned by month (lines carry
-their sale's month), so an incremental run rewrites only the months it touches
-(``sinks.upsert_partitions``); the catalogue is partitioned by branch. Every raw row
-carries ``ingest_seq`` (0 for the bootstrap, the run's sequence number afterwards) and
-``landed_at`` (file, block, line, place in the page): on equal keys the row that landed
-last wins, as in a keep-last append. File names must sort in the order of delivery.
-
-* ``bootstrap``: flatten every landed page (sales with their items, payments, products,
-  categories); the catalogue keeps only categorised products (inner join).
-* ``incremental``: marks from the raw tables (closed sales minus the 20-row lookback;
-  all payments), landed records above their branch's mark, upserted by key; the
-  catalogue is refreshed (left join, keep-last) only when new lines arrived. The selected
-  records are written to the shared scratch folder before any table changes, so every
-  step of a run works on the same selection; a run without new records changes nothing.
-
-Pages that cannot be read are kept under ``<raw>/rejects/<run>/<feed>`` and counted.
+The raw tables are one ``SnapshotStore`` (``raw_store``): sales, lines and payments
+partitioned by month (lines carry their sale's month), the catalogue by branch, the documents
+that could not be read by run, and the high-water marks that a run started from. A run reads
+one version, writes data folders that no reader sees, and publishes all tables with one
+commit. A run that dies has changed nothing and is simply run again; readers see the version
+before or the version after it.
+
+Every raw row carries ``ingest_seq`` (0 for the bootstrap, the run's sequence number
+afterwards) and ``landed_at`` (file, block, line, place in the page): on equal keys the row
+that landed last wins, as in a keep-last append. File names must sort in the order of
+delivery.
+
+* ``stage``: every landed document is read and parsed once, whether it is a page or holds a
+  single record, and kept as nested parquet; all tables are made from that.
+* ``bootstrap``: all tables from the staged documents; the catalogue keeps only categorised
+  products (inner join).
+* ``incremental``: marks from the raw tables (closed sales minus the 20-row lookback; all
+  payments), landed records above their branch's mark, merged by key into the months they
+  touch and the months their keys had before; the catalogue is refreshed (left join,
+  keep-last) only when new lines arrived.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from branchlens.functions.semantics import month_of
 from branchlens.operators import incremental as I
 from branchlens.schemas import RAW_TABLES
-from branchlens.session import scratch_path
+from branchlens.session import run_together, scratch_path
 from branchlens.sources import documents as D
-from branchlens.sources import sinks
-from branchlens.sources.readers import read_table
+from branchlens.sources.snapshots import Change, KeyIndex, SnapshotStore
 
 KEYS = {
     "sales": ["sale_id", "branch"],
@@ -40,13 +45,37 @@ KEYS = {
 }
 PARTITION = {"sales": "month", "lines": "month", "payments": "month", "products": "branch"}
 ORDER = ["ingest_seq", "landed_at"]
-FEEDS = {"sales": D.SALES_PAGE, "payments": D.PAYMENTS_PAGE, "products": D.PRODUCTS_PAGE,
-         "categories": D.CATEGORIES_PAGE}
 
+_TEXT, _LONG = T.StringType(), T.LongType()
+REJECTS = T.StructType([T.StructField("feed", _TEXT), T.StructField("branch", _TEXT), T.StructField("doc", _TEXT),
+                        T.StructField("run", _TEXT)])
+MARKS = T.StructType([T.StructField("branch", _TEXT), T.StructField("last_id", _LONG), T.StructField("source", _TEXT)])
+
+
+def raw_store(spark: SparkSession, raw: str) -> SnapshotStore:
+    """The store of the raw tables under ``raw``."""
+    tables = {name: (RAW_TABLES[name], PARTITION[name]) for name in KEYS}
+    return SnapshotStore(spark, raw, tables | {"rejects": (REJECTS, "run"), "marks": (MARKS, "source")})
+
+
+def indexes(store: SnapshotStore) -> dict[str, KeyIndex]:
+    """The month of every sale and payment; lines follow their sale."""
+    return {name: KeyIndex(store, name, KEYS[name]) for name in ("sales", "payments")}
+
+
+def stage(spark: SparkSession, landing: str, out: str) -> dict[str, DataFrame]:
+    """Parse every document of ``landing/{sales,payments,products,categories}`` once and keep
+    the result under ``out``: the (branch, landed_at, page, doc) rows of each feed."""
+    def one(feed: str) -> DataFrame:
+        parsed = D.parse_feed(spark, f"{landing}/{feed}", feed)
+        parsed.write.parquet(f"{out}/{feed}")
+        return spark.read.schema(parsed.schema).parquet(f"{out}/{feed}")
+    return dict(zip(D.FEEDS, run_together(spark, [lambda f=feed: one(f) for feed in D.FEEDS])))
 
-def landed(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
-    """Flattened landed pages under ``landing/{sales,payments,products,categories}``."""
-    pages = {feed: D.read_pages(spark, f"{landing}/{feed}", schema) for feed, schema in FEEDS.items()}
+
+def landed(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Records of the staged documents."""
+    pages = {feed: df.filter("page IS NOT NULL") for feed, df in staged.items()}
     return {
         "sales": D.flatten_sales(pages["sales"]),
         "lines": D.flatten_items(pages["sales"]),
@@ -56,14 +85,13 @@ def landed(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
     }
 
 
-def set_rejects_aside(spark: SparkSession, landing: str, raw: str, seq: int) -> int:
-    """Keep the unreadable pages of all feeds; returns their number."""
-    total = 0
-    for feed, schema in FEEDS.items():
-        rejects, seen = sinks.observe_counts(D.read_rejects(spark, f"{landing}/{feed}", schema), f"rejects {feed}")
-        rejects.write.mode("overwrite").parquet(f"{raw}/rejects/run={seq}/{feed}")
-        total += seen.get.get("rows", 0)
-    return total
+def rejects(staged: dict[str, DataFrame], run: int) -> DataFrame:
+    """The documents of all feeds that could not be read."""
+    out = None
+    for feed, df in staged.items():
+        bad = df.filter("page IS NULL").select(F.lit(feed).alias("feed"), "branch", "doc", F.lit(str(run)).alias("run"))
+        out = bad if out is None else out.unionByName(bad)
+    return out
 
 
 def same_key(a: DataFrame, b: DataFrame, keys: list[str]):
@@ -99,53 +127,91 @@ def _as_table(df: DataFrame, name: str, seq: int) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_TABLES[name].fields])
 
 
+def _set_aside(store: SnapshotStore, staged: dict[str, DataFrame], run: int) -> tuple[Change, int]:
+    change = store.append("rejects", rejects(staged, run))
+    return change, store.written("rejects", change)
+
+
 def bootstrap(spark: SparkSession, landing: str, raw: str) -> dict[str, int]:
-    """Full rebuild of the raw tables from every landed page."""
-    src = landed(spark, landing)
+    """Full rebuild of the raw tables from every landed document, published as one version.
+    What earlier runs published stays readable until it is collected."""
+    store = raw_store(spark, raw)
+    base = store.snapshot()
+    staged = stage(spark, landing, scratch_path(spark, "bootstrap-pages"))
+    src = landed(staged)
     sales, lines, payments = with_months(src["sales"], src["lines"], src["payments"])
     catalog = catalogue(src["products"], src["categories"], "inner")
-    counts = {}
-    for name, df in (("sales", sales), ("lines", lines), ("payments", payments), ("products", catalog)):
-        df, obs = sinks.observe_counts(_as_table(df, name, 0), name)
-        df.hint("rebalance", PARTITION[name]).write.mode("overwrite").partitionBy(PARTITION[name]) \
-            .parquet(f"{raw}/{name}")
-        counts[name] = obs.get["rows"]
-    counts["rejected_pages"] = set_rejects_aside(spark, landing, raw, 0)
+
+    def write(name: str, df: DataFrame) -> tuple[Change, int]:
+        change = store.replace(name, _as_table(df, name, 0))
+        return change, store.written(name, change)
+
+    tables = {"sales": sales, "lines": lines, "payments": payments, "products": catalog}
+    jobs = [lambda n=name, d=df: write(n, d) for name, df in tables.items()]
+    *written, (bad, n_bad) = run_together(spark, [*jobs, lambda: _set_aside(store, staged, 0)])
+    counts = {name: n for name, (_, n) in zip(tables, written)} | {"rejected_pages": n_bad}
+    changes = {name: change for name, (change, _) in zip(tables, written)} | {"rejects": Change(bad.commit, bad.folders, None)}
+    # Marks and key indexes described the tables before; the next incremental run makes them anew.
+    changes |= {name: Change("", [], None) for name in base.tables if name not in changes}
+    store.commit(base, changes, seq=0, counts=counts)
     return counts
 
 
-def incremental(spark: SparkSession, landing: str, raw: str, seq: int) -> dict[str, int]:
+def incremental(spark: SparkSession, landing: str, raw: str, seq: int,
+                branches: Sequence[str] | None = None) -> dict[str, int]:
     """One incremental run (``seq`` > every earlier run's): select landed records above the
-    per-branch marks and upsert them; refresh the catalogue when new lines arrived."""
-    for name in ("sales", "lines", "payments", "products"):
-        sinks.finish_swaps(spark, f"{raw}/{name}", RAW_TABLES[name], PARTITION[name])
+    per-branch marks and merge them; refresh the catalogue when new lines arrived.
+    ``branches`` lists the configured branches, which have a mark even without rows. A run
+    whose number is already published returns its counts and changes nothing."""
+    store = raw_store(spark, raw)
+    base = store.snapshot()
+    known = indexes(store)
+    last = base.meta.get("seq", -1)
+    if seq == last:
+        return base.meta["counts"]
+    if seq < last:
+        raise ValueError(f"run {seq} is older than the published run {last}")
     scratch = scratch_path(spark, f"ingest-{seq}")
-    sale_marks, pay_marks = I.incremental_marks(read_table(spark, f"{raw}/sales", RAW_TABLES["sales"]),
-                                                read_table(spark, f"{raw}/payments", RAW_TABLES["payments"]))
-    src = landed(spark, landing)
+    configured = spark.createDataFrame([(b,) for b in branches], "branch string") if branches else None
+    sale_marks, pay_marks = I.incremental_marks(store.read("sales", base), store.read("payments", base), configured)
+    marks = sale_marks.withColumn("source", F.lit("sales")).unionByName(pay_marks.withColumn("source", F.lit("payments")))
+    marks.write.parquet(f"{scratch}/marks")
+    marks = spark.read.schema(marks.schema).parquet(f"{scratch}/marks")
+    sale_marks, pay_marks = (marks.filter(F.col("source") == s).drop("source") for s in ("sales", "payments"))
+
+    staged = stage(spark, landing, f"{scratch}/pages")
+    src = landed(staged)
     new_sales = I.select_after_marks(src["sales"], sale_marks, "sale_id").drop("last_id")
     # The incremental path takes a sale's items together with the sale.
     new_lines = src["lines"].join(new_sales.select("sale_id", "branch"),
                                   same_key(src["lines"], new_sales, ["sale_id", "branch"]), "left_semi")
     new_payments = I.select_after_marks(src["payments"], pay_marks, "payment_id").drop("last_id")
-    batch = dict(zip(("sales", "lines", "payments"), with_months(new_sales, new_lines, new_payments)))
-    counts = {}
-    for name, df in batch.items():  # the whole selection is on disk before a table changes
-        df, obs = sinks.observe_counts(_as_table(df, name, seq), name)
-        df.write.parquet(f"{scratch}/{name}")
-        counts[name] = obs.get.get("rows", 0)
-    counts["rejected_pages"] = set_rejects_aside(spark, landing, raw, seq)
+    batch, counts, selected = dict(zip(("sales", "lines", "payments"), with_months(new_sales, new_lines, new_payments))), {}, {}
+    for name, df in batch.items():  # written: marks, merges and indexes below read it several times
+        _as_table(df, name, seq).write.parquet(f"{scratch}/{name}")
+        selected[name] = spark.read.schema(RAW_TABLES[name]).parquet(f"{scratch}/{name}")
+        counts[name] = selected[name].count()  # from the footers
+
+    changes = {"marks": store.replace("marks", marks)}
+    changes["rejects"], counts["rejected_pages"] = _set_aside(store, staged, seq)
+    moved = {}
+    for name, index in known.items():
+        if counts[name]:
+            base = index.ensure(base)
+            last_rows = I.keep_last(selected[name], KEYS[name], ORDER)
+            moved[name] = index.moves(last_rows, base)
+            changes[index.name] = index.update(last_rows, base, seq)
+    for name in ("sales", "lines", "payments"):
+        if counts[name]:
+            months = moved.get("sales" if name == "lines" else name, [])
+            changes[name] = store.merge(name, selected[name], KEYS[name], ORDER, base, also=months)
     counts["products"] = 0
     if counts["lines"] > 0:
-        fetched, obs = sinks.observe_counts(
-            _as_table(catalogue(src["products"], src["categories"], "left"), "products", seq), "products")
+        fetched = _as_table(catalogue(src["products"], src["categories"], "left"), "products", seq)
         fetched.write.parquet(f"{scratch}/products")
-        counts["products"] = obs.get.get("rows", 0)
-    # Sales last: their ids are the marks that select lines and the catalogue, so a run that
-    # dies earlier selects the same records again.
-    for name in ("products", "lines", "payments", "sales"):
-        if counts[name]:
-            staged = spark.read.schema(RAW_TABLES[name]).parquet(f"{scratch}/{name}")
-            sinks.upsert_partitions(spark, staged, f"{raw}/{name}", KEYS[name], ORDER, PARTITION[name],
-                                    f"{scratch}/staging-{name}", RAW_TABLES[name])
+        fetched = spark.read.schema(RAW_TABLES["products"]).parquet(f"{scratch}/products")
+        counts["products"] = fetched.count()
+        if counts["products"]:
+            changes["products"] = store.merge("products", fetched, KEYS["products"], ORDER, base)
+    store.commit(base, changes, seq=seq, counts=counts)
     return counts

@@ -30,7 +30,6 @@ from branchlens.operators import quality as Q
 from branchlens.operators import reports as R
 from branchlens.operators.incremental import keep_last
 from branchlens.plans import ingest
-from branchlens.schemas import RAW_TABLES
 from branchlens.sources import readers, sinks
 
 
@@ -107,10 +106,10 @@ def run_sales_job(spark: SparkSession, sales: DataFrame, lines: DataFrame, payme
 
 def run_from_raw(spark: SparkSession, raw: str, out: str, as_of: dt.date) -> dict:
     """The sales job on the raw tables that ``ingest`` keeps: the last row of every key."""
-    tables = {}
+    store, tables = ingest.raw_store(spark, raw), {}
+    at = store.snapshot()  # one version for all tables, whatever is published meanwhile
     for name in ("sales", "lines", "payments", "products"):
-        df = readers.read_table(spark, f"{raw}/{name}", RAW_TABLES[name])
-        df = keep_last(df, ingest.KEYS[name], ingest.ORDER)
+        df = keep_last(store.read(name, at), ingest.KEYS[name], ingest.ORDER)
         tables[name] = df if name == "products" else df.drop("month")
     return run_sales_job(spark, tables["sales"], tables["lines"], tables["payments"], tables["products"], out, as_of)
 

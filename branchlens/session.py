@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import InheritableThread
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC wall clock (timestamps are stored without zone),
@@ -84,6 +85,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def run_together(spark: SparkSession, jobs: list) -> list:
+    """Run independent Spark jobs (functions without arguments) side by side and return their
+    results in order. While the last tasks of one write finish, the others use the cores."""
+    results, failed = [None] * len(jobs), []
+
+    def run(at: int) -> None:
+        try:
+            results[at] = jobs[at]()
+        except BaseException as error:  # noqa: BLE001  (raised again below, in the caller's thread)
+            failed.append(error)
+
+    threads = [InheritableThread(target=run, args=(at,), session=spark) for at in range(len(jobs))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if failed:
+        raise failed[0]
+    return results
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Path of a fresh sub-folder of the shared checkpoint folder; Spark's writers create it."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -75,11 +75,57 @@ PAYMENT_DOC = T.StructType([T.StructField("data", PAYMENTS_PAGE["data"].dataType
 LANDED_OFFSET = "-03:00"
 
 
+# Feeds of a landing: the form of their pages, and of documents that hold one record.
+FEEDS = {"sales": (SALES_PAGE, SALE_DOC), "payments": (PAYMENTS_PAGE, PAYMENT_DOC),
+         "products": (PRODUCTS_PAGE, None), "categories": (CATEGORIES_PAGE, None)}
+
+
 # --------------------------------------------------------------------------- reading
 
 _CORRUPT = "_corrupt_record"
 
 
+def _parsed(doc: str, schema: T.StructType):
+    """JSON text as a struct; null where it is not JSON of that form."""
+    full = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    return F.from_json(doc, full, {"columnNameOfCorruptRecord": _CORRUPT})
+
+
+def _one_as_page(doc: str, feed: str):
+    """The page that a document of one record stands for: its record in an array, its items
+    naming the sale that encloses them."""
+    d = F.col(doc)
+    data = F.when(d["data"].isNotNull(), F.array(d["data"]))
+    if feed != "sales":
+        return F.struct(data.alias("data"))
+    owner = F.struct(F.struct(d["data"]["id"].alias("id")).alias("data"))
+    items = F.transform(d["included"], lambda r: F.struct(
+        r["attributes"].alias("attributes"),
+        F.struct(owner.alias("sale"), r["relationships"]["product"].alias("product")).alias("relationships")))
+    return F.struct(data.alias("data"), items.alias("included"))
+
+
+def parse_feed(spark, path: str, feed: str) -> DataFrame:
+    """Every document of a landed feed, parsed once: (branch, landed_at, page, doc). Pages and
+    documents of one record (which are tried where the text is no page) have one form
+    afterwards; ``page`` is null and ``doc`` the text where it is neither."""
+    schema, single = FEEDS[feed]
+    lines = spark.read.schema("value string, branch string").text(path)
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                  F.monotonically_increasing_id().alias("line"))
+    docs = lines.select("branch", F.col("value").alias("doc"), at.alias("landed_at"), _parsed("value", schema).alias("_page"))
+    bad = F.col("_page").isNull() | F.col(f"_page.{_CORRUPT}").isNotNull()
+    form = F.struct(*[F.col(f"_page.{f.name}").alias(f.name) for f in schema.fields]).cast(schema)
+    if single is None:
+        page = F.when(~bad, form)
+    else:
+        docs = docs.withColumn("_one", F.when(bad, _parsed("doc", single)))
+        good = bad & F.col("_one").isNotNull() & F.col(f"_one.{_CORRUPT}").isNull()
+        page = F.when(~bad, form).when(good, _one_as_page("_one", feed).cast(schema))
+    parsed = docs.select("branch", "landed_at", page.alias("page"), "doc")
+    return parsed.withColumn("doc", F.when(F.col("page").isNull(), F.col("doc")))
+
+
 def read_landing(spark, path: str, schema: T.StructType) -> DataFrame:
     """Landed page files (JSON lines) under ``path/branch=<name>/`` -> (branch, doc, page,
     corrupt, landed_at). The branch is the folder's name as text; ``landed_at`` orders the

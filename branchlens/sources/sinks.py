@@ -2,11 +2,8 @@
 ranking reports, accepted / rejected splits and run counts.
 
 Full-refresh tables (marts, reports) are published as immutable versions
-(``VersionedTable``), so a crash leaves the version before. Large keyed tables are merged
-partition by partition (``upsert_partitions``): only the partitions a batch touches are
-read, merged into a staging folder (the lineage cut), recorded as ready, and swapped in
-with a dynamic partition overwrite; a run that finds a ready but unfinished swap repeats it
-before anything else. A job (or a replayed micro-batch) that died can simply run again.
+(``VersionedTable``), so a crash leaves the version before. Tables that are merged by key or
+change together are snapshots (``sources.snapshots``).
 """
 
 from __future__ import annotations
@@ -20,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from branchlens.sources.readers import read_table
 
 
 class VersionedTable:
@@ -137,67 +133,3 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter (S19) computed by the job that consumes ``df`` (no extra pass)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
-def _journal(spark: SparkSession, target: str) -> tuple[str, DataFrame]:
-    path = f"{target.rstrip('/')}__journal"
-    return path, read_table(spark, path, "staging string, state string", fmt="json")
-
-
-def _record(spark: SparkSession, journal: str, staging: str, state: str) -> None:
-    spark.createDataFrame([(staging, state)], "staging string, state string").coalesce(1) \
-        .write.mode("append").json(journal)
-
-
-def _swap(spark: SparkSession, staging: str, target: str, schema: T.StructType, part_col: str) -> None:
-    """Replace the partitions of ``target`` that ``staging`` holds."""
-    spark.read.schema(schema).parquet(staging).hint("rebalance", part_col) \
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target)
-
-
-def finish_swaps(spark: SparkSession, target: str, schema: T.StructType, part_col: str) -> int:
-    """Repeat every swap that was ready but not finished when a job died: its staging folder
-    is complete, so the table gets whole partitions whatever the swap had already removed."""
-    path, log = _journal(spark, target)
-    state = log.groupBy("staging").agg(F.collect_set("state").alias("states"))
-    open_ = [r.staging for r in state.filter(~F.array_contains("states", "done")).orderBy("staging").collect()]
-    for staging in open_:  # at most one: a table has one writer
-        _swap(spark, staging, target, schema, part_col)
-        _record(spark, path, staging, "done")
-    return len(open_)
-
-
-def upsert_partitions(spark: SparkSession, batch: DataFrame, target: str, keys: list[str], order: list,
-                      part_col: str, staging: str, schema: T.StructType) -> bool:
-    """Keyed keep-last merge of ``batch`` into the parquet table ``target`` (of ``schema``)
-    partitioned by ``part_col`` (which must not change for a key, e.g. the creation month).
-
-    1. a swap that an earlier job left unfinished is finished first;
-    2. the distinct partition values of the batch are read to the driver (months, bounded by
-       the calendar; branches for the catalogue); an empty batch ends here (False);
-    3. only those partitions of the target are scanned (partition pruning), unioned with
-       the batch and reduced to the last row per key;
-    4. the result is written to ``staging`` (cutting lineage to the target) and recorded as
-       ready in the table's journal, then copied over the target with dynamic partition
-       overwrite, and recorded as done. A job that dies before "ready" has changed nothing;
-       after it, the next run copies the complete staging folder again.
-    """
-    from branchlens.operators.incremental import keep_last
-    finish_swaps(spark, target, schema, part_col)
-    parts = [r[0] for r in batch.select(part_col).distinct().collect()]
-    if not parts:
-        return False
-    touched = F.col(part_col).isin([p for p in parts if p is not None])
-    if any(p is None for p in parts):  # the null partition is replaced too: read it
-        touched = touched | F.col(part_col).isNull()
-    names = schema.fieldNames()
-    given = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in batch.columns
-             else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-    existing = read_table(spark, target, schema).filter(touched).select(*names)
-    merged = keep_last(existing.unionByName(batch.select(*given)), keys, order)
-    merged.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col).parquet(staging)
-    journal = f"{target.rstrip('/')}__journal"
-    _record(spark, journal, staging, "ready")
-    _swap(spark, staging, target, schema, part_col)
-    _record(spark, journal, staging, "done")
-    return True

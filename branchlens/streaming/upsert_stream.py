@@ -1,11 +1,11 @@
 """Continuous keyed upsert of landed files with Structured Streaming.
 
 Landed files (``<landing>/batch=<n>/...``) are read as a file stream; each micro-batch
-is merged into the target table with ``sinks.upsert_partitions``: only the partitions
-(months) the micro-batch touches are read and rewritten. The landing batch number, not
-the micro-batch id, decides which version of a key wins, so the result does not depend
-on how files are grouped into micro-batches, and replaying a micro-batch after a
-failure (foreachBatch is at-least-once) gives the same table. The streaming checkpoint
+is merged into a snapshot table: only the partitions (months) that the micro-batch touches,
+or that its keys had before, are read and written again, and one commit publishes them
+together with the micro-batch's number, so each counts once (foreachBatch is at-least-once).
+The landing batch number, not the micro-batch id, decides which version of a key wins, so the
+result does not depend on how files are grouped into micro-batches. The streaming checkpoint
 records which files were consumed; it replaces the id high-water mark.
 """
 
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchlens.functions.semantics import month_of
-from branchlens.sources.sinks import upsert_partitions
+from branchlens.operators.incremental import keep_last
+from branchlens.sources.snapshots import KeyIndex, SnapshotStore
 
 
 def land_batch(df: DataFrame, landing: str, batch: int) -> None:
@@ -26,13 +27,27 @@ def land_batch(df: DataFrame, landing: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{landing.rstrip('/')}/batch={batch}")
 
 
-def merge_batch(spark: SparkSession, target: str, staging_root: str, schema: T.StructType,
-                keys: Sequence[str], order: Sequence[str], part_col: str, part_expr: Column):
-    """The foreachBatch function: merge one micro-batch into the target table."""
+def stream_store(spark: SparkSession, target: str, schema: T.StructType, part_col: str) -> SnapshotStore:
+    """The store that the stream publishes to: one table, ``rows``."""
+    return SnapshotStore(spark, target, {"rows": (table_schema(schema, part_col), part_col)})
+
+
+def merge_batch(store: SnapshotStore, schema: T.StructType, keys: Sequence[str], order: Sequence[str],
+                part_expr: Column, stream: str):
+    """The foreachBatch function: merge one micro-batch and publish it together with its
+    number, so a micro-batch that is replayed after it was published changes nothing."""
+    part_col, index = store.tables["rows"][1], KeyIndex(store, "rows", keys)
+
     def merge(batch_df: DataFrame, batch_id: int) -> None:
+        base = store.snapshot()
+        if base.meta.get("stream") == stream and base.meta.get("micro_batch", -1) >= batch_id:
+            return
+        base = index.ensure(base, F.col("batch"))
         incoming = batch_df.select(*[f.name for f in schema.fields], "batch").withColumn(part_col, part_expr)
-        upsert_partitions(spark, incoming, target, list(keys), ["batch", *order], part_col,
-                          f"{staging_root}/micro_batch={batch_id}", table_schema(schema, part_col))
+        last = keep_last(incoming, keys, ["batch", *order])
+        change = store.merge("rows", last, keys, ["batch", *order], base, also=index.moves(last, base))
+        changes = {} if change is None else {"rows": change, index.name: index.update(last, base, F.col("batch"))}
+        store.commit(base, changes, stream=stream, micro_batch=batch_id)
     return merge
 
 
@@ -56,7 +71,8 @@ def run_upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, t
         else ("maxFilesPerTrigger", files_per_trigger)
     stream = spark.readStream.schema(full).option(*limit).parquet(landing)
     q = (stream.writeStream
-         .foreachBatch(merge_batch(spark, target, f"{workdir}/staging", schema, keys, order, part_col, part_expr))
+         .foreachBatch(merge_batch(stream_store(spark, target, schema, part_col), schema, list(keys), list(order),
+                                   part_expr, f"{workdir}/checkpoint"))
          .option("checkpointLocation", f"{workdir}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return q
@@ -69,4 +85,4 @@ def stream_upsert(spark: SparkSession, batches: list[DataFrame], schema: T.Struc
     for i, b in enumerate(batches):
         land_batch(b.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), landing, i)
     run_upsert_stream(spark, landing, schema, target, keys, order, workdir, files_per_trigger=files_per_trigger)
-    return spark.read.schema(table_schema(schema, "month")).parquet(target)
+    return stream_store(spark, target, schema, "month").read("rows")

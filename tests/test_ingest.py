@@ -1,6 +1,7 @@
 """Landing -> raw: bootstrap from the old slice, then one incremental run over all pages."""
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from branchlens.functions.semantics import numeric_id
@@ -33,7 +34,7 @@ def test_bootstrap_then_incremental(spark, sf_dir):
                       "products": cat.filter("product_category IS NOT NULL").count(), "rejected_pages": 0}
 
     # the lookback tail are the sales that landed last, so the marks follow the landing order
-    table = lambda n: ingest.read_table(spark, f"{root}/raw/{n}", ingest.RAW_TABLES[n])
+    table = ingest.raw_store(spark, f"{root}/raw").read
     s_marks, p_marks = (spark.createDataFrame(m.collect(), m.schema)
                         for m in I.incremental_marks(table("sales"), table("payments")))
     got = ingest.incremental(spark, f"{root}/landing1", f"{root}/raw", seq=1)
@@ -42,18 +43,18 @@ def test_bootstrap_then_incremental(spark, sf_dir):
     assert got["sales"] == sel_sales.count() > 0 and got["payments"] == sel_pays.count() > 0
     assert got["products"] == cat.count()
 
-    raw_sales = spark.read.parquet(f"{root}/raw/sales")
+    raw_sales = table("sales")
     keys = ["sale_id", "branch"]
     assert raw_sales.groupBy(*keys).count().filter("count > 1").count() == 0
     assert raw_sales.count() == old_sales.select(*keys).union(sel_sales.select(*keys)).distinct().count()
     # re-fetched sales of the lookback tail were replaced by the newer run
     assert raw_sales.filter("ingest_seq = 1").count() == sel_sales.count()
-    raw_pays = spark.read.parquet(f"{root}/raw/payments")
+    raw_pays = table("payments")
     assert raw_pays.count() == old_pays.select("payment_id").union(sel_pays.select("payment_id")).distinct().count()
-    raw_lines = spark.read.parquet(f"{root}/raw/lines")
+    raw_lines = table("lines")
     assert raw_lines.join(sel_sales.select(*keys), keys, "left_semi").count() \
         == lines.join(sel_sales.select(*keys), keys, "left_semi").select("sale_id", "product_id", "branch").distinct().count()
-    raw_products = spark.read.parquet(f"{root}/raw/products")
+    raw_products = table("products")
     assert raw_products.count() == cat.count()  # refreshed: uncategorised products now present
     assert raw_products.filter(F.col("product_name") != F.upper("product_name")).count() == 0
     assert raw_sales.agg(F.max(numeric_id("sale_id"))).first()[0] == sales.agg(F.max(numeric_id("sale_id"))).first()[0]
@@ -99,8 +100,9 @@ def landing(folder, n, branch="01", extra=()):
 
 
 def counts(spark, raw):
-    return {n: ingest.read_table(spark, f"{raw}/{n}", ingest.RAW_TABLES[n]).count()
-            for n in ("sales", "lines", "payments", "products")}
+    store = ingest.raw_store(spark, raw)
+    at = store.snapshot()
+    return {n: store.read(n, at).count() for n in ("sales", "lines", "payments", "products")}
 
 
 def test_incremental_keeps_all_lines_and_can_run_again(spark):
@@ -115,8 +117,7 @@ def test_incremental_keeps_all_lines_and_can_run_again(spark):
     assert counts(spark, f"{root}/raw") == want
     again = ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 2)
     assert again["payments"] == 0 and counts(spark, f"{root}/raw") == want
-    assert {r.branch for r in ingest.read_table(spark, f"{root}/raw/products",
-                                                ingest.RAW_TABLES["products"]).collect()} == {"01"}
+    assert {r.branch for r in ingest.raw_store(spark, f"{root}/raw").read("products").collect()} == {"01"}
 
 
 def test_bootstrap_with_repeated_sale_null_branch_and_corrupt_page(spark):
@@ -126,7 +127,7 @@ def test_bootstrap_with_repeated_sale_null_branch_and_corrupt_page(spark):
     landing(f"{root}/l", 5, branch="__HIVE_DEFAULT_PARTITION__")
     got = ingest.bootstrap(spark, f"{root}/l", f"{root}/raw")
     assert got == {"sales": 17, "lines": 15, "payments": 15, "products": 2, "rejected_pages": 1}
-    lines = ingest.read_table(spark, f"{root}/raw/lines", ingest.RAW_TABLES["lines"])
+    lines = ingest.raw_store(spark, f"{root}/raw").read("lines")
     assert lines.filter("month = '2024-01'").count() == 15 and lines.filter("branch IS NULL").count() == 5
 
 
@@ -137,37 +138,133 @@ def test_last_delivery_wins(spark):
     write(f"{root}/l1", "sales", [page(data=[sale(50), sale(50, 7.0)], included=[item(50, 7, 50.0), item(50, 7, 20.0)])])
     landing(f"{root}/l1", 1)
     ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1)
-    line = ingest.read_table(spark, f"{root}/raw/lines", ingest.RAW_TABLES["lines"]).filter("sale_id = '50'").collect()
+    line = ingest.raw_store(spark, f"{root}/raw").read("lines").filter("sale_id = '50'").collect()
     assert [float(r.price) for r in line] == [20.0]
-    one = ingest.read_table(spark, f"{root}/raw/sales", ingest.RAW_TABLES["sales"]).filter("sale_id = '50'").collect()
+    one = ingest.raw_store(spark, f"{root}/raw").read("sales").filter("sale_id = '50'").collect()
     assert [float(r.total) for r in one] == [7.0]
 
 
-def test_swap_that_died_half_way_is_finished(spark, monkeypatch):
-    import shutil
-    from branchlens.sources import sinks
+def dies_at(monkeypatch, table):
+    """A run that is killed while it writes ``table``."""
+    from branchlens.sources.snapshots import SnapshotStore
+    write = SnapshotStore.write
+
+    def dies(self, name, df, gone):
+        change = write(self, name, df, gone)
+        if name == table:
+            raise KeyboardInterrupt
+        return change
+    monkeypatch.setattr(SnapshotStore, "write", dies)
+    return lambda: monkeypatch.setattr(SnapshotStore, "write", write)
+
+
+def test_run_that_died_has_changed_nothing(spark, monkeypatch):
     root = tempfile.mkdtemp(prefix="branchlens-ingest-")
     landing(f"{root}/l0", 30)
     landing(f"{root}/l1", 60)
     ingest.bootstrap(spark, f"{root}/l0", f"{root}/raw")
-    swap = sinks._swap
+    before = counts(spark, f"{root}/raw")
+    heal = dies_at(monkeypatch, "payments")
+    with pytest.raises(KeyboardInterrupt):
+        ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1)
+    heal()
+    assert counts(spark, f"{root}/raw") == before
+    ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1)
+    assert counts(spark, f"{root}/raw") == {"sales": 60, "lines": 60, "payments": 60, "products": 1}
+    # a number that is published is not run again, an older one is refused
+    assert ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1)["sales"] == 50
+    with pytest.raises(ValueError):
+        ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 0)
 
-    def dies(spark_, staging, target, schema, part_col):
-        if target.endswith("/sales"):
-            shutil.rmtree(f"{target}/month=2024-01")  # as if killed between removing and moving in
-            raise KeyboardInterrupt
-        swap(spark_, staging, target, schema, part_col)
 
-    monkeypatch.setattr(sinks, "_swap", dies)
-    try:
+def test_bootstrap_after_a_dead_upsert_is_not_undone(spark, monkeypatch):
+    """The operator rebuilds after a run that died; nothing of that run comes back, even if
+    the scratch folder is cleaned between the runs."""
+    import shutil
+    from branchlens.session import checkpoint_dir
+    root = tempfile.mkdtemp(prefix="branchlens-ingest-")
+    landing(f"{root}/l0", 2)
+    landing(f"{root}/l1", 40)
+    ingest.bootstrap(spark, f"{root}/l0", f"{root}/raw")
+    heal = dies_at(monkeypatch, "sales")
+    with pytest.raises(KeyboardInterrupt):
         ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1)
-        raise AssertionError("it should have died")
-    except KeyboardInterrupt:
-        pass
-    assert counts(spark, f"{root}/raw")["sales"] == 0
-    monkeypatch.setattr(sinks, "_swap", swap)
-    ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 2)
-    assert counts(spark, f"{root}/raw") == {"sales": 60, "lines": 60, "payments": 60, "products": 1}
+    heal()
+    for name in __import__("os").listdir(checkpoint_dir(spark)):
+        if name.startswith("ingest-"):
+            shutil.rmtree(f"{checkpoint_dir(spark)}/{name}")
+    write(f"{root}/l2", "sales", [page(data=[sale(i, 77.0) for i in range(1, 4)], included=[])])
+    write(f"{root}/l2", "payments", [page(data=[payment(1)])])
+    write(f"{root}/l2", "products", [page(data=[])])
+    write(f"{root}/l2", "categories", [page(data=[])])
+    ingest.bootstrap(spark, f"{root}/l2", f"{root}/raw")
+    ingest.incremental(spark, f"{root}/l2", f"{root}/raw", 1)
+    rows = ingest.raw_store(spark, f"{root}/raw").read("sales").collect()
+    assert sorted((r.sale_id, float(r.total)) for r in rows) == [("1", 77.0), ("2", 77.0), ("3", 77.0)]
+
+
+def test_readers_see_one_version_of_all_tables(spark):
+    root = tempfile.mkdtemp(prefix="branchlens-ingest-")
+    landing(f"{root}/l0", 30)
+    landing(f"{root}/l1", 90)
+    ingest.bootstrap(spark, f"{root}/l0", f"{root}/raw")
+    store = ingest.raw_store(spark, f"{root}/raw")
+    at = store.snapshot()
+    early = {n: store.read(n, at) for n in ("sales", "lines")}
+    ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1)
+    assert [early[n].count() for n in early] == [30, 30]  # planned before, run after the upsert
+    assert [store.read(n, store.snapshot(at.version)).count() for n in early] == [30, 30]
+    assert [store.read(n).count() for n in early] == [90, 90]
+
+
+def test_single_record_documents_equal_pages(spark):
+    """An incremental run over one document per sale and payment gives the rows of pages."""
+    root = tempfile.mkdtemp(prefix="branchlens-ingest-")
+    landing(f"{root}/l0", 5)
+    landing(f"{root}/pages", 30)
+    landing(f"{root}/single", 0)
+    for i in range(1, 31):
+        only = [{**item(i, 7), "relationships": {"product": {"data": {"id": "7"}}}}]
+        write(f"{root}/single", "sales", [page(data=sale(i), included=only)])
+        write(f"{root}/single", "payments", [page(data=payment(i))])
+    write(f"{root}/single", "sales", ['{"data": {"id": "1', page(data=None), page(errors=["gone"])])
+    got, rows = {}, {}
+    for form in ("pages", "single"):
+        raw = f"{root}/raw-{form}"
+        ingest.bootstrap(spark, f"{root}/l0", raw)
+        got[form] = ingest.incremental(spark, f"{root}/{form}", raw, 1)
+        store = ingest.raw_store(spark, raw)
+        rows[form] = {n: sorted(map(str, store.read(n).drop("landed_at").collect())) for n in ingest.KEYS}
+    assert rows["pages"] == rows["single"]
+    assert got["single"] == {**got["pages"], "rejected_pages": 1}
+    bad = ingest.raw_store(spark, f"{root}/raw-single").read("rejects").collect()
+    assert [(r.feed, r.branch, r.run) for r in bad] == [("sales", "01", "1")]
+
+
+def test_sale_that_moves_to_another_month(spark):
+    root = tempfile.mkdtemp(prefix="branchlens-ingest-")
+    landing(f"{root}/l0", 30)
+    moved = sale(30, 5.0, created="2024-02-03T12:00:00.000000-03:00", branch_closed="2024-02-03T13:00:00.000000-03:00")
+    landing(f"{root}/l1", 29)
+    write(f"{root}/l1", "sales", [page(data=[moved], included=[item(30, 7, 9.0)])])
+    ingest.bootstrap(spark, f"{root}/l0", f"{root}/raw")
+    ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1)
+    store = ingest.raw_store(spark, f"{root}/raw")
+    assert [(r.month, float(r.total)) for r in store.read("sales").filter("sale_id = '30'").collect()] == [("2024-02", 5.0)]
+    assert [(r.month, float(r.price)) for r in store.read("lines").filter("sale_id = '30'").collect()] == [("2024-02", 9.0)]
+    assert store.read("sales").count() == 30
+
+
+def test_configured_branches_have_a_mark(spark):
+    root = tempfile.mkdtemp(prefix="branchlens-ingest-")
+    landing(f"{root}/l0", 30)
+    ingest.bootstrap(spark, f"{root}/l0", f"{root}/raw")
+    landing(f"{root}/l1", 3, branch="02")
+    ingest.incremental(spark, f"{root}/l1", f"{root}/raw", 1, branches=["01", "02", "03"])
+    marks = ingest.raw_store(spark, f"{root}/raw").read("marks").collect()
+    assert {(r.source, r.branch): r.last_id for r in marks} == {
+        ("sales", "01"): 10, ("sales", "02"): 0, ("sales", "03"): 0,
+        ("payments", "01"): 30, ("payments", "02"): 0, ("payments", "03"): 0}
 
 
 def test_single_record_documents(spark):
