@@ -49,30 +49,44 @@ def category_daily(lines: DataFrame) -> DataFrame:
     return _daily(lines, "product_category", "category")
 
 
-def _totals(daily: DataFrame, key: str) -> DataFrame:
-    """Totals and per-active-day means in one aggregate (no self-join of two aggregates)."""
-    return daily.groupBy("branch", key).agg(
-        F.sum("qty").alias("qty"), F.sum("revenue").alias("revenue"),
-        (to_double(F.sum("qty")) / F.count(F.lit(1))).alias("avg_daily_qty"),
-        (to_double(F.sum("revenue")) / F.count(F.lit(1))).alias("avg_daily_revenue"))
+def daily_sums(daily: DataFrame, key: str) -> DataFrame:
+    """branch, key, qty, revenue, days: the additive parts of the totals."""
+    return daily.groupBy("branch", key).agg(F.sum("qty").alias("qty"), F.sum("revenue").alias("revenue"),
+                                            F.count(F.lit(1)).alias("days"))
 
 
-def product_totals(daily: DataFrame) -> DataFrame:
-    """branch, product, qty, revenue, avg_daily_qty, avg_daily_revenue, all rounded half-even
-    to 2 digits; the mean divides by days with quantity > 0 only."""
-    t = _totals(daily, "product")
+def _totals(sums: DataFrame, key: str) -> DataFrame:
+    """Totals and per-active-day means (no self-join of two aggregates)."""
+    return sums.select("branch", key, "qty", "revenue", (to_double("qty") / F.col("days")).alias("avg_daily_qty"),
+                       (to_double("revenue") / F.col("days")).alias("avg_daily_revenue"))
+
+
+def product_totals_of(sums: DataFrame) -> DataFrame:
+    """``product_totals`` from ``daily_sums``."""
+    t = _totals(sums, "product")
     cols = ["qty", "revenue", "avg_daily_qty", "avg_daily_revenue"]
     return t.select("branch", "product", *[round_half_even(c, 2).alias(c) for c in cols]) \
         .fillna(0, subset=cols)
 
 
-def category_totals(daily: DataFrame) -> DataFrame:
-    """branch, category, qty, revenue, avg_daily_qty, avg_daily_revenue (not rounded)."""
-    t = _totals(daily, "category")
+def category_totals_of(sums: DataFrame) -> DataFrame:
+    """``category_totals`` from ``daily_sums``."""
+    t = _totals(sums, "category")
     return t.select("branch", "category", to_double("qty").alias("qty"),
                     to_double("revenue").alias("revenue"), "avg_daily_qty", "avg_daily_revenue")
 
 
+def product_totals(daily: DataFrame) -> DataFrame:
+    """branch, product, qty, revenue, avg_daily_qty, avg_daily_revenue, all rounded half-even
+    to 2 digits; the mean divides by days with quantity > 0 only."""
+    return product_totals_of(daily_sums(daily, "product"))
+
+
+def category_totals(daily: DataFrame) -> DataFrame:
+    """branch, category, qty, revenue, avg_daily_qty, avg_daily_revenue (not rounded)."""
+    return category_totals_of(daily_sums(daily, "category"))
+
+
 def monthly_revenue(payments: DataFrame) -> DataFrame:
     """branch, month, revenue (bigint); the all-branches row per month is the sum of the
     *rounded* branch values.

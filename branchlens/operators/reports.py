@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from branchlens.functions.semantics import drop_null_keys, sum_or_zero, to_double
 from branchlens.operators.marts import ALL_BRANCHES
+from branchlens.operators.ranking import with_positions
 
 REPORTS = ("month", "today", "yesterday")
 
@@ -41,6 +42,12 @@ def top_products(lines: DataFrame, as_of: dt.date) -> DataFrame:
     return agg.orderBy("report", "scope", F.col("qty").desc(), F.col("product").asc())
 
 
+def top_products_ranked(lines: DataFrame, as_of: dt.date) -> DataFrame:
+    """``top_products`` with the position of every product in its report and scope (quantity
+    descending, then product)."""
+    return with_positions(top_products(lines, as_of), ["report", "scope"], [F.col("qty").desc(), F.col("product").asc()])
+
+
 def top_products_day(lines: DataFrame, branch: str, day: dt.date) -> DataFrame:
     """product, qty: quantity ranking of one branch on one day (qty desc, product asc)."""
     l = lines.filter((F.col("branch") == branch) & (F.col("day") == F.lit(day))

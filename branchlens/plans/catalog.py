@@ -24,6 +24,8 @@ from branchlens.operators import kpis as K
 from branchlens.operators import marts as M
 from branchlens.operators import quality as Q
 from branchlens.operators import reports as R
+from branchlens.plans.raw_queries import (bootstrap_raw, incremental_upsert, marts_incremental, upsert_moved_keys,
+                                           upsert_raw_rows)
 from branchlens.sources import documents as D
 from branchlens.sources import fixtures as fx
 
@@ -211,6 +213,10 @@ def top_products(x: Inputs):
     return R.top_products(x.lines_enriched, AS_OF)
 
 
+def top_products_ranked(x: Inputs):
+    return R.top_products_ranked(x.lines_enriched, AS_OF)
+
+
 def top_products_edges(x: Inputs):
     """The rankings at the edge dates (a 1st of the month: 'yesterday' falls in the
     previous month; a 31st; the end of January)."""
@@ -394,10 +400,6 @@ def incremental_selection(x: Inputs):
 
 # ---------------------------------------------------------------- landed documents
 
-def _sales_pages(x):
-    return D.build_sales_pages(x.sales, x.lines)
-
-
 def json_sales_flat(x: Inputs):
     pages = D.parse_pages(D.build_sale_docs(x.sales), D.SALES_PAGE)
     return doubles(D.flatten_sales(pages).select(*SALE_COLS))
@@ -432,42 +434,6 @@ def json_products_flat(x: Inputs):
     return D.flatten_products(D.parse_pages(D.build_product_pages(x.catalog), D.PRODUCTS_PAGE))
 
 
-def bootstrap_raw(x: Inputs):
-    """Every row of the four raw tables that ``ingest.bootstrap`` builds from landed pages:
-    raw_table, id, product, branch, amount, partition. The landing and the raw tables are
-    written under the shared scratch folder when the query is built."""
-    from branchlens.plans import ingest
-    from branchlens.session import scratch_path
-    root = scratch_path(x.spark, "bootstrap")
-    _land(x.spark, f"{root}/landing", sales=_sales_pages(x), payments=D.build_payment_pages(x.payments_ev),
-          products=D.build_product_pages(x.catalog), categories=D.build_category_pages(x.catalog))
-    ingest.bootstrap(x.spark, f"{root}/landing", f"{root}/raw")
-    return _raw_rows(ingest.raw_store(x.spark, f"{root}/raw").read)
-
-
-def _land(spark, folder: str, **feeds: DataFrame) -> None:
-    from branchlens.session import run_together
-    run_together(spark, [lambda f=feed, d=docs: D.write_pages(d, f"{folder}/{f}") for feed, docs in feeds.items()])
-
-
-def _raw_rows(read: Callable[[str], DataFrame]) -> DataFrame:
-    """The rows of the four raw tables in one form."""
-    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
-    columns = {
-        "sales": ("sale_id", text, F.col("total").cast("double"), "month"),
-        "lines": ("sale_id", F.col("product_id"), F.col("price").cast("double"), "month"),
-        "payments": ("payment_id", F.col("method"), F.col("amount").cast("double"), "month"),
-        "products": ("product_id", F.col("product_category"), none, "branch"),
-    }
-    out = None
-    for name, (key, second, amount, part) in columns.items():
-        rows = read(name).select(
-            F.lit(name).alias("raw_table"), F.col(key).alias("id"), second.alias("detail"), "branch",
-            amount.alias("amount"), F.col(part).alias("part"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 # ---------------------------------------------------------------- bookings
 
 def bookings_clean(x: Inputs):
@@ -576,7 +542,7 @@ QUERY_FUNCS = [
     lines_enriched, dwell_filtered, payments_live,
     daily_revenue_all, daily_revenue_branch, product_daily, product_totals, category_daily, category_totals,
     branch_kpis, branch_kpis_edges, mom_growth, monthly_revenue, top_products, top_products_edges,
-    top_products_day,
+    top_products_day, top_products_ranked, marts_incremental,
     daily_reconciliation, weekly_reconciliation, monthly_line_revenue,
     product_category_pairs, new_product_categories, timestamps_normalised, scalar_suite,
     catalog_inner, catalog_left, catalog_refresh,
@@ -585,7 +551,7 @@ QUERY_FUNCS = [
     highwater_marks, closed_sales_trimmed, incremental_selection,
     json_sales_flat, json_items_flat, json_payments_flat, json_sale_single, json_payment_single,
     json_categories_flat, json_products_flat,
-    bootstrap_raw,
+    bootstrap_raw, upsert_raw_rows, incremental_upsert, upsert_moved_keys,
     bookings_clean, booking_monthly, booking_metrics, booking_metrics_edges,
     quality_unique, quality_fk, quality_nulls, accepted_rejected, run_summary,
     stream_upsert_payments,

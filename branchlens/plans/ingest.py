@@ -35,7 +35,7 @@ from branchlens.operators import incremental as I
 from branchlens.schemas import RAW_TABLES
 from branchlens.session import run_together, scratch_path
 from branchlens.sources import documents as D
-from branchlens.sources.snapshots import Change, KeyIndex, SnapshotStore
+from branchlens.sources.snapshots import Change, KeyIndex, Snapshot, SnapshotStore
 
 KEYS = {
     "sales": ["sale_id", "branch"],
@@ -132,6 +132,27 @@ def _set_aside(store: SnapshotStore, staged: dict[str, DataFrame], run: int) ->
     return change, store.written("rejects", change)
 
 
+def merge_batch(store: SnapshotStore, base: Snapshot, batch: dict[str, DataFrame], seq: int) -> tuple[Snapshot, dict]:
+    """The changes that merge selected ``sales``, ``lines`` and ``payments`` (whichever there
+    are; written frames, they are read several times) into the tables of ``base``, and the
+    version they start from (key indexes that are missing are built first)."""
+    changes, moved = {}, {}
+    for name, index in indexes(store).items():
+        if name in batch:
+            base = index.ensure(base, order=ORDER)
+    for name, index in indexes(store).items():
+        if name in batch:
+            last_rows = I.keep_last(batch[name], KEYS[name], ORDER)
+            moved[name] = index.moves(last_rows, base)
+            changes[index.name] = index.update(last_rows, base, seq)
+    for name, df in batch.items():
+        months = moved.get("sales" if name == "lines" else name, [])
+        change = store.merge(name, df, KEYS[name], ORDER, base, also=months)
+        if change is not None:
+            changes[name] = change
+    return base, changes
+
+
 def bootstrap(spark: SparkSession, landing: str, raw: str) -> dict[str, int]:
     """Full rebuild of the raw tables from every landed document, published as one version.
     What earlier runs published stays readable until it is collected."""
@@ -165,7 +186,6 @@ def incremental(spark: SparkSession, landing: str, raw: str, seq: int,
     whose number is already published returns its counts and changes nothing."""
     store = raw_store(spark, raw)
     base = store.snapshot()
-    known = indexes(store)
     last = base.meta.get("seq", -1)
     if seq == last:
         return base.meta["counts"]
@@ -194,17 +214,8 @@ def incremental(spark: SparkSession, landing: str, raw: str, seq: int,
 
     changes = {"marks": store.replace("marks", marks)}
     changes["rejects"], counts["rejected_pages"] = _set_aside(store, staged, seq)
-    moved = {}
-    for name, index in known.items():
-        if counts[name]:
-            base = index.ensure(base)
-            last_rows = I.keep_last(selected[name], KEYS[name], ORDER)
-            moved[name] = index.moves(last_rows, base)
-            changes[index.name] = index.update(last_rows, base, seq)
-    for name in ("sales", "lines", "payments"):
-        if counts[name]:
-            months = moved.get("sales" if name == "lines" else name, [])
-            changes[name] = store.merge(name, selected[name], KEYS[name], ORDER, base, also=months)
+    base, merged = merge_batch(store, base, {n: df for n, df in selected.items() if counts[n]}, seq)
+    changes |= merged
     counts["products"] = 0
     if counts["lines"] > 0:
         fetched = _as_table(catalogue(src["products"], src["categories"], "left"), "products", seq)

@@ -203,6 +203,11 @@ def top_products() -> str:
     return sql(body, ctes)
 
 
+def top_products_ranked() -> str:
+    return (f"SELECT *, row_number() OVER (PARTITION BY report, scope ORDER BY qty DESC, product) AS rank "
+            f"FROM ({top_products()}) AS r")
+
+
 def top_products_edges() -> str:
     parts = [_top_products(d, str(i)) for i, d in enumerate(fx.AS_OF_EDGES)]
     ctes = ",\n".join(c for c, _ in parts)
@@ -452,6 +457,33 @@ UNION ALL SELECT 'products', product_id, product_category, branch, CAST(NULL AS
   FROM fx_catalog WHERE product_category IS NOT NULL""")
 
 
+def upsert_raw_rows() -> str:
+    return sql("""SELECT 'sales' AS raw_table, sale_id AS id, CAST(NULL AS VARCHAR) AS detail, branch,
+  CAST(total + CASE WHEN sid * 4 > max(sid) OVER () * 3 THEN 1 ELSE 0 END AS DOUBLE) AS amount,
+  strftime(created_at, '%Y-%m') AS part FROM (SELECT *, TRY_CAST(sale_id AS BIGINT) AS sid FROM fx_sales)
+UNION ALL SELECT 'lines', l.sale_id, l.product_id, l.branch, CAST(sum(l.price) AS DOUBLE), any_value(strftime(s.created_at, '%Y-%m'))
+  FROM fx_lines l LEFT JOIN fx_sales s ON l.sale_id = s.sale_id AND l.branch IS NOT DISTINCT FROM s.branch
+  GROUP BY l.sale_id, l.product_id, l.branch
+UNION ALL SELECT 'payments', payment_id, method, branch,
+  CAST(amount + CASE WHEN pid * 4 > max(pid) OVER () * 3 THEN 1 ELSE 0 END AS DOUBLE), strftime(created_at, '%Y-%m')
+  FROM (SELECT *, TRY_CAST(payment_id AS BIGINT) AS pid FROM fx_payments_ev)
+UNION ALL SELECT 'products', product_id, product_category, branch, CAST(NULL AS DOUBLE), branch FROM fx_catalog""")
+
+
+incremental_upsert = upsert_raw_rows
+
+
+def upsert_moved_keys() -> str:
+    from branchlens.plans.raw_queries import MOVE_DAYS, RETURN_DAYS
+    ctes = _split("fx_sales", "created_at", fx.SPLIT_DATE, "total", ["sale_id", "total", "created_at", "branch"]) + f""",
+moved AS (SELECT * REPLACE (CASE WHEN ingest_seq = 1 AND TRY_CAST(sale_id AS BIGINT) % 3 = 0
+          THEN created_at + INTERVAL {MOVE_DAYS} DAY ELSE created_at END AS created_at) FROM u),
+again AS (SELECT * FROM moved UNION ALL SELECT * REPLACE (created_at - INTERVAL {RETURN_DAYS} DAY AS created_at, 2 AS ingest_seq)
+          FROM moved WHERE ingest_seq = 1 AND TRY_CAST(sale_id AS BIGINT) % 5 = 0)"""
+    return sql("""SELECT sale_id, CAST(total AS DOUBLE) AS total, created_at, strftime(created_at, '%Y-%m') AS month, branch
+FROM again QUALIFY row_number() OVER (PARTITION BY sale_id, branch ORDER BY ingest_seq DESC) = 1""", ctes)
+
+
 # ------------------------------------------------------------------ marts
 
 def lines_enriched() -> str:
@@ -522,6 +554,31 @@ def monthly_line_revenue() -> str:
                "WHERE month IS NOT NULL GROUP BY month")
 
 
+def marts_incremental() -> str:
+    ctes = f"""pl AS (SELECT *, CAST(created_at AS DATE) AS day, strftime(created_at, '%Y-%m') AS month
+  FROM fx_payments_ev WHERE {LIVE}),
+mb AS (SELECT branch, month, CAST(round_even(CAST(sum(amount) AS DOUBLE), 0) AS BIGINT) AS revenue
+  FROM pl WHERE branch IS NOT NULL AND month IS NOT NULL GROUP BY branch, month),
+{_totals_cte("product_daily", "product").replace("tot AS", "ptot AS")},
+{_totals_cte("category_daily", "category").replace("tot AS", "ctot AS")}"""
+    cols = ", ".join(f"coalesce({r2(c)}, 0)" for c in ("qty", "revenue", "avg_daily_qty", "avg_daily_revenue"))
+    return sql(f"""SELECT 'daily_revenue_all' AS mart, CAST(NULL AS VARCHAR) AS branch, strftime(day, '%Y-%m-%d') AS key,
+  CAST(NULL AS VARCHAR) AS detail, round_even(CAST(sum(amount) AS DOUBLE), 0) AS m1, CAST(NULL AS DOUBLE) AS m2,
+  CAST(NULL AS DOUBLE) AS m3, CAST(NULL AS DOUBLE) AS m4 FROM pl WHERE day IS NOT NULL GROUP BY day HAVING sum(amount) > 0
+UNION ALL SELECT 'daily_revenue_branch', branch, strftime(day, '%Y-%m-%d'), NULL, round_even(CAST(sum(amount) AS DOUBLE), 0),
+  NULL, NULL, NULL FROM pl WHERE branch IS NOT NULL AND day IS NOT NULL GROUP BY branch, day HAVING sum(amount) > 0
+UNION ALL SELECT 'monthly_revenue', branch, month, NULL, CAST(revenue AS DOUBLE), NULL, NULL, NULL FROM mb
+UNION ALL SELECT 'monthly_revenue', 'ALL', month, NULL, CAST(sum(revenue) AS DOUBLE), NULL, NULL, NULL FROM mb GROUP BY month
+UNION ALL SELECT 'monthly_line_revenue', NULL, month, NULL, CAST(coalesce(sum(price), 0) AS DOUBLE), NULL, NULL, NULL
+  FROM lines_enriched WHERE month IS NOT NULL GROUP BY month
+UNION ALL SELECT 'product_daily', branch, strftime(day, '%Y-%m-%d'), product, CAST(qty AS DOUBLE), CAST(revenue AS DOUBLE), NULL, NULL
+  FROM product_daily
+UNION ALL SELECT 'category_daily', branch, strftime(day, '%Y-%m-%d'), category, CAST(qty AS DOUBLE), CAST(revenue AS DOUBLE), NULL, NULL
+  FROM category_daily
+UNION ALL SELECT 'product_totals', branch, product, NULL, {cols} FROM ptot
+UNION ALL SELECT 'category_totals', branch, category, NULL, qty, revenue, avg_daily_qty, avg_daily_revenue FROM ctot""", ctes)
+
+
 def product_category_pairs() -> str:
     return sql("SELECT product, category FROM pairs")
 
@@ -659,7 +716,7 @@ PUBLISH: dict[str, dict[str, list[str]]] = {
     "closed_sales_trimmed": _SALE_TS,
     "dedupe_lines": _LINE, "upsert_lines": _LINE, "json_items_flat": _LINE, "json_sale_single": _LINE,
     "dedupe_payments": _PAY, "upsert_payments": _PAY, "json_payments_flat": _PAY, "json_payment_single": _PAY,
-    "stream_upsert_payments": _PAY,
+    "stream_upsert_payments": _PAY, "upsert_moved_keys": {"ts": ["created_at"]},
 }
 
 

@@ -260,11 +260,26 @@ class KeyIndex:
         found = rows.select(*self.keys, F.col(part_col).alias("part"), seq.cast("long").alias("entry_seq"), self._bucket())
         return keep_last(found, self.keys, ["entry_seq"])
 
-    def ensure(self, at: Snapshot, seq: int | Column = 0) -> Snapshot:
-        """The version that has the index: committed now where the table has none yet."""
+    def ensure(self, at: Snapshot, seq: int | Column = 0, order: Sequence[str] = ()) -> Snapshot:
+        """The version that has the index: committed now where the table has none yet. A key
+        that a first load has put into several partitions is settled with it: its last row by
+        ``order`` stays."""
         if at.tables.get(self.name) or not at.tables.get(self.table):
             return at
-        built = self.store.replace(self.name, self.entries(self.store.read(self.table, at), seq))
+        rows, part_col = self.store.read(self.table, at), self.store.tables[self.table][1]
+        # Two different partitions of a key are enough to see it; the null one counts.
+        low, high = F.min(F.struct(part_col)), F.max(F.struct(part_col))
+        several = rows.groupBy(*self.keys).agg(low.alias("_low"), high.alias("_high")).filter("_low <> _high").drop("_low", "_high")
+        match = F.lit(True)
+        for k in self.keys:
+            match = match & rows[k].eqNullSafe(several[k])
+        found = [r[0] for r in rows.join(several, match, "left_semi").select(part_col).distinct().collect()]
+        if found:
+            folders = self.store.touched(self.table, at, found)
+            settled = keep_last(self.store.read(self.table, at, folders), self.keys, order)
+            at = self.store.commit(at, {self.table: self.store.write(self.table, settled, folders)}, **at.meta)
+            rows = self.store.read(self.table, at)
+        built = self.store.replace(self.name, self.entries(rows, seq))
         return self.store.commit(at, {self.name: built}, **at.meta)
 
     def current(self, at: Snapshot, folders: Sequence[str] | None = None) -> DataFrame:
