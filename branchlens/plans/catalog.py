@@ -538,6 +538,22 @@ def stream_upsert_payments(x: Inputs):
     return doubles(res.select(*PAYMENT_COLS))
 
 
+def stream_keyed_state(x: Inputs):
+    """The same upsert by keyed state: each landed slice is one delivery, a day apart; only
+    changed rows are written."""
+    from branchlens.schemas import PAYMENT
+    from branchlens.session import scratch_path
+    from branchlens.streaming import keyed_state as KS
+    root = scratch_path(x.spark, "stream-keyed")
+    for n, slice_ in enumerate(_payments_split(x)):
+        day = F.lit(dt.datetime(2024, 2, 1 + n)).cast("timestamp")
+        slice_.select(*[F.col(f.name).cast(f.dataType) for f in PAYMENT.fields], F.lit(n).cast("long").alias("seq"),
+                      day.alias("delivered_at")).write.parquet(f"{root}/in/batch={n}")
+        KS.run_keyed_stream(x.spark, f"{root}/in", PAYMENT, f"{root}/table", PAYMENT_KEYS, "seq", root)
+    store = KS.change_store(x.spark, f"{root}/table", PAYMENT, "seq")
+    return doubles(KS.current_rows(store, PAYMENT_KEYS, "seq").select(*PAYMENT_COLS))
+
+
 QUERY_FUNCS = [
     lines_enriched, dwell_filtered, payments_live,
     daily_revenue_all, daily_revenue_branch, product_daily, product_totals, category_daily, category_totals,
@@ -554,7 +570,7 @@ QUERY_FUNCS = [
     bootstrap_raw, upsert_raw_rows, incremental_upsert, upsert_moved_keys,
     bookings_clean, booking_monthly, booking_metrics, booking_metrics_edges,
     quality_unique, quality_fk, quality_nulls, accepted_rejected, run_summary,
-    stream_upsert_payments,
+    stream_upsert_payments, stream_keyed_state,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f) for f in QUERY_FUNCS}

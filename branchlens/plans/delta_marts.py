@@ -31,7 +31,7 @@ from branchlens.operators.incremental import keep_last
 from branchlens.plans import ingest
 from branchlens.sources.snapshots import Change, Snapshot, SnapshotStore
 
-BUCKETS = 64
+BUCKETS = 16  # as for KeyIndex
 _SUM = T.DecimalType(38, 2)
 
 
@@ -82,7 +82,7 @@ class DeltaMarts:
             return sums.select("branch", key, *[(F.col(c) * sign).alias(c) for c in ("qty", "revenue", "days")])
 
         total = [F.sum(c).alias(c) for c in ("qty", "revenue", "days")]
-        bucket = F.format_string("%02d", F.pmod(F.xxhash64("branch", key), F.lit(BUCKETS))).alias("bucket")
+        bucket = F.format_string("%04d", F.pmod(F.xxhash64("branch", key), F.lit(BUCKETS))).alias("bucket")
         delta = signed(new, 1).unionByName(signed(old, -1)).groupBy("branch", key).agg(*total) \
             .filter("qty <> 0 OR revenue <> 0 OR days <> 0").select("*", bucket)
         touched = [r[0] for r in delta.select("bucket").distinct().collect()]  # at most BUCKETS

@@ -319,7 +319,7 @@ def dedupe_payments() -> str:
 
 
 upsert_payments = dedupe_payments
-stream_upsert_payments = dedupe_payments
+stream_upsert_payments = stream_keyed_state = dedupe_payments
 
 
 def upsert_lines() -> str:
@@ -716,7 +716,7 @@ PUBLISH: dict[str, dict[str, list[str]]] = {
     "closed_sales_trimmed": _SALE_TS,
     "dedupe_lines": _LINE, "upsert_lines": _LINE, "json_items_flat": _LINE, "json_sale_single": _LINE,
     "dedupe_payments": _PAY, "upsert_payments": _PAY, "json_payments_flat": _PAY, "json_payment_single": _PAY,
-    "stream_upsert_payments": _PAY, "upsert_moved_keys": {"ts": ["created_at"]},
+    "stream_upsert_payments": _PAY, "stream_keyed_state": _PAY, "upsert_moved_keys": {"ts": ["created_at"]},
 }
 
 

@@ -226,7 +226,7 @@ class SnapshotStore:
 
 # ---------------------------------------------------------------------- key -> partition
 
-BUCKETS = 64
+BUCKETS = 16  # size it to the data: a bucket is what one task of a merge should hold
 
 
 def index_schema(keys: Sequence[str]) -> T.StructType:
