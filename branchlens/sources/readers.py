@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 
 from branchlens.functions.semantics import stay_seconds, strip_zone
 from branchlens.schemas import BOOKING_RAW, RAW_COLUMN_NAMES, SHEET_COLUMN_NAMES
+from branchlens.sources import csv_split
 
 log = logging.getLogger("branchlens")
 
@@ -43,22 +44,24 @@ def conform(df: DataFrame, schema: T.StructType, renames: dict[str, str] | None
     return df.select(*cols)
 
 
-def _csv(spark: SparkSession, path: str) -> DataFrame:
+def _csv(spark: SparkSession, path: str, split: bool = False) -> DataFrame:
     """Headered CSV as text: a cell with commas, quotes or line ends is quoted, and quotes
-    inside it are doubled. Cells with line ends keep a file from being split, so large
-    exports are read once and kept as parquet."""
+    inside it are doubled. Cells with line ends keep Spark's reader from splitting a file;
+    with ``split`` large files are read by many tasks (``csv_split``), which takes two passes."""
+    if split:
+        return csv_split.read_csv(spark, path)
     return spark.read.option("header", True).option("inferSchema", False).option("quote", '"') \
         .option("escape", '"').option("multiLine", True).csv(path)
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, split: bool = False) -> DataFrame:
     """A headered raw CSV table in the export format -> entity schema (S1, S3).
 
     Read as text (every column a string, no inference job), then conformed: a file
     without a branch column gets a null branch, ids become strings whatever their origin.
     Sales get the length of their stay from the landed instants, before zones are dropped.
     """
-    raw = _csv(spark, path)
+    raw = _csv(spark, path, split)
     if "stay_seconds" in schema.fieldNames() and {"createdAt", "closedAt"} <= set(raw.columns):
         raw = raw.withColumn("stay_seconds", stay_seconds("createdAt", "closedAt"))
     return conform(raw, schema, RAW_COLUMN_NAMES)
@@ -79,9 +82,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         raise
 
 
-def read_sheet(spark: SparkSession, path: str) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, split: bool = False) -> DataFrame:
     """Exported bookings sheet (S10): header row + rows, all text; no row cap."""
-    return conform(_csv(spark, path), BOOKING_RAW, SHEET_COLUMN_NAMES)
+    return conform(_csv(spark, path, split), BOOKING_RAW, SHEET_COLUMN_NAMES)
 
 
 def read_mart(spark: SparkSession, location: str, warn_if_empty: bool = False) -> DataFrame:
