@@ -6,12 +6,15 @@ n-gram model of order ``order`` learned from all training documents:
     p(w)     = (c(w) + 0.5) / (N + 0.5 (V + 1))
     p(w | h) = (c(hw) + MU p(w | h')) / (c(h) + MU),     h' is h without its first token
 
-As an automaton: a state per history that occurs in training (h, down to the empty one);
-an arc for every n-gram that occurs, with weight log10 p(w | h), to the state of the
-longest known history that then ends the text; and a failure arc from h to h' with weight
-log10 (MU / (c(h) + MU)), taken when the state has no arc for the next token. Every state's
-arcs and failure path sum to 1 over the words and one unknown word. A text is read once
-from left to right, a state per token, and the weights on its path are added up.
+As an automaton (``Automaton``): a state per history that occurs in training (h, down to the
+empty one, and those of the beginning of a text); an arc for every n-gram that occurs, with
+weight log10 p(w | h), to the state of the longest known history that then ends the text;
+and a failure arc from h to h' with weight log10 (MU / (c(h) + MU)), taken when the state has
+no arc for the next token. Every state's arcs and failure path sum to 1 over the words and
+one unknown word. A text is read from left to right, carrying its state, and the weights on
+its path are added up. All texts of a chunk are walked in step, in pieces of ``PIECE``
+tokens: a state depends on the last order - 1 tokens alone, so a piece that begins inside a
+text first walks those without adding.
 
 The counts of all n-grams of all training documents cannot be in one place, so a chunk of
 documents asks the buckets of the n-gram space for those arcs and states that its texts can
@@ -36,6 +39,7 @@ from .textops import Words, mix, pack, planes, slices, text_bytes, unpack, unpla
 
 ORDER = 2
 MU = 500.0  # best of 5, 50, 500 and 5000 on held-out documents
+PIECE = 256
 _END = np.uint64(0x6A09E667F3BCC909)
 _START = np.uint64(0xBB67AE8584CAA73B)
 _STEP = np.uint64(0x3C6EF372FE94F82B)
@@ -77,6 +81,96 @@ def _value_bits(n_buckets: int) -> int:
     return min(48, 63 - n_buckets.bit_length())
 
 
+class Automaton:
+    """States, arcs and failure arcs of the n-grams that the texts of a chunk can reach.
+
+    ``grams[n - 1][i]`` numbers the n-gram that ends at token i, ``counts[n - 1][k]`` is the
+    corpus count of n-gram number k, ``first`` the first token of every text (and the end)."""
+
+    def __init__(self, grams: list[np.ndarray], counts: list[np.ndarray], first: np.ndarray, n_all: int, n_distinct: int,
+                 mu: float):
+        order, n_tokens = len(grams), len(counts[0])
+        begins = np.zeros(len(grams[0]), dtype=bool)
+        begins[first[:-1]] = True
+        texts = float(counts[0][grams[0][first[1] - 1]])  # as many training texts begin as end
+        # States: 0 the empty history, then the start histories by length, then known n-grams.
+        self.start = order - 1
+        size, state = order, []
+        for n in range(1, order):
+            known = counts[n - 1] > 0
+            state.append(np.where(known, size + np.cumsum(known) - 1, -1))
+            size += int(known.sum())
+        weight_of = np.zeros(size)
+        self.fail_to, self.fail_weight = np.zeros(size, dtype=np.int64), np.zeros(size)
+        weight_of[1:order] = texts
+        self.fail_to[1:order] = np.arange(order - 1)
+        keys, weights, targets, below = [], [], [], None
+        z = n_all + 0.5 * (n_distinct + 1)
+        for n in range(1, order + 1):
+            at = np.empty(len(counts[n - 1]), dtype=np.int64)  # a place of each n-gram
+            at[grams[n - 1]] = np.arange(len(grams[n - 1]))
+            if n == 1:
+                p, have, origin = (counts[0] + 0.5) / z, np.arange(n_tokens), np.zeros(n_tokens, dtype=np.int64)
+            else:
+                have = np.flatnonzero(counts[n - 1] > 0)
+                place = at[have]
+                history = np.where(begins[place], 0, grams[n - 2][place - 1])
+                origin = np.where(begins[place], n - 1, state[n - 2][history])
+                p = np.zeros(len(counts[n - 1]))
+                p[have] = (counts[n - 1][have] + mu * below[grams[n - 2][place]]) / (weight_of[origin] + mu)
+            if n < order:
+                own = np.flatnonzero(counts[n - 1] > 0)
+                ids = state[n - 1][own]
+                weight_of[ids] = counts[n - 1][own]
+                self.fail_to[ids] = 0 if n == 1 else state[n - 2][grams[n - 2][at[own]]]
+            keys.append(origin * n_tokens + grams[0][at[have]])
+            weights.append(np.log10(p[have]))
+            if n < order:
+                targets.append(np.maximum(state[n - 1][have], 0))  # an unknown word leads to the empty history
+            else:
+                targets.append(np.zeros(len(have), dtype=np.int64) if n == 1 else state[n - 2][grams[n - 2][at[have]]])
+            below = p
+        self.fail_weight[1:] = np.log10(mu / (weight_of[1:] + mu))
+        keys = np.concatenate(keys)
+        by = np.argsort(keys, kind="stable")
+        self.keys, self.weights, self.targets = keys[by], np.concatenate(weights)[by], np.concatenate(targets)[by]
+        self.n_tokens, self.order = n_tokens, order
+
+    def step(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after a token each, and the weights of the arcs and failure arcs taken."""
+        state, paid = state.copy(), np.zeros(len(state))
+        open_ = np.arange(len(state))
+        while len(open_):
+            key = state[open_] * self.n_tokens + token[open_]
+            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[arc] == key
+            done = open_[hit]
+            paid[done] += self.weights[arc[hit]]
+            state[done] = self.targets[arc[hit]]
+            open_ = open_[~hit]
+            paid[open_] += self.fail_weight[state[open_]]
+            state[open_] = self.fail_to[state[open_]]
+        return state, paid
+
+    def walk(self, tokens: np.ndarray, first: np.ndarray, piece: int) -> np.ndarray:
+        """Log-probability of every text."""
+        sizes = np.diff(first)
+        pieces = -(-sizes // piece)
+        text = np.repeat(np.arange(len(sizes)), pieces)
+        begin = first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * piece
+        end = np.minimum(begin + piece, first[text + 1])
+        at = np.maximum(begin - (self.order - 1), first[text])
+        state = np.where(at == first[text], self.start, 0)
+        total = np.zeros(len(text))
+        lanes = np.arange(len(text))
+        while len(lanes):
+            state[lanes], paid = self.step(state[lanes], tokens[at[lanes]])
+            total[lanes] += np.where(at[lanes] >= begin[lanes], paid, 0.0)
+            at[lanes] += 1
+            lanes = lanes[at[lanes] < end[lanes]]
+        return np.bincount(text, total, len(sizes))
+
+
 class _Chunk:
     def __init__(self, table: pa.Table, order: int, n_buckets: int):
         self.table, self.bits = C.ordered(table, "id", "train"), _value_bits(n_buckets)
@@ -101,32 +195,25 @@ class _Chunk:
                          "counts": pa.array([x[3] for x in rows], pa.binary())})
 
     def counts(self, answers: pa.Table) -> list[np.ndarray]:
-        """Corpus count of the n-gram that ends at each token."""
+        """Corpus count of every distinct n-gram of the chunk."""
         by = {(n, b): blob for n, b, blob in zip(*(answers[c].to_pylist() for c in ("n", "bucket", "counts")))}
-        out = []
-        for n, r in enumerate(self.runs, 1):
-            parts = [unplanes(by[n, bucket]) for bucket, _, _ in C.segments(r.keys, self.bits)]
-            out.append(r.spread(np.concatenate(parts)))
-        return out
+        return [np.concatenate([unplanes(by[n, bucket]) for bucket, _, _ in C.segments(r.keys, self.bits)])
+                for n, r in enumerate(self.runs, 1)]
 
-    def scores(self, answers: pa.Table, n_all: int, n_distinct: int, mu: float) -> pa.Table:
+    def scores(self, answers: pa.Table, n_all: int, n_distinct: int, mu: float, piece: int = PIECE) -> pa.Table:
         counts, first = self.counts(answers), self.first
-        log_p = base = np.log10((counts[0] + 0.5) / (n_all + 0.5 * (n_distinct + 1)))
-        for n in range(1, len(counts)):
-            state = np.empty_like(counts[0])          # count of the history before each token
-            state[1:] = counts[n - 1][:-1]
-            state[first[:-1]] = counts[0][first[1:] - 1]  # texts start as often as they end
-            failure = np.log10(mu / (state + mu))
-            arc = np.log10((counts[n] + mu * 10 ** log_p) / (state + mu))
-            log_p = np.where(counts[n] > 0, arc, failure + log_p)
+        grams = [r.spread(np.arange(len(r.keys))) for r in self.runs]
+        automaton = Automaton(grams, counts, first, n_all, n_distinct, mu)
+        score = automaton.walk(grams[0], first, piece)
+        base = np.log10((counts[0] + 0.5) / (n_all + 0.5 * (n_distinct + 1)))[grams[0]]
         total = lambda x: np.add.reduceat(x, first[:-1])  # noqa: E731  every text has a token
         size = len(self.table)
         return pa.table({
             "id": self.table["id"], "held_out": pa.array(~self.table["train"].to_numpy(), pa.bool_()),
             "n_tokens": pa.array(np.diff(first), pa.int64()),
-            "n_known": pa.array(total((counts[0] > 0).astype(np.int64)), pa.int64()),
+            "n_known": pa.array(total((counts[0] > 0)[grams[0]].astype(np.int64)), pa.int64()),
             "train_tokens": pa.array(np.full(size, n_all), pa.int64()),
-            "base_score": pa.array(total(base), pa.float64()), "score": pa.array(total(log_p), pa.float64())})
+            "base_score": pa.array(total(base), pa.float64()), "score": pa.array(score, pa.float64())})
 
 
 def _add_up(table: pa.Table) -> pa.Table:
@@ -170,7 +257,7 @@ def _size_of_training(train: DataFrame, n_buckets: int) -> tuple[int, int]:
 
 
 def score_documents(docs: DataFrame, held_out: Column | None = None, text: str = "text", key: str = "doc_id",
-                    order: int = ORDER, mu: float = MU, **sizes) -> DataFrame:
+                    order: int = ORDER, mu: float = MU, piece: int = PIECE, **sizes) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     train = ~(is_held_out(key) if held_out is None else held_out)
     base, n = C.chunked(docs, text, F.col(key).alias("id"), train.alias("train"), **sizes)
@@ -183,7 +270,7 @@ def score_documents(docs: DataFrame, held_out: Column | None = None, text: str =
     def finish(_, table, answers):
         if not len(table):
             return nothing
-        return _Chunk(table, order, n).scores(answers, n_all, n_distinct, mu)
+        return _Chunk(table, order, n).scores(answers, n_all, n_distinct, mu, piece)
 
     numbers = {"n_tokens": pa.int64(), "n_known": pa.int64(), "train_tokens": pa.int64(),
                "base_score": pa.float64(), "score": pa.float64()}

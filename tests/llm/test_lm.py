@@ -59,12 +59,12 @@ def test_op4_equals_brute_force(spark, sf_dir):
     same(op4_lm(spark, sf_dir).collect(), brute(rows))
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_orders_edges_and_small_chunks(spark, order):
     texts = ["a b a b c", "A b\tC a", None, "", "   ", "a a a a", "zz yy xx", "a b a b c", "é É b"]
     rows = [(i if i else None, t, i % 3 != 1) for i, t in enumerate(texts)] * 2
     df = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
-    for sizes in ({}, {"chunk_bytes": 8, "bucket_bytes": 8}):
+    for sizes in ({}, {"chunk_bytes": 8, "bucket_bytes": 8}, {"piece": 1}, {"piece": 2}):
         got = L.score_documents(df, ~F.col("learn"), order=order, mu=2.0, **sizes).collect()
         same(got, brute(rows, order, 2.0))
 
