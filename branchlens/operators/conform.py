@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from branchlens.fixed_values import DINE_IN_SALE_TYPE, DWELL_MAX, DWELL_MIN
 from branchlens.functions.semantics import (day_of, month_of, not_cancelled, to_double,
                                             truncate_name)
-from branchlens.operators.incremental import keep_last
 
 
 def live(df: DataFrame, flag: str = "canceled") -> DataFrame:
@@ -32,10 +31,12 @@ def catalog_for_join(catalog: DataFrame, name_len: int = 20) -> DataFrame:
     must not multiply its lines. The last row wins (``ingest_seq``, landing order, then
     category and name, so that the choice never depends on the partitioning)."""
     order = [c for c in ("ingest_seq", "landed_at") if c in catalog.columns]
-    one = keep_last(catalog, ["product_id", "branch"], [*order, "product_category", "product_name"])
+    # The largest row by (order, category, name), nulls first: a partial aggregate, not a sorted window.
+    last = F.max(F.struct(*order, "product_category", "product_name")).alias("_last")
+    one = catalog.groupBy("product_id", "branch").agg(last)
     return one.select("product_id", "branch",
-                      truncate_name("product_name", name_len).alias("product_name"),
-                      "product_category")
+                      truncate_name("_last.product_name", name_len).alias("product_name"),
+                      F.col("_last.product_category").alias("product_category"))
 
 
 def enrich_lines(lines: DataFrame, sales: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -42,6 +42,22 @@ def orphans(child: DataFrame, parent: DataFrame, name: str, keys: Sequence[str])
     return missing.agg(F.count(F.lit(1)).alias("orphan_keys")).select(F.lit(name).alias("check"), "orphan_keys")
 
 
+def reference_of(check: str, value: Column, child: bool) -> Column:
+    """A key of the child or the parent side of a reference, as text."""
+    return F.struct(F.lit(check).alias("check"), value.cast("string").alias("value"), F.lit(child).alias("child"))
+
+
+def orphans_of(refs: DataFrame, checks: Sequence[str]) -> DataFrame:
+    """``orphans`` of many references at once, from their keys ``k`` (null: no key): a key of the
+    child side that the parent side does not have. One aggregate, no join; every one of
+    ``checks`` has a row."""
+    every = refs.sparkSession.range(1).select(F.explode(F.array(*[reference_of(c, F.lit(None), False) for c in checks])).alias("k"))
+    keys = refs.filter("k IS NOT NULL").unionByName(every).select("k.*").groupBy("check", "value").agg(
+        F.max("child").alias("child"), F.max(~F.col("child")).alias("parent"))
+    orphan = F.col("value").isNotNull() & F.col("child") & ~F.col("parent")
+    return keys.groupBy("check").agg(F.count(F.when(orphan, F.lit(1))).alias("orphan_keys"))
+
+
 def null_counts(df: DataFrame, name: str, cols: Sequence[str]) -> DataFrame:
     """table, column, null_rows, rows: one aggregate pass, then unpivoted."""
     agg = df.agg(F.count(F.lit(1)).alias("rows"),

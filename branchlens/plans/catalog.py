@@ -26,6 +26,7 @@ from branchlens.operators import quality as Q
 from branchlens.operators import reports as R
 from branchlens.plans.raw_queries import (bootstrap_raw, incremental_upsert, marts_incremental, upsert_moved_keys,
                                            upsert_raw_rows)
+from branchlens.plans import sink_queries as SQ
 from branchlens.sources import documents as D
 from branchlens.sources import fixtures as fx
 
@@ -492,22 +493,33 @@ def quality_unique(x: Inputs):
 
 
 def quality_fk(x: Inputs):
+    """References of the published tables and of the lines. The enriched lines are read once, by
+    grouping sets of the keys that the checks need."""
+    to_pairs, to_catalog = "product_daily.product->product_category", "category_daily.category->categories"
+    paid, booked = "daily_revenue_branch.branch->branches", "booking_monthly.branch->branches"
+    by = x.lines_enriched.groupingSets(
+        [["branch", "day", "product_name"], ["branch", "day", "product_category"], ["product_name", "product_category"]],
+        "branch", "day", "product_name", "product_category").agg(
+        F.sum("quantity").alias("qty"), F.grouping("product_name").alias("no_product"),
+        F.grouping("product_category").alias("no_category"))
+    product, category = F.col("product_name"), F.col("product_category")
+    dated = F.col("branch").isNotNull() & F.col("day").isNotNull() & (F.col("qty") > 0)
+    lines = by.select(F.when((F.col("no_category") == 1) & dated & product.isNotNull(), Q.reference_of(to_pairs, product, True))
+                      .when((F.col("no_product") == 1) & dated & category.isNotNull(), Q.reference_of(to_catalog, category, True))
+                      .when((F.col("no_product") == 0) & (F.col("no_category") == 0) & product.isNotNull()
+                            & category.isNotNull(), Q.reference_of(to_pairs, product, False)).alias("k"))
+    branch = F.col("branch")
+    parts = [x.catalog.filter("product_category IS NOT NULL").select(
+                 Q.reference_of(to_catalog, F.col("product_category"), False).alias("k")),
+             M.daily_revenue_branch(x.payments_live).select(Q.reference_of(paid, branch, True).alias("k")),
+             x.booking_monthly.select(Q.reference_of(booked, branch, True).alias("k"))]
+    parts += [x.branches.select(Q.reference_of(c, branch, False).alias("k")) for c in (paid, booked)]
+    for p in parts:
+        lines = lines.unionByName(p)
     keys = fx.table(x.spark, x.sf_dir, "lineitem").select(F.col("l_orderkey").alias("sale_id"))
     sales = fx.table(x.spark, x.sf_dir, "orders").select(F.col("o_orderkey").alias("sale_id"))
-    checks = [
-        Q.orphans(x.product_daily.select("product"), x.pairs.select("product"),
-                  "product_daily.product->product_category", ["product"]),
-        Q.orphans(x.category_daily.select("category"), x.catalog.select(F.col("product_category").alias("category")),
-                  "category_daily.category->categories", ["category"]),
-        Q.orphans(M.daily_revenue_branch(x.payments_live).select("branch"), x.branches,
-                  "daily_revenue_branch.branch->branches", ["branch"]),
-        Q.orphans(keys, sales, "lines.sale_id->sales", ["sale_id"]),
-        Q.orphans(x.booking_monthly.select("branch"), x.branches, "booking_monthly.branch->branches", ["branch"]),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out
+    return Q.orphans_of(lines, [to_pairs, to_catalog, paid, booked]).unionByName(
+        Q.orphans(keys, sales, "lines.sale_id->sales", ["sale_id"]))
 
 
 def quality_nulls(x: Inputs):
@@ -538,6 +550,30 @@ def stream_upsert_payments(x: Inputs):
     return doubles(res.select(*PAYMENT_COLS))
 
 
+def mart_published(x: Inputs):
+    return SQ.mart_published(x)
+
+
+def pairs_appended(x: Inputs):
+    return SQ.pairs_appended(x)
+
+
+def reports_published(x: Inputs):
+    return SQ.reports_published(x, AS_OF)
+
+
+def facts_published(x: Inputs):
+    return SQ.facts_published(x)
+
+
+def sheet_read(x: Inputs):
+    return SQ.sheet_read(x)
+
+
+def raw_csv_read(x: Inputs):
+    return SQ.raw_csv_read(x)
+
+
 def stream_keyed_state(x: Inputs):
     """The same upsert by keyed state: each landed slice is one delivery, a day apart; only
     changed rows are written."""
@@ -571,6 +607,7 @@ QUERY_FUNCS = [
     bookings_clean, booking_monthly, booking_metrics, booking_metrics_edges,
     quality_unique, quality_fk, quality_nulls, accepted_rejected, run_summary,
     stream_upsert_payments, stream_keyed_state,
+    mart_published, pairs_appended, reports_published, facts_published, sheet_read, raw_csv_read,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f) for f in QUERY_FUNCS}

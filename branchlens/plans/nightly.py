@@ -30,7 +30,9 @@ from branchlens.operators import quality as Q
 from branchlens.operators import reports as R
 from branchlens.operators.incremental import keep_last
 from branchlens.plans import ingest
+from branchlens.session import run_together
 from branchlens.sources import readers, sinks
+from branchlens.sources.snapshots import SnapshotStore
 
 
 # Key of every published mart (null-free and unique): rows that break it are set aside.
@@ -45,6 +47,12 @@ MART_KEYS = {
 }
 
 
+def facts_store(spark: SparkSession, path: str, facts: dict[str, DataFrame]) -> SnapshotStore:
+    """The processed facts (S14): one store by month. A run replaces all of them with one
+    commit, so a crash leaves the facts of the run before."""
+    return SnapshotStore(spark, path, {name: (df.schema, "month") for name, df in facts.items()})
+
+
 def publish_accepted(df: DataFrame, name: str, keys: list[str], out: str) -> DataFrame:
     """Split by the mart's key, keep both sides under ``quality``, publish the accepted one."""
     split = Q.split_by_key(df, keys, [c for c in df.columns if c not in keys])
@@ -57,13 +65,17 @@ def publish_accepted(df: DataFrame, name: str, keys: list[str], out: str) -> Dat
 
 def run_sales_job(spark: SparkSession, sales: DataFrame, lines: DataFrame, payments: DataFrame,
                   catalog: DataFrame, out: str, as_of: dt.date, dine_in: str = DINE_IN_SALE_TYPE,
-                  dwell_bounds: tuple[str, str] = (DWELL_MIN, DWELL_MAX)) -> dict:
+                  dwell_bounds: tuple[str, str] = (DWELL_MIN, DWELL_MAX), log: sinks.RunLog | None = None) -> dict:
     out = out.rstrip("/")
-    # Full replaces: a month that has left the input must leave the facts as well.
-    enriched, n_items = sinks.observe_counts(C.enrich_lines(lines, sales, catalog), "items")
-    sinks.write_facts(enriched, f"{out}/facts/items", dynamic=False)
-    sinks.write_facts(C.with_day_month(sales), f"{out}/facts/sales", dynamic=False)
-    sinks.write_facts(C.live_payments(payments), f"{out}/facts/payments", dynamic=False)
+    log = log or sinks.RunLog(spark, f"{out}/_runs")
+    with log.step("facts") as seen:
+        # Full replaces: a month that has left the input leaves the facts as well.
+        written = {"items": C.enrich_lines(lines, sales, catalog), "sales": C.with_day_month(sales),
+                   "payments": C.live_payments(payments)}
+        store = facts_store(spark, f"{out}/facts", written)
+        changes = dict(zip(written, run_together(spark, [lambda n=name, d=df: store.replace(n, d) for name, df in written.items()])))
+        at = store.commit(store.snapshot(), changes)
+        n_items = seen["rows"] = store.written("items", changes["items"])
     dwell, n_dwell = sinks.observe_counts(C.dwell(sales, dine_in, *dwell_bounds), "dwell")
     sinks.publish_mart(dwell, f"{out}/facts/dwell")
 
@@ -71,9 +83,7 @@ def run_sales_job(spark: SparkSession, sales: DataFrame, lines: DataFrame, payme
     # payments to (branch, day). Every mart below needs no finer grain, sums of exact
     # decimals re-aggregate exactly, and null keys stay groups of their own. Both
     # summaries are written (the lineage cut) and read back.
-    facts = {name: readers.read_facts(spark, f"{out}/facts/{name}", schema) for name, schema in (
-        ("items", enriched.schema), ("payments", C.live_payments(payments).schema),
-        ("sales", C.with_day_month(sales).schema))}
+    facts = {name: store.read(name, at) for name in written}
     sinks.publish_mart(facts["items"].groupBy("branch", "day", "month", "product_name", "product_category")
                        .agg(F.sum("quantity").alias("quantity"), F.sum("price").alias("price")),
                        f"{out}/marts/items_daily")
@@ -93,35 +103,47 @@ def run_sales_job(spark: SparkSession, sales: DataFrame, lines: DataFrame, payme
         "monthly_revenue": M.monthly_revenue(pay),
         "daily_reconciliation": reconciliation,
     }
-    published = {name: publish_accepted(df, name, MART_KEYS[name], out) for name, df in marts.items()}
-    sinks.publish_reports(R.top_products(items, as_of), f"{out}/reports/top_products")
-    sinks.publish_reconciliation(published["daily_reconciliation"], f"{out}/reports/reconciliation")
+    published = {}
+    for name, df in marts.items():
+        with log.step(f"mart {name}"):
+            published[name] = publish_accepted(df, name, MART_KEYS[name], out)
+    with log.step("reports"):
+        sinks.publish_reports(R.top_products(items, as_of), f"{out}/reports/top_products")
+        sinks.publish_reconciliation(published["daily_reconciliation"], f"{out}/reports/reconciliation")
     # The pairs mart only grows, and its key is the product: accepted pairs of new products.
-    split = Q.accepted_rejected(M.product_category_pairs(items))
-    sinks.write_accepted_rejected(split, f"{out}/quality/product_category")
-    accepted = sinks.read_published(spark, f"{out}/quality/product_category").filter("status = 'accepted'")
-    sinks.append_new_pairs(spark, accepted.select("product", "category"), f"{out}/marts/product_category")
-    return {"items_rows": n_items.get.get("rows", 0), "dwell_rows": n_dwell.get.get("rows", 0)}
+    with log.step("product_category"):
+        split = Q.accepted_rejected(M.product_category_pairs(items))
+        sinks.write_accepted_rejected(split, f"{out}/quality/product_category")
+        accepted = sinks.read_published(spark, f"{out}/quality/product_category").filter("status = 'accepted'")
+        sinks.append_new_pairs(spark, accepted.select("product", "category"), f"{out}/marts/product_category")
+    return {"items_rows": n_items, "dwell_rows": n_dwell.get.get("rows", 0)}
 
 
-def run_from_raw(spark: SparkSession, raw: str, out: str, as_of: dt.date) -> dict:
+def run_from_raw(spark: SparkSession, raw: str, out: str, as_of: dt.date, log: sinks.RunLog | None = None) -> dict:
     """The sales job on the raw tables that ``ingest`` keeps: the last row of every key."""
     store, tables = ingest.raw_store(spark, raw), {}
     at = store.snapshot()  # one version for all tables, whatever is published meanwhile
     for name in ("sales", "lines", "payments", "products"):
         df = keep_last(store.read(name, at), ingest.KEYS[name], ingest.ORDER)
         tables[name] = df if name == "products" else df.drop("month")
-    return run_sales_job(spark, tables["sales"], tables["lines"], tables["payments"], tables["products"], out, as_of)
+    return run_sales_job(spark, tables["sales"], tables["lines"], tables["payments"], tables["products"], out, as_of,
+                         log=log)
 
 
 def run_all(spark: SparkSession, landing: str, raw: str, out: str, as_of: dt.date, sheet: str | None = None,
-            seq: int = 0) -> dict:
-    """Landing to marts in one run: the bootstrap (``seq`` 0) or an incremental update, the
-    sales job on the raw tables, and the bookings job if a sheet is given."""
-    counts = ingest.bootstrap(spark, landing, raw) if seq == 0 else ingest.incremental(spark, landing, raw, seq)
-    counts |= run_from_raw(spark, raw, out, as_of)
+            seq: int = 0, branches: list[str] | None = None) -> dict:
+    """Landing to marts in one run: the bootstrap (``seq`` 0) or an incremental update (of the
+    configured ``branches``), the sales job on the raw tables, and the bookings job if a sheet
+    is given. Every step's status, time, rows and error go to ``<out>/_runs``."""
+    log = sinks.RunLog(spark, f"{out.rstrip('/')}/_runs", seq)
+    with log.step("ingest") as seen:
+        counts = ingest.bootstrap(spark, landing, raw) if seq == 0 else \
+            ingest.incremental(spark, landing, raw, seq, branches)
+        seen["rows"] = sum(counts.values())
+    counts = counts | run_from_raw(spark, raw, out, as_of, log)
     if sheet:
-        run_bookings_job(readers.read_sheet(spark, sheet), out, as_of)
+        with log.step("bookings"):
+            run_bookings_job(readers.read_sheet(spark, sheet), out, as_of)
     return counts
 
 

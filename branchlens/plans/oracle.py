@@ -588,6 +588,36 @@ def new_product_categories() -> str:
   SELECT 1 FROM fx_known_pairs k WHERE k.product = p.product AND k.category = p.category)""")
 
 
+# ------------------------------------------------------------------ written and read back
+
+def mart_published() -> str:
+    return daily_revenue_branch()
+
+
+def pairs_appended() -> str:
+    return sql("""SELECT product, category FROM fx_known_pairs UNION ALL
+SELECT product, category FROM pairs p WHERE NOT EXISTS (SELECT 1 FROM fx_known_pairs k WHERE k.product = p.product)""")
+
+
+def reports_published() -> str:
+    return top_products()
+
+
+def facts_published() -> str:
+    return lines_enriched()
+
+
+def raw_csv_read() -> str:
+    return sql("""SELECT sale_id, CAST(total AS DOUBLE) AS total, sale_type, created_at, closed_at, customer_id, branch
+FROM fx_sales""")
+
+
+def sheet_read() -> str:
+    from branchlens.plans.sink_queries import CELL_END
+    end = CELL_END.replace("\n", "' || chr(10) || '")
+    return sql(f"SELECT * REPLACE (client || '{end}' AS client) FROM fx_bookings")
+
+
 # ------------------------------------------------------------------ bookings
 
 def bookings_clean() -> str:
@@ -717,6 +747,7 @@ PUBLISH: dict[str, dict[str, list[str]]] = {
     "dedupe_lines": _LINE, "upsert_lines": _LINE, "json_items_flat": _LINE, "json_sale_single": _LINE,
     "dedupe_payments": _PAY, "upsert_payments": _PAY, "json_payments_flat": _PAY, "json_payment_single": _PAY,
     "stream_upsert_payments": _PAY, "stream_keyed_state": _PAY, "upsert_moved_keys": {"ts": ["created_at"]},
+    "raw_csv_read": _SALE_TS, "mart_published": {"date": ["day"]}, "facts_published": {"date": ["day"]},
 }
 
 

@@ -8,8 +8,10 @@ change together are snapshots (``sources.snapshots``).
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -133,3 +135,34 @@ def observe_counts(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter (S19) computed by the job that consumes ``df`` (no extra pass)."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+RUN_STEP = "run bigint, step string, status string, started string, seconds double, rows bigint, error string"
+
+
+class RunLog:
+    """Status, time, rows and error of every step of a run, one JSON record per step."""
+
+    def __init__(self, spark: SparkSession, path: str, run: int = 0):
+        self.spark, self.path, self.run = spark, path, run
+
+    @contextlib.contextmanager
+    def step(self, name: str):
+        """Run a step; its record is written whether it succeeds or fails, and an error goes on
+        to the caller. The step may put its number of rows into the dictionary it gets."""
+        began, clock, seen = dt.datetime.now(dt.timezone.utc), time.monotonic(), {}
+        status, error = "failed", None
+        try:
+            yield seen
+            status = "done"
+        except BaseException as e:
+            error = f"{type(e).__name__}: {e}"[:2000]
+            raise
+        finally:
+            record = (self.run, name, status, began.isoformat(), time.monotonic() - clock, seen.get("rows"), error)
+            self.spark.createDataFrame([record], RUN_STEP).coalesce(1).write.mode("append").json(self.path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all runs."""
+    return spark.read.schema(RUN_STEP).json(path)

@@ -2,7 +2,8 @@
 import tempfile
 
 from branchlens.plans import catalog as Q
-from branchlens.plans.nightly import run_bookings_job, run_sales_job
+from branchlens.operators import conform as C
+from branchlens.plans.nightly import facts_store, run_bookings_job, run_sales_job
 from branchlens.sources import fixtures as fx
 from branchlens.sources import sinks
 
@@ -19,7 +20,8 @@ def test_nightly_outputs_match_queries(spark, sf_dir):
                             dine_in=fx.DINE_IN_TYPE, dwell_bounds=(f"{lo} days", f"{hi} days"))
     run_bookings_job(fx.fx_bookings(spark, sf_dir), out, Q.AS_OF)
     read = lambda p: sinks.read_published(spark, f"{out}/{p}")
-    items = spark.read.parquet(f"{out}/facts/items")
+    kinds = {"items": C.enrich_lines(*(f(spark, sf_dir) for f in (fx.fx_lines, fx.fx_sales, fx.fx_catalog_with_gaps)))}
+    items = facts_store(spark, f"{out}/facts", kinds).read("items")
     assert summary["items_rows"] == items.count() > 0
     assert summary["dwell_rows"] == read("facts/dwell").count()
     for mart in ("daily_revenue_all", "daily_revenue_branch", "product_totals", "category_totals",
@@ -69,6 +71,10 @@ def test_landing_to_marts(spark, sf_dir):
     run_all(spark, f"{root}/l0", f"{root}/raw", f"{root}/out", Q.AS_OF)
     got = run_all(spark, f"{root}/l1", f"{root}/raw", f"{root}/out", Q.AS_OF, seq=1)
     assert got["items_rows"] > 0 and got["rejected_pages"] == 0
+    steps = sinks.read_runs(spark, f"{root}/out/_runs").collect()
+    assert {(r.run, r.status) for r in steps} == {(0, "done"), (1, "done")}
+    assert {"ingest", "facts", "mart branch_kpis", "reports", "product_category"} <= {r.step for r in steps}
+    assert all(r.seconds > 0 and r.error is None for r in steps)
     paid = sinks.read_published(spark, f"{root}/out/marts/daily_revenue_branch")
     assert same(paid, M.daily_revenue_branch(C.live_payments(pays)).select(*paid.columns))
     again = run_from_raw(spark, f"{root}/raw", f"{root}/out2", Q.AS_OF)
@@ -76,3 +82,16 @@ def test_landing_to_marts(spark, sf_dir):
     for mart in ("daily_revenue_branch", "product_totals", "monthly_revenue"):
         assert same(sinks.read_published(spark, f"{root}/out/marts/{mart}"),
                     sinks.read_published(spark, f"{root}/out2/marts/{mart}"))
+
+
+def test_a_failed_step_leaves_a_record(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="branchlens-runs-")
+    log = sinks.RunLog(spark, f"{d}/_runs", 7)
+    with log.step("one") as seen:
+        seen["rows"] = 3
+    with pytest.raises(ValueError):
+        with log.step("two"):
+            raise ValueError("no such branch")
+    got = {r.step: (r.run, r.status, r.rows, r.error) for r in sinks.read_runs(spark, f"{d}/_runs").collect()}
+    assert got == {"one": (7, "done", 3, None), "two": (7, "failed", None, "ValueError: no such branch")}
