@@ -26,10 +26,12 @@ def brute_links(rows, threshold=0.95):
     x = x / np.linalg.norm(x, axis=1, keepdims=True) if len(good) else x
     link = x @ x.T >= threshold if len(good) else np.zeros((0, 0), bool)
     np.fill_diagonal(link, False)
-    part = np.arange(len(good))
-    for _ in range(len(good)):
-        for a, b in zip(*np.nonzero(link)):
-            part[a] = part[b] = min(part[a], part[b])
+    part, (a, b) = np.arange(len(good)), np.nonzero(link)
+    while True:
+        before = part.copy()
+        np.minimum.at(part, a, before[b])
+        if (part == before).all():
+            break
     names = {p: min((rows[good[k]][0] for k in np.flatnonzero(part == p) if rows[good[k]][0] is not None), default=None)
              for p in set(part.tolist())}
     out = [[i, 0, i] for i, _ in rows]
