@@ -18,9 +18,11 @@ documents link when 100 * |intersection| >= 85 * |union|.
    a subtree is left as soon as the overlap so far plus the shorter of both remainders, or
    the sizes below it, cannot reach the threshold, or when it is linked already. Overlaps
    are exact; shingles are compared by 56 bits of hash (and their frequency).
-5. A block of more than ``BLOCK_SETS`` sets is cut into slices. One set of every component
-   of a slice goes on to a further round until they fit one slice; then the pairs that share
-   a first shingle across the remaining components are compared, so no link is lost.
+5. A block of more than ``BLOCK_SETS`` sets or ``BLOCK_TOKENS`` shingles is cut into slices.
+   One set of every component of a slice goes on to a further round until they fit one slice;
+   then the sets that share a first shingle across the remaining components are compared, so
+   no link is lost: shingle by shingle, pair by pair where few sets have it, and in tries of
+   two blocks of its sets, one task each, where more than ``HOT_SETS`` have it.
 
 Only (set, smallest linked set) pairs leave a task; ``components`` unites them.
 
@@ -36,7 +38,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import chunked as C
 from .components import components
@@ -46,7 +48,10 @@ from .textops import Words, gram_hashes, mix, pack, planes, slices, span_hashes,
 SHINGLE = 4
 PERCENT = 85
 BLOCK_SETS = 4000
+BLOCK_TOKENS = 8 << 20
 GROUP_SETS = 1500  # sets of small blocks that share a task's group
+GROUP_TOKENS = 2 << 20
+HOT_SETS = 200
 
 _TAIL = np.uint64((1 << 56) - 1)
 
@@ -183,9 +188,6 @@ def linked(sets: list[np.ndarray], sizes: np.ndarray, percent: int = PERCENT) ->
     m = len(sets)
     if m == 1:
         return np.zeros(1, dtype=np.int64)
-    if m == 2:
-        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return np.array([0, 0 if both >= least_overlap(int(sizes[0]), int(sizes[1]), percent) else 1])
     values, ranks = np.unique(np.concatenate(sets), return_inverse=True)
     cuts = np.cumsum([len(s) for s in sets])[:-1]
     trie = Trie(np.split(ranks, cuts), sizes)
@@ -291,26 +293,53 @@ def _block_links(percent: int):
     return run
 
 
+def _slices(block_sets: int) -> Column:
+    """Slices of a block of ``n`` sets with ``total`` shingles: bounded in both."""
+    tokens = max(1, BLOCK_TOKENS * block_sets // BLOCK_SETS)
+    return F.greatest(F.ceil(F.col("n") / block_sets), F.ceil(F.col("total") / tokens)).cast("int")
+
+
+def _groups(rows: DataFrame) -> int:
+    """Groups of small blocks, bounded in sets and shingles."""
+    n, total = rows.agg(F.count("*"), F.sum("size")).first()
+    return max(1, math.ceil(n / GROUP_SETS), math.ceil((total or 0) / GROUP_TOKENS))
+
+
 def _join_blocks(members: DataFrame, percent: int, block_sets: int, salt: int) -> DataFrame:
-    """Links inside the blocks of ``members`` (name, size, tokens, block, n); large ones by slices."""
-    groups = max(1, math.ceil(members.count() / GROUP_SETS))
-    n_slices = F.ceil(F.col("n") / block_sets)
-    group = F.when(n_slices <= 1, F.pmod(F.xxhash64("block"), F.lit(groups))).otherwise(
+    """Links inside the blocks of ``members`` (name, size, tokens, block, n, total); large ones by
+    slices."""
+    n_slices = _slices(block_sets)
+    group = F.when(n_slices <= 1, F.pmod(F.xxhash64("block"), F.lit(_groups(members)))).otherwise(
         F.xxhash64("block", F.pmod(F.xxhash64(F.lit(salt), "name"), n_slices)))
     return members.select("name", "size", "tokens", "block", group.alias("grp")).groupBy("grp").applyInArrow(
         _block_links(percent), "a long, b long")
 
 
-def _verify(members: DataFrame, firsts: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def _verify(members: DataFrame, firsts: DataFrame, parts: DataFrame, percent: int, block_sets: int,
+            hot_sets: int) -> DataFrame:
     """Links of sets of different components that share a first shingle."""
     own = firsts.join(parts, "name").select("token", "name", "size", "part")
-    mixed = own.groupBy("token").agg(F.min("part").alias("p1"), F.max("part").alias("p2")).where("p1 != p2")
-    own = own.join(mixed.select("token"), "token")
+    mixed = materialise(own.groupBy("token").agg(
+        F.min("part").alias("p1"), F.max("part").alias("p2"), F.count("*").alias("n"), F.sum("size").alias("total"))
+        .where("p1 != p2").select("token", "n", "total"), "trie-mixed")
+    sets = members.select("name", "size", "tokens")
+
+    # A shingle that many sets begin with: every two blocks of its sets are one trie.
+    hot = materialise(own.drop("part").join(mixed.where(F.col("n") > hot_sets), "token"), "trie-hot")
+    dealt = hot.withColumn("blocks", _slices(max(1, block_sets // 2))).withColumn(
+        "mine", F.pmod(F.xxhash64(F.lit(11), "name"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
+        .where("blocks = 1 OR mine <> other")
+    block = F.xxhash64("token", F.least("mine", "other"), F.greatest("mine", "other"))
+    group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("token"), F.lit(_groups(hot)))).otherwise(block)
+    tries = dealt.select("name", block.alias("block"), group.alias("grp")).join(sets, "name").groupBy("grp").applyInArrow(
+        _block_links(percent), "a long, b long")
+
+    own = own.join(mixed.where(F.col("n") <= hot_sets).select("token"), "token")
     other = own.toDF("token", "name2", "size2", "part2")
     pairs = own.join(other, "token").where(
         (F.col("name") < F.col("name2")) & (F.col("part") != F.col("part2"))
         & (100 * F.least("size", "size2") >= percent * F.greatest("size", "size2"))).select("name", "name2").distinct()
-    sets = members.select("name", "size", "tokens")
     full = pairs.join(sets, "name").join(sets.toDF("name2", "size2", "tokens2"), "name2")
 
     def compare(batches):
@@ -321,11 +350,11 @@ def _verify(members: DataFrame, firsts: DataFrame, parts: DataFrame, percent: in
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.int64()),
                                               pa.array([k[1] for k in keep], pa.int64())], names=["a", "b"])
 
-    return full.mapInArrow(compare, "a long, b long")
+    return full.mapInArrow(compare, "a long, b long").unionByName(tries)
 
 
 def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT,
-                      shingle: int = SHINGLE, block_sets: int = BLOCK_SETS, **sizes) -> DataFrame:
+                      shingle: int = SHINGLE, block_sets: int = BLOCK_SETS, hot_sets: int = HOT_SETS, **sizes) -> DataFrame:
     """key, n_shingles, component_id for every row."""
     base, n = C.chunked(docs, text, F.col(key).cast("long").alias("id"), **sizes)
 
@@ -373,10 +402,11 @@ def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     blocks = components(firsts.join(heads, "token").where("name != head")
                         .select(F.col("name").alias("a"), F.col("head").alias("b")).distinct())
     blocks = materialise(blocks, "trie-blocks").toDF("name", "block")
-    sized = blocks.groupBy("block").agg(F.count("*").alias("n"))
+    sized = blocks.join(sets.select("name", "size"), "name").groupBy("block").agg(
+        F.count("*").alias("n"), F.sum("size").alias("total"))
     members = sets.select("name", "size", "tokens").join(blocks.join(sized, "block"), "name")
     links = materialise(_join_blocks(members, percent, block_sets, 0), "trie-links")
-    large = materialise(sized.where(F.col("n") > block_sets), "trie-large")
+    large = materialise(sized.where(_slices(block_sets) > 1), "trie-large")
     if large.limit(1).count():
         # Set by set to component, then representatives of components, until they fit one slice.
         inside = materialise(blocks.join(large, "block").select("name", "block"), "trie-inside")
@@ -385,20 +415,21 @@ def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
             parts = components(links).toDF("name", "part")
             parts = materialise(inside.join(parts, "name", "left").select(
                 "name", "block", F.coalesce("part", "name").alias("part")), "trie-parts")
-            heads = parts.where("name = part").groupBy("block").agg(F.count("*").alias("n"))
-            left, most = heads.agg(F.sum("n"), F.max("n")).first()
+            heads = parts.where("name = part").join(sets.select("name", "size"), "name").groupBy("block").agg(
+                F.count("*").alias("n"), F.sum("size").alias("total"))
+            left, most, cuts = heads.agg(F.sum("n"), F.max("n"), F.max(_slices(block_sets))).first()
             if most == 1 or left == before:
                 break
             before, salt = left, salt + 1
             more = sets.select("name", "size", "tokens").join(
                 parts.where("name = part").select("name", "block").join(heads, "block"), "name")
             links = materialise(links.unionByName(_join_blocks(more, percent, block_sets, salt)), "trie-links")
-            if most <= block_sets:
+            if cuts <= 1:
                 parts = components(links).toDF("name", "part")
                 parts = materialise(inside.join(parts, "name", "left").select(
                     "name", "block", F.coalesce("part", "name").alias("part")), "trie-parts")
                 break
-        rest = _verify(sets, firsts, parts.select("name", "part"), percent)
+        rest = _verify(sets, firsts, parts.select("name", "part"), percent, block_sets, hot_sets)
         links = materialise(links.unionByName(rest), "trie-links")
     parts = components(links).toDF("name", "part")
     labelled = profiles.join(parts, "name", "left").select(

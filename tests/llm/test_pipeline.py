@@ -54,10 +54,20 @@ def variants(seed, n=90, words=40):
 
 @pytest.mark.parametrize("seed, block_sets", [(1, 4000), (2, 4000), (3, 3), (4, 5)])
 def test_join_equals_brute_force_also_in_slices(spark, seed, block_sets):
+    join_in_slices(spark, seed, block_sets, {})
+
+
+@pytest.mark.parametrize("seed, block_sets, hot_sets", [(5, 3, 0), (6, 5, 2), (7, 8, 4)])
+def test_first_shingles_that_many_sets_share(spark, seed, block_sets, hot_sets):
+    """Shingles above the bound are compared in tries of two blocks, the others pair by pair."""
+    join_in_slices(spark, seed, block_sets, {"hot_sets": hot_sets})
+
+
+def join_in_slices(spark, seed, block_sets, more):
     rows = variants(seed) + [(900, None), (901, ""), (902, " \n"), (903, "one"), (904, "ONE"), (905, "one two")]
     want = jaccard_components(rows)
     got = prefix_tree_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"),
-                                             block_sets=block_sets, chunk_bytes=2000, bucket_bytes=3000).collect()
+                                             block_sets=block_sets, chunk_bytes=2000, bucket_bytes=3000, **more).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want and len(got) == len(rows)
 
 
