@@ -1,4 +1,4 @@
-"""Corpus pipeline: quality filter, line dedup, near-duplicate removal, long lines, mixing, packing.
+"""Corpus pipeline: quality filter, line dedup, near-duplicate removal, mixing, packing.
 
 ``STAGES`` lists (name, function); every function takes (spark, docs, sf_dir), works on
 all rows its predecessor kept and returns a DataFrame. ``run`` applies them to the table
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from branchlens.llm import line_winnow, mixing, packing, prefix_tree_join, quality_fm
 from branchlens.llm.queries import tokeniser_paths
-from branchlens.llm.tables import table
+from branchlens.llm.tables import materialise, table
 from branchlens.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -37,11 +37,22 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of runs of lines are deleted; a document that loses all its lines goes.
+    """Later repeats are deleted, first of runs of lines, then of single long lines; a document
+    that loses all its lines goes.
 
     ``n_chars`` follows the text. Documents without any line (null, empty, blank) stay.
     """
-    return _without_lines(line_winnow.drop_repeated_lines(docs.select(*COLUMNS)))
+    runs = _without_lines(line_winnow.drop_repeated_lines(docs.select(*COLUMNS)))
+    return without_long_repeats(materialise(runs, "line-runs"))
+
+
+def without_long_repeats(docs: DataFrame) -> DataFrame:
+    """Later repeats of single lines of at least ``LONG_LINE_WORDS`` words are deleted too.
+
+    A passage that is one line between other lines is no run of lines, and its documents need
+    not be similar.
+    """
+    return _without_lines(line_winnow.drop_repeated_lines(docs.select(*COLUMNS), run=1, min_words=LONG_LINE_WORDS))
 
 
 def _without_lines(cut: DataFrame) -> DataFrame:
@@ -63,15 +74,6 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.select(*COLUMNS).where("doc_id is null"))
 
 
-def long_line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeats of single lines of at least ``LONG_LINE_WORDS`` words are deleted too.
-
-    A passage that is one line between other lines is no run of lines, and its documents need
-    not be similar. A document that loses all its lines goes; ``n_chars`` follows the text.
-    """
-    return _without_lines(line_winnow.drop_repeated_lines(docs.select(*COLUMNS), run=1, min_words=LONG_LINE_WORDS))
-
-
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it (0, 1 or 2)."""
     docs = docs.select(*COLUMNS)
@@ -89,7 +91,6 @@ STAGES = [
     ("quality", quality_stage),
     ("lines", line_stage),
     ("near duplicates", near_duplicate_stage),
-    ("long lines", long_line_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]
