@@ -36,6 +36,7 @@ from __future__ import annotations
 from itertools import permutations
 from math import factorial
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .tables import materialise
@@ -109,7 +110,8 @@ def audit(masked: DataFrame) -> DataFrame:
         F.array(*[F.sum(F.when(F.col("mask") == 1 << i, F.col("n")).otherwise(0)) for i in range(size)]).alias("alone"))
 
     # Difference arrays: every part, step and rank has a zero entry, and each interval two more.
-    intervals = spark.createDataFrame(removal_intervals(), "mask int, step int, lo int, hi int")
+    names = ("mask", "step", "lo", "hi")
+    intervals = spark.createDataFrame(pa.table({n: pa.array(c, pa.int32()) for n, c in zip(names, zip(*removal_intervals()))}))
     ends = F.explode(F.array(*[F.struct(F.col(at).alias("rank"), *[(F.col(m) * sign).alias(m) for m in _MEASURES])
                                for at, sign in (("lo", 1), ("hi", -1))]))
     differences = (counts.join(F.broadcast(intervals), "mask").select("part", "step", ends.alias("e"))
