@@ -216,14 +216,30 @@ def test_mix_of_rows_that_share_an_id(spark):
     assert bag[0] == bag[1]
 
 
+def without_long_lines(rows):
+    """Texts without the lines of 50 words and more that an earlier place has; empty ones go."""
+    seen, out = set(), {}
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        lines, kept = (t or "").split("\n"), []
+        for line in lines:
+            bare = line.strip(" \t\x0b\x0c\r")
+            if len(WORD.findall(bare)) >= 50 and bare in seen:
+                continue
+            seen.add(bare)
+            kept.append(line)
+        if len(kept) == len(lines) or any(x.strip(" \t\x0b\x0c\r") for x in kept):
+            out[i] = None if t is None else "\n".join(kept)
+    return out
+
+
 def test_stages_and_run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     scored = {r.doc_id: r.score for r in op1_quality(spark, sf_dir).collect()}
     one = P.quality_stage(spark, docs, sf_dir).cache()
     assert {r.doc_id for r in one.collect()} == {i for i, s in scored.items() if s >= 0.5}
     two = P.line_stage(spark, one, sf_dir).cache()
-    want = {i: t for i, t, n, k in brute_lines([(r.doc_id, r.text) for r in one.collect()], 2) if n == 0 or k < n}
-    assert {r.doc_id: r.text for r in two.collect()} == want
+    runs = [(i, t) for i, t, n, k in brute_lines([(r.doc_id, r.text) for r in one.collect()], 2) if n == 0 or k < n]
+    assert {r.doc_id: r.text for r in two.collect()} == without_long_lines(runs)
     three = P.near_duplicate_stage(spark, two, sf_dir).cache()
     parts = jaccard_components([(r.doc_id, r.text) for r in two.collect()])
     assert sorted(r.doc_id for r in three.collect()) == sorted(i for i, (_, c) in parts.items() if i == c)
@@ -293,9 +309,10 @@ def test_long_single_lines_go_between_other_lines(spark, sf_dir):
              (8, f"{passage('r', 200)}\nmid\n{passage('r', 200)}"), (9, passage("s", 60).replace(" ", " \t ", 20))]
     docs = spark.createDataFrame([(i, t, "en", "s", 7) for i, t in texts],
                                  "doc_id long, text string, lang string, source string, n_chars long")
-    got = {r.doc_id: (r.text, r.n_chars) for r in P.long_line_stage(spark, docs, sf_dir).collect()}
+    got = {r.doc_id: (r.text, r.n_chars) for r in P.without_long_repeats(docs).collect()}
     want = {i: (t, 7) for i, t in texts if i != 3}
     want[2] = ("two\nlast", 8)
     want[8] = (f"{passage('r', 200)}\nmid", len(passage("r", 200)) + 4)
     assert got == want
-    assert ("long lines", P.long_line_stage) in P.STAGES
+    assert {r.doc_id: (r.text, r.n_chars) for r in P.line_stage(None, docs, None).collect()} == want
+    assert [name for name, _ in P.STAGES] == ["quality", "lines", "near duplicates", "mixing", "packing"]
