@@ -50,8 +50,13 @@ def enrich_lines(lines: DataFrame, sales: DataFrame, catalog: DataFrame) -> Data
     """
     l = live(lines).select("sale_id", "product_id", "branch", "price", "quantity").alias("l")
     s = sales.select("sale_id", "branch", "created_at", "closed_at", "sale_type").alias("s")
-    c = catalog_for_join(catalog).alias("c")
     j = l.join(s, (F.col("l.sale_id") == F.col("s.sale_id")) & F.col("l.branch").eqNullSafe(F.col("s.branch")), "left")
+    return with_catalog(j, catalog)
+
+
+def with_catalog(j: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Lines ``l`` joined with their sale ``s``, with the catalogue's names (J2)."""
+    c = catalog_for_join(catalog).alias("c")
     j = j.join(c, (F.col("l.product_id") == F.col("c.product_id")) & F.col("l.branch").eqNullSafe(F.col("c.branch")), "left")
     return j.select(
         F.col("l.sale_id").alias("sale_id"), F.col("l.product_id").alias("product_id"),

@@ -566,6 +566,10 @@ def facts_published(x: Inputs):
     return SQ.facts_published(x)
 
 
+def lines_enriched_bucketed(x: Inputs):
+    return SQ.lines_enriched_bucketed(x)
+
+
 def sheet_read(x: Inputs):
     return SQ.sheet_read(x)
 
@@ -608,6 +612,7 @@ QUERY_FUNCS = [
     quality_unique, quality_fk, quality_nulls, accepted_rejected, run_summary,
     stream_upsert_payments, stream_keyed_state,
     mart_published, pairs_appended, reports_published, facts_published, sheet_read, raw_csv_read,
+    lines_enriched_bucketed,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f) for f in QUERY_FUNCS}

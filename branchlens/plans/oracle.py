@@ -603,6 +603,10 @@ def reports_published() -> str:
     return top_products()
 
 
+def lines_enriched_bucketed() -> str:
+    return lines_enriched()
+
+
 def facts_published() -> str:
     return lines_enriched()
 
@@ -748,6 +752,7 @@ PUBLISH: dict[str, dict[str, list[str]]] = {
     "dedupe_payments": _PAY, "upsert_payments": _PAY, "json_payments_flat": _PAY, "json_payment_single": _PAY,
     "stream_upsert_payments": _PAY, "stream_keyed_state": _PAY, "upsert_moved_keys": {"ts": ["created_at"]},
     "raw_csv_read": _SALE_TS, "mart_published": {"date": ["day"]}, "facts_published": {"date": ["day"]},
+    "lines_enriched_bucketed": {"date": ["day"]},
 }
 
 

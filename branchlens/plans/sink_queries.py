@@ -5,6 +5,8 @@ Files are written under the shared scratch folder when the query is built.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,8 @@ from branchlens.operators import reports as R
 from branchlens.plans import nightly
 from branchlens.schemas import SALE
 from branchlens.session import scratch_path
+from branchlens.sources import bucketed, readers, sinks
 from branchlens.sources import fixtures as fx
-from branchlens.sources import readers, sinks
 
 #: What the exported names hold beside the client: quotes, separators and line ends.
 CELL_END = '\n"a, b",\nc'
@@ -56,6 +58,19 @@ def facts_published(x) -> DataFrame:
         F.col("quantity").cast("double").alias("quantity"), "sale_type", "day", "month", "product_name", "product_category")
 
 
+def lines_enriched_bucketed(x, buckets: int = 16) -> DataFrame:
+    """The enriched lines from tables bucketed by sale: J1 without an exchange."""
+    tag = uuid.uuid4().hex
+    root = scratch_path(x.spark, "bucketed")
+    lines = x.lines.select("sale_id", "product_id", "branch", "price", "quantity", "canceled")
+    lines = bucketed.write_bucketed(lines, f"lines_{tag}", f"{root}/lines", buckets)
+    sales = bucketed.write_bucketed(x.sales, f"sales_{tag}", f"{root}/sales", buckets)
+    rows = bucketed.enrich_bucketed(lines, sales, fx.fx_catalog_with_gaps(x.spark, x.sf_dir))
+    return rows.select("sale_id", "product_id", "branch", F.col("price").cast("double").alias("price"),
+                       F.col("quantity").cast("double").alias("quantity"), "sale_type", "day", "month", "product_name",
+                       "product_category")
+
+
 def sheet_read(x) -> DataFrame:
     """The bookings sheet as exported CSV, with line ends and quotes in its names, read by many
     tasks."""

@@ -20,9 +20,6 @@ cell that is never closed takes the rest of its file; a header must fit into the
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -61,6 +58,8 @@ def _splits(lines: DataFrame) -> DataFrame:
 def _assemble(batches):
     """Whole records (kind 'whole', a file's first one 'head'), and the fragments ('part') of
     records that cross a split's end."""
+    import numpy as np
+    import pyarrow.compute as pc
     out: list[tuple] = []
     place, held, chain, inside, kind = None, [], None, False, "whole"
 
@@ -102,7 +101,8 @@ def _assemble(batches):
         yield _batch(out)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
+def _batch(rows: list[tuple]):
+    import pyarrow as pa
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
                                       names=["file", "chain", "block", "record", "kind"])
