@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark import InheritableThread
@@ -109,3 +111,22 @@ def run_together(spark: SparkSession, jobs: list) -> list:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Path of a fresh sub-folder of the shared checkpoint folder; Spark's writers create it."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_SCRATCH_NAME = re.compile(r".+-[0-9a-f]{32}")
+
+
+def clean_scratch(spark: SparkSession, min_age_s: float = 7 * 86400.0, folder: str | None = None) -> int:
+    """Delete the scratch folders of the shared checkpoint folder (or ``folder``) that nothing was written to for
+    ``min_age_s``: results of finished queries that were read or given up. To be run by the
+    cluster's housekeeping, with an age above that of the longest job. Returns their number."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder or checkpoint_dir(spark))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    before, deleted = (time.time() - min_age_s) * 1000, 0
+    for status in fs.listStatus(root) if fs.exists(root) else ():
+        if status.isDirectory() and _SCRATCH_NAME.fullmatch(status.getPath().getName()):
+            newest = max([status.getModificationTime(), *(c.getModificationTime() for c in fs.listStatus(status.getPath()))])
+            if newest < before:
+                fs.delete(status.getPath(), True)
+                deleted += 1
+    return deleted
