@@ -209,7 +209,7 @@ ORACLE: dict[str, str] = {
             FROM sized WINDOW w AS (PARTITION BY html ORDER BY page_id NULLS LAST))
         SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
                CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN again THEN first_id END AS refers_to, NULL::VARCHAR AS fault FROM placed""",
+               CASE WHEN again THEN first_id END::DOUBLE AS refers_to, NULL::VARCHAR AS fault FROM placed""",
     "op12_conversations": r"""
         WITH RECURSIVE keyed AS (
             SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
