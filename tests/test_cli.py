@@ -8,7 +8,7 @@ from branchlens.plans import run
 def test_list(capsys):
     assert run.main(["--list"]) == 0
     names = capsys.readouterr().out.split()
-    assert "branch_kpis" in names and len(names) == 54
+    assert "branch_kpis" in names and len(names) == 67
 
 
 def test_unknown_query():
