@@ -96,3 +96,20 @@ def test_keys_that_move_leave_their_old_partition(spark, seed, monkeypatch):
     assert got.groupBy("id").count().filter("count > 1").count() == 0
     assert {(r.id, r.part) for r in index.current(st.snapshot()).collect() if r.id in keep} \
         == {(r.id, r.month) for r in want.collect() if r.id in keep}
+
+
+def test_keys_in_several_partitions_are_settled_with_the_index(spark):
+    """A first load may hold a key in several months; its last row stays, the others go."""
+    st = store(spark)
+    index = S.KeyIndex(st, "t", ["id"], buckets=2)
+    data = [("a", 1, 1, "m1"), ("a", 2, 2, "m2"), ("b", 3, 5, None), ("b", 4, 3, "m1"), ("c", 5, 1, "m3"), (None, 6, 1, "m1"),
+            (None, 7, 2, "m2"), ("d", 8, 1, "m4"), ("d", 9, 0, "m4")]
+    st.commit(st.snapshot(), {"t": st.replace("t", rows(spark, data))}, seq=0)
+    at = index.ensure(st.snapshot(), order=["seq"])
+    assert at.meta["seq"] == 0 and index.ensure(at, order=["seq"]).version == at.version
+    # m4 holds no such key and is left as it was loaded
+    assert sorted(str((r.id, r.v, r.month)) for r in st.read("t").collect()) == sorted(map(str, [
+        ("a", 2, "m2"), ("b", 3, None), ("c", 5, "m3"), (None, 7, "m2"), ("d", 8, "m4"), ("d", 9, "m4")]))
+    assert {(r.id, r.part) for r in index.current(at).collect()} == {("a", "m2"), ("b", None), ("c", "m3"), (None, "m2"), ("d", "m4")}
+    last = rows(spark, [("b", 10, 6, "m1")])
+    assert index.moves(last, at) == [None]
