@@ -1,7 +1,7 @@
 """Keep-last as a stream with keyed state: a micro-batch writes what it changes, no more.
 
 ``upsert_stream`` rewrites the months that a micro-batch touches. Here the last sequence
-number of every key is state (RocksDB, checkpointed with the stream), a delivery that is not
+number of every key is state (RocksDB, by buckets of keys, checkpointed with the stream), a delivery that is not
 newer than its key's state is dropped before it is written, and the rest is appended to a
 change table by month. Readers take the last change of a key (``current_rows``), and
 ``compact`` replaces changes by their last ones.
@@ -31,31 +31,55 @@ from branchlens.sources.snapshots import SnapshotStore
 # Fixed value: the state store that keyed state needs.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+BUCKETS = 4096  # groups of keys that share an entry of the state; a checkpoint keeps its number
+KEY, BUCKET = "_key", "_bucket"  # a key as one text, null values left out; its bucket
 
 
 class LastDelivery(StatefulProcessor):
-    """Per key: emit the newest row of a micro-batch if it is newer than everything before."""
+    """Per bucket of keys: emit the newest row of every key of a micro-batch if it is newer than
+    everything before. A call to the state costs far more than a row, so the keys of a bucket
+    share one entry: their texts, last sequence numbers and times to be forgotten. A bucket with
+    keys has one timer, never later than the first of these times."""
 
     def __init__(self, names: list[str], seq: str, keep_ms: int):
         self.names, self.seq, self.keep_ms = names, seq, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.last = handle, handle.getValueState("last", "seq long, forget_at long")
+        self.handle = handle
+        self.last = handle.getValueState("last", "key array<string>, seq array<bigint>, forget_at array<bigint>")
+
+    def _known(self) -> dict[str, tuple[int, int]]:
+        found = self.last.get()
+        return {} if found is None else {k: (s, f) for k, s, f in zip(*found)}
+
+    def _keep(self, known: dict[str, tuple[int, int]]) -> None:
+        self.last.update((list(known), [s for s, _ in known.values()], [f for _, f in known.values()]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        newest = max(rows, key=lambda r: r[self.seq])
-        known = self.last.get()
-        if known is not None and known[0] >= newest[self.seq]:
+        newest = {}
+        for r in rows:
+            if (best := newest.get(r[KEY])) is None or r[self.seq] > best[self.seq]:
+                newest[r[KEY]] = r
+        known = self._known()
+        idle = not known
+        newer = {k: r for k, r in newest.items() if k not in known or r[self.seq] > known[k][0]}
+        if not newer:
             return
-        forget_at = timerValues.getCurrentWatermarkInMs() + self.keep_ms
-        if known is not None:
-            self.handle.deleteTimer(known[1])
-        self.handle.registerTimer(forget_at)
-        self.last.update((newest[self.seq], forget_at))
-        yield Row(**{n: newest[n] for n in self.names})
+        forget_at = timerValues.getCurrentWatermarkInMs() + self.keep_ms  # not before that of any known key
+        if idle:
+            self.handle.registerTimer(forget_at)
+        self._keep(known | {k: (r[self.seq], forget_at) for k, r in newer.items()})
+        for r in newer.values():
+            yield Row(**{n: r[n] for n in self.names})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.last.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        known = {k: (s, f) for k, (s, f) in self._known().items() if f > now}
+        if known:
+            self._keep(known)
+            self.handle.registerTimer(min(f for _, f in known.values()))
+        else:
+            self.last.clear()
         return iter(())
 
     def close(self) -> None:
@@ -100,7 +124,8 @@ def run_keyed_stream(spark: SparkSession, landing: str, schema: T.StructType, ta
     spark.conf.set(_PROVIDER, ROCKSDB)
     try:
         landed = spark.readStream.schema(full).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
-        changed = landed.withWatermark(event_time, late).groupBy(*keys).transformWithState(
+        keyed = landed.withColumns({KEY: F.to_json(F.struct(*keys)), BUCKET: F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))})
+        changed = keyed.withWatermark(event_time, late).groupBy(BUCKET).transformWithState(
             LastDelivery(out.fieldNames(), seq, keep_ms), out, "Update", "EventTime")
         query = (changed.writeStream.outputMode("update").foreachBatch(publish)
                  .option("checkpointLocation", stream).trigger(availableNow=True).start())

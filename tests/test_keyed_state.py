@@ -56,3 +56,37 @@ def test_query_equals_the_batch_operator(spark, sf_dir):
     a, b = QUERIES["stream_keyed_state"](spark, sf_dir), QUERIES["dedupe_payments"](spark, sf_dir)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert keep_last(a, KEYS, ["payment_id"]).count() == a.count()
+
+
+def test_state_is_called_by_buckets_not_by_keys():
+    """A bucket of 5000 keys takes one read, one update and one timer; expired keys leave, and the
+    timer of the others is set again."""
+    from types import SimpleNamespace as N
+
+    class State:
+        value, calls = None, 0
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    state, timers = State(), []
+    p = K.LastDelivery(["payment_id"], "seq", 100)
+    p.init(N(getValueState=lambda *_: state, registerTimer=timers.append))
+    rows = lambda n, seq: iter([{"_key": str(i), "payment_id": str(i), "seq": seq} for i in range(n)])
+    at = lambda ms: N(getCurrentWatermarkInMs=lambda: ms)
+    assert len(list(p.handleInputRows((0,), rows(5000, 1), at(0)))) == 5000
+    assert state.calls == 2 and timers == [100]
+    assert len(list(p.handleInputRows((0,), rows(3, 2), at(50)))) == 3 and list(p.handleInputRows((0,), rows(9, 1), at(50))) == []
+    assert timers == [100]
+    list(p.handleExpiredTimer((0,), at(100), None))
+    assert sorted(state.value[0]) == ["0", "1", "2"] and timers == [100, 150]
+    list(p.handleExpiredTimer((0,), at(150), None))
+    assert state.value is None
