@@ -204,3 +204,24 @@ def test_numbers_with_type_suffixes_and_oversized_amounts(spark):
                                   "branch string, month string, event_date string, guests int, total double")
     got = booking_monthly(clean).first()
     assert got.income == 1e30 + 2.5 and oversized_amounts(clean).count() == 1
+
+
+def test_pages_are_filled_in_place_and_landed_compressed(spark, tmp_path):
+    """No record is shuffled into its page, pages are bounded, and files are compressed."""
+    import glob
+    from pyspark.sql import functions as F
+    from branchlens.sources import documents as D
+    p = spark.range(1203).select(
+        F.col("id").cast("string").alias("payment_id"), F.col("id").cast("decimal(18,2)").alias("amount"),
+        F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("created_at"), F.lit('a"b,\\ñ').alias("method"),
+        F.lit(None).cast("boolean").alias("canceled"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("B"), F.col("id") % 3)).alias("branch"))
+    pages = D.build_payment_pages(p, 50)
+    assert "Exchange" not in pages._jdf.queryExecution().executedPlan().toString()
+    read = D.parse_pages(pages, D.PAYMENTS_PAGE)
+    assert read.agg(F.max(F.size("page.data"))).first()[0] == 50
+    D.write_pages(pages, f"{tmp_path}/landing")
+    assert glob.glob(f"{tmp_path}/landing/branch=B1/*.gz")
+    want = p.select("payment_id", "amount", "created_at", "method", "canceled", "branch")
+    for got in (read, D.read_pages(spark, f"{tmp_path}/landing", D.PAYMENTS_PAGE)):
+        got = D.flatten_payments(got).select(want.columns)
+        assert got.count() == 1203 and got.exceptAll(want).count() == 0
