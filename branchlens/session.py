@@ -32,11 +32,11 @@ SESSION_DEFAULTS = {
 # Upper bounds: a session that has a smaller value keeps it. Tables grow behind both. A table
 # planned for a broadcast passes through the driver, and its size is guessed from its files,
 # which may be thirty times smaller than its rows. The size of shuffle partitions is that of
-# compressed bytes, and sorts hold a partition's rows several times as large.
+# compressed bytes, and sorts hold a partition's rows many times as large (catalogue rows: 30).
 SESSION_BOUNDS = {
     "spark.sql.autoBroadcastJoinThreshold": "256k",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "256k",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
 }
 _OPTIONAL = {"spark.sql.adaptive.autoBroadcastJoinThreshold"}  # unset, it follows the static threshold
 

@@ -1,5 +1,6 @@
 """What keeps tasks and the driver small when tables grow, and documents parsed once."""
 
+from branchlens import session as S
 from branchlens.sources import fixtures as fx
 
 
@@ -18,3 +19,14 @@ def test_catalogue_is_planned_by_its_rows_not_by_its_file(spark, tmp_path):
     assert rows.count() == 150_000 and rows.filter("branch IS NULL").count() == 0
     keys = rows.select("product_id", "branch")
     assert int(str(_plan(keys, "optimizedPlan").stats().sizeInBytes())) >= 8 * 150_000
+
+
+def test_partitions_are_bounded_below_the_rows_they_unpack_to(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "16m")
+        S.apply_defaults(spark)
+        assert spark.conf.get(key) == "4m"
+    finally:
+        spark.conf.set(key, old)
