@@ -58,8 +58,10 @@ def facts_published(x) -> DataFrame:
         F.col("quantity").cast("double").alias("quantity"), "sale_type", "day", "month", "product_name", "product_category")
 
 
-def lines_enriched_bucketed(x, buckets: int = 16) -> DataFrame:
-    """The enriched lines from tables bucketed by sale: J1 without an exchange."""
+def lines_enriched_bucketed(x, buckets: int | None = None) -> DataFrame:
+    """The enriched lines from tables bucketed by sale: J1 without an exchange. A bucket is
+    sorted by one task, so there are as many as the session has shuffle partitions, 16 at least."""
+    buckets = buckets or max(16, int(x.spark.conf.get("spark.sql.shuffle.partitions")))
     tag = uuid.uuid4().hex
     root = scratch_path(x.spark, "bucketed")
     lines = x.lines.select("sale_id", "product_id", "branch", "price", "quantity", "canceled")

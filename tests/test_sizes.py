@@ -1,6 +1,9 @@
 """What keeps tasks and the driver small when tables grow, and documents parsed once."""
 
 from branchlens import session as S
+from branchlens.plans import sink_queries as SQ
+from branchlens.plans.catalog import QUERIES, Inputs
+from branchlens.sources import bucketed
 from branchlens.sources import fixtures as fx
 
 
@@ -21,6 +24,22 @@ def test_catalogue_is_planned_by_its_rows_not_by_its_file(spark, tmp_path):
     assert int(str(_plan(keys, "optimizedPlan").stats().sizeInBytes())) >= 8 * 150_000
 
 
+def test_buckets_follow_the_shuffle_partitions(spark, sf_dir, monkeypatch):
+    seen, key = [], "spark.sql.shuffle.partitions"
+    write, old = bucketed.write_bucketed, spark.conf.get(key)
+
+    def noted(df, table, path, buckets):
+        seen.append(buckets)
+        return write(df, table, path, buckets)
+    monkeypatch.setattr(bucketed, "write_bucketed", noted)
+    try:
+        spark.conf.set(key, "20")
+        SQ.lines_enriched_bucketed(Inputs(spark, sf_dir))
+    finally:
+        spark.conf.set(key, old)
+    assert seen == [20, 20]
+
+
 def test_partitions_are_bounded_below_the_rows_they_unpack_to(spark):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     old = spark.conf.get(key)
