@@ -170,11 +170,18 @@ def parse_pages(docs: DataFrame, schema: T.StructType) -> DataFrame:
 
 # --------------------------------------------------------------------------- flattening
 
+def _exploded(rows: DataFrame, path: str, *keep: str) -> DataFrame:
+    """(keep..., _pos, r) per element of the array ``path``. The rows without elements are dropped
+    after the outer explode: an inner one would have its filter on the array pushed below the
+    projections that make it, and a document would be built and parsed again for the filter."""
+    return rows.select(*keep, F.posexplode_outer(path).alias("_pos", "r")).filter("_pos IS NOT NULL")
+
+
 def _records(pages: DataFrame, path: str) -> tuple[DataFrame, list[str]]:
     """(branch, r) per record of an array, with its place in the landing order if known."""
     if "landed_at" not in pages.columns:
-        return pages.select("branch", F.explode(path).alias("r")), []
-    p = pages.select("branch", "landed_at", F.posexplode(path).alias("_pos", "r"))
+        return _exploded(pages, path, "branch").select("branch", "r"), []
+    p = _exploded(pages, path, "branch", "landed_at")
     place = F.struct(F.col("landed_at.file").alias("file"), F.col("landed_at.block").alias("block"),
                      F.col("landed_at.line").alias("line"), F.col("_pos").alias("pos"))
     return p.select("branch", "r", place.alias("landed_at")), ["landed_at"]
@@ -216,7 +223,7 @@ def flatten_sales(pages: DataFrame) -> DataFrame:
 
 def flatten_items(pages: DataFrame) -> DataFrame:
     """sale_id (from the item's own sale link), product_id, price, quantity, canceled, branch.
-    ``explode`` (not ``explode_outer``): pages without items emit nothing."""
+    Pages without items emit nothing."""
     i, place = _records(pages, "page.included")
     return i.select(*_item_columns("r", F.col("r.relationships.sale.data.id")), *place)
 
@@ -238,7 +245,7 @@ def flatten_sale_doc_items(docs: DataFrame) -> DataFrame:
     sale, whatever link they carry."""
     sales = docs.withColumn("_sale", F.col("page.data.id"))
     place = ["landed_at"] if "landed_at" in docs.columns else []
-    i = sales.select("branch", "_sale", *place, F.posexplode("page.included").alias("_pos", "r"))
+    i = _exploded(sales, "page.included", "branch", "_sale", *place)
     at = [F.struct(*[F.col(f"landed_at.{c}").alias(c) for c in ("file", "block", "line")],
                    F.col("_pos").alias("pos")).alias("landed_at")] if place else []
     return i.select(*_item_columns("r", F.col("_sale")), *at)

@@ -1,9 +1,11 @@
 """What keeps tasks and the driver small when tables grow, and documents parsed once."""
+import pytest
 
 from branchlens import session as S
 from branchlens.plans import sink_queries as SQ
 from branchlens.plans.catalog import QUERIES, Inputs
 from branchlens.sources import bucketed
+from branchlens.sources import documents as D
 from branchlens.sources import fixtures as fx
 
 
@@ -24,6 +26,20 @@ def test_catalogue_is_planned_by_its_rows_not_by_its_file(spark, tmp_path):
     assert int(str(_plan(keys, "optimizedPlan").stats().sizeInBytes())) >= 8 * 150_000
 
 
+@pytest.mark.parametrize("name", ["json_sale_single", "json_sales_flat", "json_items_flat", "json_payments_flat"])
+def test_documents_are_parsed_once(spark, sf_dir, name):
+    plan = _plan(QUERIES[name](spark, sf_dir), "optimizedPlan").toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_documents_without_items_emit_nothing_and_null_items_stay(spark):
+    docs = [("a", '{"data":{"id":"1"},"included":[{"attributes":{"price":2.0}},null]}'), ("a", '{"data":{"id":"2"},"included":[]}'),
+            ("a", '{"data":{"id":"3"}}'), (None, '{"data":{"id":"4"},"included":[{"attributes":{"price":5.0}}]}'), ("a", "x")]
+    pages = D.parse_pages(spark.createDataFrame(docs, "branch string, doc string"), D.SALE_DOC)
+    got = [(r.sale_id, r.branch, r.price and float(r.price)) for r in D.flatten_sale_doc_items(pages).collect()]
+    assert sorted(got, key=str) == sorted([("1", "a", 2.0), ("1", "a", None), ("4", None, 5.0)], key=str)
+
+
 def test_buckets_follow_the_shuffle_partitions(spark, sf_dir, monkeypatch):
     seen, key = [], "spark.sql.shuffle.partitions"
     write, old = bucketed.write_bucketed, spark.conf.get(key)
