@@ -65,3 +65,42 @@ def test_partitions_are_bounded_below_the_rows_they_unpack_to(spark):
         assert spark.conf.get(key) == "4m"
     finally:
         spark.conf.set(key, old)
+
+
+@pytest.fixture(scope="module")
+def wide_catalogue(spark, tmp_path_factory):
+    """Few lines, and a catalogue of 160,000 rows (5 branches, one without a name) in a small file."""
+    at = str(tmp_path_factory.mktemp("wide_catalogue"))
+    tables = {
+        "region": (5, ["cast(id as int) r_regionkey", "if(id = 4, null, concat('B', id)) r_name"]),
+        "nation": (5, ["cast(id as int) n_nationkey", "concat('n', id) n_name", "cast(id as int) n_regionkey"]),
+        "customer": (50, ["id c_custkey", "concat('c', id) c_name", "cast(id % 5 as int) c_nationkey",
+                          "cast(1 as double) c_acctbal", "'m' c_mktsegment"]),
+        "part": (40_000, ["id p_partkey", "concat('part ', id) p_name", "'b' p_brand", "concat('t', id % 40) p_type",
+                          "cast(1 as int) p_size", "cast(id as double) p_retailprice"]),
+        "orders": (1_000, ["id o_orderkey", "id % 50 o_custkey", "'F' o_orderstatus", "cast(id as double) o_totalprice",
+                           "timestamp_ntz'2001-07-20' - make_dt_interval(cast(id % 3 as int)) o_orderdate",
+                           "'1-URGENT' o_orderpriority"]),
+        "lineitem": (4_000, ["id % 1000 l_orderkey", "id * 7 l_partkey", "id l_suppkey", "cast(id / 1000 as int) l_linenumber",
+                             "cast(id % 5 + 1 as double) l_quantity", "cast(2 as double) l_extendedprice",
+                             "cast(0 as double) l_discount", "cast(0 as double) l_tax", "'A' l_returnflag",
+                             "'O' l_linestatus", "timestamp_ntz'2001-09-20' l_shipdate"]),
+    }
+    for name, (n, columns) in tables.items():
+        spark.range(n).selectExpr(*columns).coalesce(1).write.parquet(f"{at}/{name}.parquet")
+    return at
+
+
+@pytest.mark.parametrize("name", ["product_daily"])
+def test_the_catalogue_does_not_pass_through_the_driver(spark, wide_catalogue, name):
+    """The driver builds every table that is broadcast: one of more than a memory page, the least
+    that Spark counts, fails the query here. Collected, as a count would need no catalogue."""
+    key = "spark.sql.maxBroadcastTableSize"
+    old = spark.conf.get(key)
+    page = spark._jvm.org.apache.spark.SparkEnv.get().memoryManager().pageSizeBytes()
+    S.apply_defaults(spark)
+    try:
+        spark.conf.set(key, str(page + 2**20))
+        assert QUERIES[name](spark, wide_catalogue).collect()
+    finally:
+        spark.conf.set(key, old)
