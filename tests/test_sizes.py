@@ -92,7 +92,7 @@ def wide_catalogue(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", ["product_daily", "product_totals", "quality_nulls", "quality_unique",
-                                  "reports_published"])
+                                  "reports_published", "top_products"])
 def test_the_catalogue_does_not_pass_through_the_driver(spark, wide_catalogue, name):
     """The driver builds every table that is broadcast: one of more than a memory page, the least
     that Spark counts, fails the query here. Collected, as a count would need no catalogue."""
